@@ -1,0 +1,257 @@
+"""Tables with versions: Parquet parts plus a small Parquet history.
+
+A version is a list of parts.  An append writes one new part; an update, delete or merge
+rewrites only the parts that hold matching rows.  The history row is written last and
+readers go by the history, so a half-written part is never seen.  One writer per table."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeloom.operators import changes as ch
+from lakeloom.operators.quality import check_schema, expect_or_fail
+from lakeloom.sources.incremental import path_exists
+
+HISTORY = ("version bigint, at timestamp, operation string, rows_written bigint, rows_matched bigint, "
+           "parts array<bigint>, schema string, cluster_keys string")
+RETENTION_HOURS = 168
+
+
+class VersionExpired(Exception):
+    """The asked version is unknown or past retention."""
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, constraints: dict[str, str] | None = None,
+                 generated: dict[str, str] | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.constraints, self.generated = constraints or {}, generated or {}
+
+    # -- history ------------------------------------------------------------
+    def history(self) -> DataFrame:
+        where = f"{self.path}/history"
+        if not path_exists(self.spark, where):
+            return self.spark.createDataFrame([], HISTORY)
+        return self.spark.read.schema(HISTORY).parquet(where)
+
+    def _expired(self) -> DataFrame:
+        where = f"{self.path}/expired"
+        if not path_exists(self.spark, where):
+            return self.spark.createDataFrame([], "version bigint")
+        return self.spark.read.schema("version bigint").parquet(where)
+
+    def _entry(self, version: int | None = None, at=None):
+        rows = self.history()
+        if version is not None:
+            rows = rows.filter(F.col("version") == version)
+        if at is not None:
+            rows = rows.filter(F.col("at") <= F.lit(at).cast("timestamp"))
+        entry = rows.orderBy(F.desc("version")).first()
+        if entry is None or self._expired().filter(F.col("version") == entry["version"]).head(1):
+            raise VersionExpired(f"no version for {version if at is None else at}")
+        return entry
+
+    def current_version(self) -> int:
+        found = self.history().agg(F.max("version")).first()[0]
+        return -1 if found is None else found
+
+    # -- reading ------------------------------------------------------------
+    def _read(self, entry, parts: list[int] | None = None, with_part: bool = False) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        wanted = entry["parts"] if parts is None else parts
+        if not wanted:
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn("part", F.lit(None).cast("bigint")) if with_part else empty
+        full = T.StructType([*schema.fields, T.StructField("part", T.LongType())]) if with_part else schema
+        reader = self.spark.read.schema(full)
+        if with_part:
+            reader = reader.option("basePath", f"{self.path}/rows")
+        return reader.parquet(*[f"{self.path}/rows/part={p}" for p in wanted])
+
+    def read(self, version: int | None = None, at=None) -> DataFrame:
+        """Snapshot: the newest, the one of ``version``, or the newest not after ``at``."""
+        return self._read(self._entry(version, at))
+
+    # -- writing ------------------------------------------------------------
+    def _commit(self, rows: DataFrame | None, operation: str, kept: list[int], schema: T.StructType, at=None,
+                matched: int = 0, cluster_keys: str | None = None) -> int:
+        version, written, parts = self.current_version() + 1, 0, list(kept)
+        if rows is not None:
+            seen = Observation()
+            checked = expect_or_fail(rows, self.constraints)
+            checked.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                f"{self.path}/rows/part={version}")
+            written = seen.get["n"]
+            parts.append(version)
+        when = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()
+        self.spark.createDataFrame(
+            [(version, operation, written, matched, parts, schema.json(), cluster_keys)],
+            "version bigint, operation string, rows_written bigint, rows_matched bigint, "
+            "parts array<bigint>, schema string, cluster_keys string",
+        ).withColumn("at", when).select(*[f.split()[0] for f in HISTORY.split(", ")]).coalesce(1).write.mode(
+            "append").parquet(f"{self.path}/history")
+        return version
+
+    def create(self, rows: DataFrame, at=None, operation: str = "CREATE") -> int:
+        rows = ch.with_generated(rows, self.generated)
+        return self._commit(rows, operation, [], rows.schema, at)
+
+    def insert(self, rows: DataFrame, at=None, merge_schema: bool = False, defaults=None) -> int:
+        """Writes the new rows only.  Other columns or types are refused; ``merge_schema``
+        adds columns, which are null in older rows."""
+        entry = self._entry()
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        rows = ch.with_generated(rows, self.generated)
+        if defaults:
+            rows = rows.withColumns({c: F.lit(v).cast(schema[c].dataType)
+                                     for c, v in defaults.items() if c not in rows.columns})
+        if merge_schema:
+            added = [T.StructField(f.name, f.dataType, True) for f in rows.schema if f.name not in schema.names]
+            schema = T.StructType([*schema.fields, *added])
+        check_schema(rows, schema)
+        return self._commit(rows, "INSERT", entry["parts"], schema, at)
+
+    def overwrite(self, rows: DataFrame, at=None, operation: str = "OVERWRITE") -> int:
+        """Replaces rows and schema."""
+        return self._commit(rows, operation, [], rows.schema, at)
+
+    def _touched(self, entry, where: str | None) -> dict[int, int]:
+        found = (self._read(entry, with_part=True).filter(ch.holds(where)).groupBy("part")
+                 .agg(F.count(F.lit(1)).alias("n")).collect())  # one row per part
+        return {r["part"]: r["n"] for r in found}
+
+    def _rewrite(self, operation: str, where: str | None, change, at) -> int:
+        entry = self._entry()
+        touched = self._touched(entry, where)
+        kept = [p for p in entry["parts"] if p not in touched]
+        rows = change(self._read(entry, sorted(touched))) if touched else None
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self._commit(rows, operation, kept, schema, at, sum(touched.values()), entry["cluster_keys"])
+
+    def update(self, values: dict[str, str], where: str | None = None, at=None) -> int:
+        return self._rewrite("UPDATE", where, lambda df: ch.update(df, values, where), at)
+
+    def delete(self, where: str | None = None, at=None) -> int:
+        return self._rewrite("DELETE", where, lambda df: ch.delete(df, where), at)
+
+    def truncate(self, at=None) -> int:
+        entry = self._entry()
+        return self._commit(None, "TRUNCATE", [], T.StructType.fromJson(json.loads(entry["schema"])), at)
+
+    def merge(self, source: DataFrame, on: list[str], clauses: list[ch.When], at=None) -> int:
+        """Rewrites the parts that hold matched keys; all parts when a clause concerns rows
+        the source does not match."""
+        entry = self._entry()
+        whole = any(c.case == "not_matched_by_source" for c in clauses)
+        everything = self._read(entry, with_part=True)
+        hits = everything.join(source.select(*on), on, "left_semi").groupBy("part").agg(
+            F.count(F.lit(1)).alias("n")).collect()  # one row per part
+        touched = set(entry["parts"]) if whole else {r["part"] for r in hits}
+        kept = [p for p in entry["parts"] if p not in touched]
+        ch.require_single_match(everything, source, on)
+        rest = [c for c in clauses if c.case != "not_matched"]
+        inserts = [c for c in clauses if c.case == "not_matched"]
+        target = self._read(entry, sorted(touched))
+        rows = ch.merge(target, source.join(everything.select(*on), on, "left_semi"), on, rest)
+        fresh = source.join(everything.select(*on), on, "left_anti")
+        if inserts:
+            rows = rows.unionByName(ch.merge(target.limit(0), fresh, on, inserts))
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self._commit(rows, "MERGE", kept, schema, at, sum(r["n"] for r in hits))
+
+    def replace_parts(self, rows: DataFrame, gone: list[int], operation: str, cluster_keys=None, at=None) -> int:
+        """Rewrite of some parts that leaves the table's rows unchanged (compaction, clustering)."""
+        entry = self._entry()
+        kept = [p for p in entry["parts"] if p not in set(gone)]
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self._commit(rows, operation, kept, schema, at, cluster_keys=cluster_keys)
+
+    def restore(self, version: int, at=None) -> int:
+        """A new version with the parts of an old one; no data is copied."""
+        entry = self._entry(version)
+        return self._commit(None, "RESTORE", entry["parts"],
+                            T.StructType.fromJson(json.loads(entry["schema"])), at)
+
+    def last_version_before(self, operation: str) -> int:
+        """The newest version older than the newest commit of ``operation``."""
+        bad = self.history().filter(F.col("operation") == operation).agg(F.max("version")).first()[0]
+        return self.history().filter(F.col("version") < bad).agg(F.max("version")).first()[0]
+
+    # -- change feed --------------------------------------------------------
+    def changes(self, start: int, end: int | None = None, key: list[str] | None = None) -> DataFrame:
+        """Change rows of the versions ``start`` to ``end`` with version and commit time.
+        Parts shared by two versions are equal and are not read."""
+        entries = {r["version"]: r for r in self.history().filter(
+            F.col("version").between(max(start - 1, 0), self.current_version() if end is None else end)).collect()}
+        feeds = []
+        for version in sorted(v for v in entries if v >= start):
+            new, old = entries[version], entries.get(version - 1)
+            shared = set(new["parts"]) & set(old["parts"] if old else [])
+            after = self._read(new, [p for p in new["parts"] if p not in shared])
+            before = after.limit(0) if old is None else self._read(
+                {**old.asDict(), "schema": new["schema"]}, [p for p in old["parts"] if p not in shared])
+            feeds.append(ch.changes_between(before, after, key)
+                         .withColumn("_commit_version", F.lit(version).cast("bigint"))
+                         .withColumn("_commit_timestamp", F.lit(new["at"])))
+        if not feeds:
+            return ch.changes_between(self.read().limit(0), self.read().limit(0), key).withColumn(
+                "_commit_version", F.lit(0).cast("bigint")).withColumn("_commit_timestamp", F.current_timestamp())
+        out = feeds[0]
+        for feed in feeds[1:]:
+            out = out.unionByName(feed, allowMissingColumns=True)
+        return out
+
+    # -- copies, retention, detail -------------------------------------------
+    def deep_clone(self, path: str, version: int | None = None, at=None) -> "VersionedTable":
+        copy = VersionedTable(self.spark, path)
+        copy.create(self.read(version), at, "CLONE")
+        return copy
+
+    def shallow_clone(self, name: str, version: int | None = None) -> DataFrame:
+        """A view of one version, without a copy; it fails once that version is gone."""
+        entry = self._entry(version)
+        snapshot = self._read(entry)
+        snapshot.createOrReplaceTempView(name)
+        return snapshot
+
+    def expirable(self, now=None, hours: int = RETENTION_HOURS) -> DataFrame:
+        """Versions past retention (the dry run); the current version never is."""
+        moment = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+        limit = moment - F.make_dt_interval(hours=F.lit(hours))
+        return (self.history().filter((F.col("at") < limit) & (F.col("version") < self.current_version()))
+                .join(self._expired(), "version", "left_anti"))
+
+    def vacuum(self, now=None, hours: int = RETENTION_HOURS, allow_short: bool = False) -> list[int]:
+        """Removes the parts that only expired versions use; returns those parts."""
+        if hours < RETENTION_HOURS and not allow_short:
+            raise ValueError(f"retention below {RETENTION_HOURS} hours needs allow_short")
+        gone = self.expirable(now, hours).select("version", "parts").collect()  # history rows, not data
+        if not gone:
+            return []
+        dead = {r["version"] for r in gone} | {r["version"] for r in self._expired().collect()}
+        live = {p for r in self.history().collect() if r["version"] not in dead for p in r["parts"]}
+        parts = sorted({p for r in gone for p in r["parts"]} - live)
+        self.spark.createDataFrame([(r["version"],) for r in gone], "version bigint").write.mode(
+            "append").parquet(f"{self.path}/expired")
+        jvm = self.spark._jvm
+        for part in parts:
+            where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows/part={part}")
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        return parts
+
+    def detail(self) -> DataFrame:
+        """Files, bytes and rows of the current version."""
+        meta = F.col("_metadata")
+        files = self.read().groupBy(meta["file_path"].alias("file_path"), meta["file_size"].alias("bytes")).agg(
+            F.count(F.lit(1)).alias("rows"))
+        return files.agg(F.count(F.lit(1)).alias("num_files"), F.sum("bytes").alias("size_in_bytes"),
+                         F.sum("rows").alias("num_rows"))
+
+
+def hours_ago(hours: int) -> datetime:
+    return datetime.now(timezone.utc) - timedelta(hours=hours)

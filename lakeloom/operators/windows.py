@@ -288,7 +288,8 @@ def with_totals(df: DataFrame, keys: list[str], aggregates: dict[str, tuple[str,
     skew join splits a large key on the row side)."""
     totals = df.groupBy(*keys).agg(*[_AGG[fn](col).alias(name) for name, (fn, col) in aggregates.items()])
     if not keys:
-        return df.crossJoin(F.broadcast(totals))  # exactly one row
+        one = totals.select(F.struct(*aggregates).alias("_t")).scalar()
+        return df.withColumn("_t", one).select(*df.columns, *[F.col("_t")[n].alias(n) for n in aggregates])
     return join_null_safe(df, totals, keys, "left").select(*df.columns, *aggregates)
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 # fixed values: market segment each segment moves to in the second change batch
 SEGMENT_MOVES = {"BUILDING": "AUTOMOBILE", "AUTOMOBILE": "FURNITURE", "MACHINERY": "HOUSEHOLD"}
-# fixed values: every k-th key changes in change batches 1 to 5
-CHANGE_STEPS = (1000, 500, 750, 333, 100)
+# fixed values: every k-th key changes in change batches 1 to 5; batch 5 edits batch 1's keys again
+CHANGE_STEPS = (1000, 500, 750, 333, 1000)
 
 
 def with_batch(df: DataFrame, key: str, batches: int, name: str = "_batch") -> DataFrame:
@@ -55,8 +55,9 @@ def change_batches(customers: DataFrame, steps: tuple[int, ...] = CHANGE_STEPS)
         part(2, {"c_mktsegment": moved, "c_acctbal": F.round(balance + 1500, 2)}),
         part(3, {"c_name": F.concat(F.lit("UPDATED_V2: "), name), "c_mktsegment": F.lit("MACHINERY"),
                  "c_acctbal": F.round(balance - 800, 2)}),
-        part(4, {"c_nationkey": (F.col("c_nationkey") + 1) % 25}),
-        part(5, {"c_acctbal": F.round(balance + 1, 2)}),
+        part(4, {"c_name": F.concat(F.lit("NEW_ADDR_V4: "), name), "c_acctbal": F.round(balance + 2500, 2)}),
+        part(5, {"c_name": F.concat(F.lit("FINAL_UPDATE: "), name), "c_mktsegment": F.lit("HOUSEHOLD"),
+                 "c_acctbal": F.round(balance + 5000, 2)}),
     ]
     out = batches[0]
     for batch in batches[1:]:
