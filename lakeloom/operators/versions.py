@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from lakeloom.operators import changes as ch
 from lakeloom.operators.quality import check_schema, expect_or_fail
+from lakeloom.session import stage
 from lakeloom.sources.incremental import path_exists
 
 HISTORY = ("version bigint, at timestamp, operation string, rows_written bigint, rows_matched bigint, "
@@ -148,21 +149,24 @@ class VersionedTable:
         the source does not match."""
         entry = self._entry()
         whole = any(c.case == "not_matched_by_source" for c in clauses)
-        everything = self._read(entry, with_part=True)
-        hits = everything.join(source.select(*on), on, "left_semi").groupBy("part").agg(
-            F.count(F.lit(1)).alias("n")).collect()  # one row per part
-        touched = set(entry["parts"]) if whole else {r["part"] for r in hits}
+        # the target's keys are scanned once with the source as build side; the matched keys,
+        # no more than the source has times its parts, serve every step below
+        hits = stage(self._read(entry, with_part=True).select("part", *on)
+                     .join(source.select(*on).distinct(), on, "left_semi")
+                     .groupBy("part", *on).agg(F.count(F.lit(1)).alias("n")), "merge-keys")
+        ch.require_single_match(hits, source, on)
+        per_part = hits.groupBy("part").agg(F.sum("n").alias("n")).collect()  # one row per part
+        touched = set(entry["parts"]) if whole else {r["part"] for r in per_part}
         kept = [p for p in entry["parts"] if p not in touched]
-        ch.require_single_match(everything, source, on)
-        rest = [c for c in clauses if c.case != "not_matched"]
-        inserts = [c for c in clauses if c.case == "not_matched"]
         target = self._read(entry, sorted(touched))
-        rows = ch.merge(target, source.join(everything.select(*on), on, "left_semi"), on, rest)
-        fresh = source.join(everything.select(*on), on, "left_anti")
+        rows = ch.merge(target, source.join(hits, on, "left_semi"), on,
+                        [c for c in clauses if c.case != "not_matched"])
+        inserts = [c for c in clauses if c.case == "not_matched"]
         if inserts:
+            fresh = source.join(hits, on, "left_anti")
             rows = rows.unionByName(ch.merge(target.limit(0), fresh, on, inserts))
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        return self._commit(rows, "MERGE", kept, schema, at, sum(r["n"] for r in hits))
+        return self._commit(rows, "MERGE", kept, schema, at, sum(r["n"] for r in per_part))
 
     def replace_parts(self, rows: DataFrame, gone: list[int], operation: str, cluster_keys=None, at=None) -> int:
         """Rewrite of some parts that leaves the table's rows unchanged (compaction, clustering)."""
