@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def gross_amount(quantity: str, price: str) -> Column:
-    return F.col(quantity) * F.col(price)
+    """Money is computed in decimals, so cents do not depend on the order of operations."""
+    return F.col(price).cast("decimal(14,2)") * F.col(quantity).cast("decimal(8,0)")
 
 
 def discount_amount(quantity: str, price: str, percent: str) -> Column:
-    return F.col(quantity) * F.col(price) * F.col(percent) / 100.0
+    return gross_amount(quantity, price) * F.col(percent).cast("decimal(5,2)") * F.lit(Decimal("0.01"))
+
+
+def net_amount(quantity: str, price: str, percent: str) -> Column:
+    return gross_amount(quantity, price) - discount_amount(quantity, price, percent)
 
 
 def rounded_money(quantity: str, price: str, percent: str) -> dict[str, Column]:
-    """total, discount and net amount, each rounded to cents, in that order."""
+    """total, discount and net amount, each rounded to cents."""
     total = F.round(gross_amount(quantity, price), 2)
     discount = F.round(discount_amount(quantity, price, percent), 2)
-    return {"total_amount": total, "discount_amount": discount, "net_amount": F.round(total - discount, 2)}
+    columns = {"total_amount": total, "discount_amount": discount, "net_amount": total - discount}
+    return {name: value.cast("decimal(18,2)") for name, value in columns.items()}
 
 
 def flag(condition: Column) -> Column:
