@@ -16,25 +16,35 @@ RESCUED = "_rescued_data"
 
 def read_with_mode(spark: SparkSession, path, fmt: str, schema: str, mode: str = "PERMISSIVE", **options) -> DataFrame:
     """PERMISSIVE keeps the text of a bad row in ``_corrupt_record``, DROPMALFORMED skips the
-    row, FAILFAST raises.  Every column is parsed even when few are selected, so a row's
-    verdict does not depend on the query."""
+    row, FAILFAST raises.
+
+    The scan converts only the columns a query needs and would judge a row by those alone.
+    Here the verdict refers to all columns, so it does not depend on the query."""
     fields = as_schema(schema)
-    if mode == "PERMISSIVE":
-        fields = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
-        options = {"columnNameOfCorruptRecord": CORRUPT, **options}
+    full = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
     if fmt == "csv":
-        options = {"header": True, "columnPruning": False, **options}
-    return spark.read.format(fmt).schema(fields).options(mode=mode, **options).load(path)
+        options = {"header": True, **options}
+    rows = spark.read.format(fmt).schema(full).options(columnNameOfCorruptRecord=CORRUPT, **options).load(path)
+    every_column = F.xxhash64(*fields.names) != 0
+    bad = F.when(every_column | F.col(CORRUPT).isNotNull(), F.col(CORRUPT))
+    if mode == "PERMISSIVE":
+        return rows.withColumn(CORRUPT, bad)
+    if mode == "DROPMALFORMED":
+        return rows.filter(bad.isNull()).drop(CORRUPT)
+    if mode != "FAILFAST":
+        raise ValueError("mode is PERMISSIVE, DROPMALFORMED or FAILFAST")
+    report = F.raise_error(F.concat(F.lit("malformed record: "), bad)).cast("boolean")
+    return rows.filter(F.when(bad.isNull(), F.lit(True)).otherwise(report)).drop(CORRUPT)
 
 
 def split_bad_records(spark: SparkSession, path, fmt: str, schema: str, bad_path: str, **options) -> DataFrame:
     """Good rows, after the bad ones went to ``bad_path`` as JSON (path, record, reason)."""
-    rows = read_with_mode(spark, path, fmt, schema, **options)
+    rows = read_with_mode(spark, path, fmt, schema, **options).withColumn("path", F.col("_metadata.file_path"))
     bad = rows.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col("_metadata.file_path").alias("path"), F.col(CORRUPT).alias("record"),
+        "path", F.col(CORRUPT).alias("record"),
         F.lit(f"does not match {as_schema(schema).simpleString()}").alias("reason"))
     bad.write.mode("overwrite").json(bad_path)
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "path")
 
 
 def read_bad_records(spark: SparkSession, bad_path: str) -> DataFrame:

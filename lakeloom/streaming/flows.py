@@ -40,6 +40,16 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema, max_files: int
     return df
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    """A given Parquet table as a stream, be it one file or a folder of files."""
+    path = f"{folder}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return file_stream(spark, path, "parquet", schema, **options)
+    return file_stream(spark, folder, "parquet", schema, pathGlobFilter=f"{name}.parquet", **options)
+
+
 def autoload(spark: SparkSession, path: str, fmt: str, state: str, mode: str = "addNewColumns",
              infer_types: bool = True, **options) -> DataFrame:
     """File stream with a stored schema that evolves by ``mode`` before each run."""
