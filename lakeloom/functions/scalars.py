@@ -75,3 +75,9 @@ def order_size(amount: Column, large: float = 500, medium: float = 200) -> Colum
 def local_to_utc(ts: Column, zone: Column) -> Column:
     """Instant of a wall-clock time in a zone; the zone may differ by row."""
     return F.to_utc_timestamp(ts, zone)
+
+
+def mean_of_cents(amount: str | Column) -> Column:
+    """Average of amounts in whole cents.  The sum is rounded back to cents first, so the
+    mean does not depend on the order in which partial sums were merged."""
+    return F.try_divide(F.round(F.sum(amount), 2), F.count(amount))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.scalars import mean_of_cents
+
 
 def order_stats(df: DataFrame, keys: list[str | Column], key: str, amount: str) -> DataFrame:
     """count, sum, average, smallest and largest amount per group."""
     return df.groupBy(*keys).agg(
         F.count(key).alias("order_count"), F.round(F.sum(amount), 2).alias("total_revenue"),
-        F.round(F.avg(amount), 4).alias("avg_order_value"),
+        mean_of_cents(amount).alias("avg_order_value"),
         F.min(amount).alias("min_amount"), F.max(amount).alias("max_amount"))
 
 
@@ -18,7 +20,7 @@ def daily_rollup(df: DataFrame, ts: str, key: str, amount: str, *extra: str) ->
     """Count, revenue and mean per calendar day (and ``extra`` columns)."""
     return (df.groupBy(F.to_date(ts).alias("order_date"), *extra)
             .agg(F.count(key).alias("order_count"), F.round(F.sum(amount), 2).alias("total_revenue"),
-                 F.round(F.avg(amount), 4).alias("avg_order_value")))
+                 mean_of_cents(amount).alias("avg_order_value")))
 
 
 def monthly_activity(df: DataFrame, ts: str, member: str, amount: str) -> DataFrame:
@@ -26,7 +28,7 @@ def monthly_activity(df: DataFrame, ts: str, member: str, amount: str) -> DataFr
     spend = df.groupBy(F.date_trunc("month", ts).alias("month"), member).agg(F.sum(amount).alias("spent"))
     return spend.groupBy("month").agg(
         F.count(member).alias("active_members"), F.round(F.sum("spent"), 2).alias("total_revenue"),
-        F.round(F.avg("spent"), 4).alias("avg_spend"), F.round(F.max("spent"), 2).alias("max_spend"))
+        mean_of_cents("spent").alias("avg_spend"), F.round(F.max("spent"), 2).alias("max_spend"))
 
 
 def quality_profile(df: DataFrame, key: str, invalid: dict[str, str]) -> DataFrame:
@@ -54,7 +56,7 @@ def salted_sum(df: DataFrame, key: str, amount: str, salts: int = 10) -> DataFra
                                      F.count(amount).alias("_seen"))
     return part.groupBy(key).agg(
         F.sum("_n").alias("rows"), F.round(F.sum("_sum"), 2).alias("total"),
-        F.round(F.try_divide(F.sum("_sum"), F.sum("_seen")), 4).alias("mean"))
+        F.try_divide(F.round(F.sum("_sum"), 2), F.sum("_seen")).alias("mean"))
 
 
 def distinct_codes(df: DataFrame, column: str, unknown: str) -> DataFrame:

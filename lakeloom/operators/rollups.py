@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.scalars import mean_of_cents
+
 
 def run_durations(runs: DataFrame, since: str) -> DataFrame:
     """Mean minutes of successful runs per day and job."""
@@ -46,7 +48,7 @@ def trip_metrics(trips: DataFrame, run_date: str) -> DataFrame:
 def trip_report(trips: DataFrame) -> DataFrame:
     return trips.agg(
         F.count(F.lit(1)).alias("total_trips"), F.round(F.sum("fare"), 2).alias("total_revenue"),
-        F.round(F.avg("fare"), 4).alias("avg_fare"), F.round(F.avg("distance"), 4).alias("avg_distance"),
+        mean_of_cents("fare").alias("avg_fare"), mean_of_cents("distance").alias("avg_distance"),
         F.round(F.max("fare"), 2).alias("max_fare"))
 
 
@@ -54,14 +56,14 @@ def route_rollup(trips: DataFrame, start: str, end: str, fare: str, at_least: in
     """Trips and revenue per route with enough trips, best revenue first."""
     return (trips.groupBy(start, end)
             .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum(fare), 2).alias("revenue"),
-                 F.round(F.avg(fare), 4).alias("avg_fare"))
+                 mean_of_cents(fare).alias("avg_fare"))
             .filter(F.col("trips") >= at_least).orderBy(F.desc("revenue"), start, end))
 
 
 def revenue_by(sales: DataFrame, keys: list[str | Column], amount: str) -> DataFrame:
     return sales.groupBy(*keys).agg(
         F.round(F.sum(amount), 2).alias("revenue"), F.count(F.lit(1)).alias("transactions"),
-        F.round(F.avg(amount), 4).alias("avg_order_value"))
+        mean_of_cents(amount).alias("avg_order_value"))
 
 
 def live_totals(rows: DataFrame, ts: str, amount: str) -> DataFrame:
