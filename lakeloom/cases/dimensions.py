@@ -1 +1,210 @@
-"""Pending."""
+"""Change data capture and slowly changing dimensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.cases.inputs import CHANGES_SQL, STEPS
+from lakeloom.cases.registry import case, plain
+from lakeloom.operators import cdc
+from lakeloom.operators.versions import VersionedTable
+from lakeloom.session import scratch_path, stage, table
+from lakeloom.sources.generators import change_batches
+from lakeloom.streaming import flows
+
+KEYS, SEQ = ["c_custkey"], ["seq"]
+VALUES = "c_name, c_nationkey, c_acctbal, c_mktsegment, record_type"
+
+
+def _events(spark, d):
+    return change_batches(table(spark, d, "customer"), STEPS)
+
+
+OPS_SQL = f"""SELECT *, CASE WHEN seq = 4 AND c_custkey % 2 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS op FROM ({CHANGES_SQL}) AS ev"""
+
+
+def _with_ops(spark, d):
+    gone = (F.col("seq") == 4) & (F.col("c_custkey") % 2 == 0)
+    return _events(spark, d).withColumn("op", F.when(gone, "DELETE").otherwise("UPSERT"))
+
+
+SCD1_SQL = f"SELECT * FROM ({CHANGES_SQL}) AS e QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1"
+
+
+@case("m01_scd1", SCD1_SQL)
+def m01(spark, d):
+    return cdc.scd1(_events(spark, d), KEYS, SEQ)
+
+
+def _event_folder(spark, d):
+    """Change events arriving in two folders, later sequence numbers partly first."""
+    path = scratch_path(spark, "events")
+    first = F.col("seq").isin(0, 1, 3, 5)
+    _events(spark, d).withColumn("_batch", F.when(first, 0).otherwise(1)).write.partitionBy("_batch").parquet(path)
+    return path
+
+
+@case("m01_scd1_stream", SCD1_SQL)
+def m01_stream(spark, d):
+    """Merged batch by batch; events that come late change nothing."""
+    source, target, checkpoint = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd1")), scratch_path(spark, "checkpoint")
+    for arrived in ("0", "[0-1]"):
+        stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
+        flows.drain(flows.scd1_flow(stream, target, KEYS, "seq", checkpoint))
+    return target.read()
+
+
+SCD2_SQL = f"""
+WITH e AS ({CHANGES_SQL}),
+c AS (SELECT *, lag(row(c_name, c_nationkey, c_acctbal, c_mktsegment, record_type)) OVER w AS before FROM e WINDOW w AS (PARTITION BY c_custkey ORDER BY seq)),
+k AS (SELECT * EXCLUDE (before) FROM c WHERE before IS DISTINCT FROM row(c_name, c_nationkey, c_acctbal, c_mktsegment, record_type))
+SELECT *, seq AS __START_AT, lead(seq) OVER (PARTITION BY c_custkey ORDER BY seq) AS __END_AT FROM k"""
+
+
+@case("m02_scd2", SCD2_SQL)
+def m02(spark, d):
+    return cdc.scd2(_events(spark, d), KEYS, SEQ)
+
+
+@case("m02_scd2_stream", SCD2_SQL)
+def m02_stream(spark, d):
+    """Two batches, the second with late events: chains of its keys are rebuilt."""
+    source, history = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd2"))
+    store, checkpoint = scratch_path(spark, "store"), scratch_path(spark, "checkpoint")
+    for arrived in ("0", "[0-1]"):
+        stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
+        flows.drain(flows.scd2_flow(stream, store, history, KEYS, SEQ, checkpoint))
+    return history.read()
+
+
+@case("m03_delete_scd1", f"""
+WITH e AS ({OPS_SQL}), g AS (SELECT c_custkey, max(seq) AS gone FROM e WHERE op = 'DELETE' GROUP BY c_custkey)
+SELECT e.* FROM e LEFT JOIN g USING (c_custkey) WHERE gone IS NULL OR seq > gone QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
+def m03(spark, d):
+    return cdc.scd1(_with_ops(spark, d), KEYS, SEQ, delete_when="op = 'DELETE'")
+
+
+@case("m03_delete_scd2", f"""
+WITH e AS ({OPS_SQL}),
+c AS (SELECT *, lag(row(op = 'DELETE', c_name, c_acctbal, c_mktsegment, record_type)) OVER (PARTITION BY c_custkey ORDER BY seq) AS before FROM e),
+k AS (SELECT *, lead(seq) OVER (PARTITION BY c_custkey ORDER BY seq) AS __END_AT FROM c
+  WHERE before IS DISTINCT FROM row(op = 'DELETE', c_name, c_acctbal, c_mktsegment, record_type))
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment, record_type, seq, seq AS __START_AT, __END_AT FROM k WHERE op <> 'DELETE'""")
+def m03_scd2(spark, d):
+    events = _with_ops(spark, d).drop("c_nationkey")
+    return cdc.scd2(events, KEYS, SEQ, delete_when="op = 'DELETE'", untracked=["op"]).drop("op")
+
+
+@case("m03_late_event_after_delete", f"""
+WITH e AS ({OPS_SQL}) SELECT c_custkey, c_name, c_acctbal, seq FROM e QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1 AND op <> 'DELETE'""")
+def m03_late(spark, d):
+    """The delete comes in the first batch, older upserts in the second: they stay hidden."""
+    events = _with_ops(spark, d).select("c_custkey", "c_name", "c_acctbal", "seq", "op")
+    empty = events.withColumn("_deleted", F.lit(False)).limit(0)
+    state = cdc.scd1_apply(empty, events.filter("seq >= 4"), KEYS, SEQ, "op = 'DELETE'")
+    state = cdc.scd1_apply(stage(state), events.filter("seq < 4"), KEYS, SEQ, "op = 'DELETE'")
+    return cdc.scd1_view(state).drop("op")
+
+
+@case("m04_truncate_event", f"""
+SELECT c_custkey, {VALUES}, seq FROM ({CHANGES_SQL}) AS e WHERE seq > 2 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
+def m04(spark, d):
+    """Everything up to the truncate event (sequence 2) is dropped."""
+    events = _events(spark, d).withColumn("op", F.lit("UPSERT"))
+    cut = events.filter("c_custkey = 0 AND seq = 2").withColumn("op", F.lit("TRUNCATE"))
+    return cdc.scd1(events.unionByName(cut), KEYS, SEQ, truncate_when="op = 'TRUNCATE'", exclude=["op"])
+
+
+HOLES_SQL = f"""SELECT c_custkey, CASE WHEN seq IN (2, 4) THEN NULL ELSE c_name END AS c_name,
+  CASE WHEN seq IN (1, 4) THEN NULL ELSE c_acctbal END AS c_acctbal, seq FROM ({CHANGES_SQL}) AS ev"""
+
+
+def _with_holes(spark, d):
+    return _events(spark, d).selectExpr(
+        "c_custkey", "CASE WHEN seq IN (2, 4) THEN NULL ELSE c_name END AS c_name",
+        "CASE WHEN seq IN (1, 4) THEN NULL ELSE c_acctbal END AS c_acctbal", "seq")
+
+
+@case("m05_ignore_nulls_keep_old", f"""
+SELECT c_custkey, arg_max(c_name, seq) AS c_name, arg_max(c_acctbal, seq) AS c_acctbal, max(seq) AS seq FROM ({HOLES_SQL}) AS e GROUP BY c_custkey""")
+def m05(spark, d):
+    return cdc.scd1(_with_holes(spark, d), KEYS, SEQ, ignore_nulls="keep_old")
+
+
+@case("m05_ignore_nulls_skip_row", f"""
+SELECT * FROM ({HOLES_SQL}) AS e WHERE c_name IS NOT NULL OR c_acctbal IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
+def m05_skip(spark, d):
+    return cdc.scd1(_with_holes(spark, d), KEYS, SEQ, ignore_nulls="skip_row")
+
+
+@case("m05_ignore_nulls_scd2", f"""
+WITH f AS (SELECT c_custkey, last_value(c_name IGNORE NULLS) OVER w AS c_name, last_value(c_acctbal IGNORE NULLS) OVER w AS c_acctbal, seq
+  FROM ({HOLES_SQL}) AS e WINDOW w AS (PARTITION BY c_custkey ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+c AS (SELECT *, lag(row(c_name, c_acctbal)) OVER (PARTITION BY c_custkey ORDER BY seq) AS before FROM f),
+k AS (SELECT * EXCLUDE (before) FROM c WHERE before IS DISTINCT FROM row(c_name, c_acctbal))
+SELECT *, seq AS __START_AT, lead(seq) OVER (PARTITION BY c_custkey ORDER BY seq) AS __END_AT FROM k""")
+def m05_scd2(spark, d):
+    return cdc.scd2(_with_holes(spark, d), KEYS, SEQ, ignore_nulls=True)
+
+
+@case("m06_column_exclusion", f"""
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment, seq FROM ({SCD1_SQL}) AS x""")
+def m06(spark, d):
+    events = _events(spark, d).withColumn("_rescued_data", F.col("record_type"))
+    return cdc.scd1(events, KEYS, SEQ, exclude=["_rescued_data", "record_type", "c_nationkey"])
+
+
+@case("m07_manual_scd2", """
+SELECT c_custkey, c_name, c_acctbal, c_custkey % 4 <> 0 AS is_current, '2024-01-01' AS start_date, CASE WHEN c_custkey % 4 = 0 THEN '2024-06-01' END AS end_date
+FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT c_custkey, c_name, c_acctbal + 1, true, '2024-06-01', NULL FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT c_custkey, c_name, c_acctbal, true, '2024-06-01', NULL FROM customer WHERE c_custkey % 2 = 1""")
+def m07(spark, d):
+    """Close and insert in one step; unchanged rows stay, unknown keys are new."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    dim = c.filter("c_custkey % 2 = 0").selectExpr(
+        "*", "true AS is_current", "DATE'2024-01-01' AS start_date", "CAST(NULL AS DATE) AS end_date")
+    source = c.withColumn("c_acctbal", F.expr("CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 ELSE c_acctbal END"))
+    return plain(cdc.scd2_merge(dim, source, ["c_custkey"], ["c_name", "c_acctbal"], "2024-06-01"))
+
+
+@case("m08_scd0", f"SELECT * FROM ({CHANGES_SQL}) AS e QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq) = 1")
+def m08(spark, d):
+    return cdc.scd0(_events(spark, d), KEYS, SEQ)
+
+
+@case("m08_scd3", f"""
+WITH c AS (SELECT c_custkey, c_mktsegment, seq, lag(c_mktsegment) OVER (PARTITION BY c_custkey ORDER BY seq) AS before FROM ({CHANGES_SQL}) AS e),
+k AS (SELECT c_custkey, c_mktsegment, seq, lag(c_mktsegment) OVER (PARTITION BY c_custkey ORDER BY seq) AS previous FROM c WHERE before IS DISTINCT FROM c_mktsegment)
+SELECT c_custkey, c_mktsegment AS current_c_mktsegment, previous AS previous_c_mktsegment FROM k QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
+def m08_scd3(spark, d):
+    return cdc.scd3(_events(spark, d), KEYS, SEQ, "c_mktsegment")
+
+
+@case("m09_current_snapshot", f"SELECT c_custkey, {VALUES}, seq FROM ({SCD2_SQL}) AS h WHERE __END_AT IS NULL")
+def m09(spark, d):
+    return cdc.current_rows(cdc.scd2(_events(spark, d), KEYS, SEQ))
+
+
+@case("m10_history_audit", f"""
+SELECT *, CASE WHEN __END_AT IS NULL THEN 'Current' ELSE 'Historical' END AS version_status FROM ({SCD2_SQL}) AS h
+WHERE c_custkey IN (SELECT c_custkey FROM ({SCD2_SQL}) AS i GROUP BY c_custkey HAVING count(*) > 1)""")
+def m10(spark, d):
+    return cdc.history_audit(cdc.scd2(_events(spark, d), KEYS, SEQ), KEYS)
+
+
+PRICES_SQL = f"""
+SELECT c_custkey, c_acctbal, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(seq * 400 AS INT)) AS at FROM ({CHANGES_SQL}) AS ev"""
+
+
+@case("m11_as_of_join", f"""
+WITH v AS (SELECT c_custkey, c_acctbal, at AS s, lead(at) OVER (PARTITION BY c_custkey ORDER BY at) AS t FROM ({PRICES_SQL}) AS p WHERE c_custkey % 17 <> 0 OR at > TIMESTAMP '1996-01-01 00:00:00')
+SELECT o_orderkey, o_custkey, c_acctbal AS balance_then FROM orders LEFT JOIN v ON o_custkey = c_custkey AND o_orderdate >= s AND (t IS NULL OR o_orderdate < t)""")
+def m11(spark, d):
+    """Orders with the balance that was valid then; some customers start later."""
+    at = F.timestamp_add("DAY", F.col("seq") * 400, F.lit("1995-01-01").cast("timestamp_ntz"))
+    versions = (_events(spark, d).select(F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("balance_then"), at.alias("at"))
+                .filter((F.col("o_custkey") % 17 != 0) | (F.col("at") > F.lit("1996-01-01").cast("timestamp_ntz"))))
+    facts = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    history = cdc.scd2(versions, ["o_custkey"], ["at"])
+    return cdc.as_of_join(facts, history, ["o_custkey"], "o_orderdate", ["balance_then"]).drop("o_orderdate")

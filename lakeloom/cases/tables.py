@@ -1 +1,261 @@
-"""Pending."""
+"""Table changes, versions, time travel and change feeds."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.cases.registry import case, plain
+from lakeloom.operators import changes as ch
+from lakeloom.operators.changes import When
+from lakeloom.operators.versions import VersionedTable
+from lakeloom.session import scratch_path, table
+
+COLUMNS = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+T0, T1, T2, T3 = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00", "2024-01-20 00:00:00")
+
+
+def _customers(spark, d):
+    return table(spark, d, "customer").select(*COLUMNS)
+
+
+def _new(spark, label="versions", **kw):
+    return VersionedTable(spark, scratch_path(spark, label), **kw)
+
+
+def _four_versions(spark, d):
+    """create even keys, insert odd keys, update one segment, delete every tenth key."""
+    c, t = _customers(spark, d), _new(spark)
+    t.create(c.filter("c_custkey % 2 = 0"), at=T0)
+    t.insert(c.filter("c_custkey % 2 = 1"), at=T1)
+    t.update({"c_acctbal": "c_acctbal + 1"}, "c_mktsegment = 'BUILDING'", at=T2)
+    t.delete("c_custkey % 10 = 0", at=T3)
+    return t
+
+
+@case("l01_versioned_write", """
+SELECT 0 AS version, 'CREATE' AS operation, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0) AS rows_written, 0 AS rows_matched
+UNION ALL SELECT 1, 'INSERT', (SELECT count(*) FROM customer WHERE c_custkey % 2 = 1), 0
+UNION ALL SELECT 2, 'UPDATE', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING')
+UNION ALL SELECT 3, 'DELETE', (SELECT count(*) FROM customer WHERE c_custkey % 10 <> 0), (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0)""")
+def l01(spark, d):
+    return _four_versions(spark, d).history().select("version", "operation", "rows_written", "rows_matched")
+
+
+@case("l02_insert", """
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer UNION ALL SELECT c_custkey + 1000000, c_name, NULL, 'NEW' FROM customer WHERE c_custkey % 7 = 0""")
+def l02(spark, d):
+    """Partial column list: a default for one column, null for the other."""
+    c = _customers(spark, d)
+    extra = c.filter("c_custkey % 7 = 0").select((F.col("c_custkey") + 1000000).alias("c_custkey"), "c_name")
+    return ch.insert(c, extra, {"c_mktsegment": "NEW"})
+
+
+@case("l03_update", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice > 100000 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderstatus = 'P' AND o_totalprice > 100000 THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice FROM orders""")
+def l03(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return ch.update(rows, {"o_orderstatus": "'F'", "o_totalprice": "o_totalprice + 10"}, "o_orderstatus = 'P' AND o_totalprice > 100000")
+
+
+@case("l04_delete", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey END AS o_custkey FROM orders WHERE o_orderkey % 97 = 0 OR o_custkey <> 5""")
+def l04(spark, d):
+    """Rows whose condition is null stay."""
+    rows = table(spark, d, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey END AS o_custkey")
+    return ch.delete(rows, "o_custkey = 5")
+
+
+@case("l05_truncate", """
+SELECT count(*) AS before_rows, 0 AS after_rows, 4 AS after_columns FROM customer""")
+def l05(spark, d):
+    t = _new(spark)
+    t.create(_customers(spark, d))
+    t.truncate()
+    width = len(t.read().columns)
+    return t.read(0).agg(F.count(F.lit(1)).alias("before_rows")).withColumn(
+        "after_rows", t.read().agg(F.count(F.lit(1)).alias("n")).scalar()).withColumn("after_columns", F.lit(width))
+
+
+MERGE_SQL = """
+SELECT t.c_custkey, t.c_name, CASE WHEN s.k IS NOT NULL AND s.bal > 0 THEN s.bal ELSE t.c_acctbal END AS c_acctbal,
+  CASE WHEN s.k IS NOT NULL AND s.bal > 0 THEN 'MERGED' ELSE t.c_mktsegment END AS c_mktsegment
+FROM customer t LEFT JOIN (SELECT c_custkey AS k, round(c_acctbal - 500, 2) AS bal FROM customer WHERE c_custkey % 3 = 0) s ON t.c_custkey = s.k
+WHERE t.c_custkey % 2 = 0 AND NOT (s.k IS NOT NULL AND s.bal <= 0) AND NOT (s.k IS NULL AND t.c_mktsegment = 'MACHINERY')
+UNION ALL SELECT c_custkey, c_name, round(c_acctbal - 500, 2), c_mktsegment FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 1"""
+
+CLAUSES = [
+    When("matched", "delete", "s.c_acctbal <= 0"),
+    When("matched", "update", values={"c_acctbal": "s.c_acctbal", "c_mktsegment": "'MERGED'"}),
+    When("not_matched", "insert"),
+    When("not_matched_by_source", "delete", "t.c_mktsegment = 'MACHINERY'"),
+]
+
+
+def _merge_sides(spark, d):
+    c = _customers(spark, d)
+    source = c.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.round(F.col("c_acctbal") - 500, 2))
+    return c.filter("c_custkey % 2 = 0"), source
+
+
+@case("l06_merge", MERGE_SQL)
+def l06(spark, d):
+    target, source = _merge_sides(spark, d)
+    return ch.merge(target, source, ["c_custkey"], CLAUSES)
+
+
+@case("l06_merge_versioned", MERGE_SQL)
+def l06_versioned(spark, d):
+    target, source = _merge_sides(spark, d)
+    t = _new(spark)
+    t.create(target.filter("c_custkey % 4 = 0"))
+    t.insert(target.filter("c_custkey % 4 <> 0"))
+    t.merge(source, ["c_custkey"], CLAUSES)
+    return t.read()
+
+
+@case("l06_merge_upsert_parts", """
+SELECT c_custkey, CASE WHEN c_custkey % 12 = 0 THEN 'UPSERTED' ELSE c_name END AS c_name, c_acctbal, c_mktsegment FROM customer
+UNION ALL SELECT c_custkey + 1000000, 'UPSERTED', c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 12 = 0""")
+def l06_upsert(spark, d):
+    """SET * / INSERT *; only the part that holds matched keys is rewritten."""
+    c, t = _customers(spark, d), _new(spark)
+    t.create(c.filter("c_custkey % 2 = 1"))
+    t.insert(c.filter("c_custkey % 2 = 0"))
+    hit = c.filter("c_custkey % 12 = 0").withColumn("c_name", F.lit("UPSERTED"))
+    t.merge(hit.unionByName(hit.withColumn("c_custkey", F.col("c_custkey") + 1000000)), ["c_custkey"],
+            [When("matched", "update"), When("not_matched", "insert")])
+    assert 0 in t._entry()["parts"]  # the part without matches was kept
+    return t.read()
+
+
+@case("l07_read_as_of", """
+SELECT 'version 0' AS asked, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT 'time 2', count(*), round(sum(c_acctbal), 2) FROM customer
+UNION ALL SELECT 'newest', count(*), round(sum(c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END), 2) FROM customer WHERE c_custkey % 10 <> 0""")
+def l07(spark, d):
+    t = _four_versions(spark, d)
+    asked = [("version 0", t.read(0)), ("time 2", t.read(at="2024-01-02 12:00:00")), ("newest", t.read())]
+    rows = [df.agg(F.lit(n).alias("asked"), F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total")) for n, df in asked]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@case("l08_restore", """
+SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment FROM customer""")
+def l08(spark, d):
+    """Back to the version before the last delete, found in the history."""
+    t = _four_versions(spark, d)
+    t.restore(t.last_version_before("DELETE"))
+    assert t.current_version() == 4
+    return t.read()
+
+
+FEED_SQL = """
+SELECT c_custkey, c_acctbal, 'insert' AS change, 1 AS version FROM customer WHERE c_custkey % 2 = 1
+UNION ALL SELECT c_custkey, c_acctbal, 'update_preimage', 2 FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT c_custkey, c_acctbal + 1, 'update_postimage', 2 FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT c_custkey, c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END, 'delete', 3 FROM customer WHERE c_custkey % 10 = 0"""
+
+
+def _feed(df):
+    return df.select("c_custkey", "c_acctbal", F.col("_change_type").alias("change"), F.col("_commit_version").alias("version"))
+
+
+@case("l09_change_feed", FEED_SQL)
+def l09(spark, d):
+    return _feed(_four_versions(spark, d).changes(1, key=["c_custkey"]))
+
+
+@case("l09_change_feed_range", f"SELECT * FROM ({FEED_SQL}) AS f WHERE version BETWEEN 2 AND 2")
+def l09_range(spark, d):
+    return _feed(_four_versions(spark, d).changes(2, 2, key=["c_custkey"]))
+
+
+@case("l09_multiset_diff", """
+WITH a AS (SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity < 30 GROUP BY 1, 2),
+     b AS (SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity > 10 GROUP BY 1, 2)
+SELECT l_partkey, l_returnflag, CASE WHEN coalesce(b.n, 0) > coalesce(a.n, 0) THEN 'insert' ELSE 'delete' END AS change,
+  abs(coalesce(b.n, 0) - coalesce(a.n, 0)) AS copies FROM a FULL JOIN b USING (l_partkey, l_returnflag) WHERE coalesce(b.n, 0) <> coalesce(a.n, 0)""")
+def l09_multiset(spark, d):
+    """Tables without a key differ as multisets."""
+    lines = table(spark, d, "lineitem")
+    old, new = (lines.filter(c).select("l_partkey", "l_returnflag") for c in ("l_quantity < 30", "l_quantity > 10"))
+    return ch.changes_between(old, new).groupBy("l_partkey", "l_returnflag", F.col("_change_type").alias("change")).agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
+@case("l10_incremental_consumption", """
+SELECT c_custkey, c_acctbal, 'a' || CAST(c_custkey AS VARCHAR) AS tag FROM customer WHERE c_custkey % 2 = 1
+UNION ALL SELECT c_custkey, c_acctbal + 1, 'a' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def l10(spark, d):
+    """Consumer that had processed version 0: inserts and new versions after it, transformed."""
+    feed = _four_versions(spark, d).changes(0 + 1, key=["c_custkey"])
+    return ch.upserts(feed).select("c_custkey", "c_acctbal", F.concat(F.lit("a"), F.col("c_custkey").cast("string")).alias("tag"))
+
+
+@case("l11_deep_clone", """
+SELECT 'source' AS side, count(*) AS n FROM customer WHERE c_custkey % 10 <> 0
+UNION ALL SELECT 'clone of version 0', count(*) + 1 FROM customer WHERE c_custkey % 2 = 0""")
+def l11(spark, d):
+    t = _four_versions(spark, d)
+    copy = t.deep_clone(scratch_path(spark, "clone"), 0)
+    copy.insert(t.read(0).orderBy("c_custkey").limit(1))  # does not reach the source
+    count = lambda df, n: df.agg(F.lit(n).alias("side"), F.count(F.lit(1)).alias("n"))
+    return count(t.read(), "source").unionByName(count(copy.read(), "clone of version 0"))
+
+
+@case("l12_shallow_clone", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def l12(spark, d):
+    """A view of version 1; later commits do not show."""
+    name = scratch_path(spark, "clone").rsplit("/", 1)[1].replace("-", "_")
+    _four_versions(spark, d).shallow_clone(name, 1)
+    return spark.table(name)
+
+
+@case("l13_retention", """
+SELECT v AS version, o AS operation FROM (VALUES (0, 'CREATE'), (1, 'INSERT'), (2, 'UPDATE')) AS x(v, o) WHERE (SELECT count(*) FROM customer) > 0""")
+def l13(spark, d):
+    """Versions older than seven days on the 21st; the current one stays."""
+    t = _four_versions(spark, d)
+    listed = t.expirable("2024-01-21 00:00:00").select("version", "operation")
+    out = spark.createDataFrame(listed.collect(), listed.schema)
+    assert t.vacuum("2024-01-21 00:00:00") == [0, 1, 2]
+    return out
+
+
+@case("l14_history_and_detail", """
+SELECT 4 AS versions, 'DELETE' AS newest, (SELECT count(*) FROM customer WHERE c_custkey % 10 <> 0) AS num_rows, true AS sized""")
+def l14(spark, d):
+    t = _four_versions(spark, d)
+    newest = t.history().agg(F.count(F.lit(1)).alias("versions"), F.max_by("operation", "version").alias("newest"))
+    detail = t.detail()
+    return newest.withColumn("num_rows", detail.select("num_rows").scalar()).withColumn(
+        "sized", detail.select((F.col("size_in_bytes") > 0) & (F.col("num_files") > 0)).scalar())
+
+
+@case("l15_identity_column", """
+SELECT count(*) AS row_count, count(*) AS identities, true AS above_old FROM orders""")
+def l15(spark, d):
+    """Numbers continue above the largest used one; unique, gaps allowed."""
+    orders = table(spark, d, "orders").select("o_orderkey")
+    return ch.with_identity(orders, "row_id", above=1_000_000).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("row_id").alias("identities"), (F.min("row_id") > 1_000_000).alias("above_old"))
+
+
+@case("l16_generated_column", """
+SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, user_id % 10 AS bucket FROM events""")
+def l16(spark, d):
+    t = _new(spark, generated={"event_date": "CAST(ts AS DATE)", "bucket": "user_id % 10"})
+    t.create(table(spark, d, "events"))
+    return plain(t.read().select("event_id", "event_date", "bucket"))
+
+
+@case("l17_append_log", """
+SELECT event_id, event_type, CAST(ts AS VARCHAR) AS ts, false AS processed FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 5""")
+def l17(spark, d):
+    """Signals appended in two batches; the five newest."""
+    events, log = table(spark, d, "events"), _new(spark)
+    rows = events.select("event_id", "event_type", "ts", F.lit(False).alias("processed"))
+    log.create(rows.filter("event_id % 2 = 0"))
+    log.insert(rows.filter("event_id % 2 = 1"))
+    return plain(log.read().orderBy(F.desc("ts"), F.desc("event_id")).limit(5))
