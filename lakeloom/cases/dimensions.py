@@ -194,11 +194,11 @@ def m10(spark, d):
 
 
 PRICES_SQL = f"""
-SELECT c_custkey, c_acctbal, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(seq * 400 AS INT)) AS at FROM ({CHANGES_SQL}) AS ev"""
+SELECT c_custkey, c_acctbal, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(seq * 400 AS INT)) AS since FROM ({CHANGES_SQL}) AS ev"""
 
 
 @case("m11_as_of_join", f"""
-WITH v AS (SELECT c_custkey, c_acctbal, at AS s, lead(at) OVER (PARTITION BY c_custkey ORDER BY at) AS t FROM ({PRICES_SQL}) AS p WHERE c_custkey % 17 <> 0 OR at > TIMESTAMP '1996-01-01 00:00:00')
+WITH v AS (SELECT c_custkey, c_acctbal, since AS s, lead(since) OVER (PARTITION BY c_custkey ORDER BY since) AS t FROM ({PRICES_SQL}) AS p WHERE c_custkey % 17 <> 0 OR since > TIMESTAMP '1996-01-01 00:00:00')
 SELECT o_orderkey, o_custkey, c_acctbal AS balance_then FROM orders LEFT JOIN v ON o_custkey = c_custkey AND o_orderdate >= s AND (t IS NULL OR o_orderdate < t)""")
 def m11(spark, d):
     """Orders with the balance that was valid then; some customers start later."""

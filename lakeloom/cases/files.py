@@ -1 +1,116 @@
-"""Pending."""
+"""File layout and skew."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.cases.inputs import landing
+from lakeloom.cases.registry import case
+from lakeloom.operators import layout
+from lakeloom.operators.versions import VersionedTable
+from lakeloom.session import scratch_path, stage, table
+
+
+def _lines(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+
+
+@case("o01_compaction", "SELECT o_orderkey, o_custkey, o_totalprice, true AS fewer_files FROM orders")
+def o01(spark, d):
+    """Many small files packed without a shuffle; the rows stay."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    small = landing(spark, orders, "o_orderkey", 16, "parquet")
+    packed = layout.compact(spark, small, scratch_path(spark, "packed"))
+    files = lambda df: df.select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).scalar()
+    before, after = files(spark.read.parquet(small)), files(packed)
+    return packed.drop("_batch").withColumn("fewer_files", after < before)
+
+
+@case("o01_compact_versions", "SELECT o_orderkey, o_totalprice FROM orders")
+def o01_versions(spark, d):
+    orders, t = table(spark, d, "orders").select("o_orderkey", "o_totalprice"), VersionedTable(spark, scratch_path(spark, "parts"))
+    t.create(orders.filter("o_orderkey % 3 = 0"))
+    for rest in (1, 2):
+        t.insert(orders.filter(F.col("o_orderkey") % 3 == rest))
+    layout.compact_table(t)
+    assert t._entry()["parts"] == [3]
+    return t.read()
+
+
+@case("o02_partition_pruning", """
+SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(year(o_orderdate) AS INT) AS order_year FROM orders WHERE year(o_orderdate) = 1998 AND o_orderstatus = 'F'""")
+def o02(spark, d):
+    path = scratch_path(spark, "partitioned")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.year("o_orderdate").alias("order_year"))
+    layout.write_partitioned(orders, path, ["order_year", "o_orderstatus"])
+    return spark.read.parquet(path).filter("order_year = 1998 AND o_orderstatus = 'F'")
+
+
+POINT_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem WHERE l_partkey BETWEEN 40 AND 60"
+
+
+@case("o03_z_order", POINT_SQL)
+def o03(spark, d):
+    """Clustered by part and supplier; only files whose range meets the predicate are read."""
+    path = scratch_path(spark, "zorder")
+    layout.cluster(_lines(spark, d), ["l_partkey", "l_suppkey"], 16).write.parquet(path)
+    return layout.read_skipping(spark, path, "l_partkey", 40, 60)
+
+
+@case("o04_liquid_clustering", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem")
+def o04(spark, d):
+    """New parts alone are clustered; other keys recluster all; no keys leaves all as is."""
+    lines, t = _lines(spark, d), VersionedTable(spark, scratch_path(spark, "liquid"))
+    t.create(lines.filter("l_linenumber < 4"))
+    layout.cluster_table(t, ["l_partkey"])
+    t.insert(lines.filter("l_linenumber >= 4"))
+    layout.cluster_table(t, ["l_partkey"])
+    assert t._entry()["parts"] == [1, 3]
+    layout.cluster_table(t, ["l_suppkey", "l_partkey"])
+    assert t._entry()["parts"] == [4]
+    layout.cluster_table(t, [])
+    return t.read()
+
+
+@case("o05_file_statistics", "SELECT count(*) AS row_count, min(l_partkey) AS low, max(l_partkey) AS high, true AS skips FROM lineitem")
+def o05(spark, d):
+    path = scratch_path(spark, "sorted")
+    _lines(spark, d).repartitionByRange(8, "l_partkey").write.parquet(path)
+    stats = layout.file_statistics(spark.read.parquet(path), ["l_partkey"])
+    hit = layout.files_for(stats, "l_partkey", 50).agg(F.count(F.lit(1))).scalar()
+    return stats.agg(F.sum("rows").alias("row_count"), F.min("min_l_partkey").alias("low"), F.max("max_l_partkey").alias("high"),
+                     F.count(F.lit(1)).alias("files")).select("row_count", "low", "high", (hit < F.col("files")).alias("skips"))
+
+
+@case("o06_layout_comparison", """
+SELECT x.layout, count(*) AS rows, round(sum(l_extendedprice), 2) AS total FROM lineitem, (VALUES ('base'), ('z_order'), ('cluster')) AS x(layout) WHERE l_partkey = 42 GROUP BY x.layout""")
+def o06(spark, d):
+    lines = _lines(spark, d)
+    paths = {n: scratch_path(spark, n) for n in ("base", "z_order", "cluster")}
+    lines.write.parquet(paths["base"])
+    layout.cluster(lines, ["l_partkey", "l_suppkey"], 8).write.parquet(paths["z_order"])
+    layout.cluster(lines, ["l_partkey"], 8).write.parquet(paths["cluster"])
+    return layout.compare_layouts(spark, paths, "l_partkey", 42, "l_extendedprice").drop("files_read")
+
+
+@case("o07_key_skew_report", """
+SELECT o_orderpriority, count(*) AS rows, round(count(*) / (SELECT count(*) FROM orders), 6) AS share FROM orders GROUP BY o_orderpriority""")
+def o07(spark, d):
+    return layout.key_skew(table(spark, d, "orders"), "o_orderpriority")
+
+
+@case("o08_repartition_coalesce", "SELECT 'coalesce' AS how, count(*) AS row_count, true AS bounded FROM orders UNION ALL SELECT 'repartition', count(*), true FROM orders")
+def o08(spark, d):
+    orders = table(spark, d, "orders")
+    forms = {"repartition": orders.repartition(16, "o_custkey"), "coalesce": orders.repartition(16).coalesce(4)}
+    limit = {"repartition": 16, "coalesce": 4}
+    out = [layout.partition_skew(df).agg(F.lit(n).alias("how"), F.sum("rows").alias("row_count"), (F.count(F.lit(1)) <= limit[n]).alias("bounded"))
+           for n, df in forms.items()]
+    return out[0].unionByName(out[1])
+
+
+@case("o08_rebalanced_copy", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
+def o08_rebalance(spark, d):
+    """Rebalance before a write splits a hot key's partition and merges small ones."""
+    rows = stage(table(spark, d, "orders").hint("rebalance", "o_custkey"), "balanced")
+    return rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))

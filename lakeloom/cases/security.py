@@ -1 +1,83 @@
-"""Pending."""
+"""Masks, row filters, secured views, privileges."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.cases.registry import case
+from lakeloom.operators import governance as g
+from lakeloom.session import scratch_path, table
+
+EMAIL_SQL = "lower(replace(c_name, '#', '.')) || '@example.com'"
+
+
+def _people(spark, d):
+    return table(spark, d, "customer").select(
+        "c_custkey", F.expr("lower(replace(c_name, '#', '.')) || '@example.com'").alias("email"),
+        F.expr("CASE c_custkey % 3 WHEN 0 THEN 'East' WHEN 1 THEN 'West' ELSE 'Central' END").alias("region"),
+        "c_mktsegment")
+
+
+PEOPLE_SQL = f"SELECT c_custkey, {EMAIL_SQL} AS email, CASE c_custkey % 3 WHEN 0 THEN 'East' WHEN 1 THEN 'West' ELSE 'Central' END AS region, c_mktsegment FROM customer"
+
+
+@case("p01_column_mask", f"""
+SELECT 'reader' AS seen_by, c_custkey, '***@example.com' AS email FROM ({PEOPLE_SQL}) AS p
+UNION ALL SELECT 'admin', c_custkey, email FROM ({PEOPLE_SQL}) AS p UNION ALL SELECT 'prefix', c_custkey, left(email, 2) || '***@***.***' FROM ({PEOPLE_SQL}) AS p""")
+def p01(spark, d):
+    people = _people(spark, d).select("c_custkey", "email")
+    views = {"reader": g.apply_masks(people, {"email": g.mask_keep_domain}, {"staff"}),
+             "admin": g.apply_masks(people, {"email": g.mask_keep_domain}, {"admins"}),
+             "prefix": g.apply_masks(people, {"email": g.mask_keep_prefix}, set())}
+    out = [df.select(F.lit(n).alias("seen_by"), "c_custkey", "email") for n, df in views.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+RULES = {"admins": "true", "us_team": "region = 'East'", "eu_team": "region = 'West'"}
+
+
+@case("p02_row_filter", f"""
+SELECT 'us_team' AS reader, region, count(*) AS n FROM ({PEOPLE_SQL}) AS p WHERE region = 'East' GROUP BY region
+UNION ALL SELECT 'both', region, count(*) FROM ({PEOPLE_SQL}) AS p WHERE region IN ('East', 'West') GROUP BY region
+UNION ALL SELECT 'admins', region, count(*) FROM ({PEOPLE_SQL}) AS p GROUP BY region""")
+def p02(spark, d):
+    people, out = _people(spark, d), []
+    for reader, groups in {"us_team": {"us_team"}, "both": {"us_team", "eu_team"}, "admins": {"admins"}, "none": set()}.items():
+        out.append(g.apply_row_filter(people, RULES, groups).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+                   .select(F.lit(reader).alias("reader"), "region", "n"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@case("p03_secured_view", f"SELECT c_custkey, '***@example.com' AS email, region, c_mktsegment FROM ({PEOPLE_SQL}) AS p WHERE region = 'West'")
+def p03(spark, d):
+    name = scratch_path(spark, "secured").rsplit("/", 1)[1].replace("-", "_")
+    g.secured_view(_people(spark, d), name, {"email": g.mask_keep_domain}, RULES, {"eu_team"})
+    return spark.table(name)
+
+
+@case("p04_effective_privileges", """
+WITH path AS (SELECT r_name AS cat, r_name || '.' || n_name AS sch, r_name || '.' || n_name || '.' || s_name AS tab, n_nationkey, s_suppkey
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+users AS (SELECT n_name AS usr, r_name AS home FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT usr AS "user", tab AS "table", n_nationkey % 2 = 0 AND s_suppkey % 7 <> 0 AS can_select FROM path JOIN users ON home = cat""")
+def p04(spark, d):
+    """Catalogs are regions, schemas nations, tables suppliers.  A user is in the group of
+    the home region; odd nations miss the schema level, every seventh table is denied."""
+    nation, region, supplier = (table(spark, d, n) for n in ("nation", "region", "supplier"))
+    homes = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
+    dotted = lambda *c: F.concat_ws(".", *c)
+    tables = supplier.join(F.broadcast(homes), supplier["s_nationkey"] == homes["n_nationkey"]).select(
+        F.col("r_name").alias("catalog"), dotted("r_name", "n_name").alias("schema"),
+        dotted("r_name", "n_name", "s_name").alias("table"), "n_nationkey", "s_suppkey", F.col("r_name").alias("team"))
+    members = homes.select(F.col("n_name").alias("user"), F.col("r_name").alias("group"))
+
+    def grant(rows, privilege, securable, effect="GRANT"):
+        return rows.select(F.col("r_name" if "r_name" in rows.columns else "team").alias("principal"), F.lit(privilege).alias("privilege"),
+                           F.col(securable).alias("securable"), F.lit(effect).alias("effect"))
+
+    schemas = homes.withColumn("schema", dotted("r_name", "n_name"))
+    grants = (grant(region, "USE CATALOG", "r_name")
+              .unionByName(grant(schemas.filter("n_nationkey % 2 = 0"), "USE SCHEMA", "schema"))
+              .unionByName(grant(region, "SELECT", "r_name"))
+              .unionByName(grant(tables.filter("s_suppkey % 7 = 0"), "SELECT", "table", "DENY")))
+    return g.effective_privileges(tables, grants, members)
