@@ -23,8 +23,9 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
   rank() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC) AS rank, dense_rank() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC) AS dense_rank FROM orders""")
 def e01(spark, d):
     rows = _orders(spark, d).withColumn("y", F.year("o_orderdate"))
-    numbered = w.with_windows(rows, ["o_custkey"], ["o_totalprice desc", "o_orderkey"], {"row_num": w.row_number()})
-    return w.with_ranks(numbered, ["o_custkey"], ["y desc"]).select("o_orderkey", "o_custkey", "row_num", "rank", "dense_rank")
+    hot = w.hot_keys(rows, ["o_custkey"])
+    numbered = w.with_windows(rows, ["o_custkey"], ["o_totalprice desc", "o_orderkey"], {"row_num": w.row_number()}, hot=hot)
+    return w.with_ranks(numbered, ["o_custkey"], ["y desc"], hot=hot).select("o_orderkey", "o_custkey", "row_num", "rank", "dense_rank")
 
 
 @case("e02_lag_lead", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.cases.inputs import CHANGES_SQL, STEPS
 from lakeloom.cases.registry import case, plain
 from lakeloom.operators import cdc
+from lakeloom.operators import windows as w
 from lakeloom.operators.versions import VersionedTable
 from lakeloom.session import scratch_path, stage, table
 from lakeloom.sources.generators import change_batches
@@ -47,7 +48,7 @@ def _event_folder(spark, d):
 @case("m01_scd1_stream", SCD1_SQL)
 def m01_stream(spark, d):
     """Merged batch by batch; events that come late change nothing."""
-    source, target, checkpoint = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd1")), scratch_path(spark, "checkpoint")
+    source, target, checkpoint = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd1"), split_by=KEYS), scratch_path(spark, "checkpoint")
     for arrived in ("0", "[0-1]"):
         stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
         flows.drain(flows.scd1_flow(stream, target, KEYS, "seq", checkpoint))
@@ -69,7 +70,7 @@ def m02(spark, d):
 @case("m02_scd2_stream", SCD2_SQL)
 def m02_stream(spark, d):
     """Two batches, the second with late events: chains of its keys are rebuilt."""
-    source, history = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd2"))
+    source, history = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd2"), split_by=KEYS)
     store, checkpoint = scratch_path(spark, "store"), scratch_path(spark, "checkpoint")
     for arrived in ("0", "[0-1]"):
         stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
@@ -206,5 +207,6 @@ def m11(spark, d):
     versions = (_events(spark, d).select(F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("balance_then"), at.alias("at"))
                 .filter((F.col("o_custkey") % 17 != 0) | (F.col("at") > F.lit("1996-01-01").cast("timestamp_ntz"))))
     facts = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    history = cdc.scd2(versions, ["o_custkey"], ["at"])
-    return cdc.as_of_join(facts, history, ["o_custkey"], "o_orderdate", ["balance_then"]).drop("o_orderdate")
+    hot = w.hot_keys(facts.select("o_custkey").unionByName(versions.select("o_custkey")), ["o_custkey"])
+    history = cdc.scd2(versions, ["o_custkey"], ["at"], hot=hot)
+    return cdc.as_of_join(facts, history, ["o_custkey"], "o_orderdate", ["balance_then"], hot).drop("o_orderdate")

@@ -33,7 +33,7 @@ def o01_versions(spark, d):
     for rest in (1, 2):
         t.insert(orders.filter(F.col("o_orderkey") % 3 == rest))
     layout.compact_table(t)
-    assert t._entry()["parts"] == [3]
+    assert t.part_versions() == [3]
     return t.read()
 
 
@@ -53,7 +53,7 @@ POINT_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
 def o03(spark, d):
     """Clustered by part and supplier; only files whose range meets the predicate are read."""
     path = scratch_path(spark, "zorder")
-    layout.cluster(_lines(spark, d), ["l_partkey", "l_suppkey"], 16).write.parquet(path)
+    layout.write_clustered(_lines(spark, d), ["l_partkey", "l_suppkey"], path, 16)
     return layout.read_skipping(spark, path, "l_partkey", 40, 60)
 
 
@@ -65,17 +65,17 @@ def o04(spark, d):
     layout.cluster_table(t, ["l_partkey"])
     t.insert(lines.filter("l_linenumber >= 4"))
     layout.cluster_table(t, ["l_partkey"])
-    assert t._entry()["parts"] == [1, 3]
+    assert t.part_versions() == [1, 3]
     layout.cluster_table(t, ["l_suppkey", "l_partkey"])
-    assert t._entry()["parts"] == [4]
+    assert t.part_versions() == [4]
     layout.cluster_table(t, [])
     return t.read()
 
 
 @case("o05_file_statistics", "SELECT count(*) AS row_count, min(l_partkey) AS low, max(l_partkey) AS high, true AS skips FROM lineitem")
 def o05(spark, d):
-    path = scratch_path(spark, "sorted")
-    _lines(spark, d).repartitionByRange(8, "l_partkey").write.parquet(path)
+    path, lines = scratch_path(spark, "sorted"), _lines(spark, d)
+    lines.repartitionByRange(layout.files_for_size(lines, 8), "l_partkey").write.parquet(path)
     stats = layout.file_statistics(spark.read.parquet(path), ["l_partkey"])
     hit = layout.files_for(stats, "l_partkey", 50).agg(F.count(F.lit(1))).scalar()
     return stats.agg(F.sum("rows").alias("row_count"), F.min("min_l_partkey").alias("low"), F.max("max_l_partkey").alias("high"),
@@ -101,9 +101,10 @@ def o07(spark, d):
 
 @case("o08_repartition_coalesce", "SELECT 'coalesce' AS how, count(*) AS row_count, true AS bounded FROM orders UNION ALL SELECT 'repartition', count(*), true FROM orders")
 def o08(spark, d):
-    orders = table(spark, d, "orders")
-    forms = {"repartition": orders.repartition(16, "o_custkey"), "coalesce": orders.repartition(16).coalesce(4)}
-    limit = {"repartition": 16, "coalesce": 4}
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    wide = layout.files_for_size(orders, 16, 128 << 20)
+    forms = {"repartition": orders.repartition(wide, "o_custkey"), "coalesce": orders.repartition(wide).coalesce(wide // 4)}
+    limit = {"repartition": wide, "coalesce": wide // 4}
     out = [layout.partition_skew(df).agg(F.lit(n).alias("how"), F.sum("rows").alias("row_count"), (F.count(F.lit(1)) <= limit[n]).alias("bounded"))
            for n, df in forms.items()]
     return out[0].unionByName(out[1])

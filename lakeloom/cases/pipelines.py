@@ -177,8 +177,8 @@ def _fact(lines, *dims):
 def c03(spark, d):
     """Five lookups with an unknown member; dates after 1999 are outside the calendar and
     keep their natural key."""
-    lines = _silver_lines(retail_orders(spark, d))
-    return plain(_fact(lines, *_dims(spark, d, lines)))
+    lines = stage(_silver_lines(retail_orders(spark, d)), "silver")  # read by two dimensions and the fact
+    return plain(_fact(lines, *[stage(dim, "dim") for dim in _dims(spark, d, lines)]))
 
 
 @case("n02_retail_pipeline", FACT_SQL)
@@ -215,7 +215,7 @@ def j10(spark, d):
 @case("n11_profit_measures", f"""
 SELECT is_return, count(*) AS n, round(sum(total_cost), 2) AS cost, sum(CASE WHEN margin_percent = 0 THEN 1 ELSE 0 END) AS zero_margin FROM ({FACT_SQL}) AS f GROUP BY is_return""")
 def n11(spark, d):
-    lines = _silver_lines(retail_orders(spark, d))
+    lines = stage(_silver_lines(retail_orders(spark, d)), "silver")
     return _fact(lines, *_dims(spark, d, lines)).groupBy("is_return").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("total_cost"), 2).alias("cost"), F.count_if(F.col("margin_percent") == 0).alias("zero_margin"))
 

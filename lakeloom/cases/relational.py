@@ -90,13 +90,13 @@ def _by_nation(df):
 @case("c09_salted_join", SKEW_SQL)
 def c09(spark, d):
     big, small = _skewed(spark, d)
-    return _by_nation(joins.salted_join(big, small, "n_nationkey", salts=10, heavy_rows=2000))
+    return _by_nation(joins.salted_join(big, small, "n_nationkey", ["o_orderkey"], salts=10, heavy_rows=2000))
 
 
 @case("c10_isolated_key_join", SKEW_SQL)
 def c10(spark, d):
     big, small = _skewed(spark, d)
-    return _by_nation(joins.isolated_join(big, small, "n_nationkey", heavy_rows=2000))
+    return _by_nation(joins.isolated_join(big, small, "n_nationkey", ["o_orderkey"], heavy_rows=2000))
 
 
 @case("c08_stream_static_join", """
@@ -180,7 +180,7 @@ def d08(spark, d):
 SELECT k, count(*) AS rows, round(sum(o_totalprice), 2) AS total, round(sum(o_totalprice), 2) / count(*) AS mean FROM
  (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey % 25 END AS k, o_totalprice FROM orders) AS o GROUP BY k""")
 def d09(spark, d):
-    return ag.salted_sum(_skewed(spark, d)[0].withColumnRenamed("n_nationkey", "k"), "k", "o_totalprice")
+    return ag.salted_sum(_skewed(spark, d)[0].withColumnRenamed("n_nationkey", "k"), "k", "o_totalprice", ["o_orderkey"])
 
 
 @case("d10_column_statistics", """

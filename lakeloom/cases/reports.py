@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.cases.inputs import RUNS_SQL, runs
 from lakeloom.cases.registry import case, plain
 from lakeloom.functions.scalars import mean_of_cents
+from lakeloom.operators.joins import lookup
 from lakeloom.operators import rollups as r
 from lakeloom.operators import windows as w
 from lakeloom.session import scratch_path, table
@@ -84,9 +85,10 @@ def q07(spark, d):
 
 def _sales(spark, d):
     o, c, n, g = (table(spark, d, t) for t in ("orders", "customer", "nation", "region"))
-    places = (c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(g), F.col("n_regionkey") == F.col("r_regionkey"))
+    places = lookup(c, n, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    places = (lookup(places, g, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
               .select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("region"), F.col("c_mktsegment").alias("category")))
-    return o.join(places, "o_custkey").select(F.date_format("o_orderdate", "yyyy-MM").alias("order_month"), "region", "category", "o_totalprice")
+    return lookup(o, places, "o_custkey", "inner").select(F.date_format("o_orderdate", "yyyy-MM").alias("order_month"), "region", "category", "o_totalprice")
 
 
 SALES_SQL = """SELECT strftime(o_orderdate, '%Y-%m') AS order_month, r_name AS region, c_mktsegment AS category, o_totalprice

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.cases.registry import case
 from lakeloom.operators import governance as g
+from lakeloom.operators.joins import lookup
 from lakeloom.session import scratch_path, table
 
 EMAIL_SQL = "lower(replace(c_name, '#', '.')) || '@example.com'"
@@ -64,9 +65,9 @@ def p04(spark, d):
     """Catalogs are regions, schemas nations, tables suppliers.  A user is in the group of
     the home region; odd nations miss the schema level, every seventh table is denied."""
     nation, region, supplier = (table(spark, d, n) for n in ("nation", "region", "supplier"))
-    homes = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
+    homes = lookup(nation, region, nation["n_regionkey"] == region["r_regionkey"], "inner")
     dotted = lambda *c: F.concat_ws(".", *c)
-    tables = supplier.join(F.broadcast(homes), supplier["s_nationkey"] == homes["n_nationkey"]).select(
+    tables = lookup(supplier, homes, supplier["s_nationkey"] == homes["n_nationkey"], "inner").select(
         F.col("r_name").alias("catalog"), dotted("r_name", "n_name").alias("schema"),
         dotted("r_name", "n_name", "s_name").alias("table"), "n_nationkey", "s_suppkey", F.col("r_name").alias("team"))
     members = homes.select(F.col("n_name").alias("user"), F.col("r_name").alias("group"))

@@ -48,10 +48,10 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return packed.select(F.inline(F.array(*columns)))
 
 
-def salted_sum(df: DataFrame, key: str, amount: str, salts: int = 10) -> DataFrame:
-    """Two-phase sum and count: first per (key, salt), then per key.  The salt comes from
-    the row itself, so a retried task puts a row in the same group."""
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).alias("_salt")
+def salted_sum(df: DataFrame, key: str, amount: str, spread: list[str], salts: int = 10) -> DataFrame:
+    """Two-phase sum and count: first per (key, salt), then per key.  The salt is a hash of
+    the ``spread`` columns (a row id), so a retried task puts a row in the same group."""
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).alias("_salt")
     part = df.groupBy(key, salt).agg(F.sum(amount).alias("_sum"), F.count(F.lit(1)).alias("_n"),
                                      F.count(amount).alias("_seen"))
     return part.groupBy(key).agg(

@@ -45,12 +45,14 @@ def scd1(events: DataFrame, keys: list[str], seq: list[str], delete_when: str |
     if ignore_nulls == "skip_row":
         live = live.filter(_flag(delete_when) | F.coalesce(
             *[F.col(c).cast("string") for c in values]).isNotNull())
+    if ignore_nulls != "keep_old":
+        # the latest event decides: a delete as latest event removes the key
+        latest = w.latest_per_key(live.withColumn("_del", _flag(delete_when)), keys, seq)
+        return latest.filter(~F.col("_del")).select(*out_columns)
     if delete_when is not None:
         gone = live.filter(_flag(delete_when)).groupBy(*keys).agg(F.max(F.struct(*seq)).alias("_gone"))
         live = join_null_safe(live, gone, keys, "left").filter(
             F.col("_gone").isNull() | (F.struct(*seq) > F.col("_gone"))).drop("_gone")
-    if ignore_nulls != "keep_old":
-        return w.latest_per_key(live.select(*out_columns), keys, seq)
     order = F.struct(*seq)
     newest = live.groupBy(*keys).agg(
         F.max(order).alias("_seq"),
@@ -72,7 +74,7 @@ def scd1_view(state: DataFrame) -> DataFrame:
 
 def scd2(events: DataFrame, keys: list[str], seq: list[str], delete_when: str | None = None,
          ignore_nulls: bool = False, exclude: list[str] = (), untracked: list[str] = (),
-         hot_rows: int | None = None) -> DataFrame:
+         hot: w.Hot | None = None) -> DataFrame:
     """History rows with ``__START_AT`` and ``__END_AT`` (null while current).
 
     Start and end are the first column of ``seq``.  Neighbours that differ in no tracked
@@ -81,19 +83,22 @@ def scd2(events: DataFrame, keys: list[str], seq: list[str], delete_when: str |
     values = [c for c in names if c not in {*keys, *seq}]
     tracked = [c for c in values if c not in set(untracked)]
     rows = events.withColumn("_del", _flag(delete_when))
+    hot = hot or w.hot_keys(events, keys)  # counted once, on the raw events
     unique = rows.groupBy(*keys, *seq).agg(F.max(F.struct("_del", *values)).alias("_row")).select(
         *keys, *seq, "_row.*")
     if ignore_nulls:
-        # lives of a key are separated by its deletes; a value is carried inside one life only
-        unique = w.with_windows(unique.withColumn("_one", F.col("_del").cast("int")), keys, seq,
-                                {"_life": w.running("sum", "_one")}, hot_rows).drop("_one")
-        life = [*keys, "_life", "_del"]
-        filled = w.with_windows(unique, life, seq, {f"_v_{c}": w.running("last", c) for c in values}, hot_rows)
-        unique = filled.select(*keys, *seq, "_del", *[F.col(f"_v_{c}").alias(c) for c in values])
+        # a value is carried forward until the next delete, which starts another life
+        lives = w.with_windows(unique.withColumn("_one", F.col("_del").cast("int")), keys, seq,
+                               {"_life": w.running("sum", "_one")}, hot=hot)
+        tagged = lives.withColumns({f"_t_{c}": F.when(F.col(c).isNotNull(), F.struct("_life", F.col(c).alias("v")))
+                                    for c in values})
+        filled = w.with_windows(tagged, keys, seq, {f"_v_{c}": w.running("last", f"_t_{c}") for c in values}, hot=hot)
+        unique = filled.select(*keys, *seq, "_del", *[
+            F.when(F.col(f"_v_{c}._life") == F.col("_life"), F.col(f"_v_{c}.v")).alias(c) for c in values])
     state = unique.withColumn("_state", F.struct("_del", *tracked))
-    marked = w.with_windows(state, keys, seq, {"_before": w.lag("_state")}, hot_rows)
+    marked = w.with_windows(state, keys, seq, {"_before": w.lag("_state")}, hot=hot)
     changed = marked.filter(~F.col("_state").eqNullSafe(F.col("_before"))).drop("_state", "_before")
-    closed = w.with_windows(changed.withColumn("_at", F.col(seq[0])), keys, seq, {END: w.lead("_at")}, hot_rows)
+    closed = w.with_windows(changed.withColumn("_at", F.col(seq[0])), keys, seq, {END: w.lead("_at")}, hot=hot)
     return closed.filter(~F.col("_del")).select(*names, F.col(seq[0]).alias(START), END)
 
 
@@ -156,16 +161,17 @@ def scd0(events: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
 
 
 def scd3(events: DataFrame, keys: list[str], seq: list[str], column: str,
-         hot_rows: int | None = None) -> DataFrame:
+         hot: w.Hot | None = None) -> DataFrame:
     """Current value and the one before its last change."""
-    chain = scd2(events.select(*keys, *seq, column), keys, seq, hot_rows=hot_rows)
-    ordered = w.with_windows(chain, keys, [START], {f"previous_{column}": w.lag(column)}, hot_rows)
+    hot = hot or w.hot_keys(events, keys)
+    chain = scd2(events.select(*keys, *seq, column), keys, seq, hot=hot)
+    ordered = w.with_windows(chain, keys, [START], {f"previous_{column}": w.lag(column)}, hot=hot)
     return ordered.filter(F.col(END).isNull()).select(
         *keys, F.col(column).alias(f"current_{column}"), f"previous_{column}")
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, keys: list[str], ts: str, values: list[str],
-               hot_rows: int | None = None) -> DataFrame:
+               hot: w.Hot | None = None) -> DataFrame:
     """Each fact with the version valid at its time (start <= time < end), else nulls.
 
     Facts and versions are put in one time line per key and the last version start is
@@ -175,7 +181,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, keys: list[str], ts: str, v
                             state.alias("_state"), F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType).alias("_fact"))
     rows = facts.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"),
                         F.lit(None).cast(starts.schema["_state"].dataType).alias("_state"), F.struct("*").alias("_fact"))
-    line = w.with_windows(starts.unionByName(rows), keys, ["_t", "_side"], {"_valid": w.running("last", "_state")}, hot_rows)
+    line = w.with_windows(starts.unionByName(rows), keys, ["_t", "_side"], {"_valid": w.running("last", "_state")}, hot=hot)
     found = line.filter("_side = 1")
     open_now = F.col("_valid.end").isNull() | (F.col("_t") < F.col("_valid.end"))
     return found.select("_fact.*", *[F.when(open_now, F.col(f"_valid.{v}")).alias(v) for v in values])

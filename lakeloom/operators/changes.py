@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.joins import broadcast_if_small
 from lakeloom.operators.quality import CheckFailed
 
 
@@ -61,7 +62,7 @@ class When:
 def require_single_match(target: DataFrame, source: DataFrame, on: list[str]) -> None:
     """A target row may match one source row only."""
     twice = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    if twice.join(target.select(*on), on, "left_semi").head(1):
+    if twice.head(1) and target.select(*on).join(broadcast_if_small(twice), on, "left_semi").head(1):
         raise CheckFailed("several source rows match one target row")
 
 
@@ -72,7 +73,7 @@ def merge(target: DataFrame, source: DataFrame, on: list[str], clauses: list[Whe
     require_single_match(target, source, on)
     marked = source.withColumn("_hit", F.lit(True))
     match = reduce(Column.__and__, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in on])
-    joined = target.alias("t").join(marked.alias("s"), match, "left")
+    joined = target.alias("t").join(broadcast_if_small(marked).alias("s"), match, "left")
     by_target = [c for c in clauses if c.case != "not_matched"]
     matched = F.col("s._hit").isNotNull()
     chosen = F.lit(-1)
@@ -96,10 +97,15 @@ def merge(target: DataFrame, source: DataFrame, on: list[str], clauses: list[Whe
         return out.alias(name)
 
     kept = rewritten.select(*[value(n) for n in target.columns])
-    fresh = source.alias("s").join(target.select(*on).alias("t"), match, "left_anti")
+    inserts = [c for c in clauses if c.case == "not_matched"]
+    if not inserts:
+        return kept
+    # keys are looked up from the target's side, so that the source is the build side here too
+    known = target.select(*on).join(broadcast_if_small(source.select(*on)), on, "left_semi").distinct()
+    fresh = source.alias("s").join(known.alias("t"), match, "left_anti")
     taken = F.lit(False)
     parts = [kept]
-    for clause in (c for c in clauses if c.case == "not_matched"):
+    for clause in inserts:
         condition = holds(clause.condition)
         rows = fresh.filter(~taken & condition)
         taken = taken | condition

@@ -53,20 +53,21 @@ def heavy_keys(df: DataFrame, key: str, rows: int, at_most: int = 1_000) -> Data
             .filter(F.col("rows") > rows).orderBy(F.desc("rows"), key).limit(at_most))
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 10, how: str = "inner",
-                heavy_rows: int | None = None) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], salts: int = 10,
+                how: str = "inner", heavy_rows: int | None = None) -> DataFrame:
     """Join that spreads each heavy key of ``big`` over ``salts`` tasks.
 
     Only heavy keys are salted, so the matching rows of ``small`` are copied ``salts`` times
-    for those keys alone.  ``how`` is inner or left."""
+    for those keys alone.  ``spread`` names columns of ``big`` that tell its rows apart.
+    ``how`` is inner or left."""
     if how not in ("inner", "left"):
         raise ValueError("a salted join is inner or left")
     limit = heavy_rows or setting(big.sparkSession, "hotRows", 5_000_000)
     heavy = F.broadcast(heavy_keys(big, key, limit).select(F.col(key).alias("_h"), F.lit(True).alias("_heavy")))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     left = (big.join(heavy, F.col(key) == F.col("_h"), "left")
             # a null key matches nothing, so an outer join may spread those rows freely
-            .withColumn("_salt", F.when(F.col("_heavy") | F.col(key).isNull(), spread).otherwise(0))
+            .withColumn("_salt", F.when(F.col("_heavy") | F.col(key).isNull(), salt).otherwise(0))
             .drop("_h", "_heavy"))
     copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = (small.join(heavy, F.col(key) == F.col("_h"), "left")
@@ -74,7 +75,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 10, how
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def isolated_join(big: DataFrame, small: DataFrame, key: str, heavy_rows: int | None = None,
+def isolated_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], heavy_rows: int | None = None,
                   max_bytes: int | None = None) -> DataFrame:
     """Inner join that handles dominant keys apart and unites both results.
 
@@ -89,7 +90,7 @@ def isolated_join(big: DataFrame, small: DataFrame, key: str, heavy_rows: int |
     if plan_bytes(side) <= bound:
         apart = part.join(F.broadcast(side), key)
     else:
-        apart = salted_join(part, side, key, salts=64, heavy_rows=limit)
+        apart = salted_join(part, side, key, spread, salts=64, heavy_rows=limit)
     return rest.unionByName(apart)
 
 

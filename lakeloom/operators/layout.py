@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.operators.versions import VersionedTable
+from lakeloom.operators.versions import SPAN, VersionedTable
+from lakeloom.session import plan_bytes
 
 TARGET_BYTES = 1 << 30      # about 1 GB a file
 MAX_CLUSTER_COLUMNS = 4
@@ -30,7 +30,7 @@ def compact(spark: SparkSession, path: str, target: str, bytes_per_file: int = T
 def compact_table(table: VersionedTable, bytes_per_file: int = TARGET_BYTES, at=None) -> int:
     """Compacts the parts smaller than a target file into one new part."""
     entry = table._entry()
-    sizes = {p: folder_bytes(table.spark, f"{table.path}/rows/part={p}") for p in entry["parts"]}
+    sizes = {p: folder_bytes(table.spark, table.part_path(p)) for p in entry["parts"]}
     small = [p for p, size in sizes.items() if size < bytes_per_file]
     if len(small) < 2:
         return entry["version"]
@@ -80,15 +80,27 @@ def z_value(df: DataFrame, columns: list[str], bits: int = 6) -> Column:
     return out
 
 
-def cluster(df: DataFrame, columns: list[str], files: int) -> DataFrame:
+def files_for_size(df: DataFrame, at_least: int = 1, bytes_per_file: int = TARGET_BYTES) -> int:
+    """Number of output files for the planned size of ``df``."""
+    return max(at_least, math.ceil(plan_bytes(df) / bytes_per_file))
+
+
+def cluster(df: DataFrame, columns: list[str], at_least: int = 1) -> DataFrame:
     """Rows range-partitioned by the interleaved value, so a file covers a small box of the
     columns.  A hash breaks ties, so equal values (a hot key) may span several files."""
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     ranked = df.withColumn("_z", z_value(df, columns)).withColumn("_tie", spread)
-    return (ranked.repartitionByRange(files, "_z", "_tie").sortWithinPartitions("_z").drop("_z", "_tie"))
+    files = files_for_size(df, at_least)
+    return ranked.repartitionByRange(files, "_z", "_tie").sortWithinPartitions("_z").drop("_z", "_tie")
+
 
+def write_clustered(df: DataFrame, columns: list[str], path: str, at_least: int = 1) -> None:
+    """Clustered files plus their statistics in ``_stats`` (a folder that scans skip)."""
+    cluster(df, columns, at_least).write.parquet(path)
+    file_statistics(df.sparkSession.read.parquet(path), columns).write.parquet(f"{path}/_stats")
 
-def cluster_table(table: VersionedTable, columns: list[str], files: int = 8, at=None) -> int:
+
+def cluster_table(table: VersionedTable, columns: list[str], at_least: int = 1, at=None) -> int:
     """Clusters the parts not yet clustered under these keys; no keys means none from now on.
     Parts written under the same keys before stay as they are."""
     entry = table._entry()
@@ -97,10 +109,10 @@ def cluster_table(table: VersionedTable, columns: list[str], files: int = 8, at=
         return table.replace_parts(None, [], "CLUSTER BY NONE", at=at)
     done = {r["version"] for r in table.history().filter(
         (F.col("operation") == "CLUSTER") & (F.col("cluster_keys") == keys)).collect()}
-    todo = [p for p in entry["parts"] if p not in done]
+    todo = [p for p in entry["parts"] if p // SPAN not in done]
     if not todo:
         return entry["version"]
-    return table.replace_parts(cluster(table._read(entry, todo), columns, files), todo, "CLUSTER", keys, at)
+    return table.replace_parts(cluster(table._read(entry, todo), columns, at_least), todo, "CLUSTER", keys, at)
 
 
 def file_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -116,13 +128,13 @@ def files_for(stats: DataFrame, column: str, low, high=None) -> DataFrame:
     return stats.filter((F.col(f"min_{column}") <= F.lit(high)) & (F.col(f"max_{column}") >= F.lit(low)))
 
 
-def read_skipping(spark: SparkSession, path: str, column: str, low, high=None, stats: DataFrame | None = None) -> DataFrame:
-    """Reads only the files the statistics leave, then applies the predicate."""
-    stats = file_statistics(spark.read.parquet(path), [column]) if stats is None else stats
-    names = [r["file_path"] for r in files_for(stats, column, low, high).select("file_path").collect()]
+def read_skipping(spark: SparkSession, path: str, column: str, low, high=None) -> DataFrame:
+    """Reads only the files the stored statistics leave, then applies the predicate."""
     high = low if high is None else high
-    scan = spark.read.schema(spark.read.parquet(path).schema)
-    source = scan.parquet(*names) if names else spark.read.parquet(path).limit(0)
+    files = files_for(spark.read.parquet(f"{path}/_stats"), column, low, high).select("file_path")
+    names = [r["file_path"] for r in files.collect()]  # file names, not data
+    schema = spark.read.parquet(path).schema
+    source = spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
     return source.filter(F.col(column).between(F.lit(low), F.lit(high)))
 
 
@@ -140,12 +152,6 @@ def compare_layouts(spark: SparkSession, paths: dict[str, str], column: str, val
     return out
 
 
-def timed(action) -> tuple[float, object]:
-    start = time.perf_counter()
-    result = action()
-    return time.perf_counter() - start, result
-
-
 def key_skew(df: DataFrame, key: str) -> DataFrame:
     """Rows per key and the key's share of all rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))

@@ -1,19 +1,20 @@
 """Tables with versions: Parquet parts plus a small Parquet history.
 
-A version is a list of parts.  An append writes one new part; an update, delete or merge
-rewrites only the parts that hold matching rows.  The history row is written last and
-readers go by the history, so a half-written part is never seen.  One writer per table."""
+A version is a list of parts.  An append writes new parts only; an update, delete or merge
+rewrites just the parts that hold matching rows.  ``split_by`` cuts every commit into parts
+by a hash of its columns, so a change of few keys (or days) rewrites few parts of a large
+table.  The history row is written last and readers go by the history, so a half-written
+part is never seen.  One writer per table."""
 
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators import changes as ch
+from lakeloom.operators.joins import broadcast_if_small
 from lakeloom.operators.quality import check_schema, expect_or_fail
 from lakeloom.session import stage
 from lakeloom.sources.incremental import path_exists
@@ -21,6 +22,7 @@ from lakeloom.sources.incremental import path_exists
 HISTORY = ("version bigint, at timestamp, operation string, rows_written bigint, rows_matched bigint, "
            "parts array<bigint>, schema string, cluster_keys string")
 RETENTION_HOURS = 168
+SPAN = 10_000  # part number = version * SPAN + split
 
 
 class VersionExpired(Exception):
@@ -29,8 +31,11 @@ class VersionExpired(Exception):
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, constraints: dict[str, str] | None = None,
-                 generated: dict[str, str] | None = None):
+                 generated: dict[str, str] | None = None, split_by: list[str] | None = None, splits: int = 16):
+        if not 0 < splits <= SPAN:
+            raise ValueError(f"splits must be between 1 and {SPAN}")
         self.spark, self.path = spark, path.rstrip("/")
+        self.split_by, self.splits = split_by, splits
         self.constraints, self.generated = constraints or {}, generated or {}
 
     # -- history ------------------------------------------------------------
@@ -72,7 +77,14 @@ class VersionedTable:
         reader = self.spark.read.schema(full)
         if with_part:
             reader = reader.option("basePath", f"{self.path}/rows")
-        return reader.parquet(*[f"{self.path}/rows/part={p}" for p in wanted])
+        return reader.parquet(*[self.part_path(p) for p in wanted]).select(*full.names)
+
+    def part_path(self, part: int) -> str:
+        return f"{self.path}/rows/commit={part // SPAN}/part={part}"
+
+    def part_versions(self) -> list[int]:
+        """Versions whose commits the current version still uses."""
+        return sorted({p // SPAN for p in self._entry()["parts"]})
 
     def read(self, version: int | None = None, at=None) -> DataFrame:
         """Snapshot: the newest, the one of ``version``, or the newest not after ``at``."""
@@ -83,12 +95,15 @@ class VersionedTable:
                 matched: int = 0, cluster_keys: str | None = None) -> int:
         version, written, parts = self.current_version() + 1, 0, list(kept)
         if rows is not None:
-            seen = Observation()
-            checked = expect_or_fail(rows, self.constraints)
-            checked.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-                f"{self.path}/rows/part={version}")
+            seen, first = Observation(), version * SPAN
+            split = F.pmod(F.xxhash64(*self.split_by), F.lit(self.splits)) if self.split_by else F.lit(0)
+            checked = expect_or_fail(rows, self.constraints).withColumn("part", (split + first).cast("bigint"))
+            if self.split_by:
+                checked = checked.hint("rebalance", "part")
+            (checked.observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set("part").alias("parts"))
+             .write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/rows/commit={version}"))
             written = seen.get["n"]
-            parts.append(version)
+            parts += sorted(seen.get["parts"])  # at most ``splits`` numbers
         when = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()
         self.spark.createDataFrame(
             [(version, operation, written, matched, parts, schema.json(), cluster_keys)],
@@ -144,16 +159,30 @@ class VersionedTable:
         entry = self._entry()
         return self._commit(None, "TRUNCATE", [], T.StructType.fromJson(json.loads(entry["schema"])), at)
 
+    def _hits(self, entry, source: DataFrame, on: list[str]) -> DataFrame:
+        """Part, key and row count of the keys that ``source`` holds.  The target's keys are
+        scanned once with the source as build side; what is kept is no larger than the
+        source's keys times their parts."""
+        keys = broadcast_if_small(source.select(*on).distinct())
+        return stage(self._read(entry, with_part=True).select("part", *on).join(keys, on, "left_semi")
+                     .groupBy("part", *on).agg(F.count(F.lit(1)).alias("n")), "merge-keys")
+
+    def replace_keys(self, keys: DataFrame, on: list[str], rows: DataFrame, at=None) -> int:
+        """Puts ``rows`` in place of all rows of the given keys, in the parts that hold them."""
+        entry = self._entry()
+        hits = self._hits(entry, keys, on)
+        touched = {r["part"] for r in hits.select("part").distinct().collect()}  # part numbers
+        kept = [p for p in entry["parts"] if p not in touched]
+        others = self._read(entry, sorted(touched)).join(broadcast_if_small(hits.select(*on).distinct()), on, "left_anti")
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self._commit(others.unionByName(rows), "REPLACE KEYS", kept, schema, at)
+
     def merge(self, source: DataFrame, on: list[str], clauses: list[ch.When], at=None) -> int:
         """Rewrites the parts that hold matched keys; all parts when a clause concerns rows
         the source does not match."""
         entry = self._entry()
         whole = any(c.case == "not_matched_by_source" for c in clauses)
-        # the target's keys are scanned once with the source as build side; the matched keys,
-        # no more than the source has times its parts, serve every step below
-        hits = stage(self._read(entry, with_part=True).select("part", *on)
-                     .join(source.select(*on).distinct(), on, "left_semi")
-                     .groupBy("part", *on).agg(F.count(F.lit(1)).alias("n")), "merge-keys")
+        hits = self._hits(entry, source, on)
         ch.require_single_match(hits, source, on)
         per_part = hits.groupBy("part").agg(F.sum("n").alias("n")).collect()  # one row per part
         touched = set(entry["parts"]) if whole else {r["part"] for r in per_part}
@@ -244,7 +273,7 @@ class VersionedTable:
             "append").parquet(f"{self.path}/expired")
         jvm = self.spark._jvm
         for part in parts:
-            where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows/part={part}")
+            where = jvm.org.apache.hadoop.fs.Path(self.part_path(part))
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
         return parts
 
@@ -255,7 +284,3 @@ class VersionedTable:
             F.count(F.lit(1)).alias("rows"))
         return files.agg(F.count(F.lit(1)).alias("num_files"), F.sum("bytes").alias("size_in_bytes"),
                          F.sum("rows").alias("num_rows"))
-
-
-def hours_ago(hours: int) -> datetime:
-    return datetime.now(timezone.utc) - timedelta(hours=hours)

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.joins import join_null_safe
-from lakeloom.session import setting
+from lakeloom.session import setting, stage
 
-HOT_ROWS = 5_000_000   # rows one task may hold of a single key
+HOT_ROWS = 2_000_000   # rows one task may hold of a single key
 MAX_HOT = 2_000        # a hot key also holds more than 1/MAX_HOT of the table
 
 
@@ -87,28 +87,37 @@ def _plain(spec: Spec, window) -> Column:
     return _AGG[spec.fn](spec.col).over(framed)
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> tuple[list, int]:
-    """Rows ``(key..., rows)`` of the keys too large for one task, and the limit used.
+@dataclass(frozen=True)
+class Hot:
+    """Keys too large for one task as rows ``(key..., _n)``, and the rows a slice may hold."""
+    rows: list
+    limit: int
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Hot:
+    """Finds the hot keys with one partial aggregation over the key columns.
 
-    Never more than ``MAX_HOT`` keys, since each holds more than 1/MAX_HOT of the rows."""
+    There are never more than ``MAX_HOT``, since each holds more than 1/MAX_HOT of the rows.
+    The counts only steer the split, so they may come from an input that is filtered later."""
     limit = hot_rows or setting(df.sparkSession, "hotRows", HOT_ROWS)
     seen = Observation()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     largest = (counts.observe(seen, F.sum("_n").alias("total"))
                .filter(F.col("_n") > limit).orderBy(F.desc("_n")).limit(MAX_HOT).collect())
     if not largest:
-        return [], limit
+        return Hot([], limit)
     limit = max(limit, math.ceil(seen.get["total"] / MAX_HOT))
-    return [r for r in largest if r["_n"] > limit], limit
+    return Hot([r for r in largest if r["_n"] > limit], limit)
 
 
-def split_hot(df: DataFrame, keys: list[str], hot: list) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, hot rows); the list of hot keys is bounded by ``MAX_HOT``."""
+def split_hot(df: DataFrame, keys: list[str], hot: Hot) -> tuple[DataFrame, DataFrame]:
+    """(ordinary rows, hot rows).  The hot rows are staged once: the sample and both passes
+    of a split window read them from storage instead of recomputing the plan."""
     if not keys:
-        return df.filter(F.lit(False)), df
+        return df.filter(F.lit(False)), stage(df, "hot")
     schema = df.select(*keys).schema
-    wanted = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema))
-    return join_null_safe(df, wanted, keys, "left_anti"), join_null_safe(df, wanted, keys, "left_semi")
+    wanted = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot.rows], schema))
+    return join_null_safe(df, wanted, keys, "left_anti"), stage(join_null_safe(df, wanted, keys, "left_semi"), "hot")
 
 
 def _follows(order: list[str], bound: Column) -> Column:
@@ -125,30 +134,35 @@ def _follows(order: list[str], bound: Column) -> Column:
     return reduce(Column.__or__, tests)
 
 
-def _with_slices(hot_df: DataFrame, keys: list[str], order: list[str], hot: list, limit: int) -> DataFrame:
-    """Adds ``_slice``: ordered pieces of about ``limit`` rows inside each hot key."""
+def _with_slices(hot_df: DataFrame, keys: list[str], order: list[str], hot: Hot) -> DataFrame:
+    """Adds ``_slice``: ordered pieces of about ``hot.limit`` rows inside each hot key."""
     spark = hot_df.sparkSession
     names = [n for n, _ in map(_split, order)]
-    parts = {tuple(r[k] for k in keys): math.ceil(r["_n"] / limit) for r in hot}
-    rows = sum(r["_n"] for r in hot)
+    parts = {tuple(r[k] for k in keys): math.ceil(r["_n"] / hot.limit) for r in hot.rows}
+    rows = sum(r["_n"] for r in hot.rows)
     fraction = min(1.0, 60 * sum(parts.values()) / rows)
     sample = hot_df.select(*dict.fromkeys([*keys, *names]), F.struct(*names).alias("_o")).sample(fraction, seed=17)
     sized = spark.createDataFrame(
-        [(*key, n) for key, n in parts.items()],
-        hot_df.select(*keys).schema.add("_parts", T.IntegerType()),
-    )
-    joined = join_null_safe(sample, F.broadcast(sized), keys)
-    whole = Window.partitionBy(*keys)
-    # the sample holds about 60 rows a slice, so this window and the list stay small
-    marks = (joined
+        [(*key, n) for key, n in parts.items()], hot_df.select(*keys).schema.add("_parts", T.IntegerType()))
+    # the sample holds about 60 rows a slice, so these windows and lists stay small
+    share = F.count(F.lit(1)).over(Window.partitionBy(*keys)) / F.col("_parts")
+    marks = (join_null_safe(sample, F.broadcast(sized), keys)
              .withColumn("_r", F.row_number().over(_window(keys, order)))
-             .withColumn("_step", F.greatest(F.lit(1), (F.count(F.lit(1)).over(whole) / F.col("_parts")).cast("int")))
+             .withColumn("_step", F.greatest(F.lit(1), share.cast("int")))
              .filter((F.col("_r") % F.col("_step") == 0) & (F.col("_r") / F.col("_step") < F.col("_parts"))))
-    bounds = marks.groupBy(*keys).agg(F.collect_set("_o").alias("_bounds"))
-    fixed = spark.createDataFrame(bounds.collect(), bounds.schema)  # at most 2 * MAX_HOT tuples
+    bounds = marks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_r", "_o"))).alias("_b")).select(
+        *keys, F.col("_b._o").alias("_b"))
+    # bounds are looked up in two steps, so that a row meets about 2 * sqrt(n) of them
+    width = max(1, math.isqrt(max(parts.values())))
+    nested = [(*r[:-1], [r["_b"][i:i + width] for i in range(0, len(r["_b"]), width)]) for r in bounds.collect()]
+    schema = T.StructType([*bounds.schema.fields[:-1], T.StructField("_b", T.ArrayType(bounds.schema["_b"].dataType))])
+    fixed = spark.createDataFrame(nested, schema)  # at most 2 * MAX_HOT tuples in all
     placed = join_null_safe(hot_df, F.broadcast(fixed), keys, "left")
-    after = F.filter("_bounds", lambda b: _follows(order, b))
-    return placed.withColumn("_slice", F.coalesce(F.size(after), F.lit(0))).drop("_bounds")
+    groups = F.size(F.filter("_b", lambda group: _follows(order, group[0])))
+    within = F.size(F.filter(F.get("_b", F.col("_g") - 1), lambda b: _follows(order, b)))
+    return (placed.withColumn("_g", F.coalesce(groups, F.lit(0)))
+            .withColumn("_slice", F.when(F.col("_g") > 0, (F.col("_g") - 1) * width + within).otherwise(0))
+            .drop("_b", "_g"))
 
 
 def _merge(fn: str, local: Column, carry: Column) -> Column:
@@ -210,21 +224,22 @@ def _shifted_hot(df: DataFrame, keys: list[str], specs: dict[str, Spec], limit:
 
 
 def with_windows(df: DataFrame, keys: list[str], order: list[str], specs: dict[str, Spec],
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, hot: Hot | None = None) -> DataFrame:
     """``df`` plus one column per spec, windowed by ``keys`` in ``order``.
 
-    ``order`` must be a total order inside a key for ``row_number``, shifts and row frames."""
-    hot, limit = hot_keys(df, keys, hot_rows)
+    ``order`` must be a total order inside a key for ``row_number``, shifts and row frames.
+    Pass ``hot`` when the hot keys are known, to save the counting pass."""
+    hot = hot or hot_keys(df, keys, hot_rows)
     window = _window(keys, order)
-    if not hot:
+    if not hot.rows:
         return df.select("*", *[_plain(s, window).alias(n) for n, s in specs.items()])
     usual, large = split_hot(df, keys, hot)
     done = usual.select("*", *[_plain(s, window).alias(n) for n, s in specs.items()])
     near = {n: s for n, s in specs.items() if s.kind != "running"}
-    out = _running_hot(_with_slices(large, keys, order, hot, limit), keys, order,
+    out = _running_hot(_with_slices(large, keys, order, hot), keys, order,
                        {n: s for n, s in specs.items() if s.kind == "running" and s.fn != "row_number"})
     if near:
-        out = _shifted_hot(out, keys, near, limit)
+        out = _shifted_hot(out, keys, near, hot.limit)
     for name, spec in specs.items():
         if spec.fn == "row_number":
             out = out.withColumn(name, F.col("_rn"))
@@ -233,16 +248,16 @@ def with_windows(df: DataFrame, keys: list[str], order: list[str], specs: dict[s
 
 
 def with_ranks(df: DataFrame, keys: list[str], order: list[str], rank: str = "rank",
-               dense_rank: str = "dense_rank", hot_rows: int | None = None) -> DataFrame:
+               dense_rank: str = "dense_rank", hot_rows: int | None = None, hot: Hot | None = None) -> DataFrame:
     """``rank`` and ``dense_rank``; ties get equal ranks.
 
     For hot keys ranks are computed over the distinct order values with their row counts,
     then joined back, so a value shared by very many rows is no single group either."""
-    hot, limit = hot_keys(df, keys, hot_rows)
+    hot = hot or hot_keys(df, keys, hot_rows)
     window = _window(keys, order)
     plain = [F.rank().over(window).cast("bigint").alias(rank),
              F.dense_rank().over(window).cast("bigint").alias(dense_rank)]
-    if not hot:
+    if not hot.rows:
         return df.select("*", *plain)
     usual, large = split_hot(df, keys, hot)
     names = [n for n, _ in map(_split, order)]
@@ -258,19 +273,20 @@ def with_ranks(df: DataFrame, keys: list[str], order: list[str], rank: str = "ra
 
 
 def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
-                     aggregates: dict[str, tuple[str, str]], hot_rows: int | None = None) -> DataFrame:
+                     aggregates: dict[str, tuple[str, str]], hot_rows: int | None = None,
+                     hot: Hot | None = None) -> DataFrame:
     """Aggregates over the rows whose numeric ``by`` lies in ``[current - width, current]``.
 
     A hot key is cut into blocks of ``width``; the frame of a row touches its own block and
     the one before, so every row is sent to two blocks and no block needs the whole key."""
-    hot, _ = hot_keys(df, keys, hot_rows)
+    hot = hot or hot_keys(df, keys, hot_rows)
 
     def columns(window):
         framed = window.rangeBetween(-width, Window.currentRow)
         return [_AGG[fn](col).over(framed).alias(name) for name, (fn, col) in aggregates.items()]
 
     plain = columns(Window.partitionBy(*keys).orderBy(by))
-    if not hot:
+    if not hot.rows:
         return df.select("*", *plain)
     usual, large = split_hot(df, keys, hot)
     block = F.floor(F.col(by) / width)

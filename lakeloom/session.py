@@ -22,6 +22,11 @@ PROFILE = {
 _local_dirs: dict[str, str] = {}
 
 
+def shuffle_partitions(input_bytes: int, bytes_per_task: int = 128 << 20, least: int = 200) -> int:
+    """Shuffle width for an input size; adaptive execution merges what turns out small."""
+    return max(least, -(-input_bytes // bytes_per_task))
+
+
 def build_session(app: str = "lakeloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the profile above; ``conf`` wins (dots written as ``__``)."""
     builder = SparkSession.builder.appName(app)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.operators.joins import broadcast_if_small
 from lakeloom.sources.readers import provenance
 
 LEDGER = "path string, modified timestamp, size bigint, load_id bigint"
@@ -63,7 +64,7 @@ def read_loaded(spark: SparkSession, target: str) -> DataFrame:
     """Rows of the finished loads; columns added by later loads are null in earlier ones."""
     done = read_ledger(spark, target).select("load_id").distinct()
     rows = spark.read.option("mergeSchema", True).parquet(f"{target}/rows")
-    return rows.join(F.broadcast(done), rows["load_id"].cast("bigint") == done["load_id"], "left_semi")
+    return rows.join(broadcast_if_small(done), rows["load_id"].cast("bigint") == done["load_id"], "left_semi")
 
 
 def once(spark: SparkSession, target: str, name: str, rows: DataFrame) -> bool:
