@@ -71,7 +71,7 @@ def m02(spark, d):
 def m02_stream(spark, d):
     """Two batches, the second with late events: chains of its keys are rebuilt."""
     source, history = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd2"), split_by=KEYS)
-    store, checkpoint = scratch_path(spark, "store"), scratch_path(spark, "checkpoint")
+    store, checkpoint = VersionedTable(spark, scratch_path(spark, "store"), split_by=KEYS), scratch_path(spark, "checkpoint")
     for arrived in ("0", "[0-1]"):
         stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
         flows.drain(flows.scd2_flow(stream, store, history, KEYS, SEQ, checkpoint))

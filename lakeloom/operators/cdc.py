@@ -90,7 +90,7 @@ def scd2(events: DataFrame, keys: list[str], seq: list[str], delete_when: str |
         # a value is carried forward until the next delete, which starts another life
         lives = w.with_windows(unique.withColumn("_one", F.col("_del").cast("int")), keys, seq,
                                {"_life": w.running("sum", "_one")}, hot=hot)
-        tagged = lives.withColumns({f"_t_{c}": F.when(F.col(c).isNotNull(), F.struct("_life", F.col(c).alias("v")))
+        tagged = lives.withColumns({f"_t_{c}": F.when(F.col(c).isNotNull() & ~F.col("_del"), F.struct("_life", F.col(c).alias("v")))
                                     for c in values})
         filled = w.with_windows(tagged, keys, seq, {f"_v_{c}": w.running("last", f"_t_{c}") for c in values}, hot=hot)
         unique = filled.select(*keys, *seq, "_del", *[

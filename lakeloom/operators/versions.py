@@ -9,12 +9,12 @@ part is never seen.  One writer per table."""
 from __future__ import annotations
 
 import json
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators import changes as ch
-from lakeloom.operators.joins import broadcast_if_small
+from lakeloom.operators.joins import broadcast_if_small, join_null_safe
 from lakeloom.operators.quality import check_schema, expect_or_fail
 from lakeloom.session import stage
 from lakeloom.sources.incremental import path_exists
@@ -91,13 +91,15 @@ class VersionedTable:
         return self._read(self._entry(version, at))
 
     # -- writing ------------------------------------------------------------
+    def _split(self) -> Column:
+        return F.pmod(F.xxhash64(*self.split_by), F.lit(self.splits)) if self.split_by else F.lit(0)
+
     def _commit(self, rows: DataFrame | None, operation: str, kept: list[int], schema: T.StructType, at=None,
                 matched: int = 0, cluster_keys: str | None = None) -> int:
         version, written, parts = self.current_version() + 1, 0, list(kept)
         if rows is not None:
             seen, first = Observation(), version * SPAN
-            split = F.pmod(F.xxhash64(*self.split_by), F.lit(self.splits)) if self.split_by else F.lit(0)
-            checked = expect_or_fail(rows, self.constraints).withColumn("part", (split + first).cast("bigint"))
+            checked = expect_or_fail(rows, self.constraints).withColumn("part", (self._split() + first).cast("bigint"))
             if self.split_by:
                 checked = checked.hint("rebalance", "part")
             (checked.observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set("part").alias("parts"))
@@ -159,12 +161,25 @@ class VersionedTable:
         entry = self._entry()
         return self._commit(None, "TRUNCATE", [], T.StructType.fromJson(json.loads(entry["schema"])), at)
 
+    def _parts_for(self, entry, keys: DataFrame, on: list[str]) -> list[int]:
+        """Parts that may hold the keys: those of their splits when the table is split by them."""
+        if self.split_by != on:
+            return entry["parts"]
+        wanted = {r["s"] for r in keys.select(self._split().alias("s")).distinct().collect()}  # at most ``splits``
+        return [p for p in entry["parts"] if p % SPAN in wanted]
+
+    def read_keys(self, keys: DataFrame, on: list[str]) -> DataFrame:
+        """Current rows of the given keys."""
+        entry = self._entry()
+        rows = self._read(entry, self._parts_for(entry, keys, on))
+        return join_null_safe(rows, broadcast_if_small(keys.select(*on).distinct()), on, "left_semi")
+
     def _hits(self, entry, source: DataFrame, on: list[str]) -> DataFrame:
         """Part, key and row count of the keys that ``source`` holds.  The target's keys are
         scanned once with the source as build side; what is kept is no larger than the
         source's keys times their parts."""
         keys = broadcast_if_small(source.select(*on).distinct())
-        return stage(self._read(entry, with_part=True).select("part", *on).join(keys, on, "left_semi")
+        return stage(self._read(entry, self._parts_for(entry, source, on), with_part=True).select("part", *on).join(keys, on, "left_semi")
                      .groupBy("part", *on).agg(F.count(F.lit(1)).alias("n")), "merge-keys")
 
     def replace_keys(self, keys: DataFrame, on: list[str], rows: DataFrame, at=None) -> int:

@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeloom.operators import cdc
 from lakeloom.operators.changes import When
-from lakeloom.operators.joins import join_null_safe
 from lakeloom.operators.versions import VersionedTable
 from lakeloom.operators.windows import latest_per_key
+from lakeloom.session import stage
 from lakeloom.sources.incremental import refresh_schema
 from lakeloom.sources.readers import provenance
 
@@ -157,23 +157,21 @@ def scd1_flow(stream: DataFrame, table: VersionedTable, keys: list[str], seq: st
     return each_batch(stream, write, checkpoint, **kw)
 
 
-def scd2_flow(stream: DataFrame, events: str, history: VersionedTable, keys: list[str], seq: list[str],
+def scd2_flow(stream: DataFrame, events: VersionedTable, history: VersionedTable, keys: list[str], seq: list[str],
               checkpoint: str, **kw) -> StreamingQuery:
     """Type 2 dimension: a batch's events are kept, then the chains of its keys rebuilt and
-    put in place.  A replayed batch gives the same chains."""
+    put in place.  With both tables split by the keys a batch reads and rewrites the splits
+    of its own keys only.  A replayed batch repeats events, which changes no chain."""
     options = {k: kw.pop(k) for k in ("delete_when", "ignore_nulls", "exclude", "untracked") if k in kw}
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        rows.write.mode("overwrite").parquet(f"{events}/batch_id={batch_id}")
-        seen = spark.read.schema(rows.schema).parquet(*[f"{events}/batch_id={b}" for b in range(batch_id + 1)])
-        batch = spark.read.parquet(f"{events}/batch_id={batch_id}")
-        if history.current_version() < 0:
-            history.create(cdc.scd2(seen, keys, seq, **options))
-        else:
-            touched = batch.select(*keys).distinct()
-            chains = join_null_safe(seen, touched, keys, "left_semi")
-            history.replace_keys(touched, keys, cdc.scd2(chains, keys, seq, **options))
+        if events.current_version() < 0:
+            events.create(rows)
+            history.create(cdc.scd2(events.read(), keys, seq, **options))
+            return
+        events.insert(rows)
+        touched = stage(rows.select(*keys).distinct(), "touched")
+        history.replace_keys(touched, keys, cdc.scd2(events.read_keys(touched, keys), keys, seq, **options))
     return each_batch(stream, write, checkpoint, **kw)
 
 
