@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.session import scratch_path, table
+from lakeloom.operators.cdc import scd2, scd2_refresh
+from lakeloom.session import scratch_path, stage, table
+from lakeloom.sources.generators import change_batches
 
 UNKNOWN_ID = 999999
 TODAY = "2001-07-01"
@@ -99,3 +101,18 @@ def landing(spark: SparkSession, df: DataFrame, key: str, batches: int, fmt: str
     (df.withColumn("_batch", F.pmod(F.col(key), F.lit(batches)).cast("int"))
      .write.partitionBy("_batch").format(fmt).option("header", True).save(path))
     return path
+
+
+def change_events(spark: SparkSession, d: str) -> DataFrame:
+    return change_batches(table(spark, d, "customer"), STEPS)
+
+
+def replay_scd2(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The six change batches applied one after the other to a history."""
+    seen, history = events.filter("seq = 0"), None
+    history = stage(scd2(seen, ["c_custkey"], ["seq"]), "history")
+    for number in range(1, 6):
+        batch = events.filter(F.col("seq") == number)
+        history = stage(scd2_refresh(history, seen, batch, ["c_custkey"], ["seq"]), "history")
+        seen = events.filter(F.col("seq") <= number)
+    return history
