@@ -1,6 +1,6 @@
 """Times the headline work at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Per entry: one warm-up, then the median of three runs.  Results go to the no-op sink, so
+Per entry: one warm-up, then the median of two runs.  Results go to the no-op sink, so
 every row is computed and none is collected."""
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from lakeloom.sources import incremental, readers
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 # registered queries timed as they are
 HEADLINE = """d01_grouped_aggregate d03_distinct_count d06_two_level_aggregate d07_daily_rollup c01_inner_join
@@ -87,7 +87,7 @@ def main() -> None:
 
     # compaction of small files
     small = scratch_path(spark, "bench-small")
-    orders.limit(10_000).repartition(1_000).write.parquet(small)
+    orders.limit(10_000).repartition(400).write.parquet(small)
     seconds["scan_small_files"] = median(lambda: run(spark.read.parquet(small)))
     packed = scratch_path(spark, "bench-packed")
     seconds["compact"] = once(lambda: layout.compact(spark, small, packed))
@@ -111,7 +111,7 @@ def main() -> None:
 
     # rerunnable load of small files
     source, target = scratch_path(spark, "bench-in"), scratch_path(spark, "bench-loaded")
-    orders.limit(10_000).repartition(500).write.json(source)
+    orders.limit(10_000).repartition(200).write.json(source)
     seconds["copy_into_first"] = once(lambda: incremental.copy_into(spark, target, source, "json"))
     seconds["copy_into_nothing_new"] = once(lambda: incremental.copy_into(spark, target, source, "json"))
 

@@ -78,7 +78,7 @@ def e06(spark, d):
 SELECT o_custkey, total, rank() OVER (ORDER BY total DESC) AS spending_rank FROM (SELECT o_custkey, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey) AS x""")
 def e07(spark, d):
     totals = table(spark, d, "orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
-    return w.with_ranks(totals, [], ["total desc"], "spending_rank").drop("dense_rank")
+    return w.with_ranks(stage(totals), [], ["total desc"], "spending_rank").drop("dense_rank")
 
 
 LATEST_SQL = """

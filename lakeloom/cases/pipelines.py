@@ -50,14 +50,15 @@ def n01_summary(spark, d):
     # the batch load stamps one time on every row, so the source's own version decides
     layers = retail.run_medallion(spark, customers.select("customer_id", "version_tag", "first_name", "last_name", "email", "customer_segment"),
                                   retail_orders(spark, d), scratch_path(spark, "lake"))
-    return plain(layers["gold_customer_summary"].drop("avg_order_value"))
+    return plain(layers["gold_customer_summary"].withColumn("total_revenue", F.round("total_revenue", 2)).drop("avg_order_value"))
 
 
 @case("n01_gold_daily_orders", f"""
 SELECT CAST(CAST(order_datetime AS DATE) AS VARCHAR) AS order_date, count(order_id) AS order_count, CAST(sum(net) AS DOUBLE) AS total_revenue
 FROM ({SILVER_ORDERS}) AS o GROUP BY CAST(order_datetime AS DATE)""")
 def n01_daily(spark, d):
-    return plain(retail.gold_daily(retail.silver_orders(retail_orders(spark, d))).drop("avg_order_value"))
+    daily = retail.gold_daily(retail.silver_orders(retail_orders(spark, d)))
+    return plain(daily.withColumn("total_revenue", F.round("total_revenue", 2)).drop("avg_order_value"))
 
 
 # ---- dimensions ---------------------------------------------------------------------

@@ -10,7 +10,7 @@ from lakeloom.functions.scalars import mean_of_cents
 from lakeloom.operators.joins import lookup
 from lakeloom.operators import rollups as r
 from lakeloom.operators import windows as w
-from lakeloom.session import scratch_path, table
+from lakeloom.session import scratch_path, stage, table
 from lakeloom.streaming import flows
 
 SINCE, UNTIL = "2024-01-15 00:00:00", "2024-01-22 00:00:00"
@@ -152,6 +152,6 @@ FROM (SELECT o_custkey, count(*) AS orders_count, round(sum(o_totalprice), 2) AS
 def q10_segments(spark, d):
     spent = table(spark, d, "orders").filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("orders_count"), F.round(F.sum("o_totalprice"), 2).alias("total_spent"), mean_of_cents("o_totalprice").alias("avg_order_value"))
-    ranked = w.with_ranks(spent, [], ["total_spent desc"], "spending_rank").drop("dense_rank")
+    ranked = w.with_ranks(stage(spent), [], ["total_spent desc"], "spending_rank").drop("dense_rank")
     names = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return ranked.join(names, "o_custkey").withColumn("value_segment", r.spend_segment(F.col("total_spent"), 3000000, 2000000))

@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _cents(amount: Column) -> Column:
+    return F.round(amount * 100).cast("bigint")
+
+
+def _gross(quantity: str, price: str) -> Column:
+    return _cents(F.col(price)) * F.col(quantity).cast("bigint")
+
+
+def _discount(quantity: str, price: str, percent: str) -> Column:
+    """In hundredths of a cent."""
+    return _gross(quantity, price) * F.col(percent).cast("bigint")
+
+
 def gross_amount(quantity: str, price: str) -> Column:
-    """Money is computed in decimals, so cents do not depend on the order of operations."""
-    return F.col(price).cast("decimal(14,2)") * F.col(quantity).cast("decimal(8,0)")
+    """Money is computed in whole cents (and percents of cents), so sums of parts are exact
+    and do not depend on the order of operations; the result is a double."""
+    return _gross(quantity, price) / 100.0
 
 
 def discount_amount(quantity: str, price: str, percent: str) -> Column:
-    return gross_amount(quantity, price) * F.col(percent).cast("decimal(5,2)") * F.lit(Decimal("0.01"))
+    return _discount(quantity, price, percent) / 10000.0
 
 
 def net_amount(quantity: str, price: str, percent: str) -> Column:
-    return gross_amount(quantity, price) - discount_amount(quantity, price, percent)
+    return (_gross(quantity, price) * 100 - _discount(quantity, price, percent)) / 10000.0
 
 
 def rounded_money(quantity: str, price: str, percent: str) -> dict[str, Column]:
-    """total, discount and net amount, each rounded to cents."""
-    total = F.round(gross_amount(quantity, price), 2)
-    discount = F.round(discount_amount(quantity, price, percent), 2)
-    columns = {"total_amount": total, "discount_amount": discount, "net_amount": total - discount}
-    return {name: value.cast("decimal(18,2)") for name, value in columns.items()}
+    """total, discount and net amount, each rounded to cents (half away from zero)."""
+    gross, exact = _gross(quantity, price), _discount(quantity, price, percent)
+    discount = F.signum(exact).cast("bigint") * F.floor((F.abs(exact) + 50) / 100.0)
+    return {"total_amount": gross / 100.0, "discount_amount": discount / 100.0,
+            "net_amount": (gross - discount) / 100.0}
 
 
 def flag(condition: Column) -> Column:

@@ -39,9 +39,9 @@ def silver_order_lines(bronze: DataFrame, today: Column, **unknown) -> DataFrame
         "order_id", "customer_id", "product_id", "store_id",
         F.col("order_datetime").cast("timestamp_ntz").alias("order_ts"), day.alias("order_date"),
         fx.date_key(day).alias("order_date_key"), "quantity", "unit_price", "discount_percent",
-        fx.gross_amount("quantity", "unit_price").cast("double").alias("gross_amount"),
-        fx.discount_amount("quantity", "unit_price", "discount_percent").cast("double").alias("discount_amount"),
-        fx.net_amount("quantity", "unit_price", "discount_percent").cast("double").alias("net_amount"),
+        fx.gross_amount("quantity", "unit_price").alias("gross_amount"),
+        fx.discount_amount("quantity", "unit_price", "discount_percent").alias("discount_amount"),
+        fx.net_amount("quantity", "unit_price", "discount_percent").alias("net_amount"),
         F.coalesce("payment_method", F.lit("Unknown")).alias("payment_method_code"), "source_system",
         *[c.alias(n) for n, c in order_flags(today, **unknown).items()])
 

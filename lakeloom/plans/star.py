@@ -11,6 +11,7 @@ from lakeloom.operators.cdc import current_rows
 from lakeloom.operators.joins import lookup
 from lakeloom.operators.sets import with_constant_row
 from lakeloom.operators.windows import surrogate_key
+from lakeloom.session import stage
 
 UNKNOWN_KEY = -1
 # fixed values: payment codes per group
@@ -62,7 +63,8 @@ def date_dimension_from(df: DataFrame, ts: str) -> DataFrame:
 
 def keyed_dimension(df: DataFrame, key: str, natural: str, unknown: dict[str, object]) -> DataFrame:
     """Surrogate keys in natural-key order plus exactly one unknown member with key -1."""
-    members = df.filter(~F.col(natural).eqNullSafe(F.lit(unknown[natural])))
+    # stored first: the size check and the numbering then read the members, not their plan
+    members = stage(df.filter(~F.col(natural).eqNullSafe(F.lit(unknown[natural]))), "members")
     return with_constant_row(surrogate_key(members, key, [natural]), {key: UNKNOWN_KEY, **unknown})
 
 
@@ -104,7 +106,8 @@ def store_dimension(orders: DataFrame, column: str = "store_id") -> DataFrame:
 def extend_key_map(keys: DataFrame, naturals: DataFrame, key: str, natural: str) -> DataFrame:
     """Keeps the key of every known natural key and numbers the new ones after the largest,
     so refreshed dimensions do not renumber old facts."""
-    new = naturals.select(natural).where(F.col(natural).isNotNull()).distinct().join(keys, natural, "left_anti")
+    new = stage(naturals.select(natural).where(F.col(natural).isNotNull()).distinct()
+                .join(keys, natural, "left_anti"), "new-members")
     top = F.coalesce(keys.agg(F.max(key)).scalar(), F.lit(0))
     numbered = surrogate_key(new, key, [natural]).withColumn(key, F.col(key) + top)
     return keys.select(key, natural).unionByName(numbered.select(key, natural))

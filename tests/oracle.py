@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -59,7 +60,7 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from lakeloom.session import build_session
 
-    folder = "/root/testdata/sf0.01"
+    folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
