@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ("ingest", "columns", "relational", "analytic", "streams", "checks", "tables", "dimensions",
-           "pipelines", "files", "security", "reports")
+           "layers", "files", "security", "reports")
 
 
 def load() -> None:

@@ -57,10 +57,10 @@ def o03(spark, d):
     return layout.read_skipping(spark, path, "l_partkey", 40, 60)
 
 
-@case("o04_liquid_clustering", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem")
+@case("o04_incremental_clustering", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem")
 def o04(spark, d):
     """New parts alone are clustered; other keys recluster all; no keys leaves all as is."""
-    lines, t = _lines(spark, d), VersionedTable(spark, scratch_path(spark, "liquid"))
+    lines, t = _lines(spark, d), VersionedTable(spark, scratch_path(spark, "clustered"))
     t.create(lines.filter("l_linenumber < 4"))
     layout.cluster_table(t, ["l_partkey"])
     t.insert(lines.filter("l_linenumber >= 4"))

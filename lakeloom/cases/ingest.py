@@ -202,7 +202,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM
 def a19(spark, d):
     """Two runs on one checkpoint: half of the files, then the rest."""
     source = landing(spark, table(spark, d, "orders"), "o_orderkey", 4)
-    target, checkpoint = scratch_path(spark, "autoloaded"), scratch_path(spark, "checkpoint")
+    target, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "checkpoint")
     for arrived in ("[0-1]", "[0-3]", "[0-3]"):
         stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "json", ORDER_JSON)
         flows.drain(flows.append_flow(stream, target, checkpoint))
@@ -217,7 +217,7 @@ def a20(spark, d):
     target, state = scratch_path(spark, "evolved"), scratch_path(spark, "state")
 
     def run():
-        stream = flows.autoload(spark, root, "json", state, "addNewColumns")
+        stream = flows.evolving_stream(spark, root, "json", state, "addNewColumns")
         flows.drain(flows.append_flow(stream, target, f"{state}/checkpoint"))
 
     orders.filter("o_orderkey % 2 = 0").select("o_orderkey").write.mode("append").json(root)

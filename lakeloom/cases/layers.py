@@ -48,7 +48,7 @@ def n01_summary(spark, d):
     """The whole run, bronze to gold, written layer by layer."""
     customers = retail_customers(spark, d)
     # the batch load stamps one time on every row, so the source's own version decides
-    layers = retail.run_medallion(spark, customers.select("customer_id", "version_tag", "first_name", "last_name", "email", "customer_segment"),
+    layers = retail.run_layers(spark, customers.select("customer_id", "version_tag", "first_name", "last_name", "email", "customer_segment"),
                                   retail_orders(spark, d), scratch_path(spark, "lake"))
     return plain(layers["gold_customer_summary"].withColumn("total_revenue", F.round("total_revenue", 2)).drop("avg_order_value"))
 
@@ -182,7 +182,7 @@ def c03(spark, d):
     return plain(_fact(lines, *[stage(dim, "dim") for dim in _dims(spark, d, lines)]))
 
 
-@case("n02_retail_pipeline", FACT_SQL)
+@case("n02_retail_layers", FACT_SQL)
 def n02(spark, d):
     """Backfill and stream into bronze, cleansed silver, dimensions and fact, each layer stored."""
     bronze = retail_orders(spark, d)

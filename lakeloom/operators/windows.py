@@ -273,28 +273,49 @@ def with_ranks(df: DataFrame, keys: list[str], order: list[str], rank: str = "ra
 
 
 def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
-                     aggregates: dict[str, tuple[str, str]], hot_rows: int | None = None,
-                     hot: Hot | None = None) -> DataFrame:
+                     aggregates: dict[str, tuple[str, str]], hot_rows: int | None = None) -> DataFrame:
     """Aggregates over the rows whose numeric ``by`` lies in ``[current - width, current]``.
 
-    A hot key is cut into blocks of ``width``; the frame of a row touches its own block and
-    the one before, so every row is sent to two blocks and no block needs the whole key."""
-    hot = hot or hot_keys(df, keys, hot_rows)
+    Rows of equal ``by`` share a frame, so they are first aggregated (with partial combine)
+    to one step per key and value; the frame slides over steps, not rows, and is joined back.
+    A key with very many steps is cut into blocks of ``width``: a frame touches its own block
+    and the one before, so each step is sent to two blocks and none needs the whole key."""
+    parts: dict[str, Column] = {}
+    frames: dict[str, tuple] = {}
+    for name, (fn, col) in aggregates.items():
+        if fn in ("avg", "count"):
+            parts[f"_n_{name}"] = F.count(col)
+            frames[f"_n_{name}"] = (F.sum, f"_n_{name}")
+        if fn in ("avg", "sum", "min", "max"):
+            base = {"min": F.min, "max": F.max}.get(fn, F.sum)
+            parts[f"_v_{name}"] = base(col)
+            frames[f"_v_{name}"] = (base, f"_v_{name}")
+    steps = stage(df.groupBy(*keys, by).agg(*[c.alias(n) for n, c in parts.items()]), "steps")
+    hot = hot_keys(steps, keys, hot_rows)
 
     def columns(window):
         framed = window.rangeBetween(-width, Window.currentRow)
-        return [_AGG[fn](col).over(framed).alias(name) for name, (fn, col) in aggregates.items()]
-
-    plain = columns(Window.partitionBy(*keys).orderBy(by))
-    if not hot.rows:
-        return df.select("*", *plain)
-    usual, large = split_hot(df, keys, hot)
-    block = F.floor(F.col(by) / width)
-    spread = (large.withColumn("_home", block)
-              .withColumn("_block", F.explode(F.array(F.col("_home"), F.col("_home") + 1))))
-    out = (spread.select("*", *columns(Window.partitionBy(*keys, "_block").orderBy(by)))
-           .filter(F.col("_home").eqNullSafe(F.col("_block"))).drop("_home", "_block"))
-    return out if not keys else usual.select("*", *plain).unionByName(out)
+        return [fn(col).over(framed).alias(f"_f{name}") for name, (fn, col) in frames.items()]
+
+    done = steps.select("*", *columns(Window.partitionBy(*keys).orderBy(by)))
+    if hot.rows:
+        usual, large = split_hot(steps, keys, hot)
+        block = F.floor(F.col(by) / width)
+        spread = (large.withColumn("_home", block)
+                  .withColumn("_block", F.explode(F.array(F.col("_home"), F.col("_home") + 1))))
+        out = (spread.select("*", *columns(Window.partitionBy(*keys, "_block").orderBy(by)))
+               .filter(F.col("_home").eqNullSafe(F.col("_block"))).drop("_home", "_block"))
+        done = out if not keys else usual.select("*", *columns(Window.partitionBy(*keys).orderBy(by))).unionByName(out)
+
+    def value(name: str, fn: str) -> Column:
+        if fn == "count":
+            return F.col(f"_f_n_{name}")
+        if fn == "avg":
+            return F.try_divide(F.col(f"_f_v_{name}"), F.col(f"_f_n_{name}"))
+        return F.col(f"_f_v_{name}")
+
+    framed = done.select(*keys, by, *[value(n, fn).alias(n) for n, (fn, _) in aggregates.items()])
+    return join_null_safe(df, framed, [*keys, by], "left").select(*df.columns, *aggregates)
 
 
 def with_totals(df: DataFrame, keys: list[str], aggregates: dict[str, tuple[str, str]]) -> DataFrame:

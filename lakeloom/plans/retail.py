@@ -75,7 +75,7 @@ def gold_daily(orders: DataFrame, ts: str = "order_datetime") -> DataFrame:
                  F.round(F.avg("net_amount"), 2).alias("avg_order_value")).orderBy("order_date"))
 
 
-def run_medallion(spark: SparkSession, customers: DataFrame, orders: DataFrame, root: str) -> dict[str, DataFrame]:
+def run_layers(spark: SparkSession, customers: DataFrame, orders: DataFrame, root: str) -> dict[str, DataFrame]:
     """All six tables in order; every table is overwritten, so a rerun gives the same."""
     def save(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{root}/{name}")

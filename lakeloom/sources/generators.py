@@ -44,6 +44,7 @@ def change_batches(customers: DataFrame, steps: tuple[int, ...] = CHANGE_STEPS)
         return (rows.withColumns(edits)
                 .withColumn("record_type", F.lit(kind)).withColumn("seq", F.lit(number).cast("bigint")))
 
+    # fixed values: the prefixes, segments and amounts of the edits below
     segment = F.col("c_mktsegment")
     moved = F.lit("BUILDING")
     for old, new in SEGMENT_MOVES.items():

@@ -51,7 +51,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, **options) -> Data
     return file_stream(spark, folder, "parquet", schema, pathGlobFilter=f"{name}.parquet", **options)
 
 
-def autoload(spark: SparkSession, path: str, fmt: str, state: str, mode: str = "addNewColumns",
+def evolving_stream(spark: SparkSession, path: str, fmt: str, state: str, mode: str = "addNewColumns",
              infer_types: bool = True, **options) -> DataFrame:
     """File stream with a stored schema that evolves by ``mode`` before each run."""
     schema = refresh_schema(spark, path, fmt, f"{state}/schema", mode, infer_types)

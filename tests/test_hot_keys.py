@@ -52,9 +52,14 @@ def test_ranks(skewed, keys, order):
     assert rows(w.with_ranks(skewed, keys, order, hot_rows=300)) == rows(w.with_ranks(skewed, keys, order))
 
 
-def test_range_frame(skewed):
-    wanted = {"s": ("sum", "x"), "n": ("count", "id"), "m": ("min", "v")}
-    assert rows(w.with_range_frame(skewed, ["k"], "v", 25, wanted, hot_rows=300)) == rows(w.with_range_frame(skewed, ["k"], "v", 25, wanted))
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_range_frame(skewed, keys):
+    wanted = {"s": ("sum", "x"), "n": ("count", "id"), "m": ("min", "v"), "a": ("avg", "x")}
+    framed = Window.partitionBy(*keys).orderBy("v").rangeBetween(-25, 0)
+    native = skewed.select("*", F.sum("x").over(framed).alias("s"), F.count("id").over(framed).alias("n"),
+                           F.min("v").over(framed).alias("m"), F.avg("x").over(framed).alias("a"))
+    for limit in (None, 60):
+        assert rows(w.with_range_frame(skewed, keys, "v", 25, wanted, hot_rows=limit)) == rows(native)
 
 
 def test_totals_and_latest(skewed):

@@ -99,10 +99,10 @@ def test_unknown_member_is_single(spark):
     assert sorted((r["store_id"], r["store_key"]) for r in star.store_dimension(orders).collect()) == [("1", 1), ("2", 2), ("UNKNOWN", -1)]
 
 
-def test_medallion_rerun_gives_the_same_tables(spark, data):
+def test_layers_rerun_gives_the_same_tables(spark, data):
     from lakeloom.cases.inputs import retail_customers, retail_orders
     root = scratch_path(spark, "lake")
     customers = retail_customers(spark, data).select("customer_id", "version_tag", "first_name", "last_name", "email", "customer_segment")
-    first = {n: df.count() for n, df in retail.run_medallion(spark, customers, retail_orders(spark, data), root).items()}
-    second = {n: df.count() for n, df in retail.run_medallion(spark, customers, retail_orders(spark, data), root).items()}
+    first = {n: df.count() for n, df in retail.run_layers(spark, customers, retail_orders(spark, data), root).items()}
+    second = {n: df.count() for n, df in retail.run_layers(spark, customers, retail_orders(spark, data), root).items()}
     assert first == second and len(first) == 6 and all(first.values())
