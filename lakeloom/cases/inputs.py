@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.operators.cdc import scd2, scd2_refresh
-from lakeloom.session import scratch_path, stage, table
+from lakeloom.session import scratch_path, spread, stage, table
 from lakeloom.sources.generators import change_batches
 
 UNKNOWN_ID = 999999
@@ -31,7 +31,7 @@ RETAIL_SQL = ("SELECT " + ", ".join(f"{e} AS {n}" for n, e in RETAIL_COLUMNS.ite
 
 def retail_orders(spark: SparkSession, d: str) -> DataFrame:
     """Retail order lines with nulls, returns, unknown members and missing codes."""
-    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    lines, orders = spread(table(spark, d, "lineitem")), table(spark, d, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         *[F.expr(e.replace("TIMESTAMP '", "TIMESTAMP_NTZ '").replace("VARCHAR(20)", "STRING")).alias(n)
           for n, e in RETAIL_COLUMNS.items()])

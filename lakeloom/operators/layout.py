@@ -133,8 +133,7 @@ def read_skipping(spark: SparkSession, path: str, column: str, low, high=None) -
     high = low if high is None else high
     files = files_for(spark.read.parquet(f"{path}/_stats"), column, low, high).select("file_path")
     names = [r["file_path"] for r in files.collect()]  # file names, not data
-    schema = spark.read.parquet(path).schema
-    source = spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
+    source = spark.read.parquet(*names) if names else spark.read.parquet(path).limit(0)
     return source.filter(F.col(column).between(F.lit(low), F.lit(high)))
 
 

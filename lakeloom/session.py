@@ -81,3 +81,11 @@ def setting(spark: SparkSession, name: str, default: int) -> int:
 def plan_bytes(df: DataFrame) -> int:
     """Size Catalyst estimates for the optimised plan; an upper bound for scans and filters."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, small: int = 256 << 20) -> DataFrame:
+    """Small scans only: a file of one row group is one task however many cores there are, so
+    its rows are dealt out before heavy per-row work.  Larger inputs have splits enough and
+    are returned as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan_bytes(df) < small else df
