@@ -191,7 +191,7 @@ def m09(spark, d):
 SELECT *, CASE WHEN __END_AT IS NULL THEN 'Current' ELSE 'Historical' END AS version_status FROM ({SCD2_SQL}) AS h
 WHERE c_custkey IN (SELECT c_custkey FROM ({SCD2_SQL}) AS i GROUP BY c_custkey HAVING count(*) > 1)""")
 def m10(spark, d):
-    return cdc.history_audit(cdc.scd2(_events(spark, d), KEYS, SEQ), KEYS)
+    return cdc.history_audit(stage(cdc.scd2(_events(spark, d), KEYS, SEQ), "history"), KEYS)
 
 
 PRICES_SQL = f"""

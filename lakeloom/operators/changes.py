@@ -145,7 +145,3 @@ def changes_between(old: DataFrame, new: DataFrame, key: list[str] | None = None
 def upserts(feed: DataFrame) -> DataFrame:
     """Rows a consumer of the feed should apply: inserts and new versions."""
     return feed.filter(F.col("_change_type").isin("insert", "update_postimage"))
-
-
-__all__ = ["insert", "update", "delete", "truncate", "merge", "When", "changes_between", "upserts",
-           "with_generated", "with_identity"]

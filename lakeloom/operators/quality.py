@@ -87,11 +87,10 @@ def validate_tables(tables: dict[str, DataFrame | Exception], minimum: int = 1)
     reports = []
     for name, df in tables.items():
         if isinstance(df, Exception):
-            raise_free = F.lit(str(df))
             spark = next(d for d in tables.values() if isinstance(d, DataFrame)).sparkSession
             reports.append(spark.range(1).select(
                 F.lit(name).alias("table_name"), F.lit("FAIL").alias("status"),
-                F.lit(0).cast("bigint").alias("row_count"), raise_free.alias("error")))
+                F.lit(0).cast("bigint").alias("row_count"), F.lit(str(df)).alias("error")))
             continue
         counted = df.agg(F.count(F.lit(1)).alias("row_count"))
         ok = F.col("row_count") >= minimum
