@@ -21,6 +21,7 @@ PROFILE = {
 }
 
 _local_dirs: dict[str, str] = {}
+_staged: list[str] = []
 
 
 def shuffle_partitions(input_bytes: int, bytes_per_task: int = 128 << 20, least: int = 200) -> int:
@@ -70,9 +71,20 @@ def stage(df: DataFrame, label: str = "stage", fmt: str = "parquet", **options:
     passes re-read columns from storage instead of recomputing the plan."""
     path = scratch_path(df.sparkSession, label)
     df.write.format(fmt).options(**options).save(path)
+    _staged.append(path)
     return df.sparkSession.read.format(fmt).options(**options).schema(df.schema).load(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Deletes what ``stage`` wrote in this process; call it once results are stored."""
+    for path in _staged:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    count = len(_staged)
+    _staged.clear()
+    return count
+
+
 def setting(spark: SparkSession, name: str, default: int) -> int:
     """Integer tuning value ``spark.lakeloom.<name>`` of the session."""
     return int(spark.conf.get(f"spark.lakeloom.{name}", str(default)))

@@ -179,3 +179,6 @@ def test_session_helpers(spark):
     assert session.setting(spark, "unset", 7) == 7
     staged = session.stage(numbers(spark, 0, 5))
     assert rows(staged) == rows(numbers(spark, 0, 5))
+    where = staged.inputFiles()[0].rsplit("/", 1)[0]
+    assert session.drop_staged(spark) >= 1 and not incremental.path_exists(spark, where)
+    assert session.drop_staged(spark) == 0
