@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, simhash
+from lakeloom.llm import decontaminate, quality, simhash
 from lakeloom.llm.registry import QUERIES, TWINS, query
 from lakeloom.session import table
 
@@ -44,3 +44,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents")).drop("language")
