@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, quality, simhash
+from lakeloom.llm import decontaminate, mixing, quality, sharding, simhash
 from lakeloom.llm.registry import QUERIES, TWINS, query
 from lakeloom.session import table
 
@@ -49,3 +49,21 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("language")
+
+
+@query("op3_mix_to_target_weights")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    decided, sizes, targets = mixing.mix(docs)
+    known = mixing.source_table(docs, sizes, targets).withColumnRenamed("source", "s")
+    return (decided.withColumn("source", F.col("sources")[0])
+            .join(F.broadcast(known), F.col("source").eqNullSafe(F.col("s")))
+            .select("doc_id", "size", "source_size", "target", "taken", "source", "copies"))
+
+
+@query("op5_longest_processing_time_sharding")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    crc = F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")
+    return sharding.shard(table(spark, folder, "documents"), keep=(crc,)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
