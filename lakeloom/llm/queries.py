@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, quality, sharding, simhash
+from lakeloom.llm import decontaminate, mixing, quality, sharding, simhash, url_rules
 from lakeloom.llm.registry import QUERIES, TWINS, query
 from lakeloom.session import table
 
@@ -67,3 +67,12 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     crc = F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")
     return sharding.shard(table(spark, folder, "documents"), keep=(crc,)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: The rules that the contract of this query gives.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query("op1_url_association_rules")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
@@ -158,3 +158,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: in
 
 def hex_print(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE,
+                         id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``: its least doc_id.
+
+    Rows with the same doc_id are one document, of which one row (by text) stays; a row without
+    doc_id is named by its text.  All columns are kept."""
+    name = F.coalesce(docs[id_column].cast("long"), F.xxhash64(F.lit("no id"), docs[text_column]))
+    named = docs.withColumn("_name", name)
+    found = stage(near_duplicates(named, shingle, radius, tile, "_name", text_column), "near")
+    kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    first = named.join(kept.select(F.col("doc_id").alias("_name")), "_name", "left_semi")
+    if kept.filter("n > 1").limit(1).count():
+        order = Window.partitionBy("_name").orderBy(F.col(text_column).asc_nulls_last())
+        first = first.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
+    return first.select(*[f"`{c}`" for c in docs.columns])
