@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, quality, sharding, simhash, url_rules
+from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, url_rules
 from lakeloom.llm.registry import QUERIES, TWINS, query
 from lakeloom.session import table
 
@@ -76,3 +76,8 @@ URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 @query("op1_url_association_rules")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
+
+
+@query("op2_html_line_block_extraction")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.page_texts(table(spark, folder, "pages"))
