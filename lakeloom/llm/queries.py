@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, url_rules
+from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, token_rollup, url_rules, warc
 from lakeloom.llm.registry import QUERIES, TWINS, query
-from lakeloom.session import table
+from lakeloom.session import scratch_path, stage, table
 
 __all__ = ["QUERIES", "TWINS"]
 
@@ -81,3 +81,35 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_html_line_block_extraction")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.page_texts(table(spark, folder, "pages"))
+
+
+#: Tokenizer versions of the token rollup: rank files, by version.
+TOKENIZERS = {"byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"}
+
+
+@query("op6_delta_token_rollups")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents come in by one batch; the next drops repeated lines (revised counts) and
+    takes off exact copies (deletes).  Both are sent twice."""
+    lines = F.split("text", "\n")
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text", F.sha2("text", 256).alias("sha"))
+    shorter = F.array_join(F.array_distinct(lines), "\n")
+    both = docs.select("doc_id", "source", "lang", "sha", F.explode(F.array(
+        F.struct(F.lit("insert").alias("op"), F.col("text")), F.struct(F.lit("revise").alias("op"), shorter.alias("text")))).alias("t"))
+    wanted = both.select("doc_id", "source", "lang", "sha", "t.op", "t.text").filter("op = 'insert' OR sha2(text, 256) <> sha")
+    counted = stage(token_rollup.count_tokens(wanted, TOKENIZERS), "tokens")
+    root = scratch_path(spark, "rollup")
+    inserts = counted.filter("op = 'insert'")
+    first = inserts.groupBy("sha").agg(F.min("doc_id").alias("first"))
+    copies = inserts.join(first, "sha").filter("doc_id > first").withColumn("op", F.lit("delete"))
+    changes = counted.filter("op = 'revise'").unionByName(copies.select(*counted.columns))
+    for _ in range(2):
+        token_rollup.commit(spark, root, "batch-1", inserts)
+        token_rollup.commit(spark, root, "batch-2", changes)
+    return token_rollup.totals(spark, root)
+
+
+@query("op8_warc_derivatives")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.responses(table(spark, folder, "pages"))
+    return warc.derive(records, keep=("page_id",)).drop("record")
