@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, token_rollup, url_rules, warc
+from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, substring_dedup, token_rollup, url_rules, warc
 from lakeloom.llm.registry import QUERIES, TWINS, query
 from lakeloom.session import scratch_path, stage, table
 
@@ -113,3 +113,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.responses(table(spark, folder, "pages"))
     return warc.derive(records, keep=("page_id",)).drop("record")
+
+
+@query("op7_bounded_bwt_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, folder, "documents"))
