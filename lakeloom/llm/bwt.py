@@ -29,7 +29,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     while covered < depth:
         step = min(covered, depth - covered)  # the last step overlaps what is covered
         later = np.zeros(len(rank), np.uint64)
-        later[:len(rank) - step] = rank[step:] + np.uint64(1)
+        later[:max(0, len(rank) - step)] = rank[step:] + np.uint64(1)
         order, rank = _ranks(rank << np.uint64(32) | later)
         covered += step
     return order

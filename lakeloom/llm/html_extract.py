@@ -36,10 +36,11 @@ OUTSIDE_NAMES = frozenset(
     "subscribe subscription signup login share sharing social related recommended recommendations widget widgets toolbar "
     "pagination pager skip copyright legal".split())
 
-# a tag; the second form takes one whose quotes are broken.  Both stop early, so that a page of
-# broken markup is still read in linear time
+# a tag; the second form takes one whose quotes are broken.  Both give up after a bounded way, so
+# that a page of broken markup takes no quadratic time
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>"""
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>"""
+    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"]{0,1000}+"|'[^']{0,1000}+'){0,100}+)>"""
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]{0,4000}+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_PARTS = re.compile(r"[a-z0-9]+")

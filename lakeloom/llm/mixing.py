@@ -10,7 +10,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.text import word_count
+from lakeloom.llm.text import free, word_count
 from lakeloom.session import stage
 
 #: Weights of the sources in code point order, null last, repeating.
@@ -257,7 +257,8 @@ def mixed_rows(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFra
 
     Rows that share a doc_id share its copies evenly, rounded up."""
     decided, _, _ = mix(docs, id_column=id_column, **options)
-    copies = (decided.groupBy("doc_id").agg(F.sum(F.size("copies")).alias("_taken"), F.count(F.lit(1)).alias("_rows"))
-              .filter("_taken > 0").select(F.col("doc_id").alias("_id"), F.ceil(F.col("_taken") / F.col("_rows")).cast("int").alias("_n")))
-    met = docs.join(copies, docs[id_column].cast("long").eqNullSafe(copies["_id"]))
-    return met.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[docs[c] for c in docs.columns])
+    name, n = free(docs.columns, "name"), free(docs.columns, "n")
+    copies = (decided.groupBy("doc_id").agg(F.sum(F.size("copies")).alias("taken"), F.count(F.lit(1)).alias("rows"))
+              .filter("taken > 0").select(F.col("doc_id").alias(name), F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("rows")).cast("int")).alias(n)))
+    met = docs.join(copies, docs[id_column].cast("long").eqNullSafe(copies[name]))
+    return met.select(*[docs[c] for c in docs.columns], F.explode(n).alias(name)).drop(name)

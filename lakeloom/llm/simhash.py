@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
-from lakeloom.llm.text import LOWER, blocks, text_bytes
+from lakeloom.llm.text import LOWER, blocks, free, text_bytes
 from lakeloom.session import stage
 
 SEED = 42
@@ -166,12 +166,12 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, til
 
     Rows with the same doc_id are one document, of which one row (by text) stays; a row without
     doc_id is named by its text.  All columns are kept."""
-    name = F.coalesce(docs[id_column].cast("long"), F.xxhash64(F.lit("no id"), docs[text_column]))
-    named = docs.withColumn("_name", name)
-    found = stage(near_duplicates(named, shingle, radius, tile, "_name", text_column), "near")
+    name, nth = free(docs.columns, "name"), free(docs.columns, "nth")
+    named = docs.withColumn(name, F.coalesce(docs[id_column].cast("long"), F.xxhash64(F.lit("no id"), docs[text_column])))
+    found = stage(near_duplicates(named, shingle, radius, tile, name, text_column), "near")
     kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    first = named.join(kept.select(F.col("doc_id").alias("_name")), "_name", "left_semi")
+    first = named.join(kept.select(F.col("doc_id").alias(name)), name, "left_semi")
     if kept.filter("n > 1").limit(1).count():
-        order = Window.partitionBy("_name").orderBy(F.col(text_column).asc_nulls_last())
-        first = first.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
+        order = Window.partitionBy(name).orderBy(F.col(text_column).asc_nulls_last())
+        first = first.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1)
     return first.select(*[f"`{c}`" for c in docs.columns])

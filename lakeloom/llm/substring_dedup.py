@@ -128,9 +128,16 @@ class Chunk:
         return cls(ids, text, starts, first, np.diff(edges)[runs], doc, hashes[place[first]])
 
 
-def _chunk(table: pa.Table, skip: np.ndarray, length: int, width: int) -> Chunk:
+def _copied(table: pa.Table, notes: pa.Table) -> np.ndarray:
+    """Which rows copy an earlier document."""
+    known = {(doc, mark) for r in _group_rows(notes, "copies")
+             for doc, mark in zip(*(np.frombuffer(r[k], np.int64).tolist() for k in ("a", "b")), strict=True)}
+    return np.array([pair in known for pair in zip(table.column("doc_id").to_pylist(), table.column("mark").to_pylist(), strict=True)], bool)
+
+
+def _chunk(table: pa.Table, copied: np.ndarray, length: int, width: int) -> Chunk:
     ids = table.column("doc_id").to_numpy()
-    keep = np.flatnonzero(~np.isin(ids, skip))
+    keep = np.flatnonzero(~copied)
     texts = text_bytes(table.column("text").take(pa.array(keep)))
     order = sorted(range(len(texts)), key=lambda i: (ids[keep[i]], texts[i]))
     return Chunk.of(ids[keep][order], [texts[i] for i in order], length, width)
@@ -218,10 +225,6 @@ def _group_rows(table: pa.Table, kind: str) -> list[dict]:
     return [r for r in table.to_pylist() if r["kind"] == kind]
 
 
-def _skipped(notes: pa.Table) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["a"], np.int64) for r in _group_rows(notes, "copies"))])
-
-
 def _masks(notes: pa.Table, found: Anchors) -> tuple[np.ndarray, np.ndarray]:
     """Which of the chunk's anchors are shared, and which are hot, from the buckets' answers."""
     shared, hot = found.several.copy(), np.zeros(len(found.keys), bool)
@@ -380,21 +383,27 @@ def dedup(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, id_column:
     chunks = max(1, int(total // max(chunk_bytes, int((1_000 * total) ** 0.5))))
     buckets = chunks
     chunk_of = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk")
-    texts = narrow.select(chunk_of, "doc_id", "text")
+    mark = F.xxhash64("text").alias("mark")  # tells rows with one doc_id apart
+    texts = narrow.select(chunk_of, "doc_id", mark, "text")
+
+    def number(table: pa.Table) -> int:
+        return table.column("chunk")[0].as_py()
 
     # whole copies of an earlier document need no search: all their windows go
-    named = narrow.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n"))
+    named = narrow.select("doc_id", mark, F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n"))
     least = named.groupBy("sha").agg(F.min("doc_id").alias("least"))
-    copies = (named.filter(F.col("n") >= length).join(least, "sha").filter("doc_id > least").select(chunk_of, "doc_id")
-              .groupBy("chunk").applyInArrow(lambda t: _noted([(t.column("chunk")[0].as_py(), "copies", 0, np.unique(t.column("doc_id").to_numpy()).tobytes(), None, None)]), NOTES))
 
-    def number(table: pa.Table) -> int:
-        return table.column("chunk")[0].as_py()
+    def list_copies(table: pa.Table) -> pa.Table:
+        ids, marks = (table.column(c).to_numpy().tobytes() for c in ("doc_id", "mark"))
+        return _noted([(number(table), "copies", 0, ids, marks, None)])
+
+    copies = (named.filter(F.col("n") >= length).join(least, "sha").filter("doc_id > least")
+              .select(chunk_of, "doc_id", "mark").groupBy("chunk").applyInArrow(list_copies, NOTES))
 
     def send_anchors(table: pa.Table, notes: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _sent([])
-        found = Anchors.of(_chunk(table, _skipped(notes), length, width), buckets)
+        found = Anchors.of(_chunk(table, _copied(table, notes), length, width), buckets)
         rows = []
         for bucket, part in found.slices():
             runs = np.where(found.runs[part] > 1, found.runs[part], 0).astype(np.uint32)
@@ -404,7 +413,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, id_column:
     def send_fragments(table: pa.Table, notes: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _sent([])
-        chunk = _chunk(table, _skipped(notes), length, width)
+        chunk = _chunk(table, _copied(table, notes), length, width)
         found = Anchors.of(chunk, buckets)
         sent = Fragments.of(chunk, found, *_masks(notes, found), buckets, length)
         cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(sent.bucket) != 0))), len(sent.bucket)) if len(sent.bucket) else np.zeros(1, np.int64)
@@ -416,27 +425,22 @@ def dedup(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, id_column:
         return _sent(rows)
 
     def finish(table: pa.Table, notes: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_numpy() if table.num_rows else np.zeros(0, np.int64)
-        skip = _skipped(notes)
         rows = []
-        if len(ids):
-            chunk = _chunk(table, skip, length, width)
+        if table.num_rows:
+            copied = _copied(table, notes)
+            chunk = _chunk(table, copied, length, width)
             found = Anchors.of(chunk, buckets)
             sent = Fragments.of(chunk, found, *_masks(notes, found), buckets, length)
             gone = _removed(chunk, sent, notes, length)
-            data = chunk.text
             for i, doc in enumerate(chunk.ids.tolist()):
-                a, b = chunk.starts[i], chunk.starts[i + 1]
-                out = gone[a:b]
+                data, out = (x[chunk.starts[i]:chunk.starts[i + 1]] for x in (chunk.text, gone))
                 n = int(np.count_nonzero(out))
-                kept = data[a:b][~out].tobytes() if n else data[a:b].tobytes()
+                kept = data[~out].tobytes() if n else data.tobytes()
                 spans = int(out[0]) + int(np.count_nonzero(out[1:] & ~out[:-1])) if n else 0
-                rows.append((doc, int(b - a), n, spans, _digest(kept), kept if with_kept else None))
-            copied = np.flatnonzero(np.isin(ids, skip)).tolist()
-            sizes = table.column("text")
-            for i in copied:
-                n = len(sizes[i].as_py())
-                rows.append((int(ids[i]), n, n, 1, _digest(b""), b"" if with_kept else None))
+                rows.append((doc, len(data), n, spans, _digest(kept), kept if with_kept else None))
+            whole = table.filter(pa.array(copied))
+            for doc, text in zip(whole.column("doc_id").to_pylist(), whole.column("text").to_pylist(), strict=True):
+                rows.append((doc, len(text), len(text), 1, _digest(b""), b"" if with_kept else None))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         return pa.table({n: pa.array(c, k) for n, c, k in zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"), columns, kinds, strict=True)})

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Java pattern of a word cut at ASCII white space; the same as ``bytes.split()``.
@@ -41,6 +41,14 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator
         yield batch.slice(start)
 
 
+def free(columns: list[str], name: str) -> str:
+    """A name like ``name`` that none of the columns has (letter case aside)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Words cut at ASCII white space; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -49,9 +57,3 @@ def word_count(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def with_rows_of(docs: DataFrame, decisions: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose key occurs in ``decisions``; null matches null."""
-    side = decisions.select(F.col(key).alias("_key")).distinct()
-    return docs.join(side, docs[key].eqNullSafe(side["_key"]), "left_semi")

@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.text import blocks
+from lakeloom.llm.text import blocks, free
 
 # Fixed value: the pattern that splits texts before the merges of rank files.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -41,12 +41,13 @@ def count_tokens(docs: DataFrame, tokenizers: dict[str, str], text_column: str =
             ranks[version] = file.read()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     rest = [c for c in docs.columns if c not in (text_column, "version", "tokens", "chars")]
-    narrow = docs.select(*rest, F.col(text_column).cast("string").alias("_text"))
+    text = free(rest, "text")
+    narrow = docs.select(*[docs[c] for c in rest], docs[text_column].cast("string").alias(text))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, "_text"):
-                texts = [t or "" for t in part.column("_text").to_pylist()]
+            for part in blocks(batch, text):
+                texts = [t or "" for t in part.column(text).to_pylist()]
                 chars = pa.array([len(t) for t in texts], pa.int64())
                 own = [part.column(c) for c in rest]
                 for version, file in shared.value.items():
@@ -54,7 +55,7 @@ def count_tokens(docs: DataFrame, tokenizers: dict[str, str], text_column: str =
                     counts = pa.array([len(encode(t)) for t in texts], pa.int64())
                     yield pa.record_batch([*own, pa.array([version] * len(texts)), counts, chars], [*rest, "version", "tokens", "chars"])
 
-    fields = [f"`{name}` {kind}" for name, kind in narrow.select(*rest).dtypes]
+    fields = [f"`{name}` {kind}" for name, kind in narrow.drop(text).dtypes]
     return narrow.mapInArrow(count, ", ".join([*fields, "version string", "tokens long", "chars long"]))
 
 

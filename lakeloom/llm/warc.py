@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.html_extract import lines_of
-from lakeloom.llm.text import blocks
+from lakeloom.llm.text import blocks, free
 
 DATE = "1970-01-01T00:00:00Z"
 #: Records of a page are named in this space, so that a rerun gives the same identifiers.
@@ -108,8 +108,8 @@ def page_of(fields: list[tuple[str, str]], body: bytes) -> str:
 
 def response_of(page_id: object, url: str | None, page: str | None, date: str = DATE) -> tuple[str, bytes]:
     """Identifier and bytes of the response record of a stored page."""
-    name = f"<urn:uuid:{uuid.uuid5(SPACE, f'{page_id} {url}')}>"
     body = (page or "").encode()
+    name = f"<urn:uuid:{uuid.uuid5(SPACE, f'{page_id} {url} {digest(body)}')}>"
     block = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(body)) + body
     return name, record_bytes([
         ("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", date), ("WARC-Target-URI", url or ""),
@@ -175,9 +175,9 @@ def derive(records: DataFrame, record_column: str = "record", keep: tuple[str, .
     give repeated rows; what cannot be parsed gives empty fields and never stops the job."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, "_record"):
+            for part in blocks(batch, source):
                 places, made = [], []
-                for at, record in enumerate(part.column("_record").to_pylist()):
+                for at, record in enumerate(part.column(source).to_pylist()):
                     if record and parse_record(record)[0].get("warc-type") == "response":
                         for row in derivatives(record):
                             places.append(at)
@@ -188,6 +188,7 @@ def derive(records: DataFrame, record_column: str = "record", keep: tuple[str, .
 
     names = [f.split()[0] for f in RECORD.split(", ")]
     kinds = [pa.binary() if n == "record" else pa.int64() if n == "content_length" else pa.string() for n in names]
-    narrow = records.select(*keep, F.col(record_column).cast("binary").alias("_record"))
+    source = free([*keep, *names], "source")
+    narrow = records.select(*keep, F.col(record_column).cast("binary").alias(source))
     fields = [f"`{name}` {kind}" for name, kind in narrow.select(*keep).dtypes] if keep else []
     return narrow.mapInArrow(build, ", ".join([*fields, RECORD]))
