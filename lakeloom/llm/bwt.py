@@ -26,12 +26,18 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     if covered < 8:
         keys >>= np.uint64(8 * (8 - covered))
     order, rank = _ranks(keys)
-    while covered < depth:
-        step = min(covered, depth - covered)  # the last step overlaps what is covered
-        later = np.zeros(len(rank), np.uint64)
-        later[:max(0, len(rank) - step)] = rank[step:] + np.uint64(1)
-        order, rank = _ranks(rank << np.uint64(32) | later)
+    while covered < depth:  # a key holds as many ranks as fit, the last of which may overlap
+        bits = int(rank[order[-1]] + np.uint64(1)).bit_length()
+        key = rank
+        for part in range(1, max(2, 64 // bits)):
+            step = min(part * covered, depth - covered)
+            later = np.zeros(len(rank), np.uint64)
+            later[:max(0, len(rank) - step)] = rank[step:] + np.uint64(1)
+            key = key << np.uint64(bits) | later
+            if step == depth - covered:
+                break
         covered += step
+        order, rank = _ranks(key)
     return order
 
 
@@ -56,15 +62,22 @@ def bounded_prefixes(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.nd
     begins = first.copy()
     left = np.flatnonzero(~first).astype(np.int32)
     low, high = source[left - 1], source[left]
+    beside = low + 1 == high  # where the symbol stands twice in a row, one place decides
+    near, near_high = left[beside], high[beside]
+    far, low, high = left[~beside], low[~beside], high[~beside]
     for length in range(1, depth):
-        seen = np.cumsum(begins, dtype=np.int32)
-        met = seen[high] > seen[low]
-        if not met.any():
+        met = begins[near_high]
+        new = near[met]
+        near, near_high = near[~met], near_high[~met]
+        if len(far):
+            seen = np.cumsum(begins, dtype=np.int32)
+            met = seen[high] > seen[low]
+            new = np.concatenate((new, far[met]))
+            far, low, high = far[~met], low[~met], high[~met]
+        if not len(new):
             break
-        lcp[left[met]] = length
-        begins[left[met]] = True
-        rest = ~met
-        left, low, high = left[rest], low[rest], high[rest]
+        lcp[new] = length
+        begins[new] = True
     return order, lcp
 
 

@@ -35,7 +35,7 @@ ANCHOR = 25
 #: a chunk sends to a bucket stays long enough.
 CHUNK_BYTES = 8 << 20
 #: Fragments of one transform have about so many bytes together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 18
 #: Anchors that occur so often are dealt by window.
 HOT = 4_096
 
@@ -69,7 +69,7 @@ def rolling(text: np.ndarray, width: int) -> np.ndarray:
         size *= 2
 
 
-def anchors(text: np.ndarray, length: int, width: int, block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+def anchors(text: np.ndarray, length: int, width: int, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
     """For every window of ``length`` bytes: where its anchor is, the first of the strings of
     ``width`` bytes in it whose hash is least; and the hash of every string of ``width``."""
     n, span = len(text) - length + 1, length - width + 1
@@ -143,6 +143,11 @@ def _chunk(table: pa.Table, copied: np.ndarray, length: int, width: int) -> Chun
     return Chunk.of(ids[keep][order], [texts[i] for i in order], length, width)
 
 
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of the hashes, so sorted hashes are in order of buckets too."""
+    return (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
 @dataclass
 class Anchors:
     """The anchors of a chunk by bucket: those of one run, and those of several, with counts of
@@ -155,17 +160,16 @@ class Anchors:
 
     @classmethod
     def of(cls, chunk: Chunk, buckets: int) -> Anchors:
-        low = chunk.key & _LOW
-        bucket = ((chunk.key >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((low, bucket))
+        order = np.argsort(chunk.key)
+        key = chunk.key[order]
         new = np.ones(len(order), bool)
-        new[1:] = (bucket[order[1:]] != bucket[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        new[1:] = key[1:] != key[:-1]
         heads = np.flatnonzero(new)
         of_run = np.empty(len(order), np.int64)
         of_run[order] = np.cumsum(new) - 1
         docs = chunk.ids[chunk.doc[order]] if len(order) else np.zeros(0, np.int64)
         several = (np.maximum.reduceat(docs, heads) != np.minimum.reduceat(docs, heads)) if len(heads) else np.zeros(0, bool)
-        return cls(bucket[order[heads]], low[order[heads]], np.diff(np.append(heads, len(order))), several, of_run)
+        return cls(_bucket(key[heads], buckets), key[heads] & _LOW, np.diff(np.append(heads, len(order))), several, of_run)
 
     def slices(self) -> Iterator[tuple[int, slice]]:
         cuts = np.flatnonzero(np.diff(self.bucket)) + 1
@@ -207,9 +211,9 @@ class Fragments:
             windows = np.lib.stride_tricks.sliding_window_view(chunk.text, length)
             own = np.concatenate([rolling(windows[each[i:i + 65_536]].ravel(), length)[::length] for i in range(0, len(each), 65_536)])
             start, count, doc = (np.concatenate(x) for x in ((start, each), (count, np.ones(len(each), np.int64)), (doc, np.repeat(chunk.doc[dealt], n))))
-            bucket = np.concatenate((bucket, ((own >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)))
+            bucket = np.concatenate((bucket, _bucket(own, buckets)))
             key = np.concatenate((key, own & _LOW))
-        order = np.lexsort((start, bucket))
+        order = np.argsort(bucket, kind="stable")
         start, count, doc, bucket, key = (x[order] for x in (start, count, doc, bucket, key))
         data = chunk.text.tobytes()
         numbers: dict[tuple[int, bytes], int] = {}
