@@ -67,6 +67,20 @@ def e05(spark, d):
     return out.select("o_orderkey", F.round("last_quarter", 2).alias("last_quarter"), "orders_in_range")
 
 
+@case("e05_range_frame_nulls_hot", """
+SELECT o_orderkey, round(sum(o_totalprice) OVER t, 2) AS last_quarter, count(*) OVER t AS orders_in_range
+FROM (SELECT *, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS customer,
+  CASE WHEN o_orderkey % 11 <> 0 THEN date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) END AS day_no FROM orders) AS x
+WINDOW t AS (PARTITION BY customer ORDER BY day_no NULLS FIRST RANGE BETWEEN 90 PRECEDING AND CURRENT ROW)""")
+def e05_nulls(spark, d):
+    """The null key holds a third of the rows and is split; null days share a frame of their own."""
+    rows = _orders(spark, d).withColumns({
+        "customer": F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")),
+        "day_no": F.when(F.col("o_orderkey") % 11 != 0, F.unix_date(F.to_date("o_orderdate")))})
+    out = w.with_range_frame(rows, ["customer"], "day_no", 90, {"last_quarter": ("sum", "o_totalprice"), "orders_in_range": ("count", "o_orderkey")}, hot_rows=50)
+    return out.select("o_orderkey", F.round("last_quarter", 2).alias("last_quarter"), "orders_in_range")
+
+
 @case("e06_whole_partition_frame", """
 SELECT o_orderkey, o_custkey, round(o_totalprice / sum(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS share, count(*) OVER (PARTITION BY o_custkey) AS orders FROM orders""")
 def e06(spark, d):

@@ -8,7 +8,6 @@ from lakeloom.cases.inputs import RETAIL_SQL, retail_orders
 from lakeloom.cases.ingest import DIRTY_SQL
 from lakeloom.cases.registry import case, plain
 from lakeloom.operators import quality as q
-from lakeloom.operators.versions import VersionedTable
 from lakeloom.plans import order_flow
 from lakeloom.plans.retail import ORDER_RULES
 from lakeloom.session import scratch_path, table
@@ -44,6 +43,22 @@ def k03(spark, d):
     return plain(q.expect_or_fail(_dirty(spark, d), order_flow.FAIL))
 
 
+@case("k03_fail_then_filter", f"SELECT o_orderkey, o_orderstatus FROM ({DIRTY_SQL}) AS x WHERE o_orderstatus = 'F' AND o_orderkey IS NOT NULL")
+def k03_filter(spark, d):
+    """A filter or join after the rule does not hide rows from it: a rule that rows outside the
+    filter violate ends the job."""
+    dirty = _dirty(spark, d)
+    keys = dirty.filter("o_orderstatus = 'F'").select("o_orderkey").distinct()
+    for later in (lambda df: df.filter("o_orderstatus = 'F'"), lambda df: df.join(keys, "o_orderkey")):
+        try:
+            later(q.expect_or_fail(dirty, {"no_open_orders": "o_orderstatus <> 'O'"})).count()
+        except q.CheckFailed as refused:
+            assert "no_open_orders" in str(refused)
+            continue
+        raise AssertionError("the violation was hidden")
+    return q.expect_or_fail(dirty, order_flow.FAIL).filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
+
+
 @case("k04_rule_sets", f"""
 SELECT 'orders' AS dataset, count(*) AS kept FROM ({DIRTY_SQL}) AS x WHERE {VALID}
 UNION ALL SELECT 'clean', count(*) FROM orders WHERE {VALID}""")
@@ -94,13 +109,13 @@ def k08(spark, d):
 def k09(spark, d):
     """A violating insert is refused as a whole and leaves the table as it was."""
     rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    target = VersionedTable(spark, scratch_path(spark, "constrained"), {"named": "c_name LIKE 'Customer#%'", "keyed": "c_custkey IS NOT NULL"})
-    target.create(rows.filter("c_custkey % 2 = 0"))
+    path, rules = scratch_path(spark, "constrained"), {"named": "c_name LIKE 'Customer#%'", "keyed": "c_custkey IS NOT NULL"}
+    q.append_checked(rows.filter("c_custkey % 2 = 0"), path, rules)
     try:
-        target.insert(rows.filter("c_custkey % 2 = 1").withColumn("c_name", F.lit("nobody")))
-    except Exception as refused:
+        q.append_checked(rows.filter("c_custkey % 2 = 1").withColumn("c_name", F.lit("nobody")), path, rules)
+    except q.CheckFailed as refused:
         assert "named" in str(refused)
-        return target.read()
+        return spark.read.parquet(path)
     raise AssertionError("constraint did not hold")
 
 
@@ -108,26 +123,26 @@ def k09(spark, d):
 def k10(spark, d):
     """An append with another type or an unknown column is refused."""
     rows = table(spark, d, "customer").select("c_custkey", "c_name")
-    target = VersionedTable(spark, scratch_path(spark, "strict"))
-    target.create(rows)
+    path = scratch_path(spark, "strict")
+    q.append_checked(rows, path)
     for wrong in (rows.withColumn("c_custkey", F.col("c_custkey").cast("string")), rows.withColumn("tier", F.lit("x"))):
         try:
-            target.insert(wrong)
+            q.append_checked(wrong, path)
         except q.CheckFailed:
             continue
         raise AssertionError("schema was not enforced")
-    return target.read()
+    return spark.read.parquet(path)
 
 
 @case("k11_schema_evolution", """
 SELECT c_custkey, c_name, NULL AS customer_tier FROM customer UNION ALL SELECT c_custkey + 1000000, c_name, 'Gold' FROM customer WHERE c_custkey % 10 = 0""")
 def k11(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_name")
-    target = VersionedTable(spark, scratch_path(spark, "widened"))
-    target.create(rows)
-    target.insert(rows.filter("c_custkey % 10 = 0").select(
-        (F.col("c_custkey") + 1000000).alias("c_custkey"), "c_name", F.lit("Gold").alias("customer_tier")), merge_schema=True)
-    return target.read()
+    path = scratch_path(spark, "widened")
+    q.append_checked(rows, path)
+    q.append_checked(rows.filter("c_custkey % 10 = 0").select(
+        (F.col("c_custkey") + 1000000).alias("c_custkey"), "c_name", F.lit("Gold").alias("customer_tier")), path, widen=True)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 @case("k11_merge_schema_frames", """

@@ -8,7 +8,6 @@ from lakeloom.cases.inputs import CHANGES_SQL, STEPS
 from lakeloom.cases.registry import case, plain
 from lakeloom.operators import cdc
 from lakeloom.operators import windows as w
-from lakeloom.operators.versions import VersionedTable
 from lakeloom.session import scratch_path, stage, table
 from lakeloom.sources.generators import change_batches
 from lakeloom.streaming import flows
@@ -37,22 +36,28 @@ def m01(spark, d):
     return cdc.scd1(_events(spark, d), KEYS, SEQ)
 
 
-def _event_folder(spark, d):
+def _event_folder(spark, events, first=None):
     """Change events arriving in two folders, later sequence numbers partly first."""
     path = scratch_path(spark, "events")
-    first = F.col("seq").isin(0, 1, 3, 5)
-    _events(spark, d).withColumn("_batch", F.when(first, 0).otherwise(1)).write.partitionBy("_batch").parquet(path)
+    first = F.col("seq").isin(0, 1, 3, 5) if first is None else first
+    events.withColumn("_batch", F.when(first, 0).otherwise(1)).write.partitionBy("_batch").parquet(path)
     return path
 
 
+def _streamed(spark, source, flow, **options):
+    """The dimension that a flow keeps over two runs of one checkpoint."""
+    store, target, checkpoint = (scratch_path(spark, n) for n in ("store", "dimension", "checkpoint"))
+    schema = spark.read.parquet(source).drop("_batch").schema
+    for arrived in ("0", "[0-1]"):
+        stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", schema)
+        flows.drain(flow(stream, store, target, KEYS, SEQ, checkpoint, **options))
+    return flows.read_dimension(spark, target)
+
+
 @case("m01_scd1_stream", SCD1_SQL)
 def m01_stream(spark, d):
     """Merged batch by batch; events that come late change nothing."""
-    source, target, checkpoint = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd1"), split_by=KEYS), scratch_path(spark, "checkpoint")
-    for arrived in ("0", "[0-1]"):
-        stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
-        flows.drain(flows.scd1_flow(stream, target, KEYS, "seq", checkpoint))
-    return target.read()
+    return _streamed(spark, _event_folder(spark, _events(spark, d)), flows.scd1_flow)
 
 
 SCD2_SQL = f"""
@@ -70,21 +75,41 @@ def m02(spark, d):
 @case("m02_scd2_stream", SCD2_SQL)
 def m02_stream(spark, d):
     """Two batches, the second with late events: chains of its keys are rebuilt."""
-    source, history = _event_folder(spark, d), VersionedTable(spark, scratch_path(spark, "scd2"), split_by=KEYS)
-    store, checkpoint = VersionedTable(spark, scratch_path(spark, "store"), split_by=KEYS), scratch_path(spark, "checkpoint")
-    for arrived in ("0", "[0-1]"):
-        stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", _events(spark, d).schema)
-        flows.drain(flows.scd2_flow(stream, store, history, KEYS, SEQ, checkpoint))
-    return history.read()
+    return _streamed(spark, _event_folder(spark, _events(spark, d)), flows.scd2_flow)
+
+
+NULL_KEYS_SQL = f"""
+WITH e AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS c_custkey, c_name, c_acctbal, seq * 1000000 + CASE WHEN c_custkey % 50 = 0 THEN c_custkey ELSE 0 END AS seq FROM ({CHANGES_SQL}) AS ev),
+c AS (SELECT *, lag(row(c_name, c_acctbal)) OVER w AS before FROM e WINDOW w AS (PARTITION BY c_custkey ORDER BY seq)),
+k AS (SELECT * EXCLUDE (before) FROM c WHERE before IS DISTINCT FROM row(c_name, c_acctbal))
+SELECT *, seq AS __START_AT, lead(seq) OVER (PARTITION BY c_custkey ORDER BY seq) AS __END_AT FROM k"""
+
+
+@case("m02_scd2_stream_null_keys", NULL_KEYS_SQL)
+def m02_stream_nulls(spark, d):
+    """The null key is a key like any other and gets one chain, over all batches."""
+    none = F.col("c_custkey") % 50 == 0
+    events = _events(spark, d).select(
+        F.when(~none, F.col("c_custkey")).alias("c_custkey"), "c_name", "c_acctbal",
+        (F.col("seq").cast("bigint") * 1000000 + F.when(none, F.col("c_custkey")).otherwise(0)).alias("seq"))
+    return _streamed(spark, _event_folder(spark, events, F.col("seq") < 2500000), flows.scd2_flow)
 
 
-@case("m03_delete_scd1", f"""
+M03_SQL = f"""
 WITH e AS ({OPS_SQL}), g AS (SELECT c_custkey, max(seq) AS gone FROM e WHERE op = 'DELETE' GROUP BY c_custkey)
-SELECT e.* FROM e LEFT JOIN g USING (c_custkey) WHERE gone IS NULL OR seq > gone QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
+SELECT e.* FROM e LEFT JOIN g USING (c_custkey) WHERE gone IS NULL OR seq > gone QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1"""
+
+
+@case("m03_delete_scd1", M03_SQL)
 def m03(spark, d):
     return cdc.scd1(_with_ops(spark, d), KEYS, SEQ, delete_when="op = 'DELETE'")
 
 
+@case("m03_delete_scd1_stream", M03_SQL)
+def m03_stream(spark, d):
+    return _streamed(spark, _event_folder(spark, _with_ops(spark, d)), flows.scd1_flow, delete_when="op = 'DELETE'")
+
+
 @case("m03_delete_scd2", f"""
 WITH e AS ({OPS_SQL}),
 c AS (SELECT *, lag(row(op = 'DELETE', c_name, c_acctbal, c_mktsegment, record_type)) OVER (PARTITION BY c_custkey ORDER BY seq) AS before FROM e),
@@ -107,13 +132,28 @@ def m03_late(spark, d):
     return cdc.scd1_view(state).drop("op")
 
 
-@case("m04_truncate_event", f"""
-SELECT c_custkey, {VALUES}, seq FROM ({CHANGES_SQL}) AS e WHERE seq > 2 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
+M04_SQL = f"""
+SELECT c_custkey, {VALUES}, seq FROM ({CHANGES_SQL}) AS e WHERE seq > 2 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1"""
+
+
+def _with_truncate(spark, d):
+    """One event truncates the table at sequence 2."""
+    events = _events(spark, d).withColumn("op", F.lit("UPSERT"))
+    first = table(spark, d, "customer").agg(F.min("c_custkey")).scalar()
+    cut = events.filter((F.col("seq") == 0) & (F.col("c_custkey") == first)).withColumns({"op": F.lit("TRUNCATE"), "seq": F.lit(2).cast(events.schema["seq"].dataType)})
+    return events.unionByName(cut)
+
+
+@case("m04_truncate_event", M04_SQL)
 def m04(spark, d):
     """Everything up to the truncate event (sequence 2) is dropped."""
-    events = _events(spark, d).withColumn("op", F.lit("UPSERT"))
-    cut = events.filter("c_custkey = 0 AND seq = 2").withColumn("op", F.lit("TRUNCATE"))
-    return cdc.scd1(events.unionByName(cut), KEYS, SEQ, truncate_when="op = 'TRUNCATE'", exclude=["op"])
+    return cdc.scd1(_with_truncate(spark, d), KEYS, SEQ, truncate_when="op = 'TRUNCATE'", exclude=["op"])
+
+
+@case("m04_truncate_stream", M04_SQL)
+def m04_stream(spark, d):
+    """The truncate comes in the second batch and reaches every bucket."""
+    return _streamed(spark, _event_folder(spark, _with_truncate(spark, d)), flows.scd1_flow, truncate_when="op = 'TRUNCATE'", exclude=["op"])
 
 
 HOLES_SQL = f"""SELECT c_custkey, CASE WHEN seq IN (2, 4) THEN NULL ELSE c_name END AS c_name,
@@ -126,12 +166,20 @@ def _with_holes(spark, d):
         "CASE WHEN seq IN (1, 4) THEN NULL ELSE c_acctbal END AS c_acctbal", "seq")
 
 
-@case("m05_ignore_nulls_keep_old", f"""
-SELECT c_custkey, arg_max(c_name, seq) AS c_name, arg_max(c_acctbal, seq) AS c_acctbal, max(seq) AS seq FROM ({HOLES_SQL}) AS e GROUP BY c_custkey""")
+M05_SQL = f"""
+SELECT c_custkey, arg_max(c_name, seq) AS c_name, arg_max(c_acctbal, seq) AS c_acctbal, max(seq) AS seq FROM ({HOLES_SQL}) AS e GROUP BY c_custkey"""
+
+
+@case("m05_ignore_nulls_keep_old", M05_SQL)
 def m05(spark, d):
     return cdc.scd1(_with_holes(spark, d), KEYS, SEQ, ignore_nulls="keep_old")
 
 
+@case("m01_scd1_stream_ignore_nulls", M05_SQL)
+def m05_stream(spark, d):
+    return _streamed(spark, _event_folder(spark, _with_holes(spark, d)), flows.scd1_flow, ignore_nulls="keep_old")
+
+
 @case("m05_ignore_nulls_skip_row", f"""
 SELECT * FROM ({HOLES_SQL}) AS e WHERE c_name IS NOT NULL OR c_acctbal IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) = 1""")
 def m05_skip(spark, d):

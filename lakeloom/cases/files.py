@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lakeloom.cases.inputs import landing
 from lakeloom.cases.registry import case
 from lakeloom.operators import layout
-from lakeloom.operators.versions import VersionedTable
 from lakeloom.session import scratch_path, stage, table
 
 
@@ -28,13 +27,12 @@ def o01(spark, d):
 
 @case("o01_compact_versions", "SELECT o_orderkey, o_totalprice FROM orders")
 def o01_versions(spark, d):
-    orders, t = table(spark, d, "orders").select("o_orderkey", "o_totalprice"), VersionedTable(spark, scratch_path(spark, "parts"))
-    t.create(orders.filter("o_orderkey % 3 = 0"))
-    for rest in (1, 2):
-        t.insert(orders.filter(F.col("o_orderkey") % 3 == rest))
-    layout.compact_table(t)
-    assert t.part_versions() == [3]
-    return t.read()
+    """One folder of fifty small files becomes one file; large files stay as they are."""
+    path = scratch_path(spark, "parts")
+    table(spark, d, "orders").select("o_orderkey", "o_totalprice").repartition(50).write.parquet(path)
+    assert layout.compact_folder(spark, path) == (50, 1)
+    assert layout.compact_folder(spark, path) == (0, 0)
+    return spark.read.parquet(path)
 
 
 @case("o02_partition_pruning", """
@@ -59,17 +57,15 @@ def o03(spark, d):
 
 @case("o04_incremental_clustering", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem")
 def o04(spark, d):
-    """New parts alone are clustered; other keys recluster all; no keys leaves all as is."""
-    lines, t = _lines(spark, d), VersionedTable(spark, scratch_path(spark, "clustered"))
-    t.create(lines.filter("l_linenumber < 4"))
-    layout.cluster_table(t, ["l_partkey"])
-    t.insert(lines.filter("l_linenumber >= 4"))
-    layout.cluster_table(t, ["l_partkey"])
-    assert t.part_versions() == [1, 3]
-    layout.cluster_table(t, ["l_suppkey", "l_partkey"])
-    assert t.part_versions() == [4]
-    layout.cluster_table(t, [])
-    return t.read()
+    """Every arrival is a folder that is clustered when it comes; earlier ones stay as they are
+    and a point query skips files in all of them."""
+    lines, root = _lines(spark, d), scratch_path(spark, "clustered")
+    for n, part in enumerate(("l_linenumber < 4", "l_linenumber >= 4")):
+        layout.write_clustered(lines.filter(part), ["l_partkey"], f"{root}/arrival={n}", 8)
+    stats = spark.read.parquet(*[f"{root}/arrival={n}/_stats" for n in (0, 1)])
+    hit = layout.files_for(stats, "l_partkey", 50).count()
+    assert 0 < hit < stats.count()
+    return spark.read.parquet(root).drop("arrival")
 
 
 @case("o05_file_statistics", "SELECT count(*) AS row_count, min(l_partkey) AS low, max(l_partkey) AS high, true AS skips FROM lineitem")
@@ -83,14 +79,15 @@ def o05(spark, d):
 
 
 @case("o06_layout_comparison", """
-SELECT x.layout, count(*) AS rows, round(sum(l_extendedprice), 2) AS total FROM lineitem, (VALUES ('base'), ('z_order'), ('cluster')) AS x(layout) WHERE l_partkey = 42 GROUP BY x.layout""")
+SELECT x.layout, count(*) AS rows, round(sum(l_extendedprice), 2) AS total, x.layout <> 'base' AS skips FROM lineitem, (VALUES ('base'), ('z_order'), ('cluster')) AS x(layout) WHERE l_partkey = 42 GROUP BY x.layout""")
 def o06(spark, d):
     lines = _lines(spark, d)
     paths = {n: scratch_path(spark, n) for n in ("base", "z_order", "cluster")}
-    lines.write.parquet(paths["base"])
+    lines.repartition(8).write.parquet(paths["base"])
     layout.cluster(lines, ["l_partkey", "l_suppkey"], 8).write.parquet(paths["z_order"])
     layout.cluster(lines, ["l_partkey"], 8).write.parquet(paths["cluster"])
-    return layout.compare_layouts(spark, paths, "l_partkey", 42, "l_extendedprice").drop("files_read")
+    found = layout.compare_layouts(spark, paths, "l_partkey", 42, "l_extendedprice")
+    return found.select("layout", "rows", "total", (F.col("files_read") < F.col("files")).alias("skips"))
 
 
 @case("o07_key_skew_report", """

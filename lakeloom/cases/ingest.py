@@ -28,6 +28,15 @@ def a02(spark, d):
     return readers.read_csv(spark, path, "c_mktsegment string, c_custkey bigint, c_acctbal double, c_name string")
 
 
+@case("a02_mixed_headers", "SELECT c_custkey, c_acctbal, CASE WHEN c_custkey % 3 <> 2 THEN c_name END AS c_name FROM customer")
+def a02_mixed(spark, d):
+    """Files list their columns in different orders; one kind lacks a column."""
+    customers, path = table(spark, d, "customer"), scratch_path(spark, "headers")
+    for n, columns in enumerate((["c_custkey", "c_name", "c_acctbal"], ["c_acctbal", "c_custkey", "c_name"], ["c_acctbal", "c_custkey"])):
+        customers.filter(F.col("c_custkey") % 3 == n).select(*columns).write.mode("append").option("header", True).csv(path)
+    return readers.read_csv(spark, path, "c_custkey bigint, c_acctbal double, c_name string")
+
+
 @case("a03_csv_dialect", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
        CASE WHEN o_orderkey % 89 = 0 THEN '<empty>' ELSE o_orderpriority || '; "x"' END AS note,
@@ -194,6 +203,19 @@ def a18(spark, d):
         F.count(F.lit(1)).alias("row_count"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@case("a18_type_change", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS price,
+  CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'c' || CAST(o_custkey AS VARCHAR) END AS customer FROM orders""")
+def a18_types(spark, d):
+    """Whole prices and numeric customers in the first load, fractions and texts in the second."""
+    orders, source, target = table(spark, d, "orders"), scratch_path(spark, "arriving"), scratch_path(spark, "copied")
+    orders.filter("o_orderkey % 2 = 0").select("o_orderkey", F.floor("o_totalprice").alias("price"), F.col("o_custkey").alias("customer")).write.json(f"{source}/1")
+    assert incremental.copy_into(spark, target, f"{source}/1", "json") == 1
+    orders.filter("o_orderkey % 2 = 1").select("o_orderkey", F.col("o_totalprice").alias("price"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("customer")).write.json(f"{source}/2")
+    assert incremental.copy_into(spark, target, f"{source}/*", "json") == 2
+    return incremental.read_loaded(spark, target).select("o_orderkey", F.col("price").cast("double").alias("price"), "customer")
+
+
 ORDER_JSON = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
 
 
@@ -227,6 +249,26 @@ def a20(spark, d):
     return spark.read.schema("o_orderkey bigint, o_orderpriority string").parquet(target)
 
 
+@case("a20_rescue_stream", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 THEN o_custkey END AS o_custkey,
+  CASE o_orderkey % 4 WHEN 1 THEN '{"o_orderpriority":"' || o_orderpriority || '"}' WHEN 3 THEN '{"o_custkey":"unknown"}' END AS _rescued_data FROM orders""")
+def a20_rescue(spark, d):
+    """A running stream keeps its schema; new fields and misfits go to the rescued column."""
+    orders, root = table(spark, d, "orders"), scratch_path(spark, "rescued")
+    target, state = scratch_path(spark, "evolved"), scratch_path(spark, "state")
+
+    def run():
+        stream = flows.evolving_stream(spark, root, "json", state, "rescue")
+        flows.drain(flows.append_flow(stream, target, f"{state}/checkpoint"))
+
+    orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey").write.mode("append").json(root)
+    run()
+    orders.filter("o_orderkey % 4 = 1").select("o_orderkey", "o_custkey", "o_orderpriority").write.mode("append").json(root)
+    orders.filter("o_orderkey % 4 = 3").select("o_orderkey", F.lit("unknown").alias("o_custkey")).write.mode("append").json(root)
+    run()
+    return spark.read.schema("o_orderkey bigint, o_custkey bigint, _rescued_data string").parquet(target)
+
+
 @case("a21_batch_cap", "SELECT count(*) AS row_count, true AS one_file_per_batch FROM orders")
 def a21(spark, d):
     source = landing(spark, table(spark, d, "orders"), "o_orderkey", 4)

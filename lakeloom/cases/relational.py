@@ -62,7 +62,7 @@ def _lines_and_parts(spark, d):
 @case("c06_broadcast_join", PART_JOIN_SQL)
 def c06(spark, d):
     lines, parts = _lines_and_parts(spark, d)
-    return _by_brand(joins.lookup(lines, parts, "p_partkey", "inner"))
+    return _by_brand(joins.broadcast_join(lines, parts, "p_partkey", "inner"))
 
 
 @case("c07_sort_merge_join", PART_JOIN_SQL)

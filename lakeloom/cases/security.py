@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from lakeloom.cases.registry import case
 from lakeloom.operators import governance as g
-from lakeloom.operators.joins import lookup
 from lakeloom.session import scratch_path, table
 
 EMAIL_SQL = "lower(replace(c_name, '#', '.')) || '@example.com'"
@@ -54,31 +53,3 @@ def p03(spark, d):
     name = scratch_path(spark, "secured").rsplit("/", 1)[1].replace("-", "_")
     g.secured_view(_people(spark, d), name, {"email": g.mask_keep_domain}, RULES, {"eu_team"})
     return spark.table(name)
-
-
-@case("p04_effective_privileges", """
-WITH path AS (SELECT r_name AS cat, r_name || '.' || n_name AS sch, r_name || '.' || n_name || '.' || s_name AS tab, n_nationkey, s_suppkey
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-users AS (SELECT n_name AS usr, r_name AS home FROM nation JOIN region ON n_regionkey = r_regionkey)
-SELECT usr AS "user", tab AS "table", n_nationkey % 2 = 0 AND s_suppkey % 7 <> 0 AS can_select FROM path JOIN users ON home = cat""")
-def p04(spark, d):
-    """Catalogs are regions, schemas nations, tables suppliers.  A user is in the group of
-    the home region; odd nations miss the schema level, every seventh table is denied."""
-    nation, region, supplier = (table(spark, d, n) for n in ("nation", "region", "supplier"))
-    homes = lookup(nation, region, nation["n_regionkey"] == region["r_regionkey"], "inner")
-    dotted = lambda *c: F.concat_ws(".", *c)
-    tables = lookup(supplier, homes, supplier["s_nationkey"] == homes["n_nationkey"], "inner").select(
-        F.col("r_name").alias("catalog"), dotted("r_name", "n_name").alias("schema"),
-        dotted("r_name", "n_name", "s_name").alias("table"), "n_nationkey", "s_suppkey", F.col("r_name").alias("team"))
-    members = homes.select(F.col("n_name").alias("user"), F.col("r_name").alias("group"))
-
-    def grant(rows, privilege, securable, effect="GRANT"):
-        return rows.select(F.col("r_name" if "r_name" in rows.columns else "team").alias("principal"), F.lit(privilege).alias("privilege"),
-                           F.col(securable).alias("securable"), F.lit(effect).alias("effect"))
-
-    schemas = homes.withColumn("schema", dotted("r_name", "n_name"))
-    grants = (grant(region, "USE CATALOG", "r_name")
-              .unionByName(grant(schemas.filter("n_nationkey % 2 = 0"), "USE SCHEMA", "schema"))
-              .unionByName(grant(region, "SELECT", "r_name"))
-              .unionByName(grant(tables.filter("s_suppkey % 7 = 0"), "SELECT", "table", "DENY")))
-    return g.effective_privileges(tables, grants, members)

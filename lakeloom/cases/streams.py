@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.cases.inputs import landing
 from lakeloom.cases.registry import case, plain
-from lakeloom.operators.versions import VersionedTable
+from lakeloom.operators import changes as ch
+from lakeloom.operators import snapshots as sn
 from lakeloom.operators.windows import latest_per_key
 from lakeloom.session import scratch_path, stage, table
 from lakeloom.sources import incremental
@@ -131,11 +132,11 @@ UNION ALL SELECT 'update_postimage', 1, count(*) FROM customer WHERE c_mktsegmen
 UNION ALL SELECT 'delete', 2, count(*) FROM customer WHERE c_custkey % 10 = 0""")
 def j08(spark, d):
     """The change feed is written per version and streamed from version 1 on."""
-    customers = VersionedTable(spark, scratch_path(spark, "customers"))
-    customers.create(table(spark, d, "customer"))
-    customers.update({"c_acctbal": "c_acctbal + 1"}, "c_mktsegment = 'BUILDING'")
-    customers.delete("c_custkey % 10 = 0")
-    feed = customers.changes(0, key=["c_custkey"])
+    root = scratch_path(spark, "customers")
+    sn.write(table(spark, d, "customer"), root, "CREATE")
+    sn.write(ch.update(sn.read(spark, root), {"c_acctbal": "c_acctbal + 1"}, "c_mktsegment = 'BUILDING'"), root, "UPDATE")
+    sn.write(ch.delete(sn.read(spark, root), "c_custkey % 10 = 0"), root, "DELETE")
+    feed = sn.changes(spark, root, 1, key=["c_custkey"])
     folder, target = scratch_path(spark, "feed"), scratch_path(spark, "consumed")
     feed.write.parquet(folder)
     flows.drain(flows.append_flow(flows.change_stream(spark, folder, feed.schema, 1), target, scratch_path(spark, "checkpoint")))

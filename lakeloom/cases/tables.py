@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from lakeloom.cases.registry import case, plain
 from lakeloom.operators import changes as ch
+from lakeloom.operators import quality as q
+from lakeloom.operators import snapshots as sn
 from lakeloom.operators.changes import When
-from lakeloom.operators.versions import SPAN, VersionedTable
-from lakeloom.session import scratch_path, table
+from lakeloom.session import scratch_path, stage, table
 
 COLUMNS = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
 T0, T1, T2, T3 = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00", "2024-01-20 00:00:00")
@@ -18,18 +19,16 @@ def _customers(spark, d):
     return table(spark, d, "customer").select(*COLUMNS)
 
 
-def _new(spark, label="versions", **kw):
-    return VersionedTable(spark, scratch_path(spark, label), **kw)
-
-
 def _four_versions(spark, d):
-    """create even keys, insert odd keys, update one segment, delete every tenth key."""
-    c, t = _customers(spark, d), _new(spark)
-    t.create(c.filter("c_custkey % 2 = 0"), at=T0)
-    t.insert(c.filter("c_custkey % 2 = 1"), at=T1)
-    t.update({"c_acctbal": "c_acctbal + 1"}, "c_mktsegment = 'BUILDING'", at=T2)
-    t.delete("c_custkey % 10 = 0", at=T3)
-    return t
+    """Copies in plain folders: create even keys, insert odd keys, update one segment, delete
+    every tenth key.  Returns the root."""
+    c, root = _customers(spark, d), scratch_path(spark, "versions")
+    newest = lambda: sn.read(spark, root)
+    sn.write(c.filter("c_custkey % 2 = 0"), root, "CREATE", T0)
+    sn.write(ch.insert(newest(), c.filter("c_custkey % 2 = 1")), root, "INSERT", T1)
+    sn.write(ch.update(newest(), {"c_acctbal": "c_acctbal + 1"}, "c_mktsegment = 'BUILDING'"), root, "UPDATE", T2)
+    sn.write(ch.delete(newest(), "c_custkey % 10 = 0"), root, "DELETE", T3)
+    return root
 
 
 @case("l01_versioned_write", """
@@ -38,7 +37,19 @@ UNION ALL SELECT 1, 'INSERT', (SELECT count(*) FROM customer WHERE c_custkey % 2
 UNION ALL SELECT 2, 'UPDATE', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING')
 UNION ALL SELECT 3, 'DELETE', (SELECT count(*) FROM customer WHERE c_custkey % 10 <> 0), (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0)""")
 def l01(spark, d):
-    return _four_versions(spark, d).history().select("version", "operation", "rows_written", "rows_matched")
+    """Rows each write added or rewrote, and rows its condition met, from copy to copy."""
+    root = _four_versions(spark, d)
+    kinds = sn.changes(spark, root, 1, key=["c_custkey"]).groupBy(F.col("_commit_version").alias("version")).agg(
+        F.count_if(F.col("_change_type") == "insert").alias("inserted"),
+        F.count_if(F.col("_change_type").isin("update_preimage", "delete")).alias("rows_matched"))
+    sizes = None
+    for version in range(4):
+        size = sn.read(spark, root, version).agg(F.lit(version).cast("bigint").alias("version"), F.count(F.lit(1)).alias("n"))
+        sizes = size if sizes is None else sizes.unionByName(size)
+    told = sn.history(spark, root).join(sizes, "version").join(kinds, "version", "left")
+    matched = F.coalesce("rows_matched", F.lit(0))
+    return told.select("version", "operation", F.when(F.col("inserted") > 0, F.col("inserted")).otherwise(F.col("n")).alias("rows_written"),
+                       matched.alias("rows_matched"))
 
 
 @case("l02_insert", """
@@ -69,12 +80,13 @@ def l04(spark, d):
 @case("l05_truncate", """
 SELECT count(*) AS before_rows, 0 AS after_rows, 4 AS after_columns FROM customer""")
 def l05(spark, d):
-    t = _new(spark)
-    t.create(_customers(spark, d))
-    t.truncate()
-    width = len(t.read().columns)
-    return t.read(0).agg(F.count(F.lit(1)).alias("before_rows")).withColumn(
-        "after_rows", t.read().agg(F.count(F.lit(1)).alias("n")).scalar()).withColumn("after_columns", F.lit(width))
+    """The folder keeps its columns and loses its rows."""
+    path = scratch_path(spark, "truncated")
+    _customers(spark, d).write.parquet(path)
+    before = stage(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("before_rows")))
+    stage(ch.truncate(spark.read.parquet(path))).write.mode("overwrite").parquet(path)
+    after = spark.read.parquet(path)
+    return before.withColumn("after_rows", after.agg(F.count(F.lit(1)).alias("n")).scalar()).withColumn("after_columns", F.lit(len(after.columns)))
 
 
 MERGE_SQL = """
@@ -107,26 +119,23 @@ def l06(spark, d):
 @case("l06_merge_versioned", MERGE_SQL)
 def l06_versioned(spark, d):
     target, source = _merge_sides(spark, d)
-    t = _new(spark, split_by=["c_custkey"], splits=4)
-    t.create(target.filter("c_custkey % 4 = 0"))
-    t.insert(target.filter("c_custkey % 4 <> 0"))
-    t.merge(source, ["c_custkey"], CLAUSES)
-    return t.read()
+    path = scratch_path(spark, "merged")
+    ch.write_buckets(target, path, ["c_custkey"], 4)
+    assert ch.merge_buckets(path, source, ["c_custkey"], CLAUSES, 4) == [0, 1, 2, 3]
+    return spark.read.parquet(path).drop(ch.BUCKET)
 
 
 @case("l06_merge_upsert_parts", """
 SELECT c_custkey, CASE WHEN c_custkey % 12 = 0 THEN 'UPSERTED' ELSE c_name END AS c_name, c_acctbal, c_mktsegment FROM customer
 UNION ALL SELECT c_custkey + 1000000, 'UPSERTED', c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 12 = 0""")
 def l06_upsert(spark, d):
-    """SET * / INSERT *; only the part that holds matched keys is rewritten."""
-    c, t = _customers(spark, d), _new(spark)
-    t.create(c.filter("c_custkey % 2 = 1"))
-    t.insert(c.filter("c_custkey % 2 = 0"))
+    """SET * / INSERT *; only buckets that the source's keys fall into are rewritten."""
+    c, path = _customers(spark, d), scratch_path(spark, "upserted")
+    ch.write_buckets(c, path, ["c_custkey"], 64)
     hit = c.filter("c_custkey % 12 = 0").withColumn("c_name", F.lit("UPSERTED"))
-    t.merge(hit.unionByName(hit.withColumn("c_custkey", F.col("c_custkey") + 1000000)), ["c_custkey"],
-            [When("matched", "update"), When("not_matched", "insert")])
-    assert 0 in t.part_versions()  # the part without matches was kept
-    return t.read()
+    both = hit.unionByName(hit.withColumn("c_custkey", F.col("c_custkey") + 1000000))
+    ch.merge_buckets(path, both, ["c_custkey"], [When("matched", "update"), When("not_matched", "insert")], 64)
+    return spark.read.parquet(path).drop(ch.BUCKET)
 
 
 @case("l07_read_as_of", """
@@ -134,8 +143,8 @@ SELECT 'version 0' AS asked, count(*) AS n, round(sum(c_acctbal), 2) AS total FR
 UNION ALL SELECT 'time 2', count(*), round(sum(c_acctbal), 2) FROM customer
 UNION ALL SELECT 'newest', count(*), round(sum(c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END), 2) FROM customer WHERE c_custkey % 10 <> 0""")
 def l07(spark, d):
-    t = _four_versions(spark, d)
-    asked = [("version 0", t.read(0)), ("time 2", t.read(at="2024-01-02 12:00:00")), ("newest", t.read())]
+    root = _four_versions(spark, d)
+    asked = [("version 0", sn.read(spark, root, 0)), ("time 2", sn.read(spark, root, at="2024-01-02 12:00:00")), ("newest", sn.read(spark, root))]
     rows = [df.agg(F.lit(n).alias("asked"), F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total")) for n, df in asked]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
@@ -144,10 +153,9 @@ def l07(spark, d):
 SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment FROM customer""")
 def l08(spark, d):
     """Back to the version before the last delete, found in the history."""
-    t = _four_versions(spark, d)
-    t.restore(t.last_version_before("DELETE"))
-    assert t.current_version() == 4
-    return t.read()
+    root = _four_versions(spark, d)
+    assert sn.restore(spark, root, sn.last_before(spark, root, "DELETE")) == 4
+    return sn.read(spark, root)
 
 
 FEED_SQL = """
@@ -163,12 +171,12 @@ def _feed(df):
 
 @case("l09_change_feed", FEED_SQL)
 def l09(spark, d):
-    return _feed(_four_versions(spark, d).changes(1, key=["c_custkey"]))
+    return _feed(sn.changes(spark, _four_versions(spark, d), 1, key=["c_custkey"]))
 
 
 @case("l09_change_feed_range", f"SELECT * FROM ({FEED_SQL}) AS f WHERE version BETWEEN 2 AND 2")
 def l09_range(spark, d):
-    return _feed(_four_versions(spark, d).changes(2, 2, key=["c_custkey"]))
+    return _feed(sn.changes(spark, _four_versions(spark, d), 2, 2, key=["c_custkey"]))
 
 
 @case("l09_multiset_diff", """
@@ -189,7 +197,7 @@ SELECT c_custkey, c_acctbal, 'a' || CAST(c_custkey AS VARCHAR) AS tag FROM custo
 UNION ALL SELECT c_custkey, c_acctbal + 1, 'a' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def l10(spark, d):
     """Consumer that had processed version 0: inserts and new versions after it, transformed."""
-    feed = _four_versions(spark, d).changes(0 + 1, key=["c_custkey"])
+    feed = sn.changes(spark, _four_versions(spark, d), 0 + 1, key=["c_custkey"])
     return ch.upserts(feed).select("c_custkey", "c_acctbal", F.concat(F.lit("a"), F.col("c_custkey").cast("string")).alias("tag"))
 
 
@@ -197,18 +205,19 @@ def l10(spark, d):
 SELECT 'source' AS side, count(*) AS n FROM customer WHERE c_custkey % 10 <> 0
 UNION ALL SELECT 'clone of version 0', count(*) + 1 FROM customer WHERE c_custkey % 2 = 0""")
 def l11(spark, d):
-    t = _four_versions(spark, d)
-    copy = t.deep_clone(scratch_path(spark, "clone"), 0)
-    copy.insert(t.read(0).orderBy("c_custkey").limit(1))  # does not reach the source
+    root, copy = _four_versions(spark, d), scratch_path(spark, "clone")
+    first = sn.read(spark, root, 0)
+    sn.write(first, copy, "CLONE")
+    sn.write(ch.insert(sn.read(spark, copy), first.orderBy("c_custkey").limit(1)), copy, "INSERT")  # does not reach the source
     count = lambda df, n: df.agg(F.lit(n).alias("side"), F.count(F.lit(1)).alias("n"))
-    return count(t.read(), "source").unionByName(count(copy.read(), "clone of version 0"))
+    return count(sn.read(spark, root), "source").unionByName(count(sn.read(spark, copy), "clone of version 0"))
 
 
 @case("l12_shallow_clone", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def l12(spark, d):
     """A view of version 1; later commits do not show."""
     name = scratch_path(spark, "clone").rsplit("/", 1)[1].replace("-", "_")
-    _four_versions(spark, d).shallow_clone(name, 1)
+    sn.read(spark, _four_versions(spark, d), 1).createOrReplaceTempView(name)
     return spark.table(name)
 
 
@@ -216,19 +225,19 @@ def l12(spark, d):
 SELECT v AS version, o AS operation FROM (VALUES (0, 'CREATE'), (1, 'INSERT'), (2, 'UPDATE')) AS x(v, o) WHERE (SELECT count(*) FROM customer) > 0""")
 def l13(spark, d):
     """Versions older than seven days on the 21st; the current one stays."""
-    t = _four_versions(spark, d)
-    listed = t.expirable("2024-01-21 00:00:00").select("version", "operation")
-    out = spark.createDataFrame(listed.collect(), listed.schema)
-    assert {p // SPAN for p in t.vacuum("2024-01-21 00:00:00")} == {0, 1, 2}
-    return out
+    root = _four_versions(spark, d)
+    listed = stage(sn.expirable(spark, root, "2024-01-21 00:00:00").select("version", "operation"))
+    assert sn.expire(spark, root, "2024-01-21 00:00:00") == [0, 1, 2]
+    assert sn.read(spark, root).limit(1).count() == 1
+    return listed
 
 
 @case("l14_history_and_detail", """
 SELECT 4 AS versions, 'DELETE' AS newest, (SELECT count(*) FROM customer WHERE c_custkey % 10 <> 0) AS num_rows, true AS sized""")
 def l14(spark, d):
-    t = _four_versions(spark, d)
-    newest = t.history().agg(F.count(F.lit(1)).alias("versions"), F.max_by("operation", "version").alias("newest"))
-    detail = t.detail()
+    root = _four_versions(spark, d)
+    newest = sn.history(spark, root).agg(F.count(F.lit(1)).alias("versions"), F.max_by("operation", "version").alias("newest"))
+    detail = sn.detail(spark, root)
     return newest.withColumn("num_rows", detail.select("num_rows").scalar()).withColumn(
         "sized", detail.select((F.col("size_in_bytes") > 0) & (F.col("num_files") > 0)).scalar())
 
@@ -238,24 +247,27 @@ SELECT count(*) AS row_count, count(*) AS identities, true AS above_old FROM ord
 def l15(spark, d):
     """Numbers continue above the largest used one; unique, gaps allowed."""
     orders = table(spark, d, "orders").select("o_orderkey")
-    return ch.with_identity(orders, "row_id", above=1_000_000).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct("row_id").alias("identities"), (F.min("row_id") > 1_000_000).alias("above_old"))
+    old = stage(ch.with_identity(orders.filter("o_orderkey % 3 = 0"), "row_id"))
+    top = old.agg(F.max("row_id")).first()[0]
+    new = ch.with_identity(orders.filter("o_orderkey % 3 <> 0"), "row_id", above=top)
+    both = old.withColumn("new", F.lit(False)).unionByName(new.withColumn("new", F.lit(True)))
+    return both.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("row_id").alias("identities"),
+                    (F.min(F.when(F.col("new"), F.col("row_id"))) > F.max(F.when(~F.col("new"), F.col("row_id")))).alias("above_old"))
 
 
 @case("l16_generated_column", """
 SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, user_id % 10 AS bucket FROM events""")
 def l16(spark, d):
-    t = _new(spark, generated={"event_date": "CAST(ts AS DATE)", "bucket": "user_id % 10"})
-    t.create(table(spark, d, "events"))
-    return plain(t.read().select("event_id", "event_date", "bucket"))
+    rows = ch.with_generated(table(spark, d, "events"), {"event_date": "CAST(ts AS DATE)", "bucket": "user_id % 10"})
+    return plain(stage(rows, "generated").select("event_id", "event_date", "bucket"))
 
 
 @case("l17_append_log", """
 SELECT event_id, event_type, CAST(ts AS VARCHAR) AS ts, false AS processed FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 5""")
 def l17(spark, d):
     """Signals appended in two batches; the five newest."""
-    events, log = table(spark, d, "events"), _new(spark)
+    events, log = table(spark, d, "events"), scratch_path(spark, "log")
     rows = events.select("event_id", "event_type", "ts", F.lit(False).alias("processed"))
-    log.create(rows.filter("event_id % 2 = 0"))
-    log.insert(rows.filter("event_id % 2 = 1"))
-    return plain(log.read().orderBy(F.desc("ts"), F.desc("event_id")).limit(5))
+    for part in (0, 1):
+        q.append_checked(rows.filter(F.col("event_id") % 2 == part), log)
+    return plain(spark.read.parquet(log).orderBy(F.desc("ts"), F.desc("event_id")).limit(5))

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.joins import broadcast_if_small
 from lakeloom.operators.quality import CheckFailed
+from lakeloom.session import delete_path, stage
 
 
 def insert(df: DataFrame, rows: DataFrame, defaults: dict[str, object] | None = None) -> DataFrame:
@@ -62,18 +62,18 @@ class When:
 def require_single_match(target: DataFrame, source: DataFrame, on: list[str]) -> None:
     """A target row may match one source row only."""
     twice = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    if twice.head(1) and target.select(*on).join(broadcast_if_small(twice), on, "left_semi").head(1):
+    if twice.head(1) and target.select(*on).join(twice, on, "left_semi").head(1):
         raise CheckFailed("several source rows match one target row")
 
 
 def merge(target: DataFrame, source: DataFrame, on: list[str], clauses: list[When]) -> DataFrame:
     """MERGE INTO as a left join for the target rows and an anti join for the inserts, so
-    a small source is broadcast and the target is not shuffled.  The first clause whose
+    the target is only scanned once.  The first clause whose
     condition holds decides."""
     require_single_match(target, source, on)
     marked = source.withColumn("_hit", F.lit(True))
     match = reduce(Column.__and__, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in on])
-    joined = target.alias("t").join(broadcast_if_small(marked).alias("s"), match, "left")
+    joined = target.alias("t").join(marked.alias("s"), match, "left")
     by_target = [c for c in clauses if c.case != "not_matched"]
     matched = F.col("s._hit").isNotNull()
     chosen = F.lit(-1)
@@ -101,7 +101,7 @@ def merge(target: DataFrame, source: DataFrame, on: list[str], clauses: list[Whe
     if not inserts:
         return kept
     # keys are looked up from the target's side, so that the source is the build side here too
-    known = target.select(*on).join(broadcast_if_small(source.select(*on)), on, "left_semi").distinct()
+    known = target.select(*on).join(source.select(*on), on, "left_semi").distinct()
     fresh = source.alias("s").join(known.alias("t"), match, "left_anti")
     taken = F.lit(False)
     parts = [kept]
@@ -145,3 +145,42 @@ def changes_between(old: DataFrame, new: DataFrame, key: list[str] | None = None
 def upserts(feed: DataFrame) -> DataFrame:
     """Rows a consumer of the feed should apply: inserts and new versions."""
     return feed.filter(F.col("_change_type").isin("insert", "update_postimage"))
+
+
+BUCKET = "_bucket"
+
+
+def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Adds the bucket of a row's keys; null keys have one too."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def write_buckets(df: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """A table as one folder for each bucket of its keys."""
+    with_bucket(df, keys, buckets).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> None:
+    """Puts the rows of ``df`` in place of the folders ``column=value`` of all ``values``, also
+    of those that have no rows any more.  ``df`` must not read the folder itself."""
+    spark = df.sparkSession
+    kept = stage(df, "partitions")
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    left = {r[0] for r in kept.select(column).distinct().collect()}  # folder names
+    for value in values:
+        if value not in left:
+            delete_path(spark, f"{path}/{column}={value}")
+
+
+def merge_buckets(path: str, source: DataFrame, on: list[str], clauses: list[When], buckets: int) -> list[int]:
+    """MERGE into a table of ``write_buckets``: only buckets that hold keys of the source are
+    read and rewritten, all of them when a clause concerns rows the source does not match.
+    Returns the buckets that were rewritten."""
+    spark = source.sparkSession
+    arriving = with_bucket(source, on, buckets)
+    whole = any(c.case == "not_matched_by_source" for c in clauses)
+    touched = list(range(buckets)) if whole else sorted(r[0] for r in arriving.select(BUCKET).distinct().collect())
+    target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+    merged = with_bucket(merge(target.drop(BUCKET), source, on, clauses), on, buckets)
+    replace_partitions(merged, path, BUCKET, touched)
+    return touched

@@ -40,26 +40,3 @@ def secured_view(df: DataFrame, name: str, masks, rules: dict[str, str], groups:
     out = apply_masks(apply_row_filter(df, rules, groups), masks, groups)
     out.createOrReplaceTempView(name)
     return out
-
-
-def effective_privileges(tables: DataFrame, grants: DataFrame, members: DataFrame) -> DataFrame:
-    """Whether a principal may select from a table.
-
-    ``tables`` has catalog, schema, table (full names); ``grants`` has principal, privilege,
-    securable, effect (GRANT or DENY); ``members`` has user, group.  Grants on a catalog or
-    schema reach down, all three levels are needed, and a deny wins."""
-    as_group = grants.join(members, grants["principal"] == members["group"]).select(
-        "user", "privilege", "securable", "effect")
-    direct = grants.join(members.select("user").distinct(), grants["principal"] == F.col("user")).select(
-        "user", "privilege", "securable", "effect")
-    held = as_group.unionByName(direct).groupBy("user", "privilege", "securable").agg(
-        F.bool_or(F.col("effect") == "GRANT").alias("granted"), F.bool_or(F.col("effect") == "DENY").alias("denied"))
-    wanted = F.array(*[
-        F.struct(F.lit(p).alias("privilege"), F.col(level).alias("securable"))
-        for p, levels in NEEDED.items() for level in levels])
-    paths = tables.select("catalog", "schema", "table", F.inline(wanted))
-    found = paths.join(held, ["privilege", "securable"])
-    per_level = found.groupBy("user", "table", "privilege").agg(
-        F.bool_or("granted").alias("granted"), F.bool_or("denied").alias("denied"))
-    return per_level.groupBy("user", "table").agg(
-        ((F.count_if(F.col("granted")) == len(NEEDED)) & ~F.bool_or("denied")).alias("can_select"))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.session import plan_bytes, setting
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+HEAVY_ROWS = 5_000_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -20,18 +21,41 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, match, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows themselves, by a pass over them: texts and nested values by their
+    length, the rest 8 bytes a column."""
+    def width(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0)) + 16
+        return F.lit(8)
+
+    row = reduce(Column.__add__, [width(f) for f in df.schema], F.lit(8))
+    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the planned size is below the bound; otherwise Spark is left
-    to choose (sort-merge with adaptive skew splitting)."""
+    """Broadcast hint only when the rows were measured to be below the bound; otherwise Spark is
+    left to choose.  Compressed file sizes, which the planner goes by, are no bound."""
     bound = max_bytes or setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES)
-    return F.broadcast(df) if plan_bytes(df) <= bound else df
+    if plan_bytes(df) > bound:
+        return df
+    return F.broadcast(df) if measured_bytes(df) <= bound else df
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension while it is small."""
+def broadcast_join(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """Join with the dimension broadcast, if its rows are few enough."""
     return fact.join(broadcast_if_small(dim), on, how)
 
 
+def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
+    """Join a fact to a dimension.  Adaptive execution broadcasts the dimension if it turns out
+    small at run time, and splits skewed keys of the fact if not."""
+    return fact.join(dim, on, how)
+
+
 def sort_merge_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Join without broadcast, whatever the sizes."""
     return left.hint("merge").join(right, on, how)
@@ -47,53 +71,45 @@ def not_in_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return df.join(keys, on, "left_anti")
 
 
-def heavy_keys(df: DataFrame, key: str, rows: int, at_most: int = 1_000) -> DataFrame:
-    """The keys with more than ``rows`` rows, largest first, with their counts."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-            .filter(F.col("rows") > rows).orderBy(F.desc("rows"), key).limit(at_most))
+def heavy_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The keys with more than ``rows`` rows, with their counts; never more than the table has
+    times ``rows``."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > rows)
+
+
+def salts_for(rows: Column, per_task: int) -> Column:
+    """Number of salts that brings a key of ``rows`` rows down to ``per_task`` rows a task."""
+    return F.greatest(F.lit(1), F.ceil(rows / per_task)).cast("int")
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], salts: int = 10,
+def salted_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], salts: int | None = None,
                 how: str = "inner", heavy_rows: int | None = None) -> DataFrame:
-    """Join that spreads each heavy key of ``big`` over ``salts`` tasks.
+    """Join that spreads each heavy key of ``big`` over as many tasks as its rows need (or over
+    ``salts``).
 
-    Only heavy keys are salted, so the matching rows of ``small`` are copied ``salts`` times
-    for those keys alone.  ``spread`` names columns of ``big`` that tell its rows apart.
-    ``how`` is inner or left."""
+    Only heavy keys are salted, so the matching rows of ``small`` are copied for those keys
+    alone.  ``spread`` names columns of ``big`` that tell its rows apart.  ``how`` is inner or
+    left."""
     if how not in ("inner", "left"):
         raise ValueError("a salted join is inner or left")
-    limit = heavy_rows or setting(big.sparkSession, "hotRows", 5_000_000)
-    heavy = F.broadcast(heavy_keys(big, key, limit).select(F.col(key).alias("_h"), F.lit(True).alias("_heavy")))
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    limit = heavy_rows or setting(big.sparkSession, "hotRows", HEAVY_ROWS)
+    count = F.lit(salts) if salts else salts_for(F.col("rows"), limit)
+    heavy = heavy_keys(big, key, limit).select(F.col(key).alias("_h"), count.alias("_salts"))
+    wide = F.lit(salts or 64)  # for null keys, which match nothing and may go anywhere
+    parts = F.when(F.col(key).isNull(), wide).otherwise(F.coalesce("_salts", F.lit(1)))
     left = (big.join(heavy, F.col(key) == F.col("_h"), "left")
-            # a null key matches nothing, so an outer join may spread those rows freely
-            .withColumn("_salt", F.when(F.col("_heavy") | F.col(key).isNull(), salt).otherwise(0))
-            .drop("_h", "_heavy"))
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+            .withColumn("_salt", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_h", "_salts"))
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     right = (small.join(heavy, F.col(key) == F.col("_h"), "left")
-             .withColumn("_salt", F.explode(copies)).drop("_h", "_heavy"))
+             .withColumn("_salt", F.explode(copies)).drop("_h", "_salts"))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def isolated_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], heavy_rows: int | None = None,
-                  max_bytes: int | None = None) -> DataFrame:
-    """Inner join that handles dominant keys apart and unites both results.
-
-    The side of the heavy keys is broadcast only while it is small; past that bound those
-    keys are salted."""
-    limit = heavy_rows or setting(big.sparkSession, "hotRows", 5_000_000)
+def isolated_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], heavy_rows: int | None = None) -> DataFrame:
+    """Inner join that handles dominant keys apart, salted by their size, and unites both
+    results."""
+    limit = heavy_rows or setting(big.sparkSession, "hotRows", HEAVY_ROWS)
     heavy = heavy_keys(big, key, limit).select(key)
-    few = F.broadcast(heavy)  # at most 1,000 keys
-    rest = big.join(few, key, "left_anti").join(small, key)
-    part, side = big.join(few, key, "left_semi"), small.join(few, key, "left_semi")
-    bound = max_bytes or setting(big.sparkSession, "broadcastBytes", BROADCAST_BYTES)
-    if plan_bytes(side) <= bound:
-        apart = part.join(F.broadcast(side), key)
-    else:
-        apart = salted_join(part, side, key, spread, salts=64, heavy_rows=limit)
-    return rest.unionByName(apart)
-
-
-def salts_for(rows: int, per_task: int) -> int:
-    """Number of salts that brings a key of ``rows`` rows down to ``per_task`` rows a task."""
-    return max(1, math.ceil(rows / per_task))
+    rest = big.join(heavy, key, "left_anti").join(small, key)
+    part, side = big.join(heavy, key, "left_semi"), small.join(heavy, key, "left_semi")
+    return rest.unionByName(salted_join(part, side, key, spread, heavy_rows=limit))

@@ -7,8 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.operators.versions import SPAN, VersionedTable
-from lakeloom.session import plan_bytes
+from lakeloom.session import delete_path, plan_bytes, stage
 
 TARGET_BYTES = 1 << 30      # about 1 GB a file
 MAX_CLUSTER_COLUMNS = 4
@@ -27,15 +26,24 @@ def compact(spark: SparkSession, path: str, target: str, bytes_per_file: int = T
     return spark.read.parquet(target)
 
 
-def compact_table(table: VersionedTable, bytes_per_file: int = TARGET_BYTES, at=None) -> int:
-    """Compacts the parts smaller than a target file into one new part."""
-    entry = table._entry()
-    sizes = {p: folder_bytes(table.spark, table.part_path(p)) for p in entry["parts"]}
-    small = [p for p, size in sizes.items() if size < bytes_per_file]
-    if len(small) < 2:
-        return entry["version"]
-    files = max(1, math.ceil(sum(sizes[p] for p in small) / bytes_per_file))
-    return table.replace_parts(table._read(entry, small).coalesce(files), small, "OPTIMIZE", at=at)
+def compact_folder(spark: SparkSession, path: str, bytes_per_file: int = TARGET_BYTES) -> tuple[int, int]:
+    """Merges the files of a folder that are smaller than half the target, in place, and leaves
+    the others; returns how many were read and written.
+
+    The merged files are written first and the small ones removed last: a reader that comes in
+    between sees rows twice, so run it while nobody reads, as for any plain folder."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    small = listed.filter(F.col("length") * 2 < bytes_per_file)
+    count, size = small.agg(F.count(F.lit(1)), F.sum("length")).first()
+    if count < 2:
+        return 0, 0
+    files = math.ceil(size / bytes_per_file)
+    names = [r["path"] for r in small.select("path").collect()]  # file names, not data
+    merged = stage(spark.read.parquet(*names).coalesce(files), "compact")
+    merged.coalesce(files).write.mode("append").parquet(path)
+    for name in names:
+        delete_path(spark, name)
+    return count, files
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -45,9 +53,9 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def _bounds(df: DataFrame, columns: list[str], pieces: int) -> dict[str, list]:
-    """``pieces - 1`` cut points per column from a sample of about 20,000 rows."""
+    """``pieces - 1`` cut points per column from a sample of about 20,000 rows, or 20 a piece."""
     rows = df.count()
-    fraction = min(1.0, 20_000 / max(rows, 1))
+    fraction = min(1.0, max(20_000, 20 * pieces) / max(rows, 1))
     sample = df.select(*columns).sample(fraction, seed=11).collect()
     bounds = {}
     for c in columns:
@@ -66,6 +74,11 @@ def _rank_of(value: Column, bounds: list, low: int = 0) -> Column:
                   ).otherwise(_rank_of(value, bounds[:middle], low))
 
 
+def rank_bits(files: int, columns: int) -> int:
+    """Bits a column so that there are 16 ranks or more for each file, over all columns."""
+    return max(6, math.ceil(math.log2(16 * max(1, files)) / columns))
+
+
 def z_value(df: DataFrame, columns: list[str], bits: int = 6) -> Column:
     """Interleaved bits of each column's rank among its sampled quantiles."""
     if not 1 <= len(columns) <= MAX_CLUSTER_COLUMNS:
@@ -89,8 +102,11 @@ def cluster(df: DataFrame, columns: list[str], at_least: int = 1) -> DataFrame:
     """Rows range-partitioned by the interleaved value, so a file covers a small box of the
     columns.  A hash breaks ties, so equal values (a hot key) may span several files."""
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ranked = df.withColumn("_z", z_value(df, columns)).withColumn("_tie", spread)
     files = files_for_size(df, at_least)
+    if len(columns) == 1:  # the column is its own order, at any size
+        ordered = df.withColumn("_tie", spread).repartitionByRange(files, columns[0], "_tie")
+        return ordered.sortWithinPartitions(columns[0]).drop("_tie")
+    ranked = df.withColumn("_z", z_value(df, columns, rank_bits(files, len(columns)))).withColumn("_tie", spread)
     return ranked.repartitionByRange(files, "_z", "_tie").sortWithinPartitions("_z").drop("_z", "_tie")
 
 
@@ -100,21 +116,6 @@ def write_clustered(df: DataFrame, columns: list[str], path: str, at_least: int
     file_statistics(df.sparkSession.read.parquet(path), columns).write.parquet(f"{path}/_stats")
 
 
-def cluster_table(table: VersionedTable, columns: list[str], at_least: int = 1, at=None) -> int:
-    """Clusters the parts not yet clustered under these keys; no keys means none from now on.
-    Parts written under the same keys before stay as they are."""
-    entry = table._entry()
-    keys = ",".join(columns)
-    if not columns:
-        return table.replace_parts(None, [], "CLUSTER BY NONE", at=at)
-    done = {r["version"] for r in table.history().filter(
-        (F.col("operation") == "CLUSTER") & (F.col("cluster_keys") == keys)).collect()}
-    todo = [p for p in entry["parts"] if p // SPAN not in done]
-    if not todo:
-        return entry["version"]
-    return table.replace_parts(cluster(table._read(entry, todo), columns, at_least), todo, "CLUSTER", keys, at)
-
-
 def file_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows, smallest and largest value per file of a scan."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
@@ -143,10 +144,11 @@ def compare_layouts(spark: SparkSession, paths: dict[str, str], column: str, val
     for name, path in paths.items():
         stats = file_statistics(spark.read.parquet(path), [column])
         part = files_for(stats, column, value).agg(F.count(F.lit(1)).alias("files_read"))
+        whole = stats.agg(F.count(F.lit(1)).alias("files"))
         hits = spark.read.parquet(path).filter(F.col(column) == F.lit(value)).agg(
             F.count(F.lit(1)).alias("rows"), F.round(F.sum(amount), 2).alias("total"))
         row = hits.withColumn("layout", F.lit(name)).withColumn(
-            "files_read", part.scalar()).select("layout", "rows", "total", "files_read")
+            "files_read", part.scalar()).withColumn("files", whole.scalar()).select("layout", "rows", "total", "files_read", "files")
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.session import table
+from lakeloom.session import stage, table
 
 
 class CheckFailed(Exception):
@@ -37,12 +37,22 @@ def expect_or_drop(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 
 def expect_or_fail(df: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """The job fails on the first violating row, so nothing reaches the target."""
-    out = df
-    for name, rule in rules.items():
-        out = out.filter(F.when(passes(rule), F.lit(True)).otherwise(
-            F.raise_error(F.lit(f"expectation {name} failed: {rule}")).cast("boolean")))
-    return out
+    """``df``, after every row of it was found to keep all rules; else CheckFailed.
+
+    The test is a pass of its own over the rules' columns and runs now: as a lazy filter it
+    could be moved above a later filter or join, which would hide rows from it.  Streams cannot
+    be read ahead; there a violating row fails its batch."""
+    if df.isStreaming:
+        for name, rule in rules.items():
+            df = df.filter(F.when(passes(rule), F.lit(True)).otherwise(
+                F.raise_error(F.lit(f"expectation {name} failed: {rule}")).cast("boolean")))
+        return df
+    if rules:
+        found = df.agg(*[F.count_if(~passes(r)).alias(f"n{i}") for i, r in enumerate(rules.values())]).first()
+        broken = {name: found[i] for i, name in enumerate(rules) if found[i]}
+        if broken:
+            raise CheckFailed(f"expectation {', '.join(broken)} failed: rows {broken}")
+    return df
 
 
 def apply_expectations(df: DataFrame, warn: dict[str, str] | None = None, drop: dict[str, str] | None = None,
@@ -130,6 +140,26 @@ def merge_schema(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows, allowMissingColumns=True)
 
 
+def append_checked(rows: DataFrame, path: str, constraints: dict[str, str] | None = None, widen: bool = False) -> None:
+    """Appends to a Parquet folder, all or nothing: rows of another type, with unknown columns
+    (unless ``widen`` adds them) or that break a constraint are refused before the write."""
+    spark = rows.sparkSession
+    known = spark.read.option("mergeSchema", True).parquet(path).schema if folder_exists(spark, path) else rows.schema
+    if widen:
+        known = T.StructType([*known.fields, *[f for f in rows.schema if f.name not in known.names]])
+    check_schema(rows, known)
+    checked = stage(rows, "append")
+    broken = {n: checked.filter(~passes(r)).limit(1).count() for n, r in (constraints or {}).items()}
+    if any(broken.values()):
+        raise CheckFailed(f"constraints violated: {[n for n, found in broken.items() if found]}")
+    checked.write.mode("append").parquet(path)
+
+
+def folder_exists(spark, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def validate_folder(spark, folder: str, names: list[str], minimum: int = 1) -> DataFrame:
     found: dict[str, DataFrame | Exception] = {}
     for name in names:

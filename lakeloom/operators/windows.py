@@ -17,7 +17,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,6 @@ from lakeloom.operators.joins import join_null_safe
 from lakeloom.session import setting, stage
 
 HOT_ROWS = 2_000_000   # rows one task may hold of a single key
-MAX_HOT = 2_000        # a hot key also holds more than 1/MAX_HOT of the table
 
 
 @dataclass(frozen=True)
@@ -97,17 +96,12 @@ class Hot:
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Hot:
     """Finds the hot keys with one partial aggregation over the key columns.
 
-    There are never more than ``MAX_HOT``, since each holds more than 1/MAX_HOT of the rows.
-    The counts only steer the split, so they may come from an input that is filtered later."""
+    The limit does not move with the table, so there are at most as many as the table has
+    rows over the limit.  The counts only steer the split, so they may come from an input that
+    is filtered later."""
     limit = hot_rows or setting(df.sparkSession, "hotRows", HOT_ROWS)
-    seen = Observation()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = (counts.observe(seen, F.sum("_n").alias("total"))
-               .filter(F.col("_n") > limit).orderBy(F.desc("_n")).limit(MAX_HOT).collect())
-    if not largest:
-        return Hot([], limit)
-    limit = max(limit, math.ceil(seen.get["total"] / MAX_HOT))
-    return Hot([r for r in largest if r["_n"] > limit], limit)
+    return Hot(counts.filter(F.col("_n") > limit).collect(), limit)
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: Hot) -> tuple[DataFrame, DataFrame]:
@@ -135,8 +129,14 @@ def _follows(order: list[str], bound: Column) -> Column:
 
 
 def _with_slices(hot_df: DataFrame, keys: list[str], order: list[str], hot: Hot) -> DataFrame:
-    """Adds ``_slice``: ordered pieces of about ``hot.limit`` rows inside each hot key."""
+    """Adds ``_slice``: ordered pieces of about ``hot.limit`` rows inside each hot key.
+
+    Without keys the pieces are range partitions of the order columns, stored because a second
+    run of the plan would draw other ranges."""
     spark = hot_df.sparkSession
+    if not keys:
+        pieces = math.ceil(hot.rows[0]["_n"] / hot.limit)
+        return stage(hot_df.repartitionByRange(pieces, *sort_columns(order)).withColumn("_slice", F.spark_partition_id()), "slices")
     names = [n for n, _ in map(_split, order)]
     parts = {tuple(r[k] for k in keys): math.ceil(r["_n"] / hot.limit) for r in hot.rows}
     rows = sum(r["_n"] for r in hot.rows)
@@ -156,7 +156,7 @@ def _with_slices(hot_df: DataFrame, keys: list[str], order: list[str], hot: Hot)
     width = max(1, math.isqrt(max(parts.values())))
     nested = [(*r[:-1], [r["_b"][i:i + width] for i in range(0, len(r["_b"]), width)]) for r in bounds.collect()]
     schema = T.StructType([*bounds.schema.fields[:-1], T.StructField("_b", T.ArrayType(bounds.schema["_b"].dataType))])
-    fixed = spark.createDataFrame(nested, schema)  # at most 2 * MAX_HOT tuples in all
+    fixed = spark.createDataFrame(nested, schema)  # a bound for each slice
     placed = join_null_safe(hot_df, F.broadcast(fixed), keys, "left")
     groups = F.size(F.filter("_b", lambda group: _follows(order, group[0])))
     within = F.size(F.filter(F.get("_b", F.col("_g") - 1), lambda b: _follows(order, b)))
@@ -194,8 +194,8 @@ def _running_hot(df: DataFrame, keys: list[str], order: list[str], specs: dict[s
     carry = ends.select(
         *keys, "_slice",
         F.struct(*[fold[s.fn](F.col(f"_end.{n}")).over(before).alias(n) for n, s in parts.items()]).alias("_carry"))
-    # one row per (hot key, slice): bounded by 2 * MAX_HOT, see _with_slices
-    joined = join_null_safe(local, F.broadcast(carry), [*keys, "_slice"])
+    # one row per (hot key, slice)
+    joined = join_null_safe(local, carry, [*keys, "_slice"])
     out = joined.select(
         *df.columns, *[_merge(s.fn, F.col(n), F.col(f"_carry.{n}")).alias(n) for n, s in parts.items()])
     for name, spec in specs.items():
@@ -233,7 +233,7 @@ def with_windows(df: DataFrame, keys: list[str], order: list[str], specs: dict[s
     window = _window(keys, order)
     if not hot.rows:
         return df.select("*", *[_plain(s, window).alias(n) for n, s in specs.items()])
-    usual, large = split_hot(df, keys, hot)
+    usual, large = split_hot(df, keys, hot) if keys else (df.limit(0), df)
     done = usual.select("*", *[_plain(s, window).alias(n) for n, s in specs.items()])
     near = {n: s for n, s in specs.items() if s.kind != "running"}
     out = _running_hot(_with_slices(large, keys, order, hot), keys, order,
@@ -302,7 +302,7 @@ def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
         usual, large = split_hot(steps, keys, hot)
         block = F.floor(F.col(by) / width)
         spread = (large.withColumn("_home", block)
-                  .withColumn("_block", F.explode(F.array(F.col("_home"), F.col("_home") + 1))))
+                  .withColumn("_block", F.explode(F.when(block.isNull(), F.array(block)).otherwise(F.array(block, block + 1)))))
         out = (spread.select("*", *columns(Window.partitionBy(*keys, "_block").orderBy(by)))
                .filter(F.col("_home").eqNullSafe(F.col("_block"))).drop("_home", "_block"))
         done = out if not keys else usual.select("*", *columns(Window.partitionBy(*keys).orderBy(by))).unionByName(out)

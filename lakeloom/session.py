@@ -16,6 +16,9 @@ PROFILE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # file sizes say little about rows in memory: joins are broadcast by run-time size only
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
 }
@@ -75,11 +78,16 @@ def stage(df: DataFrame, label: str = "stage", fmt: str = "parquet", **options:
     return df.sparkSession.read.format(fmt).options(**options).schema(df.schema).load(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder; one that is not there is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Deletes what ``stage`` wrote in this process; call it once results are stored."""
     for path in _staged:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        delete_path(spark, path)
     count = len(_staged)
     _staged.clear()
     return count

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators.joins import broadcast_if_small
 from lakeloom.sources.readers import provenance
 
+SCHEMAS = "load_id bigint, schema string"
 LEDGER = "path string, modified timestamp, size bigint, load_id bigint"
 MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 
@@ -52,19 +53,44 @@ def copy_into(spark: SparkSession, target: str, source, fmt: str, select: list[s
     load_id = (known.agg(F.max("load_id")).first()[0] or 0) + 1
     reader = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {}), **options)
     rows = (reader.schema(schema) if schema is not None else reader).load(paths)
-    rows.select(*[F.expr(e) for e in select], *provenance()).write.mode("overwrite").parquet(
-        f"{target}/rows/load_id={load_id}")
-    loaded = files.filter(F.col("path").isin(paths)) if len(paths) < 1_000 else files.join(
-        spark.createDataFrame([(p,) for p in paths], "path string"), "path", "left_semi")
+    picked = rows.select(*[F.expr(e) for e in select], *provenance())
+    picked.write.mode("overwrite").parquet(f"{target}/rows/load_id={load_id}")
+    spark.createDataFrame([(load_id, picked.schema.json())], SCHEMAS).coalesce(1).write.mode("append").parquet(f"{target}/_schemas")
+    loaded = files.join(spark.createDataFrame([(p,) for p in paths], "path string"), "path", "left_semi")
     loaded.withColumn("load_id", F.lit(load_id).cast("bigint")).write.mode("append").parquet(f"{target}/_ledger")
     return load_id
 
 
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: the wider number, else text."""
+    if a == b:
+        return a
+    numbers = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        return max(a, b, key=lambda t: numbers.index(type(t)))
+    return T.StringType()
+
+
 def read_loaded(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the finished loads; columns added by later loads are null in earlier ones."""
-    done = read_ledger(spark, target).select("load_id").distinct()
-    rows = spark.read.option("mergeSchema", True).parquet(f"{target}/rows")
-    return rows.join(broadcast_if_small(done), rows["load_id"].cast("bigint") == done["load_id"], "left_semi")
+    """Rows of the finished loads.  Columns added by later loads are null in earlier ones; where
+    a column changed its type, all loads are read with the wider one.  Loads with one schema are
+    one scan."""
+    done = [r["load_id"] for r in read_ledger(spark, target).select("load_id").distinct().collect()]
+    stored = spark.read.schema(SCHEMAS).parquet(f"{target}/_schemas").filter(F.col("load_id").isin(done))
+    groups = stored.groupBy("load_id").agg(F.max("schema").alias("schema")).groupBy("schema").agg(
+        F.collect_list("load_id").alias("ids")).orderBy(F.array_min("ids")).collect()  # loads, not data
+    schemas = [T.StructType.fromJson(json.loads(r["schema"])) for r in groups]
+    kinds: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for field in schema:
+            kinds[field.name] = _common_type(kinds.get(field.name, field.dataType), field.dataType)
+    parts = []
+    for row, schema in zip(groups, schemas, strict=True):
+        full = T.StructType([*schema.fields, T.StructField("load_id", T.LongType())])
+        rows = spark.read.schema(full).parquet(f"{target}/rows").filter(F.col("load_id").isin(row["ids"]))
+        parts.append(rows.select("load_id", *[
+            (F.col(f"`{n}`").cast(kind) if n in schema.names else F.lit(None).cast(kind)).alias(n) for n, kind in kinds.items()]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def once(spark: SparkSession, target: str, name: str, rows: DataFrame) -> bool:
@@ -74,6 +100,7 @@ def once(spark: SparkSession, target: str, name: str, rows: DataFrame) -> bool:
         return False
     load_id = (done.agg(F.max("load_id")).first()[0] or 0) + 1
     rows.write.mode("overwrite").parquet(f"{target}/rows/load_id={load_id}")
+    spark.createDataFrame([(load_id, rows.schema.json())], SCHEMAS).coalesce(1).write.mode("append").parquet(f"{target}/_schemas")
     mark = spark.range(1).select(
         F.lit(name).alias("path"), F.current_timestamp().alias("modified"),
         F.lit(0).cast("bigint").alias("size"), F.lit(load_id).cast("bigint").alias("load_id"))

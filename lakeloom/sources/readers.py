@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,15 +15,35 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
 
     With ``schema`` one pass is enough.  Spark binds CSV columns by position; ``by_name``
     binds them by header instead, so the schema may list columns in any order or leave
-    some out, and text that does not fit its type becomes null."""
+    some out, and text that does not fit its type becomes null (an error in mode FAILFAST).
+    Files whose headers differ are each read by their own."""
     reader = spark.read.option("header", True).options(**options)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     if not by_name:
         return reader.schema(schema).csv(path)
     wanted = as_schema(schema)
-    text = reader.option("inferSchema", False).csv(path)  # reads the header line only
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted])
+    strict = str(options.get("mode", "")).upper() == "FAILFAST"
+    parts = []
+    for paths in files_by_header(spark, path, **{k: v for k, v in options.items() if k in ("encoding", "lineSep", "pathGlobFilter")}):
+        text = reader.option("inferSchema", False).csv(paths)  # reads the header line only
+        parts.append(text.select(*[
+            ((F.col(f"`{f.name}`").cast(f.dataType) if strict else F.col(f"`{f.name}`").try_cast(f.dataType))
+             if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def files_by_header(spark: SparkSession, path, **options) -> list[list[str]]:
+    """Paths grouped by their first line.  Where all files have the same header (the first block
+    of each is looked at) the given path is the one group."""
+    lines = spark.read.options(**options).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    first = (lines.filter("start = 0").withColumn("n", F.monotonically_increasing_id())
+             .groupBy("file").agg(F.min_by("value", "n").alias("header")))
+    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()  # file names, not data
+    if len(groups) <= 1:
+        return [path]
+    return [sorted(r["files"]) for r in sorted(groups, key=lambda r: min(r["files"]))]
 
 
 def as_schema(schema: T.StructType | str) -> T.StructType:

@@ -6,13 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.operators import cdc
-from lakeloom.operators.changes import When
-from lakeloom.operators.versions import VersionedTable
-from lakeloom.operators.windows import latest_per_key
-from lakeloom.session import stage
+from lakeloom.operators import cdc, changes
+from lakeloom.sources import dirty
 from lakeloom.sources.incremental import refresh_schema
 from lakeloom.sources.readers import provenance
 
@@ -53,8 +51,15 @@ def table_stream(spark: SparkSession, folder: str, name: str, **options) -> Data
 
 def evolving_stream(spark: SparkSession, path: str, fmt: str, state: str, mode: str = "addNewColumns",
              infer_types: bool = True, **options) -> DataFrame:
-    """File stream with a stored schema that evolves by ``mode`` before each run."""
+    """File stream with a stored schema that evolves by ``mode`` before each run.
+
+    ``rescue`` keeps the stored schema; unknown fields and values that do not fit go to
+    ``_rescued_data`` (JSON Lines only)."""
     schema = refresh_schema(spark, path, fmt, f"{state}/schema", mode, infer_types)
+    if mode == "rescue":
+        if fmt != "json":
+            raise ValueError("mode rescue reads JSON Lines")
+        return dirty.rescue_json(file_stream(spark, path, "text", "value string", **options), schema)
     return file_stream(spark, path, fmt, schema, **options)
 
 
@@ -145,34 +150,49 @@ def fact_flow(stream: DataFrame, read_dims: Callable[[], list[DataFrame]],
     return join_static(stream, lambda: read_dims(), lambda rows, dims: build(rows, *dims), target, checkpoint, **kw)
 
 
-def scd1_flow(stream: DataFrame, table: VersionedTable, keys: list[str], seq: str, checkpoint: str, **kw) -> StreamingQuery:
-    """Type 1 dimension kept by a merge per batch; an older event changes nothing, so a
-    replayed batch is harmless."""
+def cdc_flow(stream: DataFrame, events: str, target: str, keys: list[str], build: Callable[[DataFrame], DataFrame],
+             checkpoint: str, buckets: int = 16, reaches_all: str | None = None, **kw) -> StreamingQuery:
+    """Dimension ``target`` that is ``build`` of all events so far, kept batch by batch.
+
+    Events go to plain folders by bucket of their keys and by batch, then the dimension's
+    folders of the touched buckets are built anew from them.  Both writes replace what an
+    earlier try of the batch left, so a batch may be replayed from any point.  An event for
+    which ``reaches_all`` holds (a truncate) concerns every bucket."""
     def write(rows: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(rows, keys, [seq])
-        if table.current_version() < 0:
-            table.create(latest)
+        spark = rows.sparkSession
+        placed = changes.with_bucket(rows, keys, buckets).withColumn("_batch", F.lit(batch_id))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(changes.BUCKET, "_batch").parquet(events)
+        kept = T.StructType([*rows.schema.fields, T.StructField(changes.BUCKET, T.IntegerType()), T.StructField("_batch", T.LongType())])
+        log = spark.read.schema(kept).parquet(events)
+        arrived = log.filter(F.col("_batch") == batch_id)
+        touched = sorted(r[0] for r in arrived.select(changes.BUCKET).distinct().collect())
+        if not touched:
             return
-        table.merge(latest, keys, [When("matched", "update", f"s.{seq} > t.{seq}"), When("not_matched", "insert")])
+        wide = F.coalesce(F.expr(reaches_all), F.lit(False)) if reaches_all else F.lit(False)
+        if reaches_all and arrived.filter(wide).limit(1).count():
+            touched = list(range(buckets))
+        built = build(log.filter(F.col(changes.BUCKET).isin(touched) | wide).drop(changes.BUCKET, "_batch"))
+        mine = changes.with_bucket(built, keys, buckets).filter(F.col(changes.BUCKET).isin(touched))
+        changes.replace_partitions(mine, target, changes.BUCKET, touched)
     return each_batch(stream, write, checkpoint, **kw)
 
 
-def scd2_flow(stream: DataFrame, events: VersionedTable, history: VersionedTable, keys: list[str], seq: list[str],
-              checkpoint: str, **kw) -> StreamingQuery:
-    """Type 2 dimension: a batch's events are kept, then the chains of its keys rebuilt and
-    put in place.  With both tables split by the keys a batch reads and rewrites the splits
-    of its own keys only.  A replayed batch repeats events, which changes no chain."""
-    options = {k: kw.pop(k) for k in ("delete_when", "ignore_nulls", "exclude", "untracked") if k in kw}
+def scd1_flow(stream: DataFrame, events: str, target: str, keys: list[str], seq: list[str], checkpoint: str,
+              buckets: int = 16, truncate_when: str | None = None, **options) -> StreamingQuery:
+    """Type 1 dimension with the options of ``cdc.scd1``; late events land right."""
+    build = lambda rows: cdc.scd1(rows, keys, seq, truncate_when=truncate_when, **options)
+    return cdc_flow(stream, events, target, keys, build, checkpoint, buckets, truncate_when)
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        if events.current_version() < 0:
-            events.create(rows)
-            history.create(cdc.scd2(events.read(), keys, seq, **options))
-            return
-        events.insert(rows)
-        touched = stage(rows.select(*keys).distinct(), "touched")
-        history.replace_keys(touched, keys, cdc.scd2(events.read_keys(touched, keys), keys, seq, **options))
-    return each_batch(stream, write, checkpoint, **kw)
+
+def scd2_flow(stream: DataFrame, events: str, target: str, keys: list[str], seq: list[str], checkpoint: str,
+              buckets: int = 16, **options) -> StreamingQuery:
+    """Type 2 dimension with the options of ``cdc.scd2``; late events land right."""
+    return cdc_flow(stream, events, target, keys, lambda rows: cdc.scd2(rows, keys, seq, **options), checkpoint, buckets)
+
+
+def read_dimension(spark: SparkSession, target: str) -> DataFrame:
+    """The dimension that ``scd1_flow`` or ``scd2_flow`` keeps."""
+    return spark.read.parquet(target).drop(changes.BUCKET)
 
 
 def change_stream(spark: SparkSession, feed: str, schema, start_version: int = 0) -> DataFrame:

@@ -7,8 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.operators import cdc
-from lakeloom.operators.versions import VersionedTable
+from lakeloom.operators import cdc, changes
 from lakeloom.session import scratch_path
 from lakeloom.streaming import flows
 from tests.conftest import rows
@@ -80,15 +79,42 @@ def test_late_batches_give_the_same_history(spark, seed):
     assert found(cdc.scd2_refresh(published, first, second, **args)) == brute(events)
 
 
-def test_streamed_history_and_replayed_batch(spark):
-    events = random_events(8)
-    source, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
-    store, history = (VersionedTable(spark, scratch_path(spark, n), split_by=["k"], splits=4) for n in ("store", "history"))
+def test_streamed_history_with_null_keys(spark):
+    events = random_events(8) + [(None, a, b, seq, op) for _, a, b, seq, op in random_events(9, 20) if op != "D"]
+    events = list({(e[0], e[3]): e for e in events}.values())
+    source, store, target, checkpoint = (scratch_path(spark, n) for n in ("events", "store", "dimension", "checkpoint"))
     for part in (events[:100], events[100:200], events[200:]):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(source)
         stream = flows.file_stream(spark, source, "parquet", spark.createDataFrame([], SCHEMA).schema)
-        flows.drain(flows.scd2_flow(stream, store, history, ["k"], ["seq"], checkpoint, delete_when="op = 'D'", untracked=["op"]), 120)
-    assert found(history.read()) == brute(events)
+        flows.drain(flows.scd2_flow(stream, store, target, ["k"], ["seq"], checkpoint, buckets=4, delete_when="op = 'D'", untracked=["op"]), 120)
+    known = [(-1 if e[0] is None else e[0], *e[1:]) for e in events]
+    assert sorted(h.replace("(None,", "(-1,", 1) if h.startswith("(None") else h for h in found(flows.read_dimension(spark, target))) == brute(known)
+
+
+@pytest.mark.parametrize("broken", ["events", "dimension"])
+def test_a_flow_that_stops_half_way_starts_again(spark, monkeypatch, broken):
+    """The first batch dies after its events, or after its dimension, was written."""
+    events = random_events(10)
+    source, store, target, checkpoint = (scratch_path(spark, n) for n in ("events", "store", "dimension", "checkpoint"))
+    spark.createDataFrame(events, SCHEMA).coalesce(1).write.parquet(source)
+
+    def run():
+        stream = flows.file_stream(spark, source, "parquet", spark.createDataFrame([], SCHEMA).schema)
+        flows.drain(flows.scd2_flow(stream, store, target, ["k"], ["seq"], checkpoint, buckets=4, delete_when="op = 'D'", untracked=["op"]), 120)
+
+    replace = changes.replace_partitions
+
+    def dies(*args):
+        if broken == "dimension":
+            replace(*args)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(changes, "replace_partitions", dies)
+        with pytest.raises(Exception, match="stopped"):
+            run()
+    run()
+    assert found(flows.read_dimension(spark, target)) == brute(events)
 
 
 def test_truncate_and_tombstones(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from lakeloom import session
 from lakeloom.session import scratch_path
 from lakeloom.sources import dirty, generators, incremental, readers, writers
+from lakeloom.streaming import flows
 from tests.conftest import rows
 
 
@@ -140,6 +141,45 @@ def test_evolution_modes():
         incremental.evolve(old, seen, "guess")
 
 
+def test_rescue_keeps_new_fields_and_misfits(spark):
+    root, state = scratch_path(spark, "in"), scratch_path(spark, "state")
+    target = scratch_path(spark, "out")
+
+    def run():
+        flows.drain(flows.append_flow(flows.evolving_stream(spark, root, "json", state, "rescue"), target, f"{state}/checkpoint"), 120)
+
+    spark.createDataFrame([(1, 2)], "id bigint, n bigint").write.mode("append").json(root)
+    run()
+    spark.createDataFrame([(2, "many", "e")], "id bigint, n string, extra string").write.mode("append").json(root)
+    spark.createDataFrame([("no json",)], "value string").write.mode("append").text(root)
+    run()
+    got = {(r["id"], r["n"], r["_rescued_data"]) for r in spark.read.schema("id bigint, n bigint, _rescued_data string").parquet(target).collect()}
+    assert got == {(1, 2, None), (2, None, '{"n":"many","extra":"e"}'), (None, None, '{"_corrupt_record":"no json"}')}
+    with pytest.raises(ValueError):
+        flows.evolving_stream(spark, root, "csv", scratch_path(spark, "s"), "rescue")
+
+
+def test_loads_with_other_types_stay_readable(spark):
+    target = scratch_path(spark, "typed")
+    for n, (price, tag) in enumerate(((1, 7), (1.5, 8), (2, "x"))):
+        source = scratch_path(spark, "in")
+        spark.createDataFrame([(n, price, tag)], ["id", "price", "tag"]).write.json(source)
+        assert incremental.copy_into(spark, target, source, "json") == n + 1
+    got = incremental.read_loaded(spark, target)
+    assert dict(got.dtypes)["price"] == "double" and dict(got.dtypes)["tag"] == "string"
+    assert sorted((r["id"], r["price"], r["tag"]) for r in got.collect()) == [(0, 1.0, "7"), (1, 1.5, "8"), (2, 2.0, "x")]
+
+
+def test_csv_by_name_with_differing_headers(spark):
+    path = scratch_path(spark, "headers")
+    spark.createDataFrame([(1, 2)], "id int, qty int").write.option("header", True).mode("append").csv(path)
+    spark.createDataFrame([(20, 10)], "qty int, id int").write.option("header", True).mode("append").csv(path)
+    got = readers.read_csv(spark, path, "id int, qty int").collect()
+    assert sorted((r["id"], r["qty"]) for r in got) == [(1, 2), (10, 20)]
+    with pytest.raises(Exception):
+        readers.read_csv(spark, path, "id boolean", mode="FAILFAST").collect()
+
+
 def test_schema_store(spark):
     source, where = scratch_path(spark, "in"), scratch_path(spark, "schema")
     numbers(spark, 0, 3).select("id").write.json(source)

@@ -75,16 +75,6 @@ def test_masks_and_filters(spark):
     assert rows(g.secured_view(people, "sv", {"email": g.mask_keep_domain}, rules, {"admins"})) == rows(people)
 
 
-def test_privileges_need_all_levels_and_deny_wins(spark):
-    tables = spark.createDataFrame([("c", "c.s", "c.s.t1"), ("c", "c.s", "c.s.t2")], "catalog string, schema string, table string")
-    members = spark.createDataFrame([("ann", "team"), ("bob", "other")], "user string, group string")
-    grants = spark.createDataFrame([
-        ("team", "USE CATALOG", "c", "GRANT"), ("team", "USE SCHEMA", "c", "GRANT"), ("team", "SELECT", "c.s", "GRANT"),
-        ("ann", "SELECT", "c.s.t2", "DENY"), ("bob", "SELECT", "c.s.t1", "GRANT")], "principal string, privilege string, securable string, effect string")
-    got = {(r["user"], r["table"]): r["can_select"] for r in g.effective_privileges(tables, grants, members).collect()}
-    assert got == {("ann", "c.s.t1"): True, ("ann", "c.s.t2"): False, ("bob", "c.s.t1"): False}
-
-
 def test_generated_calendar(spark):
     days = star.date_dimension(spark)
     assert days.count() == 4018 and days.select("date_key").distinct().count() == 4018

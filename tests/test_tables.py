@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -11,93 +12,77 @@ from pyspark.sql import functions as F
 from lakeloom.operators import changes as ch
 from lakeloom.operators import layout
 from lakeloom.operators import quality as q
+from lakeloom.operators import snapshots as sn
 from lakeloom.operators.changes import When
-from lakeloom.operators.versions import SPAN, VersionedTable, VersionExpired
 from lakeloom.session import scratch_path
 from tests.conftest import rows
 
 
-def new(spark, **kw):
-    return VersionedTable(spark, scratch_path(spark, "t"), **kw)
-
-
 def numbers(spark, a, b):
     return spark.range(a, b).select("id", (F.col("id") * 10).alias("v"))
 
 
-def test_append_keeps_parts_and_update_rewrites_only_touched(spark):
-    t = new(spark)
-    t.create(numbers(spark, 0, 10))
-    t.insert(numbers(spark, 10, 20))
-    t.update({"v": "0"}, "id = 15")
-    assert t.part_versions() == [0, 2]
-    assert t.read().filter("v = 0 AND id > 0").count() == 1
-    assert rows(t.read(1)) == rows(numbers(spark, 0, 20))
-
-
-def test_split_table_rewrites_one_split(spark):
-    t = new(spark, split_by=["id"], splits=8)
-    t.create(numbers(spark, 0, 200))
-    before = set(t._entry()["parts"])
-    t.update({"v": "-1"}, "id = 77")
-    assert len(before & set(t._entry()["parts"])) == len(before) - 1
-    t.merge(numbers(spark, 50, 51).withColumn("v", F.lit(5).cast("bigint")), ["id"], [When("matched", "update")])
-    assert t.read().filter("v = 5").select("id").collect()[0]["id"] == 50
-    assert t.read_keys(numbers(spark, 50, 52), ["id"]).count() == 2
-    t.replace_keys(numbers(spark, 0, 3).select("id"), ["id"], numbers(spark, 1000, 1001))
-    assert t.read().count() == 198 and t.read().filter("id < 3").count() == 0
-
-
-def test_delete_everything_then_insert(spark):
-    t = new(spark)
-    t.create(numbers(spark, 0, 5))
-    t.delete("id >= 0")
-    assert t.read().count() == 0
-    t.insert(numbers(spark, 5, 7))
-    assert t.read().count() == 2
-
-
-def test_half_written_commit_is_invisible(spark):
-    t = new(spark)
-    t.create(numbers(spark, 0, 5))
-    numbers(spark, 0, 99).write.parquet(f"{t.path}/rows/commit=1/part={SPAN}")  # a writer that died
-    assert t.read().count() == 5
-    t.insert(numbers(spark, 5, 6))
-    assert rows(t.read()) == rows(numbers(spark, 0, 6))
-
-
-def test_time_travel_restore_and_retention(spark):
-    t = new(spark)
-    t.create(numbers(spark, 0, 5), at="2024-01-01 00:00:00")
-    t.overwrite(numbers(spark, 0, 3), at="2024-01-02 00:00:00")
-    t.insert(numbers(spark, 3, 4), at="2024-02-01 00:00:00")
-    assert t.read(at="2024-01-01 12:00:00").count() == 5
-    with pytest.raises(VersionExpired):
-        t.read(at="2023-01-01 00:00:00")
+def test_bucket_merge_rewrites_touched_folders_only(spark):
+    path, files = scratch_path(spark, "buckets"), lambda: {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+    ch.write_buckets(numbers(spark, 0, 200), path, ["id"], 8)
+    before = files()
+    touched = ch.merge_buckets(path, numbers(spark, 50, 51).withColumn("v", F.lit(-5).cast("bigint")), ["id"], [When("matched", "update")], 8)
+    assert len(touched) == 1 and len(before & files()) == len(before) - 1
+    assert spark.read.parquet(path).filter("v = -5").select("id").collect()[0]["id"] == 50
+    assert ch.merge_buckets(path, numbers(spark, 0, 200), ["id"], [When("matched", "delete")], 8) == list(range(8))
+    assert not any(f.exists() for f in Path(path).glob("_bucket=*"))
+
+
+def test_replacing_partitions_removes_those_left_empty(spark):
+    path = scratch_path(spark, "parts")
+    numbers(spark, 0, 9).withColumn("p", F.col("id") % 3).write.partitionBy("p").parquet(path)
+    ch.replace_partitions(numbers(spark, 100, 101).withColumn("p", F.lit(1).cast("bigint")), path, "p", [0, 1])
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [2, 5, 8, 100]
+
+
+def test_copies_by_version_and_time(spark):
+    root = scratch_path(spark, "copies")
+    sn.write(numbers(spark, 0, 5), root, "CREATE", "2024-01-01 00:00:00")
+    sn.write(numbers(spark, 0, 3), root, "OVERWRITE", "2024-01-02 00:00:00")
+    sn.write(numbers(spark, 0, 4), root, "INSERT", "2024-02-01 00:00:00")
+    numbers(spark, 0, 99).write.parquet(f"{root}/version=3/operation=INSERT/at=1/half")  # a writer that died
+    assert sn.read(spark, root, at="2024-01-01 12:00:00").count() == 5
+    assert sn.read(spark, root).count() == 4
+    with pytest.raises(sn.NoSnapshot):
+        sn.read(spark, root, at="2023-01-01 00:00:00")
     with pytest.raises(ValueError):
-        t.vacuum("2024-02-01 01:00:00", hours=1)
-    assert [r["version"] for r in t.expirable("2024-02-01 01:00:00").orderBy("version").collect()] == [0, 1]
-    assert t.vacuum("2024-02-01 01:00:00") == [0]  # part of version 1 is still used by version 2
-    with pytest.raises(VersionExpired):
-        t.read(0)
-    assert t.read().count() == 4
-    assert t.vacuum("2024-02-01 01:00:00") == []
-
-
-def test_schema_rules(spark):
-    t = new(spark, constraints={"positive": "v >= 0"})
-    t.create(numbers(spark, 0, 5))
-    with pytest.raises(q.CheckFailed):
-        t.insert(numbers(spark, 5, 6).withColumn("extra", F.lit(1)))
-    with pytest.raises(q.CheckFailed):
-        t.insert(numbers(spark, 5, 6).withColumn("v", F.col("v").cast("string")))
-    with pytest.raises(Exception, match="positive"):
-        t.insert(numbers(spark, 5, 6).withColumn("v", -F.col("v")))
-    assert t.current_version() == 0
-    t.insert(numbers(spark, 5, 6).withColumn("extra", F.lit("e")), merge_schema=True)
-    assert t.read().filter("extra IS NULL").count() == 5
-    t.overwrite(spark.range(2).select(F.col("id").cast("string").alias("other"), F.lit(1).alias("v")))
-    assert t.read().columns == ["other", "v"]
+        sn.expire(spark, root, "2024-02-01 01:00:00", hours=1)
+    assert sn.restore(spark, root, 0) == 3 and sn.read(spark, root).count() == 5
+    assert [r["version"] for r in sn.expirable(spark, root, "2024-02-01 01:00:00").orderBy("version").collect()] == [0, 1]
+    assert sn.expire(spark, root, "2024-02-01 01:00:00") == [0, 1]
+    with pytest.raises(sn.NoSnapshot):
+        sn.read(spark, root, 0)
+    assert sn.expire(spark, root, "2024-02-01 01:00:00") == []
+
+
+def test_checked_appends(spark):
+    path, rules = scratch_path(spark, "checked"), {"positive": "v >= 0"}
+    q.append_checked(numbers(spark, 0, 5), path, rules)
+    for wrong in (numbers(spark, 5, 6).withColumn("extra", F.lit(1)), numbers(spark, 5, 6).withColumn("v", F.col("v").cast("string"))):
+        with pytest.raises(q.CheckFailed, match="schema"):
+            q.append_checked(wrong, path, rules)
+    with pytest.raises(q.CheckFailed, match="positive"):
+        q.append_checked(numbers(spark, 5, 6).withColumn("v", -F.col("v")), path, rules)
+    assert spark.read.parquet(path).count() == 5
+    q.append_checked(numbers(spark, 5, 6).withColumn("extra", F.lit("e")), path, rules, widen=True)
+    assert spark.read.option("mergeSchema", True).parquet(path).filter("extra IS NULL").count() == 5
+
+
+def test_compaction_in_place(spark):
+    path = scratch_path(spark, "small")
+    numbers(spark, 0, 1000).repartition(60).write.parquet(path)
+    assert layout.compact_folder(spark, path) == (60, 1)
+    assert rows(spark.read.parquet(path)) == rows(numbers(spark, 0, 1000))
+    assert layout.compact_folder(spark, path, bytes_per_file=1) == (0, 0)
+
+
+def test_rank_bits_grow_with_the_files():
+    assert [layout.rank_bits(f, 2) for f in (1, 64, 10_000, 1_000_000)] == [6, 6, 9, 12]
 
 
 def test_merge_refuses_two_source_rows(spark):
@@ -133,26 +118,26 @@ def test_merge_equals_row_by_row(spark, seed):
             want[i] = -v
     frame = lambda d: spark.createDataFrame(sorted(d.items()), "id bigint, v bigint")
     assert {x["id"]: x["v"] for x in ch.merge(frame(target), frame(source), ["id"], clauses).collect()} == want
-    t = new(spark, split_by=["id"], splits=3)
-    t.create(frame(target))
-    t.merge(frame(source), ["id"], clauses)
-    assert {x["id"]: x["v"] for x in t.read().collect()} == want
+    path = scratch_path(spark, "merged")
+    ch.write_buckets(frame(target), path, ["id"], 3)
+    ch.merge_buckets(path, frame(source), ["id"], clauses, 3)
+    assert {x["id"]: x["v"] for x in spark.read.parquet(path).collect()} == want
 
 
 def test_change_feed_replays_to_the_newest_version(spark):
-    t = new(spark)
-    t.create(numbers(spark, 0, 6))
-    t.update({"v": "v + 1"}, "id < 2")
-    t.delete("id = 5")
-    t.insert(numbers(spark, 8, 9))
-    state = {}
-    for c in t.changes(0, key=["id"]).orderBy("_commit_version").collect():
+    root = scratch_path(spark, "feed")
+    newest = lambda: sn.read(spark, root)
+    sn.write(numbers(spark, 0, 6), root, "CREATE")
+    sn.write(ch.update(newest(), {"v": "v + 1"}, "id < 2"), root, "UPDATE")
+    sn.write(ch.delete(newest(), "id = 5"), root, "DELETE")
+    sn.write(ch.insert(newest(), numbers(spark, 8, 9)), root, "INSERT")
+    state = {x["id"]: x["v"] for x in sn.read(spark, root, 0).collect()}
+    for c in sn.changes(spark, root, 1, key=["id"]).orderBy("_commit_version").collect():
         if c["_change_type"] in ("insert", "update_postimage"):
             state[c["id"]] = c["v"]
         elif c["_change_type"] == "delete":
             state.pop(c["id"])
-    assert state == {x["id"]: x["v"] for x in t.read().collect()}
-    assert t.changes(9, key=["id"]).count() == 0
+    assert state == {x["id"]: x["v"] for x in newest().collect()}
 
 
 def test_multiset_diff(spark):
@@ -162,16 +147,6 @@ def test_multiset_diff(spark):
         [("a", "delete"), ("b", "delete"), ("c", "insert"), (None, "insert")], "x string, _change_type string"))
 
 
-def test_clones_are_independent(spark):
-    t = new(spark)
-    t.create(numbers(spark, 0, 5))
-    copy = t.deep_clone(scratch_path(spark, "copy"))
-    copy.delete("id = 0")
-    view = t.shallow_clone("shallow_view", 0)
-    t.truncate()
-    assert (t.read().count(), copy.read().count(), view.count()) == (0, 4, 5)
-
-
 def test_identity_and_defaults(spark):
     ids = ch.with_identity(spark.range(1000).repartition(7), "n", above=50)
     assert ids.select("n").distinct().count() == 1000 and ids.agg(F.min("n")).first()[0] > 50
