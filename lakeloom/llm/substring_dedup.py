@@ -33,7 +33,7 @@ LENGTH = 50
 ANCHOR = 25
 #: Bytes of text in a chunk, at least; the chunk grows with the root of the corpus, so that what
 #: a chunk sends to a bucket stays long enough.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Fragments of one transform have about so many bytes together.
 BLOCK_BYTES = 1 << 18
 #: Anchors that occur so often are dealt by window.
@@ -116,7 +116,8 @@ class Chunk:
         crossing = np.zeros(len(place) + 1, np.int32)
         np.add.at(crossing, np.clip(starts[1:] - length + 1, starts[:-1], len(place)), 1)
         np.add.at(crossing, np.minimum(starts[1:], len(place)), -1)
-        within[:-1] = np.cumsum(crossing)[:-1] == 0
+        within[:-1] = np.cumsum(crossing, out=crossing)[:-1] == 0
+        del crossing
         begins = np.ones(len(place) + 1, bool)
         begins[1:-1] = place[1:] != place[:-1]
         begins[starts[:-1][starts[:-1] < len(place)]] = True
@@ -365,7 +366,7 @@ def _removed(chunk: Chunk, sent: Fragments, notes: pa.Table, length: int) -> np.
     change = np.zeros(len(chunk.text) + 1, np.int32)
     np.add.at(change, start[hit] + opens[run[hit]], 1)
     np.add.at(change, start[hit] + end[run[hit]] + length - 1, -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change, out=change)[:-1] > 0
 
 
 def _digest(data: bytes) -> str:
