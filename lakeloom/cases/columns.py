@@ -10,7 +10,7 @@ from lakeloom.functions import arrays, udfs
 from lakeloom.functions import scalars as fx
 from lakeloom.plans import retail
 from lakeloom.plans.sales import category_paths
-from lakeloom.session import scratch_path, table
+from lakeloom.session import scratch_path, stage, table
 
 # ---- projections, filters, cleaning ------------------------------------------
 
@@ -214,6 +214,23 @@ def h06(spark, d):
         "event_id", fx.local_to_utc(wall, zone).alias("utc"), F.from_utc_timestamp(wall, "+02:00").alias("shown")))
 
 
+@case("h06_named_zones", """
+SELECT o_orderkey, CAST(timezone('Europe/Berlin', o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))) AT TIME ZONE 'UTC' AS VARCHAR) AS utc,
+  CAST(timezone('UTC', o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))) AT TIME ZONE 'America/New_York' AS VARCHAR) AS shown,
+  CAST(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT)) AS VARCHAR) AS wall FROM orders
+WHERE NOT (month(o_orderdate) IN (3, 10) AND day(o_orderdate) > 24 AND dayofweek(o_orderdate) = 0)""")
+def h06_zones(spark, d):
+    """Named zones with summer time: wall-clock to UTC, UTC to a zone, and a time without zone,
+    which no zone moves.  Berlin's changing days, when an hour is missing or doubled, are left
+    to each engine's reading."""
+    orders = table(spark, d, "orders")
+    changing = F.month("o_orderdate").isin(3, 10) & (F.dayofmonth("o_orderdate") > 24) & (F.dayofweek("o_orderdate") == 1)
+    wall = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate"))
+    return plain(orders.filter(~changing).select(
+        "o_orderkey", F.to_utc_timestamp(wall.cast("timestamp"), "Europe/Berlin").alias("utc"),
+        F.from_utc_timestamp(wall.cast("timestamp"), "America/New_York").alias("shown"), wall.alias("wall")))
+
+
 @case("h07_math", """
 SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)), 1) AS DOUBLE) AS rounded, l_orderkey % 7 AS remainder,
   CASE WHEN l_discount <> 0 THEN round(l_tax / l_discount, 6) END AS guarded FROM lineitem""")
@@ -255,6 +272,13 @@ def h10(spark, d):
         "vec_id", "pos", F.lit(None).cast("float").alias("value"), F.lit("map").alias("kind")))
 
 
+@case("h10_lateral_view", """
+SELECT o_orderkey, CAST(g.i AS INT) - 1 AS pos, split_part(o_orderpriority, '-', CAST(g.i AS INT)) AS part FROM orders, generate_series(1, 2) AS g(i)""")
+def h10_lateral(spark, d):
+    return spark.sql("SELECT o_orderkey, pos, part FROM {orders} LATERAL VIEW posexplode(split(o_orderpriority, '-', 2)) v AS pos, part",
+                     orders=table(spark, d, "orders").withColumn("o_orderpriority", F.concat_ws("-", F.slice(F.split("o_orderpriority", "-"), 1, 2))))
+
+
 @case("h11_array_higher_order", """
 SELECT vec_id, len(list_filter(embedding, lambda x: x > 0.1)) AS above, len(list_filter(embedding, lambda x: x > 0.3)) > 0 AS any_above,
   len(list_filter(embedding, lambda x: x > -0.3)) = len(embedding) AS all_above,
@@ -276,18 +300,37 @@ def h12(spark, d):
         F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("rendered"))
 
 
+@case("h12_variant_and_schema", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS by_variant, CAST(json_extract_string(props, '$.k') AS BIGINT) AS by_schema, 'k' AS fields FROM events""")
+def h12_variant(spark, d):
+    """Path access into a variant, and a schema found from the data itself."""
+    events = table(spark, d, "events")
+    sample = events.select(F.max("props")).first()[0]
+    found = events.sparkSession.range(1).select(F.schema_of_json(F.lit(sample))).first()[0]
+    parsed = F.from_json("props", found)
+    return events.select("event_id", F.variant_get(F.parse_json("props"), "$.k", "int").alias("by_variant"),
+                         parsed["k"].alias("by_schema"), F.array_join(F.json_object_keys("props"), ",").alias("fields"))
+
+
+@case("h01_uuid", "SELECT count(*) AS row_count, count(*) AS different, true AS shaped FROM orders")
+def h01_uuid(spark, d):
+    """A random identifier for each row."""
+    named = stage(table(spark, d, "orders").select("o_orderkey", F.uuid().alias("id")), "uuid")
+    return named.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("id").alias("different"),
+                     F.bool_and(F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("shaped"))
+
+
 CTE_BODY = """
-WITH customer_orders AS (
-  SELECT o_custkey, count(*) AS orders_count, round(sum(o_totalprice), 2) AS total_spent FROM {orders} WHERE o_orderstatus = 'F' GROUP BY o_custkey),
-average AS (SELECT round(avg(total_spent), 2) AS mean FROM customer_orders)
-SELECT o_custkey, orders_count, total_spent, c_name FROM customer_orders JOIN {customer} ON o_custkey = c_custkey
-WHERE total_spent > (SELECT mean FROM average) AND o_custkey IN (SELECT o_custkey FROM {orders} WHERE o_orderpriority = '1-URGENT')
-  AND EXISTS (SELECT 1 FROM {nation} WHERE n_nationkey = c_nationkey AND n_regionkey < 3)"""
+WITH busy AS (SELECT l_suppkey, count(DISTINCT l_partkey) AS parts FROM {lineitem} WHERE l_quantity >= 25 GROUP BY l_suppkey),
+middle AS (SELECT min(parts) + (max(parts) - min(parts)) / 2 AS half FROM busy)
+SELECT s_suppkey, s_name, parts FROM busy JOIN {supplier} ON l_suppkey = s_suppkey
+WHERE parts >= (SELECT half FROM middle) AND s_nationkey IN (SELECT n_nationkey FROM {nation} WHERE n_regionkey < 4)
+  AND NOT EXISTS (SELECT 1 FROM {customer} WHERE c_nationkey = s_nationkey AND c_acctbal < -999.9)"""
 
 
-@case("h13_subqueries_and_cte", CTE_BODY.format(orders="orders", customer="customer", nation="nation"))
+@case("h13_subqueries_and_cte", CTE_BODY.format(lineitem="lineitem", supplier="supplier", nation="nation", customer="customer"))
 def h13(spark, d):
-    return spark.sql(CTE_BODY, orders=table(spark, d, "orders"), customer=table(spark, d, "customer"), nation=table(spark, d, "nation"))
+    return spark.sql(CTE_BODY, **{n: table(spark, d, n) for n in ("lineitem", "supplier", "nation", "customer")})
 
 
 @case("h14_recursive_cte", """

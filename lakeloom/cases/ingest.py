@@ -53,9 +53,11 @@ def a03(spark, d):
         **dialect, emptyValue="<empty>", comment="#", ignoreLeadingWhiteSpace=True, maxColumns=20, mode="FAILFAST"))
 
 
-@case("a04_json_inferred", "SELECT event_id, user_id, event_type, value, props FROM events")
+@case("a04_json_inferred", "SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts FROM events")
 def a04(spark, d):
-    return readers.read_json(spark, _write(table(spark, d, "events").drop("ts"), "json"))
+    """Times arrive as text in JSON and are inferred as such."""
+    events = table(spark, d, "events")
+    return readers.read_json(spark, _write(events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")), "json"))
 
 
 @case("a05_json_partial_schema", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -280,13 +282,16 @@ def a21(spark, d):
         (F.count_distinct("source_file_path") == F.count_distinct("batch_id")).alias("one_file_per_batch"))
 
 
-@case("a22_archive_source", "SELECT o_orderstatus, count(*) AS row_count FROM orders GROUP BY o_orderstatus")
+@case("a22_archive_source", "SELECT o_orderstatus, count(*) AS row_count, true AS archived FROM orders GROUP BY o_orderstatus")
 def a22(spark, d):
+    """A consumed file moves to the archive after the batch that follows its own."""
     source = landing(spark, table(spark, d, "orders"), "o_orderkey", 2)
     target, done = scratch_path(spark, "archived"), scratch_path(spark, "archive")
     stream = flows.file_stream(spark, f"{source}/_batch=*", "json", ORDER_JSON, max_files=1, archive_to=done)
     flows.drain(flows.append_flow(stream, target, scratch_path(spark, "checkpoint")))
-    return spark.read.schema(ORDER_JSON).parquet(target).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"))
+    moved = incremental.list_files(spark, done, "*.json").agg((F.count(F.lit(1)) > 0).alias("archived"))
+    return spark.read.schema(ORDER_JSON).parquet(target).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count")).withColumn(
+        "archived", moved.scalar())
 
 
 @case("a23_file_state", """
@@ -303,15 +308,15 @@ def a23(spark, d):
         F.bool_and(F.col("commit_time").isNotNull() & F.col("ingestion_ts").isNotNull()).alias("times_known"))
 
 
-@case("a25_foreach_batch", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
+@case("a25_foreach_batch", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, CAST(max(ts) AS VARCHAR) AS newest FROM events GROUP BY event_type")
 def a25(spark, d):
-    events = stage(table(spark, d, "events").drop("ts"))
+    events = table(spark, d, "events")
     source, target = scratch_path(spark, "events"), scratch_path(spark, "batches")
     events.write.parquet(source)
     stream = flows.file_stream(spark, source, "parquet", events.schema, max_files=1)
     flows.drain(flows.land_batches(stream, target, scratch_path(spark, "checkpoint")))
-    return spark.read.parquet(target).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return plain(spark.read.parquet(target).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"), F.max("ts").alias("newest")))
 
 
 @case("a26_memory_sink", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

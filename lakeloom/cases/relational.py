@@ -190,6 +190,20 @@ def d10(spark, d):
     return ag.column_stats(table(spark, d, "orders"), ["o_totalprice", "o_custkey"])
 
 
+@case("d10_describe", """
+SELECT 'count' AS summary, CAST(count(o_totalprice) AS DOUBLE) AS o_totalprice, CAST(count(o_custkey) AS DOUBLE) AS o_custkey FROM orders
+UNION ALL SELECT 'mean', round(avg(o_totalprice), 4), round(avg(o_custkey), 4) FROM orders
+UNION ALL SELECT 'stddev', round(stddev(o_totalprice), 4), round(stddev(o_custkey), 4) FROM orders
+UNION ALL SELECT 'min', min(o_totalprice), min(o_custkey) FROM orders
+UNION ALL SELECT 'max', max(o_totalprice), max(o_custkey) FROM orders""")
+def d10_describe(spark, d):
+    """``describe``, and ``summary`` asked for the same statistics, agree."""
+    orders = table(spark, d, "orders").select("o_totalprice", "o_custkey")
+    told = lambda df: df.select("summary", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in orders.columns])
+    both = told(orders.describe()).intersect(told(orders.summary("count", "mean", "stddev", "min", "max")))
+    return both
+
+
 @case("d11_quality_profile", f"""
 SELECT count(*) AS total_rows, sum(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS null_keys, count(DISTINCT customer_id) AS distinct_keys,
   sum(CASE WHEN quantity <= 0 THEN 1 ELSE 0 END) AS bad_quantity, sum(CASE WHEN unit_price IS NULL THEN 1 ELSE 0 END) AS no_price FROM ({RETAIL_SQL}) AS r""")

@@ -89,7 +89,18 @@ def local_to_utc(ts: Column, zone: Column) -> Column:
     return F.to_utc_timestamp(ts, zone)
 
 
+def sum_of_cents(amount: str | Column) -> Column:
+    """Sum of amounts in whole cents: the cents are summed as whole numbers, so the result does
+    not depend on how rows were dealt to tasks."""
+    return F.sum(_cents(F.col(amount) if isinstance(amount, str) else amount)) / 100.0
+
+
 def mean_of_cents(amount: str | Column) -> Column:
-    """Average of amounts in whole cents.  The sum is rounded back to cents first, so the
-    mean does not depend on the order in which partial sums were merged."""
-    return F.try_divide(F.round(F.sum(amount), 2), F.count(amount))
+    """Average of amounts in whole cents, exact up to the one division."""
+    return F.try_divide(sum_of_cents(amount), F.count(amount))
+
+
+def rounded_mean_of_cents(amount: str) -> Column:
+    """Average of amounts not below zero, in whole cents, rounded half up."""
+    total, n = F.sum(_cents(F.col(amount))), F.count(amount)
+    return F.floor((2 * total + n) / (2 * n)) / 100.0

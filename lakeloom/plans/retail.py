@@ -64,15 +64,15 @@ def gold_customer_summary(orders: DataFrame, customers: DataFrame, key: str = "c
     """Order statistics per customer.  Orders are aggregated before the join, so only one
     row per customer is joined and a dominant customer costs nothing."""
     totals = orders.groupBy(key).agg(
-        F.count(order_id).alias("total_orders"), F.sum(amount).alias("total_revenue"),
-        F.avg(amount).alias("avg_order_value"), F.max(ts).alias("last_order_date"))
+        F.count(order_id).alias("total_orders"), fx.sum_of_cents(amount).alias("total_revenue"),
+        fx.mean_of_cents(amount).alias("avg_order_value"), F.max(ts).alias("last_order_date"))
     return lookup(totals, customers.select(key, *attributes), key)
 
 
 def gold_daily(orders: DataFrame, ts: str = "order_datetime") -> DataFrame:
     return (orders.groupBy(F.to_date(ts).alias("order_date"))
-            .agg(F.count("order_id").alias("order_count"), F.sum("net_amount").alias("total_revenue"),
-                 F.round(F.avg("net_amount"), 2).alias("avg_order_value")).orderBy("order_date"))
+            .agg(F.count("order_id").alias("order_count"), fx.sum_of_cents("net_amount").alias("total_revenue"),
+                 fx.rounded_mean_of_cents("net_amount").alias("avg_order_value")).orderBy("order_date"))
 
 
 def run_layers(spark: SparkSession, customers: DataFrame, orders: DataFrame, root: str) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.session import stage
 from lakeloom.sources.readers import provenance
 
 SCHEMAS = "load_id bigint, schema string"
@@ -46,7 +47,7 @@ def copy_into(spark: SparkSession, target: str, source, fmt: str, select: list[s
     the ledger was written is invisible to ``read_loaded`` and overwritten by the next run,
     so a file counts exactly once."""
     files, known = list_files(spark, source, pattern), read_ledger(spark, target)
-    new = files if force else files.join(known, "path", "left_anti")
+    new = stage(files if force else files.join(known, "path", "left_anti"), "listing")  # one listing a load
     paths = [r["path"] for r in new.select("path").collect()]  # file names, not data
     if not paths:
         return -1
@@ -56,8 +57,7 @@ def copy_into(spark: SparkSession, target: str, source, fmt: str, select: list[s
     picked = rows.select(*[F.expr(e) for e in select], *provenance())
     picked.write.mode("overwrite").parquet(f"{target}/rows/load_id={load_id}")
     spark.createDataFrame([(load_id, picked.schema.json())], SCHEMAS).coalesce(1).write.mode("append").parquet(f"{target}/_schemas")
-    loaded = files.join(spark.createDataFrame([(p,) for p in paths], "path string"), "path", "left_semi")
-    loaded.withColumn("load_id", F.lit(load_id).cast("bigint")).write.mode("append").parquet(f"{target}/_ledger")
+    new.withColumn("load_id", F.lit(load_id).cast("bigint")).write.mode("append").parquet(f"{target}/_ledger")
     return load_id
 
 
