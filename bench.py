@@ -1,6 +1,6 @@
 """Times the headline work at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Per entry: one warm-up, then the median of two runs.  Results go to the no-op sink, so
+Per entry: one warm-up, then the median of five runs.  Results go to the no-op sink, so
 every row is computed and none is collected."""
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from lakeloom.sources import incremental, readers
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 # registered queries timed as they are
 HEADLINE = """d01_grouped_aggregate d03_distinct_count d06_two_level_aggregate d07_daily_rollup c01_inner_join
@@ -87,11 +87,10 @@ def main() -> None:
 
     # compaction of small files
     small = scratch_path(spark, "bench-small")
-    orders.limit(10_000).repartition(400).write.parquet(small)
+    orders.repartition(5_000).write.parquet(small)
     seconds["scan_small_files"] = median(lambda: run(spark.read.parquet(small)))
-    packed = scratch_path(spark, "bench-packed")
-    seconds["compact"] = once(lambda: layout.compact(spark, small, packed))
-    seconds["scan_compacted"] = median(lambda: run(spark.read.parquet(packed)))
+    seconds["compact"] = once(lambda: facts.update(compacted=layout.compact_folder(spark, small)))
+    seconds["scan_compacted"] = median(lambda: run(spark.read.parquet(small)))
 
     # one key with nine tenths of the rows
     skewed = stage(lines.select(
@@ -102,16 +101,16 @@ def main() -> None:
     seconds["skew_sum_plain"] = median(lambda: run(total(skewed)))
     seconds["skew_sum_salted"] = median(lambda: run(aggregates.salted_sum(skewed, "k", "v", ["id"])))
     seconds["skew_join_merge"] = median(lambda: run(total(joins.sort_merge_join(skewed, names, "k"))))
-    seconds["skew_join_salted"] = median(lambda: run(total(joins.salted_join(skewed, names, "k", ["id"], int(CPUS), heavy_rows=10_000))))
+    seconds["skew_join_salted"] = median(lambda: run(total(joins.salted_join(skewed, names, "k", ["id"], heavy_rows=10_000))))
 
     # broadcast against sort-merge
     keyed = lines.select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
-    seconds["join_broadcast"] = median(lambda: run(joins.lookup(keyed, parts, "p_partkey", "inner")))
+    seconds["join_broadcast"] = median(lambda: run(joins.broadcast_join(keyed, parts, "p_partkey")))
     seconds["join_sort_merge"] = median(lambda: run(joins.sort_merge_join(keyed, parts, "p_partkey")))
 
     # rerunnable load of small files
     source, target = scratch_path(spark, "bench-in"), scratch_path(spark, "bench-loaded")
-    orders.limit(10_000).repartition(200).write.json(source)
+    orders.repartition(1_000).write.json(source)
     seconds["copy_into_first"] = once(lambda: incremental.copy_into(spark, target, source, "json"))
     seconds["copy_into_nothing_new"] = once(lambda: incremental.copy_into(spark, target, source, "json"))
 

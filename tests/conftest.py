@@ -13,8 +13,9 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+                            spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}")
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -29,8 +29,6 @@ def cell(value):
         return "nan" if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, bool):
         return str(value)
-    if isinstance(value, int):
-        return repr(float(value)) if abs(value) < 2**53 else str(value)
     return str(value)
 
 
