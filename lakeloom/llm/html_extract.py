@@ -34,7 +34,8 @@ OUTSIDE_NAMES = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments commentlist disqus "
     "respond reply replies cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended recommendations widget widgets toolbar "
-    "pagination pager skip copyright legal".split())
+    "pagination pager skip copyright legal rail sidenav submenu topnav trending popular search searchbox tagcloud "
+    "taglist".split())
 
 # a tag; the second form takes one whose quotes are broken.  Both give up after a bounded way, so
 # that a page of broken markup takes no quadratic time
