@@ -103,9 +103,11 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame, small: int = 256 << 20) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Small scans only: a file of one row group is one task however many cores there are, so
-    its rows are dealt out before heavy per-row work.  Larger inputs have splits enough and
-    are returned as they are, without a shuffle."""
+    its rows are dealt out before heavy per-row work.  Inputs above ``spark.lakeloom.spreadBytes``
+    (256 MB) have splits enough and are returned as they are, without a shuffle; the rows are
+    the same either way."""
+    small = setting(df.sparkSession, "spreadBytes", 256 << 20)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if plan_bytes(df) < small else df
