@@ -240,8 +240,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     (if present) gets the new number of characters.  Rows without hits stay as they are, null
     and empty texts too."""
     shared = docs.sparkSession.sparkContext.broadcast(automaton_of(benchmark, window))
-    counted = count_column if count_column in docs.columns else None
-    kind = dict(docs.dtypes).get(counted)
+    counted = count_column if dict(docs.dtypes).get(count_column) in ("bigint", "int") else None
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,6 +263,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                 keep = [len(hit) <= max_coverage * n for n, hit, _ in found]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    if counted and kind not in ("bigint", "int"):
-        counted = None
     return docs.mapInArrow(clean, docs.schema)
