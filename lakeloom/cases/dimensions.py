@@ -242,6 +242,17 @@ def m10(spark, d):
     return cdc.history_audit(stage(cdc.scd2(_events(spark, d), KEYS, SEQ), "history"), KEYS)
 
 
+@case("m10_original_and_modified", f"""
+SELECT c_custkey, arg_min(c_name, seq) AS old_name, arg_max(c_name, seq) AS new_name, arg_min(record_type, seq) AS old_type, arg_max(record_type, seq) AS new_type,
+  arg_max(c_acctbal, seq) - arg_min(c_acctbal, seq) AS gained FROM ({CHANGES_SQL}) AS e GROUP BY c_custkey HAVING count(DISTINCT seq) > 1""")
+def m10_listing(spark, d):
+    """What changed customers looked like at first and look like now."""
+    pairs = cdc.original_and_modified(_events(spark, d), KEYS, SEQ)
+    return pairs.select("c_custkey", F.col("original.c_name").alias("old_name"), F.col("modified.c_name").alias("new_name"),
+                        F.col("original.record_type").alias("old_type"), F.col("modified.record_type").alias("new_type"),
+                        (F.col("modified.c_acctbal") - F.col("original.c_acctbal")).alias("gained"))
+
+
 PRICES_SQL = f"""
 SELECT c_custkey, c_acctbal, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(seq * 400 AS INT)) AS since FROM ({CHANGES_SQL}) AS ev"""
 

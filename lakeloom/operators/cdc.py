@@ -128,6 +128,15 @@ def history_audit(history: DataFrame, keys: list[str]) -> DataFrame:
     return several.withColumn("version_status", F.when(F.col(END).isNull(), "Current").otherwise("Historical"))
 
 
+def original_and_modified(events: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
+    """First and latest event of every key that has several, side by side in ``original`` and
+    ``modified``: one aggregate with partial combine."""
+    values = F.struct(*[c for c in events.columns if c not in keys])
+    pair = events.groupBy(*keys).agg(F.min_by(values, F.struct(*seq)).alias("original"), F.max_by(values, F.struct(*seq)).alias("modified"),
+                                     F.min(F.struct(*seq)).alias("_first"), F.max(F.struct(*seq)).alias("_last"))
+    return pair.filter("_first <> _last").drop("_first", "_last")
+
+
 def scd2_merge(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], as_of) -> DataFrame:
     """Manual type 2 step on a dimension with ``is_current``, ``start_date``, ``end_date``:
     a changed current row is closed and its new version inserted in the same run."""
