@@ -10,7 +10,7 @@ from lakeloom.cases.registry import case, plain
 from lakeloom.operators import cdc
 from lakeloom.operators.quality import expect, expect_or_fail
 from lakeloom.plans import order_flow, retail, sales, star
-from lakeloom.session import scratch_path, stage, table
+from lakeloom.session import scratch_path, stage, table, together
 from lakeloom.sources import incremental, writers
 from lakeloom.sources.generators import change_batches, dirty_orders
 from lakeloom.streaming import flows
@@ -167,8 +167,9 @@ FACT_COLUMNS = """order_id store_key customer_key product_key payment_method_key
 
 
 def _dims(spark, d, lines):
-    return [_dim_customer(spark, d), _dim_product(spark, d), star.store_dimension(lines), star.payment_dimension(lines),
-            star.date_dimension_covering(table(spark, d, "orders").filter("o_orderdate < TIMESTAMP_NTZ'2000-01-01 00:00:00'"), "o_orderdate")]
+    days = table(spark, d, "orders").filter("o_orderdate < TIMESTAMP_NTZ'2000-01-01 00:00:00'")
+    return together(lambda: _dim_customer(spark, d), lambda: _dim_product(spark, d), lambda: star.store_dimension(lines),
+                    lambda: star.payment_dimension(lines), lambda: star.date_dimension_covering(days, "o_orderdate"))
 
 
 def _fact(lines, *dims):

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.session import delete_path, plan_bytes, stage
+from lakeloom.session import delete_files, plan_bytes, stage
 
 TARGET_BYTES = 1 << 30      # about 1 GB a file
 MAX_CLUSTER_COLUMNS = 4
@@ -33,16 +33,17 @@ def compact_folder(spark: SparkSession, path: str, bytes_per_file: int = TARGET_
     The merged files are written first and the small ones removed last: a reader that comes in
     between sees rows twice, so run it while nobody reads, as for any plain folder."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    listed = stage(listed, "listing")
     small = listed.filter(F.col("length") * 2 < bytes_per_file)
     count, size = small.agg(F.count(F.lit(1)), F.sum("length")).first()
     if count < 2:
         return 0, 0
     files = math.ceil(size / bytes_per_file)
     names = [r["path"] for r in small.select("path").collect()]  # file names, not data
-    merged = stage(spark.read.parquet(*names).coalesce(files), "compact")
-    merged.coalesce(files).write.mode("append").parquet(path)
-    for name in names:
-        delete_path(spark, name)
+    whole = count == listed.count()
+    source = spark.read.parquet(path) if whole else spark.read.parquet(*names)
+    source.coalesce(files).write.mode("append").parquet(path)
+    delete_files(spark, names)
     return count, files
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,8 @@ PROFILE = {
     "spark.ui.enabled": "false",
 }
 
+T = TypeVar("T")
+
 _local_dirs: dict[str, str] = {}
 _staged: list[str] = []
 
@@ -78,12 +83,25 @@ def stage(df: DataFrame, label: str = "stage", fmt: str = "parquet", **options:
     return df.sparkSession.read.format(fmt).options(**options).schema(df.schema).load(path)
 
 
+def together(*builders: Callable[[], T]) -> list[T]:
+    """Results of builders that run jobs of their own, run side by side: the cluster is shared by
+    jobs that would else wait for each other."""
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        return list(pool.map(lambda build: build(), builders))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Removes a file or folder; one that is not there is no error."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def delete_files(spark: SparkSession, paths: list[str], at_once: int = 16) -> None:
+    """Removes files, several at a time."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(lambda path: delete_path(spark, path), paths))
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Deletes what ``stage`` wrote in this process; call it once results are stored."""
     for path in _staged:
