@@ -115,6 +115,23 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return warc.derive(records, keep=("page_id",)).drop("record")
 
 
-@query("op7_bounded_bwt_dedup")
+OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT w.doc_id, w.i FROM w JOIN f ON w.s = f.s WHERE w.doc_id > f.least),
+g AS (SELECT doc_id, i, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+      FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM c)),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, run),
+p AS (SELECT r.doc_id, r.a, r.b, substr(h, 2 * coalesce(lag(r.b) OVER v, 0) + 1, 2 * (r.a - coalesce(lag(r.b) OVER v, 0))) AS piece
+      FROM r JOIN d ON d.doc_id = r.doc_id WINDOW v AS (PARTITION BY r.doc_id ORDER BY r.a)),
+k AS (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS front, max(b) AS b, sum(b - a) AS n_removed, count(*) AS n_spans FROM p GROUP BY doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(b, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op7_bounded_bwt_dedup", OP7_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, folder, "documents"))
