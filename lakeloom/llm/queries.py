@@ -117,9 +117,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 OP7_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-x AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS k FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
-w AS (SELECT x.doc_id, x.i, substr(h, 2 * x.i + 1, 100) AS s FROM x JOIN d ON d.doc_id = x.doc_id
-      WHERE k IN (SELECT k FROM x GROUP BY k HAVING min(doc_id) < max(doc_id))),
+e AS (SELECT doc_id, o, substr(h, 2 * o + 1, 2098) AS part FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 1000)) AS o FROM d)),
+w AS (SELECT doc_id, o + j AS i, substr(part, 2 * j + 1, 100) AS s
+      FROM (SELECT doc_id, o, part, unnest(range(0, least(1000, len(part) // 2 - 49))) AS j FROM e WHERE len(part) >= 100)),
 f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
 c AS (SELECT w.doc_id, w.i FROM w JOIN f ON w.s = f.s WHERE w.doc_id > f.least),
 g AS (SELECT doc_id, i, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
