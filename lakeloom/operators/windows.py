@@ -279,7 +279,9 @@ def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
     Rows of equal ``by`` share a frame, so they are first aggregated (with partial combine)
     to one step per key and value; the frame slides over steps, not rows, and is joined back.
     A key with very many steps is cut into blocks of ``width``: a frame touches its own block
-    and the one before, so each step is sent to two blocks and none needs the whole key."""
+    and the one before, so each step is sent to two blocks and none needs the whole key.  Null
+    values share a frame of their own.  A frame that is itself wider than a task should hold
+    stays in one task: its block cannot be cut."""
     parts: dict[str, Column] = {}
     frames: dict[str, tuple] = {}
     for name, (fn, col) in aggregates.items():
