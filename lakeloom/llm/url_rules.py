@@ -86,14 +86,14 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int =
              .filter(~F.array_contains("antecedent", BLOCK))
              .select(F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * left / total).alias("support")))
     found = stage(found.withColumn("rule", F.xxhash64("tokens")), "rules")
-    shorter = found.select(F.col("tokens").alias("part"), F.explode("tokens").alias("token"))
+    pivots = (found.select("rule", F.explode("tokens").alias("token")).join(counts.select("token", "n"), "token")
+              .groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("pivot")))
+    found = stage(found.join(pivots, "rule"), "rules")
+    shorter = found.select(F.col("tokens").alias("part"), F.col("pivot").alias("token"))
     implied = (found.select("rule", "tokens", F.explode("tokens").alias("token")).join(shorter, "token")
                .filter((F.size("part") < F.size("tokens")) & (F.size(F.array_except("part", "tokens")) == 0))
                .select("rule").distinct())
-    kept = found.join(implied, "rule", "left_anti")
-    pivots = (kept.select("rule", F.explode("tokens").alias("token")).join(counts.select("token", "n"), "token")
-              .groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("pivot")))
-    return kept.join(pivots, "rule").select("rule", "tokens", "pivot", "confidence", "support")
+    return found.join(implied, "rule", "left_anti").select("rule", "tokens", "pivot", "confidence", "support")
 
 
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
