@@ -218,13 +218,13 @@ def h06(spark, d):
 SELECT o_orderkey, CAST(timezone('Europe/Berlin', o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))) AT TIME ZONE 'UTC' AS VARCHAR) AS utc,
   CAST(timezone('UTC', o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))) AT TIME ZONE 'America/New_York' AS VARCHAR) AS shown,
   CAST(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT)) AS VARCHAR) AS wall FROM orders
-WHERE NOT (month(o_orderdate) IN (3, 10) AND day(o_orderdate) > 24 AND dayofweek(o_orderdate) = 0)""")
+WHERE NOT (month(o_orderdate) IN (3, 9, 10) AND day(o_orderdate) > 23 AND dayofweek(o_orderdate) = 0)""")
 def h06_zones(spark, d):
     """Named zones with summer time: wall-clock to UTC, UTC to a zone, and a time without zone,
-    which no zone moves.  Berlin's changing days, when an hour is missing or doubled, are left
-    to each engine's reading."""
+    which no zone moves.  Berlin's changing days (until 1995 in September), when an hour is
+    missing or doubled, are left to each engine's reading."""
     orders = table(spark, d, "orders")
-    changing = F.month("o_orderdate").isin(3, 10) & (F.dayofmonth("o_orderdate") > 24) & (F.dayofweek("o_orderdate") == 1)
+    changing = F.month("o_orderdate").isin(3, 9, 10) & (F.dayofmonth("o_orderdate") > 23) & (F.dayofweek("o_orderdate") == 1)
     wall = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate"))
     return plain(orders.filter(~changing).select(
         "o_orderkey", F.to_utc_timestamp(wall.cast("timestamp"), "Europe/Berlin").alias("utc"),
