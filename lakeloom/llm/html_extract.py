@@ -37,17 +37,25 @@ OUTSIDE_NAMES = frozenset(
     "pagination pager skip copyright legal rail sidenav submenu topnav trending popular search searchbox tagcloud "
     "taglist".split())
 
-# a tag; the second form takes one whose quotes are broken.  Both give up after a bounded way, so
-# that a page of broken markup takes no quadratic time
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>"""
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"]{0,1000}+"|'[^']{0,1000}+'){0,100}+)>"""
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]{0,4000}+)>""", re.S)
+# where markup may begin, and a tag's attributes with its end.  A quoted value may hold anything and
+# have any length; a quote that is never closed counts as any other character
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+_REST = re.compile(r"""((?:[^>=]++|=(?:\s*+(?:"[^"]*+"|'[^']*+'))?+)*+)>""")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_PARTS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+@dataclass
+class Tag:
+    """Markup from ``start`` to ``end``; the name is empty where it is no element's."""
+    start: int
+    end: int
+    closes: bool = False
+    name: str = ""
+    attributes: str = ""
+
+
 @dataclass
 class Line:
     """A block's text; ``story``: inside article or main, ``linked``: characters in links."""
@@ -89,6 +97,30 @@ def _last(stack: list[str], name: str) -> int:
     return next(i for i in range(len(stack), 0, -1) if stack[i - 1] == name)
 
 
+def _next_tag(page: str, at: int, broken: bool) -> tuple[Tag | None, bool]:
+    """The next tag, of any length, and whether the page breaks off inside one.
+
+    Where a tag's way leads to the end of the page, it and all further tags end at the next
+    ``>``, whatever their quotes say: so that way is taken once, and the time stays linear."""
+    while found := _OPEN.search(page, at):
+        start, at = found.span()
+        if found[1]:
+            end = page.find("-->", at)
+            return Tag(start, end + 3 if end >= 0 else len(page)), broken
+        if found[3] and not broken:
+            rest = _REST.match(page, at)
+            if rest:
+                return Tag(start, rest.end(), bool(found[2]), found[3].lower(), rest[1]), broken
+            broken = True
+        end = page.find(">", at)
+        if end >= 0:
+            return Tag(start, end + 1, bool(found[2]), (found[3] or "").lower(), page[at:end]), broken
+        at = page.find("<!--", at)  # nothing but comments can follow
+        if at < 0:
+            break
+    return None, broken
+
+
 def lines_of(page: str, whole: bool = False) -> list[Line]:
     """The text of a page by block, markup stripped and character references decoded.
 
@@ -124,21 +156,19 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
         opened.subtract(stack[depth - 1:])
         del stack[depth - 1:]
 
-    at = 0
+    at, broken = 0, False
     while True:
-        tag = _TAG.search(page, at)
-        piece = page[at:tag.start() if tag else len(page)]
+        tag, broken = _next_tag(page, at, broken)
+        piece = page[at:tag.start if tag else len(page)]
         if piece and not outside:
             text.append(piece)
             if linked:
                 in_links += len(piece.strip())
         if not tag:
             break
-        at = tag.end()
-        name = (tag[2] or tag[5] or "").lower()
+        at, name, closes, attributes = tag.end, tag.name, tag.closes, tag.attributes
         if not name:
             continue
-        closes, attributes = tag[1] or tag[4], tag[3] or tag[6] or ""
         if name in RAW:
             if not closes and not attributes.endswith("/"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)

@@ -68,6 +68,21 @@ def test_broken_pages_take_linear_time():
         H.extract(piece * 20_000)
 
 
+def test_tags_of_any_length():
+    uri = "data:image/png;base64," + "QUJD+/" * 170_000
+    for tag in (f'<img alt="a > b" src="{uri}">', f"<img src='{uri}'/>", f"<img src={uri}>", f'<img src="{uri}>', "<img " + "data-x=1 " * 5_000 + ">"):
+        assert H.extract(f"<article><p>{PARA}</p>{tag}<p>end</p></article>") == f"{PARA}\n\nend"
+    many = '{"a": "' + "x > y " * 2_000 + '"}'
+    page = f"<nav data-json='{many}'><p>menu</p></nav><article data-json='{many}'><p>{PARA}</p></article><div class=\"ad\" style=\"{'a:b;' * 2_000}\">{PARA}</div>"
+    assert H.extract(page) == PARA
+    assert [line.text for line in H.lines_of(f'<body><img src="{uri}">seen</body>', whole=True) if line.text] == ["seen"]
+
+
+def test_broken_quotes_take_linear_time():
+    for piece in ('<a b=">"', "<a b='<c d=\">", '<a b="x', "<!", "<? <a =", '<a b= "'):
+        H.extract(piece * 20_000)
+
+
 def test_columns_and_odd_rows(spark):
     pages = frame(spark, [(1, None, None), (2, "u", ""), (None, "u", "<p>x</p>"), (2, "u", "<p>" + PARA * 2_000)], PAGES)
     out = H.extract_text(pages.selectExpr("*", "1 AS text", "2 AS n_chars"))
