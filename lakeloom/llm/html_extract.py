@@ -15,9 +15,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeloom.llm.text import blocks
 
-#: Lines of a sliding window, and the characters it must hold where text surges.
+#: Lines of a sliding window, and the characters it must hold where text surges; inside article
+#: or main any text does.
 WINDOW = 3
 SURGE = 86
+STORY_SURGE = 1
 
 # Element names of HTML by their role here, and words of class, id and role
 # attributes that name boilerplate.
@@ -28,6 +30,7 @@ LINES = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 OUTSIDE = frozenset("head nav footer aside form button dialog menu fieldset label".split())
 STORY = frozenset(("article", "main"))
+HOMES = STORY | frozenset("html body div section center td".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo promotion sidebar sidebars "
@@ -58,10 +61,12 @@ class Tag:
 
 @dataclass
 class Line:
-    """A block's text; ``story``: inside article or main, ``linked``: characters in links."""
+    """A block's text; ``story``: inside article or main, ``linked``: characters in links,
+    ``home``: number of the innermost element of ``HOMES`` around it, 0 if not known."""
     text: str
     story: bool
     linked: int
+    home: int = 0
 
 
 def _names_boilerplate(value: str) -> bool:
@@ -134,12 +139,14 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
     outside = story = linked = 0  # depth of the element that began it; 0: not inside one
     text: list[str] = []
     in_links = 0
+    homes = [(0, 1)]  # depth and number of the open elements of HOMES; all else is in the page itself
+    n_homes = 1
 
     def flush() -> None:
         nonlocal text, in_links
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            found.append(Line(line, story > 0, in_links))
+            found.append(Line(line, story > 0, in_links, homes[-1][1]))
         text, in_links = [], 0
 
     def pop_to(depth: int) -> None:
@@ -153,6 +160,8 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
             found.extend(gap)
         if depth <= linked:
             linked = 0
+        while homes[-1][0] >= depth:
+            homes.pop()
         opened.subtract(stack[depth - 1:])
         del stack[depth - 1:]
 
@@ -202,6 +211,9 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
         opened[name] += 1
         if outside:
             continue
+        if name in HOMES:
+            n_homes += 1
+            homes.append((len(stack), n_homes))
         if (name == "head" if whole else _is_outside(name, attributes, story > 0)):
             flush()
             outside = len(stack)
@@ -219,20 +231,24 @@ def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> l
     """The lines between surge and dive points of the window sums.
 
     A run of lines surges where the sum over the next ``window`` lines first reaches the
-    threshold, and dives where ``window`` empty lines follow.  Inside article or main a run is
-    kept from its first line; elsewhere from its surge, and lines that are mostly links count
-    as empty.  On pages with less text than the threshold the best window is the threshold."""
-    if any(line.story and line.text for line in lines):
-        return [line.text for line in lines if line.story and line.text]
-    sizes = [0 if 2 * line.linked > len(line.text) else len(line.text) for line in lines]
+    threshold, and dives where ``window`` empty lines follow; it is kept from its surge.  Lines
+    that are mostly links count as empty.  Article and main are a hint: inside them the
+    threshold is ``STORY_SURGE`` and links count.  A later run that does not surge is kept where
+    its lines stand in the same element as lines kept before, as the end of a text does behind
+    an advert.  On pages that reach the threshold nowhere and have no text in article or main,
+    the best window is the threshold."""
+    sizes = [0 if 2 * line.linked > len(line.text) and not line.story else len(line.text) for line in lines]
     sums = [sum(sizes[i:i + window]) for i in range(len(sizes))]
-    least = min(surge, max(sums, default=0))
+    least = surge if any(line.story and line.text for line in lines) else min(surge, max(sums, default=0))
     kept: list[str] = []
+    homes: set[int] = set()
     inside = False
     for line, size, total in zip(lines, sizes, sums, strict=True):
-        inside = total >= least if not inside else total > 0
-        if inside and size:
+        inside = total >= (STORY_SURGE if line.story else least) if not inside else total > 0
+        if size and (inside or line.home in homes):
             kept.append(line.text)
+            if inside and line.home:
+                homes.add(line.home)
     return kept
 
 

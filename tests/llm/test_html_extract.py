@@ -51,6 +51,19 @@ def test_line_windows():
     assert H.main_lines([]) == [] and H.main_lines(gap) == []
 
 
+def test_article_is_a_hint():
+    teaser = f'<article class="teaser"><p>Short teaser.</p></article><div><h2>Head</h2><p>{PARA}</p><p>{PARA}</p></div>'
+    assert H.extract(teaser) == "\n\n".join(["Short teaser.", "Head", PARA, PARA])
+    assert H.extract(f"<p>short words</p>{teaser}") == H.extract(teaser)
+    assert H.extract(f"<main><p>{PARA}</p></main><div><a href=x>{PARA}</a></div><div>few words</div>") == PARA
+
+
+def test_short_end_behind_an_advert():
+    ad = '<div class="ad">buy</div>'
+    page = f"<body><div>top{ad}</div><div><p>{PARA}</p>{ad}<p>Middle.</p>{ad}<p>{PARA}</p>{ad}<p>End.</p></div><hr><nav>n</nav><div>few words</div></body>"
+    assert H.extract(page) == "\n\n".join([PARA, "Middle.", PARA, "End."])
+
+
 def test_generated_pages_by_pattern(spark, data):
     """The given pages hold their text in article, whose blocks a pattern can cut."""
     got = H.page_texts(spark.read.parquet(f"{data}/pages.parquet")).collect()
