@@ -48,7 +48,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_quality_rules")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(table(spark, folder, "documents")).drop("language")
+    return quality.judge(table(spark, folder, "documents")).drop("language", "log_ppl_letters")
 
 
 @query("op3_mix_to_target_weights")
