@@ -23,8 +23,6 @@ SEED = 7
 MAX_PATTERNS = 200_000
 #: Documents a bucket of the seeded order has on average.
 BUCKET_ROWS = 5_000
-#: Documents that may be added, one by one, to meet what a cut between documents leaves open.
-FILLS = 3
 
 
 def water_fill(sizes: dict, weights: dict, total: float, cap: float) -> dict:
@@ -153,36 +151,57 @@ def _seeded(docs: DataFrame, patterns: DataFrame) -> DataFrame:
               .drop("n"))
     inside = Window.partitionBy("pattern", "bucket").orderBy("draw", F.col("doc_id").asc_nulls_last(), "size", "row")
     running = spread.withColumn("run", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    return running.join(before, ["pattern", "bucket"]).withColumn("at", F.col("before") + F.col("run")).drop("bucket", "buckets", "before", "run")
+    return running.join(before, ["pattern", "bucket"]).withColumn("at", F.col("before") + F.col("run")).drop("buckets", "before", "run")
 
 
-def _fill(chosen: DataFrame, cuts: dict[int, list]) -> list[tuple[int, list]]:
-    """(row, [source, ...]) of the documents that meet what the cuts left open.
+def _fill(chosen: DataFrame, cuts: dict[int, list]) -> DataFrame:
+    """(row, more [(epoch, source), ...]) of the documents that meet what the cuts left open.
 
-    For each use of a pattern, ``FILLS`` times, the one document that brings it nearest."""
+    The seeded order goes on past a document that does not fit: it is cut again and again over
+    the unused documents of at most the open size, until none of a use is that small.  Then the
+    one document that brings a use nearer, if any, is added."""
     spark = chosen.sparkSession
     done = {(r["pattern"], r["epoch"]): r["n"] for r in chosen.select("pattern", "size", F.explode("uses.epoch").alias("epoch"))
             .groupBy("pattern", "epoch").agg(F.sum("size").alias("n")).collect()}
-    rest = {(i, e): max(c[3] for c in own if c[0] == e) - done.get((i, e), 0) for i, own in cuts.items() for e in {c[0] for c in own}}
+    ends = {(i, e): max(c[3] for c in own if c[0] == e) for i, own in cuts.items() for e in {c[0] for c in own}}
+    rest = {key: end - done.get(key, 0) for key, end in ends.items()}
     last = {(i, c[0]): c[1] for i, own in cuts.items() for c in own}
-    found: dict[int, list] = {}
-    used: set = set()
-    for _ in range(FILLS):
-        wanted = [(i, e, n) for (i, e), n in rest.items() if n > 0]
-        if not wanted:
+    schema = "row long, epoch int, source string"
+    found = spark.createDataFrame([], schema)
+
+    def wanted() -> DataFrame:
+        return F.broadcast(spark.createDataFrame(
+            [(i, e, n, ends[i, e], [(c[1], c[3]) for c in cuts[i] if c[0] == e]) for (i, e), n in rest.items() if n > 0],
+            "pattern int, epoch int, rest long, end long, own array<struct<source: string, high: long>>"))
+
+    unused = chosen.select("pattern", "bucket", "draw", "doc_id", "size", "row", F.explode("open.epoch").alias("epoch"))
+    buckets = Window.partitionBy("pattern", "epoch").orderBy("bucket")
+    inside = Window.partitionBy("pattern", "epoch", "bucket").orderBy("draw", F.col("doc_id").asc_nulls_last(), "size", "row")
+    while any(n > 0 for n in rest.values()):
+        fits = stage(unused.join(wanted(), ["pattern", "epoch"]).filter(F.col("size") <= F.col("rest")), "fits")
+        before = (fits.groupBy("pattern", "epoch", "bucket").agg(F.sum("size").alias("n"))
+                  .withColumn("before", F.sum("n").over(buckets) - F.col("n")).drop("n"))
+        at = F.col("before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+        middle = 2 * (F.col("end") - F.col("rest") + F.col("at")) + F.col("size")
+        placed = stage(fits.join(before, ["pattern", "epoch", "bucket"]).withColumn("at", at)
+                       .withColumn("taken", F.col("at") + F.col("size") <= F.col("rest"))
+                       .withColumn("source", F.get(F.filter("own", lambda c: middle < 2 * c["high"]), F.lit(0))["source"])
+                       .drop("before", "at", "rest", "end", "own"), "fits")
+        met = placed.filter("taken").groupBy("pattern", "epoch").agg(F.sum("size").alias("n")).collect()
+        if not met:
             break
-        near = F.abs(F.col("rest") - F.col("size"))
-        best = (chosen.select("pattern", "doc_id", "size", "row", F.explode("open.epoch").alias("epoch"))
-                .join(F.broadcast(spark.createDataFrame(wanted, "pattern int, epoch int, rest long")), ["pattern", "epoch"])
-                .filter(near < F.col("rest"))
-                .join(F.broadcast(spark.createDataFrame(sorted(used), "pattern int, epoch int, row long")), ["pattern", "epoch", "row"], "left_anti")
-                .groupBy("pattern", "epoch").agg(F.min(F.struct(near.alias("off"), "doc_id", "size", "row")).alias("best")).collect())
-        for r in best:
-            key, pick = (r["pattern"], r["epoch"]), r["best"]
-            rest[key] -= pick["size"]
-            used.add((*key, pick["row"]))
-            found.setdefault(pick["row"], []).append(last[key])
-    return list(found.items())
+        for r in met:
+            rest[r["pattern"], r["epoch"]] -= r["n"]
+        found = found.unionByName(placed.filter("taken").select("row", "epoch", "source"))
+        unused = placed.filter("NOT taken").drop("taken", "source")
+
+    near = F.abs(F.col("rest") - F.col("size"))
+    best = (chosen.select("pattern", "doc_id", "size", "row", F.explode("open.epoch").alias("epoch"))
+            .join(wanted(), ["pattern", "epoch"]).filter(near < F.col("rest"))
+            .join(found.select("row", "epoch"), ["row", "epoch"], "left_anti")
+            .groupBy("pattern", "epoch").agg(F.min(F.struct(near.alias("off"), "doc_id", "size", "row")).alias("best")).collect())
+    nearest = spark.createDataFrame([(r["best"]["row"], r["epoch"], last[r["pattern"], r["epoch"]]) for r in best], schema)
+    return found.unionByName(nearest).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("epoch", "source"))).alias("more"))
 
 
 def mix(docs: DataFrame, member_of: Column | None = None, size: Column | None = None, weights: tuple[float, ...] = WEIGHTS,
@@ -195,7 +214,7 @@ def mix(docs: DataFrame, member_of: Column | None = None, size: Column | None =
     ``member_of`` is an array of the sources a document belongs to (default: its ``source``;
     null is a source of its own).  A document is taken whole, ``epochs`` times at most.  In each
     use of a pattern the seeded order is cut where the flow says; what the cut leaves open is
-    met by further documents whose sizes come nearest to it (three at most).  Empty or null texts have
+    met by the unused documents that fit, in the same order, until none is as small.  Empty or null texts have
     size 0 and are not taken; rows may repeat and are judged one by one; no rows give no rows."""
     member_of = F.array(F.col("source").cast("string")) if member_of is None else F.array_sort(F.array_distinct(F.coalesce(member_of, F.array(F.lit(None).cast("string")))))
     size = word_count(F.col("text").cast("string")) if size is None else size
@@ -235,12 +254,11 @@ def mix(docs: DataFrame, member_of: Column | None = None, size: Column | None =
         u["epoch"].alias("epoch"),
         F.element_at(F.filter("cuts", lambda c: (c["epoch"] == u["epoch"]) & (2 * F.col("at") + F.col("size") < 2 * c["high"])), 1)["source"].alias("source")))
     open_uses = F.filter(last, lambda u: (end > u["high"]) & (F.col("size") > 0))
-    chosen = stage(placed.withColumn("uses", uses).withColumn("open", open_uses).drop("cuts", "draw", "at"), "mixed")
+    chosen = stage(placed.withColumn("uses", uses).withColumn("open", open_uses).drop("cuts", "at"), "mixed")
 
-    more = _fill(chosen, cuts)
-    extra = spark.createDataFrame(more, "row long, more array<string>")
-    copies = F.concat(F.transform("uses", lambda u: u["source"]), F.coalesce("more", F.array().cast("array<string>")))
-    decided = (chosen.join(F.broadcast(extra), "row", "left").withColumn("copies", copies)
+    copies = F.concat(F.transform("uses", lambda u: u["source"]),
+                      F.coalesce(F.transform("more", lambda u: u["source"]), F.array().cast("array<string>")))
+    decided = (chosen.join(_fill(chosen, cuts), "row", "left").withColumn("copies", copies)
                .withColumn("taken", F.size("copies") * F.col("size"))
                .select("doc_id", "sources", "size", F.col("taken").cast("long").alias("taken"), "copies", *keep))
     return decided, sizes, targets

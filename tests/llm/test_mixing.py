@@ -111,6 +111,22 @@ def test_overlapping_sources(spark):
     assert abs(into.get("x", 0) + into.get("y", 0) - min(2 * whole, targets["x"] + targets["y"])) < 0.03 * whole
 
 
+def test_a_long_document_at_the_cut(spark):
+    """The documents after one that does not fit are used: what stays open is below the least of them."""
+    rng = random.Random(3)
+    rows = [(i, None, "en", "a" if i % 2 else "b", rng.randint(3, 50)) for i in range(1_200)]
+    rows += [(10_000 + i, None, "en", "a", 100_000) for i in range(4)]
+    docs = frame(spark, rows)
+    for seed in range(1):
+        decided, _, targets = X.mix(docs, size=F.col("n_chars"), weights=(1, 1), total=0.04, epochs=1, seed=seed)
+        got = decided.collect()
+        assert all(len(r["copies"]) <= 1 and set(r["copies"]) <= set(r["sources"]) for r in got)
+        for s, target in targets.items():
+            taken = sum(r["taken"] for r in got if r["sources"] == [s])
+            unused = [r["size"] for r in got if r["sources"] == [s] and not r["copies"]]
+            assert abs(taken - target) < min(unused, default=2) + 1, (seed, s, taken, target)
+
+
 def test_rows_of_the_mix(spark):
     docs = clashing(many(spark))
     out = X.mixed_rows(docs)
