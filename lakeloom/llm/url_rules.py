@@ -15,9 +15,6 @@ from lakeloom.session import stage
 MIN_SUPPORT = 0.001
 MIN_COUNT = 20
 MIN_CONFIDENCE = 0.8
-#: Parts of a URL that become tokens: the last labels of the host, the first segments of the path.
-HOST_LABELS = 4
-PATH_SEGMENTS = 3
 BLOCK = "@block"
 
 Rule = tuple[str, str, str]  # host, path, "block" or "allow"
@@ -34,12 +31,10 @@ def path_of(url: Column) -> Column:
 
 
 def url_tokens(url: Column) -> Column:
-    """The distinct tokens of a URL: ``h:`` labels of the host and their parts at hyphens,
-    ``p:`` path segments, ``x:`` file name extension, ``q:`` parameter names.  Null has none."""
+    """The distinct tokens of a URL: ``h:`` labels of the host, ``p:`` path segments, both whole
+    and by their parts at hyphens (a segment's without the extension), ``x:`` file name extension, ``q:`` parameter names.  Null has none."""
     labels = F.filter(F.split(host_of(url), r"\."), lambda t: t != "")
-    labels = F.slice(F.reverse(labels), 1, HOST_LABELS)
-    parts = F.filter(F.flatten(F.transform(labels, lambda t: F.split(t, "-"))), lambda t: t != "")
-    segments = F.slice(F.filter(F.split(lower_ascii(path_of(url)), "/"), lambda t: t != ""), 1, PATH_SEGMENTS)
+    segments = F.filter(F.split(lower_ascii(path_of(url)), "/"), lambda t: t != "")
     extension = F.regexp_extract(lower_ascii(path_of(url)), r"\.([a-z0-9]{1,5})$", 1)
     query = F.regexp_extract(lower_ascii(F.coalesce(url, F.lit(""))), r"\?([^#]*)", 1)
     names = F.filter(F.transform(F.split(query, "&"), lambda t: F.substring_index(t, "=", 1)), lambda t: t != "")
@@ -47,8 +42,13 @@ def url_tokens(url: Column) -> Column:
     def tagged(values: Column, tag: str) -> Column:
         return F.transform(values, lambda t: F.concat(F.lit(tag), t))
 
+    def parts(values: Column) -> Column:
+        return F.filter(F.flatten(F.transform(values, lambda t: F.split(t, "-"))), lambda t: t != "")
+
+    bare = F.transform(segments, lambda t: F.regexp_replace(t, r"\.[a-z0-9]{1,5}$", ""))
+    hyphened = F.filter(bare, lambda t: F.contains(t, F.lit("-")))
     return F.array_sort(F.array_distinct(F.concat(
-        tagged(labels, "h:"), tagged(parts, "h:"), tagged(segments, "p:"), tagged(names, "q:"),
+        tagged(labels, "h:"), tagged(parts(labels), "h:"), tagged(segments, "p:"), tagged(parts(hyphened), "p:"), tagged(names, "q:"),
         F.when(extension != "", F.array(F.concat(F.lit("x:"), extension))).otherwise(F.array().cast("array<string>")))))
 
 

@@ -86,6 +86,19 @@ def test_labels_block_hosts(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] % 4 == 0) for r in got)
 
 
+def test_deep_urls(spark):
+    """The telling part may stand anywhere: a deep segment, part of a segment, a far label."""
+    def url(i, bad):
+        word = "casino" if bad else ["garden", "school", "river"][i % 3]
+        return [f"https://example.org/2024/{i}/a{i}/{word}/x{i}.html", f"https://example.org/free-{word}-{i}.html",
+                f"https://{word}-{i}.x{i}.b.c.example.org/"][i % 3]
+
+    pages = [(i, url(i // 2, i % 4 < 2), "x") for i in range(720)]
+    labels = [(i, 1, int(i % 4 < 2)) for i in range(360)]
+    got = U.judge(frame(spark, pages, PAGES), frame(spark, labels, LABELS), (), min_count=10).collect()
+    assert all((r["verdict"] == "block") == (r["page_id"] % 4 < 2) for r in got)
+
+
 def test_empty_tables(spark):
     empty = frame(spark, [], PAGES)
     assert U.judge(empty, frame(spark, [], LABELS), URL_RULES).count() == 0
