@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, substring_dedup, token_rollup, url_rules, warc
+from lakeloom.llm import decontaminate, html_extract, mixing, quality, sharding, simhash, spelling, substring_dedup, token_rollup, url_rules, warc
 from lakeloom.llm.registry import QUERIES, TWINS, query
 from lakeloom.session import scratch_path, stage, table
 
@@ -137,3 +137,9 @@ FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 @query("op7_bounded_bwt_dedup", OP7_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, folder, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.count_words(table(spark, folder, "documents"), r"A-Za-zÀ-ÿ", shortest=6, least=5, slip_every=199)
+    return spelling.variants(words, ratio=5)
