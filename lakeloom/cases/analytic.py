@@ -81,6 +81,18 @@ def e05_nulls(spark, d):
     return out.select("o_orderkey", F.round("last_quarter", 2).alias("last_quarter"), "orders_in_range")
 
 
+@case("e05_wide_frame_hot", """
+SELECT o_orderkey, round(sum(o_totalprice) OVER t, 2) AS total, count(*) OVER t AS orders_in_range, min(o_totalprice) OVER t AS cheapest, max(o_totalprice) OVER t AS dearest
+FROM orders WINDOW t AS (PARTITION BY o_orderstatus ORDER BY o_orderkey RANGE BETWEEN 5000 PRECEDING AND CURRENT ROW)""")
+def e05_wide(spark, d):
+    """Every status is a hot key with a step for each order, and a frame spans many tasks."""
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    out = w.with_range_frame(rows, ["o_orderstatus"], "o_orderkey", 5000, {
+        "total": ("sum", "cents"), "orders_in_range": ("count", "cents"), "cheapest": ("min", "cents"), "dearest": ("max", "cents")}, hot_rows=500)
+    money = {c: (F.col(c) / 100).alias(c) for c in ("total", "cheapest", "dearest")}
+    return out.select("o_orderkey", F.round(money["total"], 2).alias("total"), "orders_in_range", money["cheapest"], money["dearest"])
+
+
 @case("e06_whole_partition_frame", """
 SELECT o_orderkey, o_custkey, round(o_totalprice / sum(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS share, count(*) OVER (PARTITION BY o_custkey) AS orders FROM orders""")
 def e06(spark, d):

@@ -96,6 +96,16 @@ def o07(spark, d):
     return layout.key_skew(table(spark, d, "orders"), "o_orderpriority")
 
 
+@case("o07_dominant_keys", """
+SELECT k, count(*) AS rows, round(count(*) / (SELECT count(*) FROM orders)::DOUBLE, 6) AS share
+FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 7 WHEN o_orderkey % 20 = 1 THEN NULL ELSE o_custkey END AS k FROM orders) AS o
+GROUP BY k HAVING count(*) > floor((SELECT count(*) FROM orders) * 0.02)""")
+def o07_dominant(spark, d):
+    """A third of the orders belong to one customer and a twentieth to none."""
+    key = F.when(F.col("o_orderkey") % 3 == 0, 7).when(F.col("o_orderkey") % 20 == 1, None).otherwise(F.col("o_custkey")).alias("k")
+    return layout.dominant_keys(table(spark, d, "orders").select(key), "k", 0.02)
+
+
 @case("o08_repartition_coalesce", "SELECT 'coalesce' AS how, count(*) AS row_count, true AS bounded FROM orders UNION ALL SELECT 'repartition', count(*), true FROM orders")
 def o08(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.scalars import mean_of_cents
+from lakeloom.operators.joins import HEAVY_ROWS, heavy_keys, salts_for
+from lakeloom.session import setting
 
 
 def order_stats(df: DataFrame, keys: list[str | Column], key: str, amount: str) -> DataFrame:
@@ -48,12 +50,20 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return packed.select(F.inline(F.array(*columns)))
 
 
-def salted_sum(df: DataFrame, key: str, amount: str, spread: list[str], salts: int = 10) -> DataFrame:
-    """Two-phase sum and count: first per (key, salt), then per key.  The salt is a hash of
-    the ``spread`` columns (a row id), so a retried task puts a row in the same group."""
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).alias("_salt")
-    part = df.groupBy(key, salt).agg(F.sum(amount).alias("_sum"), F.count(F.lit(1)).alias("_n"),
-                                     F.count(amount).alias("_seen"))
+def salted_sum(df: DataFrame, key: str, amount: str, spread: list[str], salts: int | None = None,
+               heavy_rows: int | None = None) -> DataFrame:
+    """Two-phase sum and count: first per (key, salt), then per key.
+
+    A key has as many salts as its rows need (or ``salts``), ordinary keys have one; heavy keys are
+    found by ``frequent_keys``.  The salt is a hash of the ``spread`` columns (a row id), so a retried
+    task puts a row in the same group."""
+    limit = heavy_rows or setting(df.sparkSession, "hotRows", HEAVY_ROWS)
+    parts = F.lit(salts) if salts else salts_for(F.col("rows"), limit)
+    heavy = F.broadcast(heavy_keys(df, key, limit).select(F.col(key).alias("_h"), parts.alias("_salts")))
+    placed = df.join(heavy, F.col(key).eqNullSafe(F.col("_h")), "left")
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).alias("_salt")
+    part = placed.groupBy(key, salt).agg(F.sum(amount).alias("_sum"), F.count(F.lit(1)).alias("_n"),
+                                         F.count(amount).alias("_seen"))
     return part.groupBy(key).agg(
         F.sum("_n").alias("rows"), F.round(F.sum("_sum"), 2).alias("total"),
         F.try_divide(F.round(F.sum("_sum"), 2), F.sum("_seen")).alias("mean"))

@@ -71,10 +71,44 @@ def not_in_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return df.join(keys, on, "left_anti")
 
 
+MOST_BINS = 1 << 22
+
+
+def bins_for(df: DataFrame, rows: int) -> int:
+    """Counters of ``frequent_bins``: some four for each key that could be heavy, by the planned size of
+    the input (8 bytes a row at least).  The number decides about cost alone, not about results."""
+    wanted = 4 * plan_bytes(df) // (8 * max(rows, 1))
+    return 1 << min(MOST_BINS.bit_length() - 1, max(12, wanted.bit_length()))
+
+
+def frequent_bins(df: DataFrame, keys: list[str], rows: int, bins: int) -> DataFrame:
+    """The summary that heavy keys are found by: a fixed vector of counters, to which keys are hashed.
+
+    Summaries of parts add up counter by counter, so each map task sends ``bins`` rows at most
+    whatever the number of keys.  A counter is never below the count of a key hashed to it: a key
+    of more than ``rows`` rows is always in one of the bins returned, of which there are fewer than
+    the table has times ``rows``."""
+    return (df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(bins)).alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > rows))
+
+
+def frequent_keys(df: DataFrame, keys: list[str], rows: int, bins: int | None = None) -> DataFrame:
+    """The keys with more than ``rows`` rows and their exact ``rows``: candidates by ``frequent_bins``,
+    then counted among the rows of their bins alone.  Without candidates nothing is read again."""
+    spark, bins = df.sparkSession, bins or bins_for(df, rows)
+    schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("rows", T.LongType(), False)])
+    heavy = frequent_bins(df, keys, rows, bins).select(F.col("_bin").cast("long").alias("_bin")).collect()
+    if not heavy:
+        return spark.createDataFrame([], schema)
+    wanted = F.broadcast(spark.createDataFrame(heavy, "_bin long"))
+    candidates = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(bins)).alias("_bin")).join(wanted, "_bin", "left_semi")
+    counts = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > rows)
+    return spark.createDataFrame(counts.collect(), schema)  # fewer than the table has times ``rows``
+
+
 def heavy_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The keys with more than ``rows`` rows, with their counts; never more than the table has
-    times ``rows``."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > rows)
+    """``frequent_keys`` of one column."""
+    return frequent_keys(df, [key], rows)
 
 
 def salts_for(rows: Column, per_task: int) -> Column:
@@ -83,24 +117,26 @@ def salts_for(rows: Column, per_task: int) -> Column:
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, spread: list[str], salts: int | None = None,
-                how: str = "inner", heavy_rows: int | None = None) -> DataFrame:
+                how: str = "inner", heavy_rows: int | None = None, heavy: DataFrame | None = None) -> DataFrame:
     """Join that spreads each heavy key of ``big`` over as many tasks as its rows need (or over
     ``salts``).
 
     Only heavy keys are salted, so the matching rows of ``small`` are copied for those keys
     alone.  ``spread`` names columns of ``big`` that tell its rows apart.  ``how`` is inner or
-    left."""
+    left.  Heavy keys are found by ``frequent_keys`` unless given; they are few, so the big side
+    meets them in a broadcast join and is shuffled once."""
     if how not in ("inner", "left"):
         raise ValueError("a salted join is inner or left")
     limit = heavy_rows or setting(big.sparkSession, "hotRows", HEAVY_ROWS)
     count = F.lit(salts) if salts else salts_for(F.col("rows"), limit)
-    heavy = heavy_keys(big, key, limit).select(F.col(key).alias("_h"), count.alias("_salts"))
+    found = heavy_keys(big, key, limit) if heavy is None else heavy
+    heavy = found.select(F.col(key).alias("_h"), count.alias("_salts"))
     wide = F.lit(salts or 64)  # for null keys, which match nothing and may go anywhere
     parts = F.when(F.col(key).isNull(), wide).otherwise(F.coalesce("_salts", F.lit(1)))
-    left = (big.join(heavy, F.col(key) == F.col("_h"), "left")
+    left = (big.join(F.broadcast(heavy), F.col(key) == F.col("_h"), "left")
             .withColumn("_salt", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_h", "_salts"))
     copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    right = (small.join(heavy, F.col(key) == F.col("_h"), "left")
+    right = (small.join(F.broadcast(heavy), F.col(key) == F.col("_h"), "left")
              .withColumn("_salt", F.explode(copies)).drop("_h", "_salts"))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
@@ -109,7 +145,8 @@ def isolated_join(big: DataFrame, small: DataFrame, key: str, spread: list[str],
     """Inner join that handles dominant keys apart, salted by their size, and unites both
     results."""
     limit = heavy_rows or setting(big.sparkSession, "hotRows", HEAVY_ROWS)
-    heavy = heavy_keys(big, key, limit).select(key)
+    found = heavy_keys(big, key, limit)
+    heavy = F.broadcast(found.select(key))
     rest = big.join(heavy, key, "left_anti").join(small, key)
     part, side = big.join(heavy, key, "left_semi"), small.join(heavy, key, "left_semi")
-    return rest.unionByName(salted_join(part, side, key, spread, heavy_rows=limit))
+    return rest.unionByName(salted_join(part, side, key, spread, heavy_rows=limit, heavy=found))

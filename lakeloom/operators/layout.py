@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.operators.joins import frequent_keys
 from lakeloom.session import delete_files, plan_bytes, stage
 
 TARGET_BYTES = 1 << 30      # about 1 GB a file
@@ -161,6 +162,14 @@ def key_skew(df: DataFrame, key: str) -> DataFrame:
     return counts.withColumn("share", F.round(F.col("rows") / total, 6))
 
 
+def dominant_keys(df: DataFrame, key: str, share: float) -> DataFrame:
+    """The keys that hold more than ``share`` of all rows, with their rows and share: two passes over the
+    key column and no count of the others."""
+    total = df.count()
+    found = frequent_keys(df, [key], math.floor(total * share))
+    return found.withColumn("share", F.round(F.col("rows") / F.lit(max(total, 1)), 6))
+
+
 def partition_skew(df: DataFrame) -> DataFrame:
     """Rows per partition."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))

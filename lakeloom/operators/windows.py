@@ -1,7 +1,7 @@
 """Window functions that stay distributed when one key holds much of the table.
 
-A plain ``Window.partitionBy(key)`` puts a whole key into one task.  Here a cheap count of
-rows per key (partial aggregation, key columns only) finds the *hot* keys first.  Rows of
+A plain ``Window.partitionBy(key)`` puts a whole key into one task.  Here a summary of the key
+columns in bounded memory (``joins.frequent_keys``) finds the *hot* keys first.  Rows of
 ordinary keys use the plain window.  Rows of a hot key are cut into ordered slices by bounds
 sampled from the order columns; the window runs per (key, slice) and each slice receives
 the running state of the slices before it.  Bounds only balance the work, so the result
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators.joins import join_null_safe
+from lakeloom.operators.joins import frequent_keys, join_null_safe
 from lakeloom.session import setting, stage
 
 HOT_ROWS = 2_000_000   # rows one task may hold of a single key
@@ -94,14 +94,16 @@ class Hot:
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Hot:
-    """Finds the hot keys with one partial aggregation over the key columns.
+    """Finds the hot keys by ``frequent_keys``: keys are hashed to a fixed number of counters, and only
+    those of full counters are counted.
 
     The limit does not move with the table, so there are at most as many as the table has
     rows over the limit.  The counts only steer the split, so they may come from an input that
     is filtered later."""
     limit = hot_rows or setting(df.sparkSession, "hotRows", HOT_ROWS)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return Hot(counts.filter(F.col("_n") > limit).collect(), limit)
+    if not keys:
+        return Hot(df.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).collect(), limit)
+    return Hot(frequent_keys(df, keys, limit).withColumnRenamed("rows", "_n").collect(), limit)
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: Hot) -> tuple[DataFrame, DataFrame]:
@@ -279,13 +281,13 @@ def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
     Rows of equal ``by`` share a frame, so they are first aggregated (with partial combine)
     to one step per key and value; the frame slides over steps, not rows, and is joined back.
     A key with very many steps is cut into blocks of ``width``: a frame touches its own block
-    and the one before, so each step is sent to two blocks and none needs the whole key.  Null
-    values share a frame of their own.  A frame that is itself wider than a task should hold
-    stays in one task: its block cannot be cut."""
+    and the one before, so each step is sent to two blocks and none needs the whole key.  Where
+    even such a block is too much for a task, ``_wide_frames`` cuts the frames themselves.  Null
+    values share a frame of their own."""
     parts: dict[str, Column] = {}
     frames: dict[str, tuple] = {}
     for name, (fn, col) in aggregates.items():
-        if fn in ("avg", "count"):
+        if fn in ("avg", "count", "sum"):
             parts[f"_n_{name}"] = F.count(col)
             frames[f"_n_{name}"] = (F.sum, f"_n_{name}")
         if fn in ("avg", "sum", "min", "max"):
@@ -303,10 +305,14 @@ def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
     if hot.rows:
         usual, large = split_hot(steps, keys, hot)
         block = F.floor(F.col(by) / width)
-        spread = (large.withColumn("_home", block)
-                  .withColumn("_block", F.explode(F.when(block.isNull(), F.array(block)).otherwise(F.array(block, block + 1)))))
-        out = (spread.select("*", *columns(Window.partitionBy(*keys, "_block").orderBy(by)))
-               .filter(F.col("_home").eqNullSafe(F.col("_block"))).drop("_home", "_block"))
+        fullest = large.groupBy(*keys, block.alias("_block")).count().agg(F.max("count")).first()[0]
+        if fullest > hot.limit:
+            out = _wide_frames(large, keys, by, width, frames, hot)
+        else:
+            spread = (large.withColumn("_home", block)
+                      .withColumn("_block", F.explode(F.when(block.isNull(), F.array(block)).otherwise(F.array(block, block + 1)))))
+            out = (spread.select("*", *columns(Window.partitionBy(*keys, "_block").orderBy(by)))
+                   .filter(F.col("_home").eqNullSafe(F.col("_block"))).drop("_home", "_block"))
         done = out if not keys else usual.select("*", *columns(Window.partitionBy(*keys).orderBy(by))).unionByName(out)
 
     def value(name: str, fn: str) -> Column:
@@ -320,6 +326,85 @@ def with_range_frame(df: DataFrame, keys: list[str], by: str, width: float,
     return join_null_safe(df, framed, [*keys, by], "left").select(*df.columns, *aggregates)
 
 
+def _wide_frames(steps: DataFrame, keys: list[str], by: str, width: float, frames: dict[str, tuple], hot: Hot) -> DataFrame:
+    """Range frames that are themselves too wide for one task; ``steps`` are unique by key and ``by``.
+
+    Sums and counts are the difference of two running totals: the one at the step and the one at the
+    last step before its frame, which an as-of lookup in one time line finds.  Smallest and
+    largest values have no difference.  Steps are numbered and cut into blocks of ``hot.limit``; a
+    frame over several blocks is the rest of its first block (a running extreme from the block's
+    end), its last block up to the step (one from the block's start), and whole blocks between them,
+    which two overlapping runs of a power of two of blocks cover.  So no task holds more than a
+    block, or one row for each block of a key.  Totals of floating point columns are differences of
+    sums: give whole numbers (cents) where they must be exact."""
+    sums = [n for n, (fn, _) in frames.items() if fn is F.sum]
+    ends = {n: fn for n, (fn, _) in frames.items() if fn is not F.sum}
+    null_step = steps.filter(F.col(by).isNull()).select("*", *[F.col(n).alias(f"_f{n}") for n in frames])
+    known = steps.filter(F.col(by).isNotNull())
+    placed = stage(with_windows(known, keys, [by], {**{f"_t{n}": running("sum", n) for n in sums}, "_place": row_number()}, hot=hot), "totals")
+
+    # inside a block: from its start, to its end, and the frame as far as it lies inside
+    block = F.floor((F.col("_place") - 1) / hot.limit)
+    inside = Window.partitionBy(*keys, "_block").orderBy("_place")
+    near = Window.partitionBy(*keys, "_block").orderBy(by).rangeBetween(-width, Window.currentRow)
+    blocked = placed.withColumn("_block", block)
+    blocked = stage(blocked.select(
+        "*", *[fn(n).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_a{n}") for n, fn in ends.items()],
+        *[fn(n).over(inside.rowsBetween(0, Window.unboundedFollowing)).alias(f"_z{n}") for n, fn in ends.items()],
+        *[fn(n).over(near).alias(f"_c{n}") for n, fn in ends.items()]), "blocks")
+
+    # the last step before the frame, and what the step behind that one knows of its block
+    nexts = with_windows(blocked, keys, ["_place"], {f"_y{n}": lead(f"_z{n}") for n in ends}, hot=hot) if ends else blocked
+    state = F.struct("_place", *[f"_t{n}" for n in sums], *[f"_y{n}" for n in ends]).alias("_state")
+    own = F.struct(by, *frames, "_place", "_block", *[f"_t{n}" for n in sums], *[f"_{p}{n}" for n in ends for p in "ac"])
+    marks = nexts.select(*keys, F.col(by).alias("_t"), F.lit(1).alias("_side"), state, F.lit(None).cast(nexts.select(own.alias("o")).schema["o"].dataType).alias("_own"))
+    asks = nexts.select(*keys, (F.col(by) - F.lit(width)).alias("_t"), F.lit(0).alias("_side"),
+                        F.lit(None).cast(marks.schema["_state"].dataType).alias("_state"), own.alias("_own"))
+    line = with_windows(marks.unionByName(asks), keys, ["_t", "_side"], {"_before": running("last", "_state")},
+                        hot=Hot(hot.rows, max(1, hot.limit)))
+    found = line.filter("_side = 0").select(*keys, "_own.*", "_before").withColumn(
+        "_first", F.floor(F.coalesce("_before._place", F.lit(0).cast("bigint")) / hot.limit))
+    totals = {}
+    for n in sums:
+        before = F.coalesce(F.col(f"_before._t{n}"), F.lit(0))
+        totals[f"_f{n}"] = F.col(f"_t{n}") - before
+    for n in sums:  # a frame without a value has no sum
+        if n.startswith("_v_") and f"_n_{n[3:]}" in sums:
+            totals[f"_f{n}"] = F.when(totals[f"_f_n_{n[3:]}"] > 0, totals[f"_f{n}"])
+    if not ends:
+        out = found.select(*keys, by, *frames, *[totals[f"_f{n}"].alias(f"_f{n}") for n in sums])
+        return out.unionByName(null_step)
+
+    found = stage(found, "frames")
+    between = found.select(*keys, (F.col("_first") + F.when(F.col("_before").isNull(), 0).otherwise(1)).alias("_low"), F.col("_block").alias("_high"))
+    spans = between.filter("_low < _high").distinct()
+    whole = blocked.groupBy(*keys, "_block").agg(*[fn(n).alias(f"_w{n}") for n, fn in ends.items()])
+    most = max(math.ceil(r["_n"] / hot.limit) for r in hot.rows)
+    along = Window.partitionBy(*keys).orderBy("_block")
+    powers = range(max(1, most.bit_length()))
+    extended = whole.select(*keys, F.col("_block").alias("_start"), *[
+        F.struct(F.lit(p).alias("_power"), *[fn(f"_w{n}").over(along.rowsBetween(0, (1 << p) - 1)).alias(f"_w{n}") for n, fn in ends.items()]).alias(f"_p{p}")
+        for p in powers])
+    runs = extended.select(*keys, "_start", F.explode(F.array(*[f"_p{p}" for p in powers])).alias("_r")).select(*keys, "_start", "_r.*")
+    runs = stage(runs, "runs")
+    power = F.floor(F.log2(F.col("_high") - F.col("_low"))).cast("int")
+    covered = spans.withColumn("_power", power)
+    left = join_null_safe(covered.withColumn("_start", F.col("_low")), runs, [*keys, "_power", "_start"])
+    right = runs.select(*keys, "_power", "_start", *[F.col(f"_w{n}").alias(f"_x{n}") for n in ends])
+    both = join_null_safe(left.withColumn("_start", F.col("_high") - F.expr("shiftleft(1L, _power)")), right, [*keys, "_power", "_start"])
+    merged = {n: (F.least if fn is F.min else F.greatest) for n, fn in ends.items()}
+    middle = both.select(*keys, "_low", "_high", *[merged[n](f"_w{n}", f"_x{n}").alias(f"_m{n}") for n in ends])
+    joined = join_null_safe(
+        found.withColumns({"_low": F.col("_first") + F.when(F.col("_before").isNull(), 0).otherwise(1), "_high": F.col("_block")}),
+        middle, [*keys, "_low", "_high"], "left")
+    for n in ends:
+        # the block the frame begins in is whole when nothing lies before it
+        totals[f"_f{n}"] = F.when(F.col("_first") == F.col("_block"), F.col(f"_c{n}")).otherwise(
+            merged[n](F.col(f"_a{n}"), F.col(f"_before._y{n}"), F.col(f"_m{n}")))
+    out = joined.select(*keys, by, *frames, *[totals[f"_f{n}"].alias(f"_f{n}") for n in frames])
+    return out.unionByName(null_step)
+
+
 def with_totals(df: DataFrame, keys: list[str], aggregates: dict[str, tuple[str, str]]) -> DataFrame:
     """Whole-partition frame: per-key aggregates next to every row.
 

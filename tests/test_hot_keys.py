@@ -122,3 +122,46 @@ def test_scd2_and_as_of_split(spark):
     joined = cdc.as_of_join(facts, history, ["k"], "t", ["p"], w.hot_keys(facts, ["k"], 200))
     assert rows(joined) == rows(native)
     assert rows(cdc.as_of_join(facts, history, ["k"], "t", ["p"], w.Hot([], 0))) == rows(native)
+
+
+@pytest.mark.parametrize(("keys", "width"), [(["k"], 120), ([], 100_000)])
+def test_wide_range_frame(skewed, keys, width):
+    """Frames over many blocks, up to one frame over all steps of a hot key."""
+    wanted = {"s": ("sum", "x"), "n": ("count", "x"), "low": ("min", "x"), "high": ("max", "id"), "a": ("avg", "x")}
+    holes = skewed.withColumn("v", F.when(F.col("id") % 9 != 0, F.col("id") * 7 % 5003)).withColumn("x", F.when(F.col("id") % 4 != 1, F.col("x")))
+    framed = Window.partitionBy(*keys).orderBy("v").rangeBetween(-width, 0)
+    native = holes.select("*", F.sum("x").over(framed).alias("s"), F.count("x").over(framed).alias("n"), F.min("x").over(framed).alias("low"),
+                          F.max("id").over(framed).alias("high"), F.avg("x").over(framed).alias("a"))
+    assert rows(w.with_range_frame(holes, keys, "v", width, wanted, hot_rows=40)) == rows(native)
+
+
+def test_wide_frames_hold_no_key_in_one_task(spark):
+    """One key, one frame over all its steps: no window of the plan is over the key alone, but for one
+    row a block."""
+    steps = spark.range(5_000).select(F.lit(1).alias("k"), F.col("id").alias("v"), (F.col("id") % 91).alias("_v_low"))
+    out = w._wide_frames(steps, ["k"], "v", 100_000, {"_v_low": (F.min, "_v_low")}, w.hot_keys(steps, ["k"], 100))
+    assert out.filter("_f_v_low <> 0").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangebetween" not in plan.lower() and "RangeFrame" not in plan
+
+
+def test_frequent_keys(skewed):
+    """No key above the limit is missed, whatever the number of counters, and none below is named."""
+    for keys, limit, bins in ((["k"], 100, 1), (["k"], 700, 7), (["k", "v"], 1, 7), (["k", "v"], 9, 4096), (["name"], 0, None), (["k"], 10_000, None)):
+        counts = skewed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit)
+        assert rows(joins.frequent_keys(skewed, keys, limit, bins)) == rows(counts), (keys, limit, bins)
+
+
+def test_frequent_bins_bound(skewed):
+    """A counter never falls short of a key, so the error is one-sided; a map task sends as many rows
+    as there are counters at most, and keys are not part of the exchange."""
+    bins = joins.frequent_bins(skewed, ["name"], 0, 16)
+    assert bins.count() == 16 and bins.agg(F.sum("_n")).first()[0] == 8000
+    plan = bins._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchange and all("name" not in line for line in exchange)
+
+
+def test_salts_by_size(skewed):
+    plain = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("x"), 2).alias("total"), F.try_divide(F.sum("x"), F.count("x")).alias("mean"))
+    assert rows(ag.salted_sum(skewed, "k", "x", ["id"], heavy_rows=100)) == rows(plain)
