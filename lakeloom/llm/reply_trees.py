@@ -56,15 +56,17 @@ def lifted(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     start = stage(placed.select("tree", "node", parent.alias("up"), F.lit(1).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).alias("total")), "lift")
     inner = start.filter("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct().withColumn("inner", F.lit(True))
     start = stage(join_null_safe(start, inner, ["tree", "node"], "left").withColumn("leaf", F.col("inner").isNull()).drop("inner"), "lift")
-    table, jumps, rows, rounds = start, [], start.count(), 0
-    while table.filter("up IS NOT NULL").head(1) and (1 << rounds) <= rows:
-        jumps.append(table.filter("up IS NOT NULL").select("tree", "node", "up"))
-        above = table.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("above"))
-        table = stage(join_null_safe(table, above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("above", F.lit(0.0))).alias("total"), "leaf"), "lift")
-        rounds += 1
-    return table.filter("up IS NULL").drop("up"), jumps
+    # nodes whose path is summed up leave the rounds, so a round costs the nodes deeper than its power
+    active, settled, jumps = start.filter("up IS NOT NULL"), start.filter("up IS NULL"), []
+    rows = start.count()
+    while active.head(1) and (1 << len(jumps)) <= rows:
+        jumps.append(active.select("tree", "node", "up"))
+        above = active.unionByName(settled).select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("above"))
+        moved = stage(join_null_safe(active, above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("total") + F.col("above")).alias("total"), "leaf"), "lift")
+        active, settled = moved.filter("up IS NOT NULL"), settled.unionByName(moved.filter("up IS NULL"))
+    return settled.drop("up"), jumps
 
 
 def best_leaves(summed: DataFrame, paths: int = 1) -> DataFrame:
