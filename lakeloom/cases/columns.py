@@ -214,20 +214,27 @@ def h06(spark, d):
         "event_id", fx.local_to_utc(wall, zone).alias("utc"), F.from_utc_timestamp(wall, "+02:00").alias("shown")))
 
 
-@case("h06_named_zones", """
-SELECT o_orderkey, CAST(timezone('Europe/Berlin', o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))) AT TIME ZONE 'UTC' AS VARCHAR) AS utc,
-  CAST(timezone('UTC', o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))) AT TIME ZONE 'America/New_York' AS VARCHAR) AS shown,
-  CAST(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT)) AS VARCHAR) AS wall FROM orders
-WHERE NOT (month(o_orderdate) IN (3, 9, 10) AND day(o_orderdate) > 23 AND dayofweek(o_orderdate) = 0)""")
+WALL = "o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))"
+LAST_SUNDAY = "(last_day(make_date(year({0}), {1}, 1)) - CAST(dayofweek(last_day(make_date(year({0}), {1}, 1))) AS INT))"
+SUNDAY_ON = "(make_date(year({0}), {1}, {2}) + CAST((7 - dayofweek(make_date(year({0}), {1}, {2}))) % 7 AS INT))"
+# fixed values: the days on which Berlin's and New York's clocks change
+BERLIN_SUMMER = (f"wall >= {LAST_SUNDAY.format('wall', 3)} + INTERVAL 3 HOUR AND wall < "
+                 f"CASE WHEN year(wall) < 1996 THEN {LAST_SUNDAY.format('wall', 9)} ELSE {LAST_SUNDAY.format('wall', 10)} END + INTERVAL 3 HOUR")
+NEW_YORK_SUMMER = (f"CASE WHEN year(wall) < 2007 THEN wall >= {SUNDAY_ON.format('wall', 4, 1)} + INTERVAL 7 HOUR AND wall < {LAST_SUNDAY.format('wall', 10)} + INTERVAL 6 HOUR "
+                   f"ELSE wall >= {SUNDAY_ON.format('wall', 3, 8)} + INTERVAL 7 HOUR AND wall < {SUNDAY_ON.format('wall', 11, 1)} + INTERVAL 6 HOUR END")
+
+
+@case("h06_zones_all_orders", f"""
+SELECT o_orderkey, CAST(wall - to_hours(CASE WHEN {BERLIN_SUMMER} THEN 2 ELSE 1 END) AS VARCHAR) AS utc,
+  CAST(wall - to_hours(CASE WHEN {NEW_YORK_SUMMER} THEN 4 ELSE 5 END) AS VARCHAR) AS shown, CAST(wall AS VARCHAR) AS wall
+FROM (SELECT o_orderkey, {WALL} AS wall FROM orders) AS x""")
 def h06_zones(spark, d):
-    """Named zones with summer time: wall-clock to UTC, UTC to a zone, and a time without zone,
-    which no zone moves.  Berlin's changing days (until 1995 in September), when an hour is
-    missing or doubled, are left to each engine's reading."""
-    orders = table(spark, d, "orders")
-    changing = F.month("o_orderdate").isin(3, 9, 10) & (F.dayofmonth("o_orderdate") > 23) & (F.dayofweek("o_orderdate") == 1)
+    """Named zones with summer time over all orders: wall-clock to UTC, UTC to a zone, and a time without
+    zone, which no zone moves.  A missing hour reads with the offset before the change, a doubled one
+    as its first."""
     wall = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate"))
-    return plain(orders.filter(~changing).select(
-        "o_orderkey", F.to_utc_timestamp(wall.cast("timestamp"), "Europe/Berlin").alias("utc"),
+    return plain(table(spark, d, "orders").select(
+        "o_orderkey", fx.local_to_utc(wall.cast("timestamp"), F.lit("Europe/Berlin")).alias("utc"),
         F.from_utc_timestamp(wall.cast("timestamp"), "America/New_York").alias("shown"), wall.alias("wall")))
 
 

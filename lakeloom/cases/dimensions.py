@@ -8,6 +8,7 @@ from lakeloom.cases.inputs import CHANGES_SQL, STEPS
 from lakeloom.cases.registry import case, plain
 from lakeloom.operators import cdc
 from lakeloom.operators import windows as w
+from lakeloom.operators.quality import CheckFailed
 from lakeloom.session import scratch_path, stage, table
 from lakeloom.sources.generators import change_batches
 from lakeloom.streaming import flows
@@ -203,6 +204,28 @@ def m06(spark, d):
     return cdc.scd1(events, KEYS, SEQ, exclude=["_rescued_data", "record_type", "c_nationkey"])
 
 
+@case("m07_null_and_double_keys", """
+WITH k AS (SELECT CASE WHEN c_custkey % 1000 = 4 THEN NULL ELSE c_custkey END AS k, min(c_custkey) AS first, min(c_name) AS c_name, min(c_acctbal) AS c_acctbal FROM customer GROUP BY 1)
+SELECT k AS c_custkey, c_name, c_acctbal, first % 4 <> 0 AS is_current, '2024-01-01' AS start_date, CASE WHEN first % 4 = 0 THEN '2024-06-01' END AS end_date FROM k WHERE first % 2 = 0
+UNION ALL SELECT k, c_name, c_acctbal + 1, true, '2024-06-01', NULL FROM k WHERE first % 4 = 0
+UNION ALL SELECT k, c_name, c_acctbal, true, '2024-06-01', NULL FROM k WHERE first % 2 = 1""")
+def m07_nulls(spark, d):
+    """One key is null; the step runs twice and the second time changes nothing; a source with two rows
+    for a key is refused."""
+    key = F.when(F.col("c_custkey") % 1000 != 4, F.col("c_custkey"))
+    c = table(spark, d, "customer").groupBy(key.alias("k")).agg(F.min("c_custkey").alias("first"), F.min("c_name").alias("c_name"), F.min("c_acctbal").alias("c_acctbal"))
+    c = stage(c.withColumnRenamed("k", "c_custkey"))
+    dim = c.filter("first % 2 = 0").selectExpr("c_custkey", "c_name", "c_acctbal", "true AS is_current", "DATE'2024-01-01' AS start_date", "CAST(NULL AS DATE) AS end_date")
+    source = c.selectExpr("c_custkey", "c_name", "c_acctbal + CASE WHEN first % 4 = 0 THEN 1 ELSE 0 END AS c_acctbal")
+    for _ in range(2):
+        dim = stage(cdc.scd2_merge(dim, source, ["c_custkey"], ["c_name", "c_acctbal"], "2024-06-01"))
+    try:
+        cdc.scd2_merge(dim, source.unionByName(source.filter("c_custkey IS NULL")), ["c_custkey"], ["c_name", "c_acctbal"], "2024-06-01")
+    except CheckFailed:
+        return plain(dim)
+    raise AssertionError("two rows for one key were taken")
+
+
 @case("m07_manual_scd2", """
 SELECT c_custkey, c_name, c_acctbal, c_custkey % 4 <> 0 AS is_current, '2024-01-01' AS start_date, CASE WHEN c_custkey % 4 = 0 THEN '2024-06-01' END AS end_date
 FROM customer WHERE c_custkey % 2 = 0

@@ -35,6 +35,23 @@ def o01_versions(spark, d):
     return spark.read.parquet(path)
 
 
+@case("o01_compact_partitioned", "SELECT o_orderkey, o_totalprice, o_orderstatus, 1 AS files FROM orders")
+def o01_partitioned(spark, d):
+    """Three partitions of twenty small files each, after a run that was stopped between its two
+    renames: every partition ends as one file in its own folder."""
+    path = scratch_path(spark, "partitions")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    orders.repartition(20).write.partitionBy("o_orderstatus").parquet(path)
+    held = f"{layout._hold(path)}/o_orderstatus%3DF"
+    spark.read.parquet(f"{path}/o_orderstatus=F").coalesce(1).write.parquet(f"{held}/new")
+    layout._rename(spark, f"{path}/o_orderstatus=F", f"{held}/old")
+    layout.recover_compaction(spark, path)
+    assert layout.compact_folder(spark, path)[1] == 2  # the third was done before the stop
+    files = F.count_distinct(F.col("_metadata.file_path")).alias("files")
+    rows = spark.read.parquet(path)
+    return rows.join(rows.groupBy("o_orderstatus").agg(files), "o_orderstatus").select("o_orderkey", "o_totalprice", "o_orderstatus", "files")
+
+
 @case("o02_partition_pruning", """
 SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(year(o_orderdate) AS INT) AS order_year FROM orders WHERE year(o_orderdate) = 1998 AND o_orderstatus = 'F'""")
 def o02(spark, d):
@@ -68,6 +85,28 @@ def o04(spark, d):
     return spark.read.parquet(root).drop("arrival")
 
 
+@case("o04_recluster_overlap", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, true AS kept_names, true AS bounded FROM lineitem""")
+def o04_recluster(spark, d):
+    """Eleven arrivals, nine of them in the upper half of the parts: the files that lie deep there are
+    rewritten along the curve, the others keep their names, and a point meets few files afterwards."""
+    lines, root = _lines(spark, d), scratch_path(spark, "growing")
+    columns, half = ["l_partkey", "l_suppkey"], lines.agg(F.max("l_partkey")).first()[0] // 2
+    layout.arrive(lines.filter("l_orderkey % 10 = 0"), root, columns, 4)
+    layout.arrive(lines.filter(f"l_orderkey % 10 > 0 AND l_partkey < {half}"), root, columns, 4)
+    for n in range(1, 10):
+        layout.arrive(lines.filter(f"l_orderkey % 10 = {n} AND l_partkey >= {half}"), root, columns)
+    before = stage(layout.cluster_files(spark, root))
+    deep = layout.overlap_depth(before, 4).filter("deep").count()
+    assert layout.recluster(spark, root, columns, 4, 20_000)[0] == deep < before.count()
+    assert layout.recluster(spark, root, columns, 4, 20_000) == (0, 0)
+    after = layout.cluster_files(spark, root)
+    kept = before.join(after.select("file_path"), "file_path", "left_semi").count()
+    point = after.filter(layout.meets("l_partkey", half + 10)).count(), before.filter(layout.meets("l_partkey", half + 10)).count()
+    return layout.read_growing(spark, root).drop("_place").withColumns(
+        {"kept_names": F.lit(kept == before.count() - deep and kept > 0), "bounded": F.lit(point[0] < point[1])})
+
+
 @case("o05_file_statistics", "SELECT count(*) AS row_count, min(l_partkey) AS low, max(l_partkey) AS high, true AS skips FROM lineitem")
 def o05(spark, d):
     path, lines = scratch_path(spark, "sorted"), _lines(spark, d)

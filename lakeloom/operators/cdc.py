@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import windows as w
 from lakeloom.operators.joins import join_null_safe
+from lakeloom.operators.quality import CheckFailed
 
 START, END = "__START_AT", "__END_AT"
 
@@ -139,12 +140,17 @@ def original_and_modified(events: DataFrame, keys: list[str], seq: list[str]) ->
 
 def scd2_merge(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], as_of) -> DataFrame:
     """Manual type 2 step on a dimension with ``is_current``, ``start_date``, ``end_date``:
-    a changed current row is closed and its new version inserted in the same run."""
+    a changed current row is closed and its new version inserted in the same run.
+
+    A null key is a key like any other.  Two source rows for one key raise CheckFailed, since each
+    would open a version of its own."""
+    if source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").head(1):
+        raise CheckFailed("several source rows for one key")
     day = F.lit(as_of).cast("date")
     arriving = source.select(*keys, F.struct(*tracked).alias("_new"))
     left = dim.withColumn("_cur", F.col("is_current"))
     on_current = arriving.withColumn("_cur", F.lit(True))
-    joined = left.join(on_current, [*keys, "_cur"], "left")
+    joined = join_null_safe(left, on_current, [*keys, "_cur"], "left")
     changed = F.col("_new").isNotNull() & ~F.struct(*tracked).eqNullSafe(F.col("_new"))
 
     def version(values, current, start, end):
@@ -159,7 +165,7 @@ def scd2_merge(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list
     names = [*keys, *tracked, "is_current", "start_date", "end_date"]
     kept = joined.select(*keys, F.explode(versions).alias("_r")).select(
         *keys, "_r.v.*", "_r.is_current", "_r.start_date", "_r.end_date")
-    fresh = source.join(dim.filter("is_current").select(*keys), keys, "left_anti").select(
+    fresh = join_null_safe(source, dim.filter("is_current").select(*keys), keys, "left_anti").select(
         *keys, *tracked, F.lit(True).alias("is_current"), day.alias("start_date"), none.alias("end_date"))
     return kept.select(*names).unionByName(fresh.select(*names))
 

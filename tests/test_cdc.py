@@ -140,3 +140,20 @@ def test_manual_scd2_step(spark):
     assert rows(out.select("id", "v", "is_current", F.col("end_date").isNull().alias("open"))) == rows(spark.createDataFrame(
         [(1, "old", False, False), (1, "a", False, False), (1, "A", True, True), (2, "b", True, True), (3, "c", True, True)],
         "id int, v string, is_current boolean, open boolean"))
+
+
+def test_zones_on_changing_days(spark):
+    """Missing and doubled hours, and all others around them, as Python's zoneinfo has them."""
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    from pyspark.sql import functions as F
+
+    from lakeloom.functions import scalars as fx
+    walls = [dt.datetime(y, m, 24) + dt.timedelta(minutes=30 * k) for y in (1994, 1996, 2024) for m in (3, 9, 10) for k in range(8 * 48)]
+    df = spark.createDataFrame([(str(w),) for w in walls], "t string").withColumn("wall", F.col("t").cast("timestamp"))
+    got = df.select("t", fx.local_to_utc(F.col("wall"), F.lit("Europe/Berlin")).cast("string").alias("u"), F.from_utc_timestamp("wall", "America/New_York").cast("string").alias("s")).collect()
+    for r in got:
+        wall = dt.datetime.fromisoformat(r["t"])
+        assert r["u"] == str(wall.replace(tzinfo=ZoneInfo("Europe/Berlin")).astimezone(dt.UTC).replace(tzinfo=None))
+        assert r["s"] == str(wall.replace(tzinfo=dt.UTC).astimezone(ZoneInfo("America/New_York")).replace(tzinfo=None))
