@@ -88,18 +88,18 @@ def o04(spark, d):
 @case("o04_recluster_overlap", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, true AS kept_names, true AS bounded FROM lineitem""")
 def o04_recluster(spark, d):
-    """Eleven arrivals, nine of them in the upper half of the parts: the files that lie deep there are
+    """Seven arrivals, five of them in the upper half of the parts: the files that lie deep there are
     rewritten along the curve, the others keep their names, and a point meets few files afterwards."""
     lines, root = _lines(spark, d), scratch_path(spark, "growing")
     columns, half = ["l_partkey", "l_suppkey"], lines.agg(F.max("l_partkey")).first()[0] // 2
-    layout.arrive(lines.filter("l_orderkey % 10 = 0"), root, columns, 4)
-    layout.arrive(lines.filter(f"l_orderkey % 10 > 0 AND l_partkey < {half}"), root, columns, 4)
-    for n in range(1, 10):
-        layout.arrive(lines.filter(f"l_orderkey % 10 = {n} AND l_partkey >= {half}"), root, columns)
+    layout.arrive(lines.filter("l_orderkey % 6 = 0"), root, columns, 4)
+    layout.arrive(lines.filter(f"l_orderkey % 6 > 0 AND l_partkey < {half}"), root, columns, 4)
+    for n in range(1, 6):
+        layout.arrive(lines.filter(f"l_orderkey % 6 = {n} AND l_partkey >= {half}"), root, columns)
     before = stage(layout.cluster_files(spark, root))
-    deep = layout.overlap_depth(before, 4).filter("deep").count()
-    assert layout.recluster(spark, root, columns, 4, 20_000)[0] == deep < before.count()
-    assert layout.recluster(spark, root, columns, 4, 20_000) == (0, 0)
+    deep = layout.overlap_depth(before, 3).filter("deep").count()
+    assert layout.recluster(spark, root, columns, 3, 20_000)[0] == deep < before.count()
+    assert layout.recluster(spark, root, columns, 3, 20_000) == (0, 0)
     after = layout.cluster_files(spark, root)
     kept = before.join(after.select("file_path"), "file_path", "left_semi").count()
     point = after.filter(layout.meets("l_partkey", half + 10)).count(), before.filter(layout.meets("l_partkey", half + 10)).count()

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.cases.inputs import (CHANGES_SQL, RETAIL_CUSTOMERS_SQL, RETAIL_SQL, STEPS, TODAY, UNKNOWN_ID,
                                    retail_customers, retail_orders)
 from lakeloom.cases.registry import case, plain
-from lakeloom.operators import cdc
+from lakeloom.operators import cdc, materialised
+from lakeloom.operators import changes as changes_mod
 from lakeloom.operators.quality import expect, expect_or_fail
 from lakeloom.plans import order_flow, retail, sales, star
 from lakeloom.session import scratch_path, stage, table, together
@@ -351,6 +355,36 @@ def n12(spark, d):
     return plain(spark.read.parquet(path))
 
 
+DAILY_CHANGES = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) + CASE WHEN o_orderkey % 10 = 2 AND o_orderstatus = 'F' THEN 100 ELSE 0 END AS cents
+FROM orders WHERE NOT (o_orderkey % 10 = 3 AND o_orderdate < TIMESTAMP '1994-01-01 00:00:00')"""
+
+
+@case("n12_incremental_refresh", f"""
+SELECT CAST(order_date AS VARCHAR) AS order_date, o_orderstatus, count(*) AS order_count, CAST(sum(cents) AS DOUBLE) / 100 AS total_revenue, CAST(min(cents) AS DOUBLE) / 100 AS smallest, CAST(max(cents) AS DOUBLE) / 100 AS largest
+FROM ({DAILY_CHANGES}) AS x GROUP BY 1, 2""")
+def n12_incremental(spark, d):
+    """Daily totals after inserts, updates and deletes of their base, from the changes alone; sent twice."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"), "o_orderstatus",
+                                              F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    keys = ["order_date", "o_orderstatus"]
+    view = materialised.View(scratch_path(spark, "daily"), keys, {"revenue": "cents"}, {"smallest": ("min", "cents"), "largest": ("max", "cents")}, 32)
+    early, dear = "o_orderkey % 10 = 3 AND order_date < DATE'1994-01-01'", "o_orderkey % 10 = 2 AND o_orderstatus = 'F'"
+    after = orders.filter(f"NOT ({early})").withColumn("cents", F.col("cents") + F.when(F.expr(dear), 100).otherwise(0))
+    base = scratch_path(spark, "base")
+    changes_mod.write_buckets(after, base, keys, view.buckets)
+    materialised.create(view, orders.filter("o_orderkey % 10 <> 1"))
+    tagged = lambda df, kind: df.withColumn("_change_type", F.lit(kind))
+    changes = [tagged(orders.filter("o_orderkey % 10 = 1"), "insert"), tagged(orders.filter(dear), "update_preimage"),
+               tagged(after.filter(dear), "update_postimage"), tagged(orders.filter(early), "delete")]
+    changed = stage(reduce(DataFrame.unionByName, changes), "changes")
+    materialised.refresh(view, changed, 1, spark.read.parquet(base))
+    assert materialised.refresh(view, changed, 1, spark.read.parquet(base)) == {"buckets": 0, "reread": 0}
+    rows = materialised.read(spark, view)
+    return plain(rows.select(*keys, F.col("_rows").alias("order_count"), (F.col("revenue") / 100).alias("total_revenue"),
+                             (F.col("smallest") / 100).alias("smallest"), (F.col("largest") / 100).alias("largest")))
+
+
 @case("n13_bronze_ingest", """
 SELECT 'customer' AS table_name, count(*) AS row_count, count(*) AS with_source FROM customer
 UNION ALL SELECT 'events', count(*), count(*) FROM events UNION ALL SELECT 'part', count(*), count(*) FROM part""")

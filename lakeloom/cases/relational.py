@@ -204,6 +204,17 @@ def d10_describe(spark, d):
     return both
 
 
+LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@case("d10_exact_quartiles", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q1, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS q2, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q3 FROM lineitem""" for c in LINE_NUMBERS))
+def d10_quartiles(spark, d):
+    """Quartiles of every numeric column, by ranges of values narrowed side by side."""
+    found = ag.exact_quantiles(table(spark, d, "lineitem"), LINE_NUMBERS)
+    return found.select("column", *[F.round(q, 4).alias(q) for q in ("q1", "q2", "q3")])
+
+
 @case("d11_quality_profile", f"""
 SELECT count(*) AS total_rows, sum(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS null_keys, count(DISTINCT customer_id) AS distinct_keys,
   sum(CASE WHEN quantity <= 0 THEN 1 ELSE 0 END) AS bad_quantity, sum(CASE WHEN unit_price IS NULL THEN 1 ELSE 0 END) AS no_price FROM ({RETAIL_SQL}) AS r""")

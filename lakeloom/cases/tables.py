@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.cases.registry import case, plain
 from lakeloom.operators import changes as ch
+from lakeloom.operators import digests as dg
 from lakeloom.operators import quality as q
 from lakeloom.operators import snapshots as sn
 from lakeloom.operators.changes import When
@@ -179,6 +180,23 @@ def l09_range(spark, d):
     return _feed(sn.changes(spark, _four_versions(spark, d), 2, 2, key=["c_custkey"]))
 
 
+@case("l09_bucket_digests", """
+SELECT c_custkey, c_acctbal, 'update_preimage' AS change, true AS bounded FROM customer WHERE c_custkey <= 10 AND c_custkey > 0
+UNION ALL SELECT c_custkey, c_acctbal + 1, 'update_postimage', true FROM customer WHERE c_custkey <= 10 AND c_custkey > 0
+UNION ALL SELECT c_custkey, c_acctbal, 'delete', true FROM customer WHERE c_custkey = 13
+UNION ALL SELECT -5, c_acctbal, 'insert', true FROM customer WHERE c_custkey = 14""")
+def l09_digests(spark, d):
+    """A dozen changed rows between two whole copies: digests tell the few buckets that are joined."""
+    customers, old, new = _customers(spark, d), scratch_path(spark, "copy"), scratch_path(spark, "copy")
+    changed = ch.update(customers.filter("c_custkey <> 13"), {"c_acctbal": "c_acctbal + 1"}, "c_custkey <= 10 AND c_custkey > 0")
+    changed = changed.unionByName(customers.filter("c_custkey = 14").withColumn("c_custkey", F.lit(-5).cast("bigint")))
+    dg.write_copy(customers, old, ["c_custkey"], 128)
+    dg.write_copy(changed, new, ["c_custkey"], 128)
+    unlike = dg.changed_buckets(spark, old, new)
+    return dg.feed(spark, old, new, ["c_custkey"]).select(
+        "c_custkey", "c_acctbal", F.col("_change_type").alias("change"), F.lit(0 < len(unlike) <= 12).alias("bounded"))
+
+
 @case("l09_multiset_diff", """
 WITH a AS (SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity < 30 GROUP BY 1, 2),
      b AS (SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity > 10 GROUP BY 1, 2)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,75 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return packed.select(F.inline(F.array(*columns)))
 
 
+BINS = 512
+#: Values of the last range that are fetched to pick an order statistic.
+LAST_VALUES = 1_000
+
+
+def order_statistics(df: DataFrame, ranks: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    """The values at the given ranks (from 0, nulls aside, NaN above all numbers) of numeric columns, as
+    doubles: exact, without sorting the table or gathering a column in a task.
+
+    All ranks narrow their range of values side by side.  A pass counts the values of each range by
+    ``BINS`` equal parts (combined before the shuffle, so each map task sends some rows a range) and
+    keeps the part that holds the rank with its smallest and largest value, until few values or one
+    are left, which are fetched.  Equal values make one part whatever their number."""
+    columns = list(ranks)
+    if not columns:
+        return {}
+    spans = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("a", F.min), ("b", F.max), ("n", F.count))]).first()
+    open_ranges = {(c, k): (spans[f"a{i}"], spans[f"b{i}"], k, spans[f"n{i}"]) for i, c in enumerate(columns) for k in ranks[c] if k < spans[f"n{i}"]}
+    found = {}
+    while open_ranges:
+        for key, (low, high, _, _) in list(open_ranges.items()):
+            if low == high or (low != low and high != high):
+                found[key] = low
+                del open_ranges[key]
+        if not open_ranges:
+            break
+        last = {key for key, r in open_ranges.items() if r[3] <= LAST_VALUES}
+        targets = last or set(open_ranges)
+        numbered = dict(enumerate(sorted(targets)))
+        cells = []
+        for i, (c, k) in numbered.items():
+            low, high, _, _ = open_ranges[c, k]
+            value = F.col(c).cast("double")
+            part = F.lit(0.0) if last else F.when(F.isnan(value), F.lit(float(BINS))).otherwise(F.least(F.lit(BINS - 1.0), F.floor((value - low) / F.lit((high if high == high else 1e308) - low) * BINS).cast("double")))
+            cells.append(F.when((value >= low) & (value <= high), F.struct(F.lit(i).alias("i"), part.alias("part"), value.alias("v"))))
+        rows = df.select(F.explode(F.array(*cells)).alias("c")).filter("c IS NOT NULL").select("c.*")
+        if last:
+            for r in rows.groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v")).collect():
+                key = numbered[r["i"]]
+                found[key] = r["v"][open_ranges.pop(key)[2]]
+            continue
+        parts: dict[int, list] = {}
+        for r in rows.groupBy("i", "part").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect():
+            parts.setdefault(r["i"], []).append(r)
+        for i, key in numbered.items():
+            left = open_ranges[key][2]
+            for r in sorted(parts[i], key=lambda r: r["part"]):
+                if left < r["n"]:
+                    open_ranges[key] = (r["a"], r["b"], left, r["n"])
+                    break
+                left -= r["n"]
+    return found
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """A row (column, q1, q2, ...) for each column: the exact quantiles, between two values by their
+    distance; null for a column without values."""
+    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    places = {c: [(s * (counts[i] - 1)) for s in shares] if counts[i] else [] for i, c in enumerate(columns)}
+    stats = order_statistics(df, {c: sorted({k for p in ps for k in (math.floor(p), math.ceil(p))}) for c, ps in places.items() if ps})
+
+    def between(c: str, p: float) -> float:
+        low, high = stats[c, math.floor(p)], stats[c, math.ceil(p)]
+        return low + (high - low) * (p - math.floor(p)) if low != high else low
+
+    rows = [(c, *([between(c, p) for p in ps] or [None] * len(shares))) for c, ps in places.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, " + ", ".join(f"q{i + 1} double" for i in range(len(shares))))
+
+
 def salted_sum(df: DataFrame, key: str, amount: str, spread: list[str], salts: int | None = None,
                heavy_rows: int | None = None) -> DataFrame:
     """Two-phase sum and count: first per (key, salt), then per key.
