@@ -16,10 +16,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lakeloom.llm.text import blocks
 
 #: Lines of a sliding window, and the characters it must hold where text surges; inside article
-#: or main any text does.
+#: or main fewer are enough.
 WINDOW = 3
 SURGE = 86
-STORY_SURGE = 1
+STORY_SURGE = 30
+#: An element named like boilerplate is a wrapper if it holds a surge of running text and the text
+#: beside it is at most this share of its own.
+BESIDE = 0.1
 
 # Element names of HTML by their role here, and words of class, id and role
 # attributes that name boilerplate.
@@ -28,7 +31,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 LINES = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-OUTSIDE = frozenset("head nav footer aside form button dialog menu fieldset label".split())
+OUTSIDE = frozenset("head nav footer aside button dialog menu label".split())
+DOUBTED = frozenset(("form", "fieldset"))
 STORY = frozenset(("article", "main"))
 HOMES = STORY | frozenset("html body div section center td".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -61,12 +65,14 @@ class Tag:
 
 @dataclass
 class Line:
-    """A block's text; ``story``: inside article or main, ``linked``: characters in links,
-    ``home``: number of the innermost element of ``HOMES`` around it, 0 if not known."""
+    """A block's text; ``story``: number of the article or main around it (0: none), ``linked``:
+    characters in links, ``home``: number of the innermost element of ``HOMES`` around it (0: not
+    known), ``named``: of the innermost element that is named like boilerplate (0: none)."""
     text: str
-    story: bool
+    story: int
     linked: int
     home: int = 0
+    named: int = 0
 
 
 def _names_boilerplate(value: str) -> bool:
@@ -79,7 +85,7 @@ def _names_boilerplate(value: str) -> bool:
 
 
 def _is_outside(tag: str, attributes: str, in_story: bool) -> bool:
-    """Whether an element holds no main text, judged by its name and attributes."""
+    """Whether an element holds no main text by its kind, role or style."""
     if tag in OUTSIDE:
         return True
     if tag == "header" and not in_story:
@@ -92,11 +98,19 @@ def _is_outside(tag: str, attributes: str, in_story: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and _names_boilerplate(value):
-            return not (tag == "header" and in_story) and tag not in ("h1", "h2", "h3", "h4", "h5", "h6", "span", "b", "i", "em", "strong")
     return False
 
 
+def _is_named(tag: str, attributes: str, in_story: bool) -> bool:
+    """Whether an element is named like boilerplate: a form, or by a word of its class or id.  Names are
+    no proof, since wrappers of whole pages bear such words too (``plain_elements``)."""
+    if tag in DOUBTED:
+        return True
+    if tag in ("html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "span", "b", "i", "em", "strong") or tag == "header" and in_story:
+        return False
+    return any(name.lower() in ("class", "id") and _names_boilerplate(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attributes))
+
+
 def _last(stack: list[str], name: str) -> int:
     """Depth of the innermost open element of that name."""
     return next(i for i in range(len(stack), 0, -1) if stack[i - 1] == name)
@@ -130,10 +144,11 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
     """The text of a page by block, markup stripped and character references decoded.
 
     Where an element without main text was, and at both ends of article and main, ``WINDOW``
-    empty lines stand, so that the distribution has a gap there.  ``whole`` keeps all visible
-    text.  Tags that are left open end with the element around them."""
+    empty lines stand, so that the distribution has a gap there.  Elements that are only named like
+    boilerplate are judged once all lines are known.  ``whole`` keeps all visible text.  Tags that
+    are left open end with the element around them."""
     found: list[Line] = []
-    gap = [Line("", False, 0)] * WINDOW
+    gap = [Line("", 0, 0)] * WINDOW
     stack: list[str] = []
     opened: Counter = Counter()
     outside = story = linked = 0  # depth of the element that began it; 0: not inside one
@@ -141,12 +156,16 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
     in_links = 0
     homes = [(0, 1)]  # depth and number of the open elements of HOMES; all else is in the page itself
     n_homes = 1
+    names: list[tuple[int, int]] = [(0, 0)]  # depth and number of the open elements named like boilerplate
+    above: list[int] = [0]  # the named element around each of them
+    began: list[int] = [0]  # the article or main around each of them
+    n_stories = 0
 
     def flush() -> None:
         nonlocal text, in_links
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            found.append(Line(line, story > 0, in_links, homes[-1][1]))
+            found.append(Line(line, n_stories if story else 0, in_links, homes[-1][1], names[-1][1]))
         text, in_links = [], 0
 
     def pop_to(depth: int) -> None:
@@ -162,6 +181,10 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
             linked = 0
         while homes[-1][0] >= depth:
             homes.pop()
+        if names[-1][0] >= depth:
+            flush()
+            while names[-1][0] >= depth:
+                found.append(Line("", 0, 0, 0, names.pop()[1]))
         opened.subtract(stack[depth - 1:])
         del stack[depth - 1:]
 
@@ -217,34 +240,90 @@ def lines_of(page: str, whole: bool = False) -> list[Line]:
         if (name == "head" if whole else _is_outside(name, attributes, story > 0)):
             flush()
             outside = len(stack)
-        elif name in STORY and not story:
+            continue
+        if not whole and _is_named(name, attributes, story > 0):
+            flush()
+            above.append(names[-1][1])
+            began.append(n_stories if story else 0)
+            names.append((len(stack), len(above) - 1))
+        if name in STORY and not story:
             flush()
             found.extend(gap)
             story = len(stack)
+            n_stories += 1
         elif name == "a" and not linked:
             linked = len(stack)
     flush()
-    return found
+    return found if len(above) == 1 else without_boilerplate(found, above, began)
+
+
+def plain_elements(lines: list[Line], above: list[int], began: list[int]) -> set[int]:
+    """The elements named like boilerplate that are wrappers of the text all the same: they hold a surge
+    of running text (not in links) and hardly any stands beside them.  An article or main decides
+    first: an element around one, with no other outside, is a wrapper, one beside it is not.
+
+    Elements are judged from the outside in, and what a judged one leaves out counts nowhere."""
+    running, stories = [0] * len(above), [set() for _ in above]
+    for line in lines:
+        n = len(line.text) - line.linked
+        if line.text and (n > line.linked or line.story):
+            running[line.named] += n
+            if line.story:
+                stories[line.named].add(line.story)
+    own = running[:]
+    told = [set(s) for s in stories]
+    for e in range(len(above) - 1, 0, -1):  # elements begin after those around them
+        running[above[e]] += running[e]
+        told[above[e]] |= told[e]
+    plain, free = {0}, own[0]
+    free_stories = set(stories[0])
+    for e in range(1, len(above)):
+        if above[e] not in plain:
+            continue
+        inside = told[e] - {began[e]}
+        beside = free_stories - {began[e]} if began[e] else free_stories
+        if began[e] == 0 and beside:
+            continue
+        around = began[e] == 0 and inside and not beside
+        if around or running[e] >= SURGE and free <= BESIDE * running[e]:
+            plain.add(e)
+            free += own[e]
+            free_stories |= stories[e]
+    return plain
+
+
+def without_boilerplate(lines: list[Line], above: list[int], began: list[int]) -> list[Line]:
+    """``lines`` with a gap in place of the named elements that are not plain."""
+    plain = plain_elements(lines, above, began)
+    kept: list[Line] = []
+    for line in lines:
+        if line.named in plain:
+            if line.text or not line.named:
+                kept.append(line)
+        elif not line.text and above[line.named] in plain:  # its end
+            kept.extend([Line("", 0, 0)] * WINDOW)
+    return kept
 
 
-def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE, story_surge: int = STORY_SURGE) -> list[str]:
     """The lines between surge and dive points of the window sums.
 
     A run of lines surges where the sum over the next ``window`` lines first reaches the
     threshold, and dives where ``window`` empty lines follow; it is kept from its surge.  Lines
     that are mostly links count as empty.  Article and main are a hint: inside them the
-    threshold is ``STORY_SURGE`` and links count.  A later run that does not surge is kept where
+    threshold is ``story_surge`` and links count.  A later run that does not surge is kept where
     its lines stand in the same element as lines kept before, as the end of a text does behind
-    an advert.  On pages that reach the threshold nowhere and have no text in article or main,
-    the best window is the threshold."""
+    an advert.  Where the sums reach a threshold nowhere, the best window is the threshold: in
+    article and main, and on pages that have no text there."""
     sizes = [0 if 2 * line.linked > len(line.text) and not line.story else len(line.text) for line in lines]
     sums = [sum(sizes[i:i + window]) for i in range(len(sizes))]
-    least = surge if any(line.story and line.text for line in lines) else min(surge, max(sums, default=0))
+    best = max((n for line, n in zip(lines, sums, strict=True) if line.story and line.text), default=0)
+    in_story, least = min(story_surge, best), surge if best else min(surge, max(sums, default=0))
     kept: list[str] = []
     homes: set[int] = set()
     inside = False
     for line, size, total in zip(lines, sizes, sums, strict=True):
-        inside = total >= (STORY_SURGE if line.story else least) if not inside else total > 0
+        inside = total >= (in_story if line.story else least) if not inside else total > 0
         if size and (inside or line.home in homes):
             kept.append(line.text)
             if inside and line.home:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 import pytest
@@ -102,3 +103,65 @@ def test_columns_and_odd_rows(spark):
     assert sorted(out.columns) == sorted(["page_id", "url", "html", "n_chars", "text"])
     assert sorted(len(r["text"]) for r in out.collect()) == [0, 0, 1, len(PARA) * 2_000]
     assert H.page_texts(frame(spark, [], PAGES)).count() == 0
+
+
+WRAPPERS = ['<div class="container right-sidebar">{}</div>', '<div id="page" class="layout menu-open">{}</div>', '<div class="popular-science">{}</div>',
+            '<form id="aspnetForm">{}</form>', '<article><div class="legal-analysis">{}</div></article>', '<div class="page search"><main>{}</main></div>',
+            '<div class="top-widget"><div class="inner-menu"><div>{}</div></div></div>']
+
+
+def test_wrappers_named_like_boilerplate():
+    """A class word does not throw the page away; what is boilerplate inside or beside the wrapper goes."""
+    inner = f"<p>{PARA}</p><p>{PARA}</p>"
+    for wrapper in WRAPPERS:
+        assert H.extract(f"<body>{wrapper.format(inner)}</body>") == f"{PARA}\n\n{PARA}", wrapper
+        noise = f'<nav>n</nav><div class="comments"><p>{PARA[:90]} nice</p></div><form class="search"><input>go</form>'
+        assert H.extract(f"<body>{wrapper.format(inner + noise)}<footer>{PARA}</footer></body>") == f"{PARA}\n\n{PARA}", wrapper
+
+
+def test_long_comments_stay_out():
+    comments = '<div class="comments">' + f"<p>{PARA} I agree.</p>" * 6 + "</div>"
+    for page in (f"<article><p>{PARA}</p></article>{comments}", f"<article><p>{PARA}</p>{comments}</article>", f"<div><p>{PARA}</p><p>{PARA}</p></div>{comments}",
+                 f'<div class="content sidebar-left"><article><p>{PARA}</p></article>{comments}</div>'):
+        assert "agree" not in H.extract(page) and PARA in H.extract(page), page
+
+
+def slow_main(lines, window, surge, story_surge):
+    """Surge and dive by the definition, window by window."""
+    size = [0 if not x.story and 2 * x.linked > len(x.text) else len(x.text) for x in lines]
+
+    def total(i):
+        return sum(size[k] for k in range(i, min(len(lines), i + window)))
+
+    stories = [total(i) for i, x in enumerate(lines) if x.story and x.text]
+    page = surge if stories and max(stories) > 0 else min(surge, max([total(i) for i in range(len(lines))], default=0))
+    story = min(story_surge, max(stories, default=0))
+    ranges, i = [], 0
+    while i < len(lines):
+        if total(i) >= (story if lines[i].story else page):
+            end = i + 1
+            while end < len(lines) and total(end) > 0:
+                end += 1
+            ranges.append((i, end))
+            i = end + 1  # the dive itself cannot surge
+        else:
+            i += 1
+    out, homes = [], set()
+    for i, x in enumerate(lines):
+        inside = any(a <= i < b for a, b in ranges)
+        if size[i] and (inside or x.home in homes):
+            out.append(x.text)
+            if inside and x.home:
+                homes.add(x.home)
+    return out
+
+
+def test_windows_by_brute_force():
+    rng = random.Random(4)
+    for _ in range(400):
+        lines = []
+        for _ in range(rng.randint(0, 25)):
+            text = "x" * rng.choice([0, 0, 0, 1, 5, 20, 40, 90])
+            lines.append(H.Line(text, rng.choice([0, 0, 1]), rng.choice([0, len(text)]), rng.randint(0, 3)))
+        for window, surge, story in ((3, 86, 30), (1, 10, 1), (4, 50, 60)):
+            assert H.main_lines(lines, window, surge, story) == slow_main(lines, window, surge, story)
