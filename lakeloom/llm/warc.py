@@ -61,17 +61,40 @@ def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields (names in lower case) and block of one record."""
     head, _, rest = record.partition(b"\r\n\r\n")
     fields = {name.lower(): value for name, value in _fields(head.partition(b"\r\n")[2])}
-    size = int(fields.get("content-length") or 0)
-    return fields, rest[:size]
+    size = fields.get("content-length") or "0"
+    # a length that is no number leaves the block as it came, but for the end of the record
+    return fields, rest[:int(size)] if _DIGITS.fullmatch(size) else rest.removesuffix(b"\r\n\r\n")
+
+
+_DIGITS = re.compile(r"[0-9]{1,18}")
+_HEX = re.compile(rb"[0-9a-fA-F]{1,15}")
+
+
+def _codings(fields: list[tuple[str, str]], header: str) -> list[str]:
+    """Codings of a header in the order they were applied, over all its lines."""
+    return [c.strip().lower() for name, value in fields if name.lower() == header for c in value.split(",") if c.strip()]
+
+
+def _decoded(body: bytes, coding: str) -> bytes:
+    """A coding undone; unknown ones leave the bytes as they are."""
+    if coding in ("gzip", "x-gzip"):
+        return gzip.decompress(body)
+    if coding == "deflate":  # with or without a header
+        try:
+            return zlib.decompress(body)
+        except zlib.error:
+            return zlib.decompress(body, -zlib.MAX_WBITS)
+    return _dechunked(body) if coding == "chunked" else body
 
 
 def _dechunked(body: bytes) -> bytes:
+    """Chunks put together; a size that is no hexadecimal number leaves the body as it came."""
     out, at = [], 0
     while (end := body.find(b"\r\n", at)) >= 0:
-        try:
-            size = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
+        given = body[at:end].partition(b";")[0].strip(b" \t")
+        if not _HEX.fullmatch(given):
             return body
+        size = int(given, 16)
         if not size:
             return b"".join(out)
         out.append(body[end + 2:end + 2 + size])
@@ -84,13 +107,10 @@ def parse_response(block: bytes) -> tuple[str, list[tuple[str, str]], bytes, byt
     head, _, payload = block.partition(b"\r\n\r\n")
     status, _, head = head.partition(b"\r\n")
     fields = _fields(head)
-    known = {name.lower(): value.lower() for name, value in fields}
-    body = _dechunked(payload) if "chunked" in known.get("transfer-encoding", "") else payload
-    try:
-        if "gzip" in known.get("content-encoding", ""):
-            body = gzip.decompress(body)
-        elif "deflate" in known.get("content-encoding", ""):
-            body = zlib.decompress(body)
+    body = payload
+    try:  # the last coding first, those of the transfer before those of the content
+        for coding in [*reversed(_codings(fields, "transfer-encoding")), *reversed(_codings(fields, "content-encoding"))]:
+            body = _decoded(body, coding)
     except (OSError, EOFError, zlib.error):
         pass  # a broken coding leaves the bytes as they came
     return status.decode("utf-8", "replace"), fields, payload, body

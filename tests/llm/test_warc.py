@@ -95,3 +95,24 @@ def test_other_records_give_none(spark):
     assert [r["record_type"] for r in W.derive(df).collect()] == ["metadata", "conversion"]
     assert W.derive(frame(spark, [], "record binary")).count() == 0
     assert W.responses(frame(spark, [], PAGES)).count() == 0
+
+
+def test_records_that_lie_about_their_size():
+    for body in (b"-20\r\nabc", b"+5\r\nabcde", b"0x5\r\nabcde", b"5_0\r\nabc", b"zz\r\nabc", b"\r\n\r\n", b"5 \r\nabcde\r\n0\r\n\r\n", b"3;x=y\r\nabc\r\n"):
+        want = {b"5 \r\nabcde\r\n0\r\n\r\n": b"abcde", b"3;x=y\r\nabc\r\n": b"abc"}.get(body, body)
+        assert W._dechunked(body) == want
+    for given in ("abc", "-4", "1e3", "9" * 40):
+        fields, block = W.parse_record(f"WARC/1.1\r\nContent-Length: {given}\r\n\r\nhello\r\n\r\n".encode())
+        assert block == b"hello" and fields["content-length"] == given
+
+
+def test_several_codings_are_undone_in_reverse():
+    import gzip
+    import zlib
+    raw = zlib.compress(b"<p>text</p>")[2:-4]  # deflate without its header
+    twice = gzip.compress(raw)
+    chunked = b"%x\r\n" % len(twice) + twice + b"\r\n0\r\n\r\n"
+    for head in (b"Content-Encoding: deflate, gzip\r\nTransfer-Encoding: chunked", b"Content-Encoding: deflate\r\nTransfer-Encoding: gzip, chunked",
+                 b"Content-Encoding: deflate\r\nContent-Encoding: x-gzip\r\nTransfer-Encoding: chunked"):
+        _, _, payload, body = W.parse_response(b"HTTP/1.1 200 OK\r\n" + head + b"\r\n\r\n" + chunked)
+        assert payload == chunked and body == b"<p>text</p>"
