@@ -218,8 +218,11 @@ def mix(docs: DataFrame, member_of: Column | None = None, size: Column | None =
     size 0 and are not taken; rows may repeat and are judged one by one; no rows give no rows."""
     member_of = F.array(F.col("source").cast("string")) if member_of is None else F.array_sort(F.array_distinct(F.coalesce(member_of, F.array(F.lit(None).cast("string")))))
     size = word_count(F.col("text").cast("string")) if size is None else size
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), member_of.alias("sources"), size.cast("long").alias("size"), *keep)
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 12).cast("double") / F.lit(float(1 << 52))
+    # rows of one doc_id (or none) are told apart by their text, so that they do not share one place
+    text = F.xxhash64(F.col("text").cast("string")) if "text" in docs.columns else F.lit(0).cast("long")
+    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), member_of.alias("sources"), size.cast("long").alias("size"),
+                         F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_column).cast("long"), text), 12).alias("draw"), *keep)
+    draw = F.col("draw").cast("double") / F.lit(float(1 << 52))
     narrow = stage(narrow.withColumn("draw", draw).withColumn("row", F.monotonically_increasing_id()), "mix")
 
     groups = narrow.groupBy("sources").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(MAX_PATTERNS + 1).collect()
@@ -273,10 +276,11 @@ def source_table(docs: DataFrame, sizes: dict, targets: dict) -> DataFrame:
 def mixed_rows(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with its columns.
 
-    Rows that share a doc_id share its copies evenly, rounded up."""
-    decided, _, _ = mix(docs, id_column=id_column, **options)
+    Rows are stored once with a number of their own, by which each gets its own copies, so null or
+    repeated doc_ids, also over several sources, take what ``mix`` decides for them."""
     name, n = free(docs.columns, "name"), free(docs.columns, "n")
-    copies = (decided.groupBy("doc_id").agg(F.sum(F.size("copies")).alias("taken"), F.count(F.lit(1)).alias("rows"))
-              .filter("taken > 0").select(F.col("doc_id").alias(name), F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("rows")).cast("int")).alias(n)))
-    met = docs.join(copies, docs[id_column].cast("long").eqNullSafe(copies[name]))
-    return met.select(*[docs[c] for c in docs.columns], F.explode(n).alias(name)).drop(name)
+    numbered = stage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    decided, _, _ = mix(numbered, id_column=id_column, keep=(name,), **options)
+    copies = decided.filter(F.size("copies") > 0).select(F.col(name), F.sequence(F.lit(1), F.size("copies")).alias(n))
+    met = numbered.join(copies, name)
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(n).alias(n)).drop(n)

@@ -136,6 +136,21 @@ def test_rows_of_the_mix(spark):
     assert counts == {d: n for d, n in taken.items() if n}
 
 
+def test_rows_of_the_mix_with_null_and_repeated_ids(spark):
+    """Rows that share a doc_id, over two sources, take what the decisions say for each source."""
+    rng = random.Random(8)
+    rows = [(None if i % 2 else i % 7, " ".join(["w"] * rng.randint(1, 20)) + f" {i // 3}", "en", "ab"[i % 3 == 0], 1) for i in range(2_000)]
+    docs = frame(spark, rows)
+    decided, _, targets = X.mix(docs)
+    want, got = {}, {}
+    for r in decided.collect():
+        want[r["sources"][0]] = want.get(r["sources"][0], 0) + r["taken"]
+    for r in X.mixed_rows(docs).collect():
+        got[r["source"]] = got.get(r["source"], 0) + len(words(r["text"]))
+    assert all(abs(got[s] - targets[s]) < 0.02 * targets[s] for s in targets)
+    assert all(abs(got[s] - want[s]) < 0.02 * targets[s] for s in targets)
+
+
 def test_odd_and_empty_tables(spark):
     decided, sizes, _ = X.mix(odd(spark))
     rows = decided.collect()
