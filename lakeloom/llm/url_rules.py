@@ -54,54 +54,68 @@ def url_tokens(url: Column) -> Column:
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule, tokens, pivot, confidence, support) from ``labelled`` (tokens, bad).
+    """(rule, tokens, alike, pivot, confidence, support) from ``labelled`` (tokens, bad).
 
     FP-growth finds the token sets that come with the bad label often enough; rules below
     ``min_confidence`` go, and so do rules that a shorter one implies.  A token can be part of
     a rule only if it comes with the label that often itself, so others are left out before.
-    ``pivot`` is the rule's rarest token, under which the inverted index lists it.  No labels or
-    no bad ones give no rules."""
+    ``pivot`` is the rule's rarest token, under which the inverted index lists it.  Tokens that have
+    the same labelled rows stand for each other: ``tokens`` names one of each kind, ``alike`` all of
+    them, and a rule stands for every choice of them.  No labels or no bad ones give no rules."""
     rows = labelled.select(F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"),
                            F.coalesce("bad", F.lit(False)).alias("bad")).withColumn("id", F.monotonically_increasing_id())
     rows = stage(rows, "labelled")
     total = rows.count()
     support = max(min_support, min_count / max(1, total))
     spark = labelled.sparkSession
-    schema = "rule long, tokens array<string>, pivot string, confidence double, support double"
+    schema = "rule long, tokens array<string>, alike array<array<string>>, pivot string, confidence double, support double"
     if support > 1:
         return spark.createDataFrame([], schema)
     counts = (rows.select("bad", F.explode("tokens").alias("token")).groupBy("token")
               .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")).filter(F.col("bad") >= support * total))
     counts = stage(counts, "tokens")
+    # a token that is confident alone is a rule, and implies every longer one it is part of: it need not
+    # be mined further.  Tokens of the very same rows are one item, found by digests of their rows
+    single = F.col("bad") >= min_confidence * F.col("n")
+    alone = counts.filter(single).select(
+        F.xxhash64(F.array("token")).alias("rule"), F.array("token").alias("tokens"), F.array(F.array("token")).alias("alike"), F.col("token").alias("pivot"),
+        (F.col("bad") / F.col("n")).alias("confidence"), (F.col("bad") / F.lit(total)).alias("support"))
+    open_tokens = counts.filter(~single).select("token", "n")
+    met = stage(rows.select("id", "bad", F.explode("tokens").alias("token")).join(open_tokens, "token"), "met")
+    digest = met.groupBy("token").agg(F.first("n").alias("n"), F.bit_xor(F.xxhash64("id")).alias("mixed"), F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("added"))
+    classes = stage(digest.groupBy("n", "mixed", "added").agg(F.array_sort(F.collect_list("token")).alias("class"))
+                    .select("n", "class", F.col("class")[0].alias("item")), "classes")
     # at most tokens-a-URL / support tokens are left, whatever the number of URLs
-    items = (rows.select("id", "bad", F.explode("tokens").alias("token")).join(counts.select("token"), "token")
+    items = (met.select("id", "bad", "token").join(classes.select(F.col("item").alias("token")), "token")
              .groupBy("id", "bad").agg(F.collect_set("token").alias("items"))
              .select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BLOCK)))).otherwise(F.col("items")).alias("items")))
     items = stage(items, "items")
     left = items.count()
+    columns = ("rule", "tokens", "alike", "pivot", "confidence", "support")
     if not left:
-        return spark.createDataFrame([], schema)
+        return alone.select(*columns)
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, support * total / left), minConfidence=min_confidence).fit(items)
     found = (model.associationRules.filter(F.col("consequent") == F.array(F.lit(BLOCK)))
              .filter(~F.array_contains("antecedent", BLOCK))
              .select(F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * left / total).alias("support")))
     found = stage(found.withColumn("rule", F.xxhash64("tokens")), "rules")
-    pivots = (found.select("rule", F.explode("tokens").alias("token")).join(counts.select("token", "n"), "token")
-              .groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("pivot")))
+    spelt = found.select("rule", F.explode("tokens").alias("item")).join(classes, "item")
+    pivots = spelt.groupBy("rule").agg(F.min(F.struct("n", "item"))["item"].alias("pivot"), F.array_sort(F.collect_list("class")).alias("alike"))
     found = stage(found.join(pivots, "rule"), "rules")
     shorter = found.select(F.col("tokens").alias("part"), F.col("pivot").alias("token"))
     implied = (found.select("rule", "tokens", F.explode("tokens").alias("token")).join(shorter, "token")
                .filter((F.size("part") < F.size("tokens")) & (F.size(F.array_except("part", "tokens")) == 0))
                .select("rule").distinct())
-    return found.join(implied, "rule", "left_anti").select("rule", "tokens", "pivot", "confidence", "support")
+    return found.join(implied, "rule", "left_anti").select(*columns).unionByName(alone)
 
 
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """(tokens, confidence, by) for the distinct ``token_sets`` (tokens) that a rule fits: the
     most confident rule and its tokens.  A set meets only rules listed under one of its tokens."""
-    met = (token_sets.select("tokens", F.explode("tokens").alias("pivot"))
-           .join(rules.select("pivot", F.col("tokens").alias("needed"), "confidence"), "pivot")
-           .filter(F.size(F.array_except("needed", "tokens")) == 0))
+    listed = rules.select(F.explode(F.filter("alike", lambda c: F.array_contains(c, F.col("pivot")))[0]).alias("pivot"), "alike", "confidence")
+    met = (token_sets.select("tokens", F.explode("tokens").alias("pivot")).join(listed, "pivot")
+           .filter(F.forall("alike", lambda c: F.arrays_overlap(c, F.col("tokens"))))
+           .withColumn("needed", F.array_sort(F.transform("alike", lambda c: F.array_min(F.array_intersect(c, F.col("tokens")))))))
     return (met.groupBy("tokens").agg(F.max(F.struct("confidence", "needed")).alias("best"))
             .select("tokens", F.col("best.confidence").alias("confidence"), F.col("best.needed").alias("by")))
 
