@@ -311,19 +311,23 @@ def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE, stor
     A run of lines surges where the sum over the next ``window`` lines first reaches the
     threshold, and dives where ``window`` empty lines follow; it is kept from its surge.  Lines
     that are mostly links count as empty.  Article and main are a hint: inside them the
-    threshold is ``story_surge`` and links count.  A later run that does not surge is kept where
+    threshold is ``story_surge``, links count, and a run that surges anywhere is kept from its first
+    line, since titles are short.  A later run that does not surge is kept where
     its lines stand in the same element as lines kept before, as the end of a text does behind
     an advert.  Where the sums reach a threshold nowhere, the best window is the threshold: in
     article and main, and on pages that have no text there."""
     sizes = [0 if 2 * line.linked > len(line.text) and not line.story else len(line.text) for line in lines]
     sums = [sum(sizes[i:i + window]) for i in range(len(sizes))]
     best = max((n for line, n in zip(lines, sums, strict=True) if line.story and line.text), default=0)
-    in_story, least = min(story_surge, best), surge if best else min(surge, max(sums, default=0))
+    in_story, least = max(1, min(story_surge, best)), surge if best else min(surge, max(sums, default=0))
+    ahead = [0] * (len(lines) + 1)  # the best window of article or main from here to the dive
+    for i in range(len(lines) - 1, -1, -1):
+        ahead[i] = max(sums[i] if lines[i].story else 0, ahead[i + 1]) if sums[i] else 0
     kept: list[str] = []
     homes: set[int] = set()
     inside = False
-    for line, size, total in zip(lines, sizes, sums, strict=True):
-        inside = total >= (in_story if line.story else least) if not inside else total > 0
+    for line, size, total, coming in zip(lines, sizes, sums, ahead, strict=False):
+        inside = (coming >= in_story if line.story else total >= least) if not inside else total > 0
         if size and (inside or line.home in homes):
             kept.append(line.text)
             if inside and line.home:

@@ -135,10 +135,12 @@ def slow_main(lines, window, surge, story_surge):
 
     stories = [total(i) for i, x in enumerate(lines) if x.story and x.text]
     page = surge if stories and max(stories) > 0 else min(surge, max([total(i) for i in range(len(lines))], default=0))
-    story = min(story_surge, max(stories, default=0))
+    story = max(1, min(story_surge, max(stories, default=0)))
     ranges, i = [], 0
     while i < len(lines):
-        if total(i) >= (story if lines[i].story else page):
+        end = next((k for k in range(i, len(lines)) if total(k) == 0), len(lines))
+        best = max((total(k) for k in range(i, end) if lines[k].story), default=0)
+        if best >= story if lines[i].story else total(i) >= page:
             end = i + 1
             while end < len(lines) and total(end) > 0:
                 end += 1
