@@ -12,6 +12,7 @@ from lakeloom.plans import order_flow
 from lakeloom.plans.retail import ORDER_RULES
 from lakeloom.session import scratch_path, table
 from lakeloom.sources.generators import dirty_orders
+from lakeloom.streaming import flows
 
 OUT = "o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority"
 VALID = "o_custkey IS NOT NULL AND o_totalprice >= 0 AND o_orderdate IS NOT NULL"
@@ -89,6 +90,26 @@ def k06(spark, d):
     return spark.read.parquet(path)
 
 
+STREAM_RULES = {"valid_customer": "o_custkey IS NOT NULL AND o_custkey % 10 <> 3", "valid_total": "o_totalprice < 200000", "urgent": "o_orderpriority = '1-URGENT'"}
+
+
+@case("k06_stream_metrics", " UNION ALL ".join(
+    f"SELECT 'run-1' AS run_id, 'orders' AS dataset, '{n}' AS rule, CAST(o_orderkey % 4 AS BIGINT) AS batch, count(*) FILTER (WHERE {r}) AS passed, "
+    f"count(*) - count(*) FILTER (WHERE {r}) AS failed FROM orders GROUP BY o_orderkey % 4" for n, r in STREAM_RULES.items()))
+def k06_stream(spark, d):
+    """Four micro-batches of one checkpoint, each in a run of its own; a run without new files adds
+    nothing to the log."""
+    orders = table(spark, d, "orders")
+    source, target, checkpoint, log = (scratch_path(spark, n) for n in ("arriving", "checked", "checkpoint", "metrics"))
+    for batch in (0, 1, 2, 3, None):
+        if batch is not None:
+            orders.filter(F.col("o_orderkey") % 4 == batch).coalesce(1).write.mode("append").parquet(source)
+        rows = q.observe_rules(flows.file_stream(spark, source, "parquet", orders.schema), STREAM_RULES, "orders")
+        told = q.drain_with_metrics(lambda rows=rows: flows.append_flow(rows, target, checkpoint), spark, "orders", "run-1", log)
+        assert told == (batch is not None)
+    return q.read_metrics(spark, log)
+
+
 @case("k07_row_count_gate", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def k07(spark, d):
     return q.require_rows(table(spark, d, "orders"), 100).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))

@@ -12,6 +12,7 @@ from lakeloom.operators.quality import CheckFailed
 from lakeloom.session import scratch_path, stage, table
 from lakeloom.sources.generators import change_batches
 from lakeloom.streaming import flows
+from lakeloom.streaming.keyed_history import KeyedHistory, history_flow
 
 KEYS, SEQ = ["c_custkey"], ["seq"]
 VALUES = "c_name, c_nationkey, c_acctbal, c_mktsegment, record_type"
@@ -292,3 +293,37 @@ def m11(spark, d):
     hot = w.hot_keys(facts.select("o_custkey").unionByName(versions.select("o_custkey")), ["o_custkey"])
     history = cdc.scd2(versions, ["o_custkey"], ["at"], hot=hot)
     return cdc.as_of_join(facts, history, ["o_custkey"], "o_orderdate", ["balance_then"], hot).drop("o_orderdate")
+
+
+# ---- histories that grow by the batch --------------------------------------------------------------
+
+
+def _grown(spark, events, **options):
+    """Events in four batches, late ones among them, into a history of few, splitting buckets."""
+    source, seq = scratch_path(spark, "events"), F.col("seq")
+    batch = F.when(seq <= 1, 0).when(seq.isin(3, 4), 1).when(seq == 2, 2).otherwise(3)  # sequence 2 comes late
+    events.withColumn("_batch", batch).write.partitionBy("_batch").parquet(source)
+    schema = spark.read.parquet(source).drop("_batch").schema
+    history = KeyedHistory(spark, scratch_path(spark, "history"), schema, KEYS, SEQ, first=2, bucket_rows=300, **options)
+    checkpoint = scratch_path(spark, "checkpoint")
+    for arrived in ("0", "[0-1]", "[0-2]", "[0-3]"):
+        stream = flows.file_stream(spark, f"{source}/_batch={arrived}", "parquet", schema)
+        flows.drain(history_flow(stream, history, checkpoint))
+    return history
+
+
+@case("m02_growing_history", SCD2_SQL)
+def m02_growing(spark, d):
+    """Type 2 over chain ends by bucket: on-time events go on from them, late ones read the log."""
+    return _grown(spark, _events(spark, d)).versions()
+
+
+@case("m03_growing_current_with_deletes", M03_SQL)
+def m03_growing(spark, d):
+    return _grown(spark, _with_ops(spark, d), delete_when="op = 'DELETE'").current()
+
+
+@case("m04_growing_current_with_truncate", M04_SQL)
+def m04_growing(spark, d):
+    """A truncate event is a mark that older rows are measured by; no bucket is built anew."""
+    return _grown(spark, _with_truncate(spark, d), truncate_when="op = 'TRUNCATE'").current().drop("op")

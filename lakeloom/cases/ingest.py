@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.cases.inputs import CHANGES_SQL, STEPS, landing
 from lakeloom.cases.registry import case, plain
-from lakeloom.session import scratch_path, table
-from lakeloom.sources import dirty, generators, incremental, readers, writers
+from lakeloom.session import scratch_path, stage, table
+from lakeloom.sources import dirty, generators, incremental, ordered, readers, writers
 from lakeloom.streaming import flows
 
 
@@ -205,6 +205,33 @@ def a18(spark, d):
         F.count(F.lit(1)).alias("row_count"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@case("a18_ordered_load", """
+SELECT CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 1 WHEN o_orderkey % 5 = 0 THEN 3 ELSE 2 END AS load_id, count(*) AS row_count,
+       round(sum(o_totalprice), 2) AS total, true AS tail_only FROM orders GROUP BY 1""")
+def a18_ordered(spark, d):
+    """Files in folders by month: the first load takes all up to 1996, the next ones list the newest
+    months alone, files that come late to the last months among them."""
+    orders, source, target = table(spark, d, "orders"), scratch_path(spark, "monthly"), scratch_path(spark, "copied")
+    rows = orders.select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    put = lambda df: df.repartition("month").write.mode("append").partitionBy("month").json(source)
+    load = lambda: ordered.load_ordered(spark, target, source, "json", "o_orderkey bigint, o_totalprice double", look_back=1)
+    put(rows.filter("month < '1997-01'"))
+    first = stage(ordered.tail_files(spark, target, source)[0]).count()
+    assert load() == [1] and load() == []
+    late = "o_orderkey % 5 = 0"
+    put(rows.filter(f"month >= '1997-01' AND NOT {late}"))
+    assert load() == [2]
+    # late files of the two newest months are found, older folders are not listed any more
+    last = sorted(r[0] for r in rows.select("month").distinct().collect())[-2:]
+    put(rows.filter(f"month >= '1997-01' AND {late}").withColumn("month", F.lit(last[1])))
+    listed = stage(ordered.tail_files(spark, target, source)[0])
+    seen = {r["name"] for r in listed.select("name").distinct().collect()}
+    assert load() == [3]
+    out = ordered.read_ordered(spark, target, "o_orderkey bigint, o_totalprice double, load_id bigint")
+    return out.groupBy("load_id").agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum("o_totalprice"), 2).alias("total")).withColumn(
+        "tail_only", F.lit(seen == {f"month={m}" for m in last} and listed.count() < first))
+
+
 @case("a18_type_change", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS price,
   CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'c' || CAST(o_custkey AS VARCHAR) END AS customer FROM orders""")

@@ -98,6 +98,29 @@ def j05(spark, d):
     return plain(spark.read.schema("window_start timestamp, event_type string, n bigint").parquet(target))
 
 
+STATE_SQL = """
+WITH runs AS (SELECT 1 AS run, * FROM events WHERE ts < TIMESTAMP '{cut}' UNION ALL SELECT 2, * FROM events),
+marks AS (SELECT run, date_trunc('milliseconds', max(ts)) - INTERVAL 1 MINUTE AS mark FROM runs GROUP BY run)
+SELECT r.run, CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, event_type, count(*) AS n FROM runs r JOIN marks m ON r.run = m.run
+GROUP BY r.run, date_trunc('hour', ts), event_type, mark HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR > mark"""
+CUT = "2024-01-20 10:30:00"
+
+
+@case("j05_state_held_and_freed", STATE_SQL.format(cut=CUT))
+def j05_state(spark, d):
+    """The windows in the state store after each of two runs: those behind the watermark are gone."""
+    events = table(spark, d, "events")
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("halves", "windows", "checkpoint"))
+    early = F.col("ts") < F.lit(CUT).cast("timestamp_ntz")
+    held = []
+    for run, rows in ((1, events.filter(early)), (2, events.filter(~early))):
+        rows.write.mode("append").parquet(source)
+        counts = flows.windowed_counts(flows.file_stream(spark, source, "parquet", events.schema), "ts", "1 hour", "1 minute", "event_type")
+        flows.drain(flows.append_flow(counts, target, checkpoint))
+        held.append(stage(flows.held_windows(spark, checkpoint, "event_type").select(F.lit(run).alias("run"), "window_start", "event_type", "n")))
+    return plain(held[0].unionByName(held[1]))
+
+
 @case("j06_stream_enrichment", """
 SELECT o_orderstatus, count(*) AS n, count(*) AS with_file, count(*) AS with_time FROM orders GROUP BY o_orderstatus""")
 def j06(spark, d):

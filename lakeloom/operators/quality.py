@@ -4,11 +4,13 @@ A rule set is ``{name: SQL condition}``.  A condition that is null counts as fai
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lakeloom.session import stage, table
 
@@ -84,6 +86,65 @@ def metric_log(df: DataFrame, rules: dict[str, str], run_id: str, dataset: str)
         F.lit(run_id).alias("run_id"), F.lit(dataset).alias("dataset"), "rule", "passed", "failed")
 
 
+def observe_rules(stream: DataFrame, rules: dict[str, str], dataset: str) -> DataFrame:
+    """A stream that reports, with the progress of every micro-batch, its rows and those that pass each
+    rule; the rows are not changed."""
+    return stream.observe(dataset, F.count(F.lit(1)).alias("_rows"), *[F.count_if(passes(r)).alias(n) for n, r in rules.items()])
+
+
+METRICS = "run_id string, dataset string, rule string, passed bigint, failed bigint"
+
+
+class MetricListener(StreamingQueryListener):
+    """Takes what ``observe_rules`` reports from the progress events of a query.
+
+    Events come in after a batch was committed; a batch that runs again after a stop reports again
+    under the same number, and the later report replaces the earlier one."""
+
+    def __init__(self, dataset: str):
+        self.dataset, self.batches, self.failed = dataset, {}, None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.dataset)
+        if seen is not None:
+            self.batches[event.progress.batchId] = seen.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.failed = event.exception
+
+
+def drain_with_metrics(start: Callable[[], StreamingQuery], spark: SparkSession, dataset: str, run_id: str, log: str) -> int:
+    """Runs the query of ``start`` to its end and writes its metrics to ``log``, a folder for each batch that a
+    replay overwrites; returns how many batches reported rows."""
+    listener = MetricListener(dataset)
+    spark.streams.addListener(listener)
+    try:
+        query = start()
+        query.awaitTermination()
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(listener)
+    written = 0
+    for batch, seen in sorted(listener.batches.items()):
+        rows = seen.pop("_rows")
+        if rows:
+            found = [(run_id, dataset, rule, passed, rows - passed) for rule, passed in seen.items()]
+            spark.createDataFrame(found, METRICS).coalesce(1).write.mode("overwrite").parquet(f"{log}/run={run_id}/batch={batch}")
+            written += 1
+    return written
+
+
+def read_metrics(spark: SparkSession, log: str) -> DataFrame:
+    """All reports with their batch."""
+    return spark.read.schema(f"{METRICS}, run string, batch bigint").parquet(log).drop("run")
+
+
 def require_rows(df: DataFrame, at_least: int) -> DataFrame:
     """Raises unless ``df`` has that many rows; reads no more than needed."""
     found = df.limit(at_least).count()

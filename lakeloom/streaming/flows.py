@@ -125,6 +125,20 @@ def windowed_counts(stream: DataFrame, ts: str, width: str, late: str, *keys: st
     return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "n")
 
 
+def held_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What a stateful query holds after its last batch, read from its checkpoint: the columns of the key
+    and of the value, one row for each entry of the state store."""
+    rows = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    return rows.select("key.*", "value.*")
+
+
+def held_windows(spark: SparkSession, checkpoint: str, *keys: str) -> DataFrame:
+    """The windows of ``windowed_counts`` that wait for the watermark, with their counts so far."""
+    held = held_state(spark, checkpoint)
+    window = next(f.name for f in held.schema if isinstance(f.dataType, T.StructType))
+    return held.select(F.col(f"{window}.start").alias("window_start"), F.col(f"{window}.end").alias("window_end"), *keys, F.col("count").alias("n"))
+
+
 def rate_orders(spark: SparkSession, rows_per_batch: int, categories: list[str], regions: list[str]) -> DataFrame:
     """Deterministic live orders: lookups by the running number."""
     ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
