@@ -31,7 +31,8 @@ class Automaton:
 
     ``next``, ``link`` and ``length`` are the automaton.  ``windows[v]`` are the items that hold
     the ``window``-word strings of state v; ``short[v]`` are (words, item) of whole items below
-    ``window`` words that end where a match reaches state v."""
+    ``window`` words that end where a match reaches state v.  ``top[v]`` is the state above v that
+    holds its last ``window`` words, found once, so that a match costs one look however long it is."""
     window: int
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     next: list[dict[int, int]] = field(default_factory=lambda: [{}])
@@ -39,6 +40,7 @@ class Automaton:
     length: list[int] = field(default_factory=lambda: [0])
     windows: dict[int, frozenset] = field(default_factory=dict)
     short: dict[int, list[tuple[int, str | None]]] = field(default_factory=dict)
+    top: list[int] = field(default_factory=list)
     pairs: np.ndarray | None = None
     least: int = 0
 
@@ -94,9 +96,7 @@ class Automaton:
         items: set = set()
         for at, state, size in self.matches(words):
             if size >= self.window:
-                while self.length[self.link[state]] >= self.window:
-                    state = self.link[state]
-                items |= self.windows[state]
+                items |= self.windows[self.top[state]]
                 hit[at - self.window + 1] += 1
                 hit[at + 1] -= 1
             for n, item in self.short.get(state, ()):
@@ -116,23 +116,25 @@ def build(items: list[tuple[str | None, bytes]], window: int = WINDOW) -> Automa
         last = 0
         for word in words:
             last = made._extend(last, word)
+    by_length = sorted(range(len(made.next)), key=made.length.__getitem__)
+    made.top = list(range(len(made.next)))
+    for state in by_length:
+        if made.link[state] >= 0 and made.length[made.link[state]] >= window:
+            made.top[state] = made.top[made.link[state]]
     own: dict[int, set] = {}
     ends: dict[int, list] = {}
     for name, words in texts:
         state = -1
         for at, state, size in made.matches(words):
             if size >= window and at + 1 >= window:
-                up = state
-                while made.length[made.link[up]] >= window:
-                    up = made.link[up]
-                own.setdefault(up, set()).add(name)
+                own.setdefault(made.top[state], set()).add(name)
         if len(words) < window:
             while made.length[made.link[state]] >= len(words):
                 state = made.link[state]
             ends.setdefault(state, []).append((len(words), name))
     made.windows = {state: frozenset(names) for state, names in own.items()}
     if ends:  # a match ends wherever a suffix of what it has read is a whole item
-        for state in sorted(range(len(made.next)), key=made.length.__getitem__):
+        for state in by_length:
             found = ends.get(state, []) + made.short.get(made.link[state], [])
             if found:
                 made.short[state] = found

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.llm.ngram_model import UNIT, Model, found_languages, language_numbers, train_each
-from lakeloom.llm.text import blocks, text_bytes
+from lakeloom.llm.text import blocks, free, text_bytes
 from lakeloom.session import stage
 
 MIN_WORDS = 20
@@ -96,9 +98,19 @@ def models_of(docs: DataFrame, languages: tuple[str, ...] | None, text_column: s
 Bands = dict[tuple[str, int], tuple[float, float]]
 
 
-def inside(limits: Bands, language: int, values: list[int]) -> bool:
-    return all(low <= value <= high for view, value in zip(VIEWS, values, strict=True)
-               for low, high in [limits.get((view, language), (value, value))])
+def limit_rows(spark: SparkSession, limits: Bands) -> DataFrame:
+    """The bands as a table: language, and a low and a high limit for each view; a row for each model."""
+    codes = sorted({code for _, code in limits})
+    rows = [(code, *(x for view in VIEWS for x in limits[view, code])) for code in codes]
+    return spark.createDataFrame(rows, "language int, " + ", ".join(f"{view}_low double, {view}_high double" for view in VIEWS))
+
+
+def within(scored: DataFrame, limits: Bands) -> DataFrame:
+    """``scored`` with ``kept``: the plain rules hold and both log perplexities are inside their bands."""
+    fits = reduce(Column.__and__, [F.col(view).between(F.col(f"{view}_low"), F.col(f"{view}_high")) for view in VIEWS])
+    met = scored.join(F.broadcast(limit_rows(scored.sparkSession, limits)), "language", "left")
+    drawn = [f"{view}_{end}" for view in VIEWS for end in ("low", "high")]
+    return met.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(True))).drop(*drawn)
 
 
 def score(docs: DataFrame, models: Models, id_column: str = "doc_id", text_column: str = "text",
@@ -178,33 +190,32 @@ def judge(docs: DataFrame, languages: tuple[str, ...] | None = None, width: floa
     ignored."""
     models = models_of(docs, languages, text_column, lang_column)
     scored = stage(score(docs, models, id_column, text_column, lang_column), "quality")
-    limits = bands(scored, width)
-    within = F.lit(True)
-    for view in VIEWS:
-        fits = F.lit(True)
-        for (name, code), (low, high) in limits.items():
-            if name == view:
-                fits = F.when(F.col("language") == code, F.col(view).between(low, high)).otherwise(fits)
-        within = within & fits
-    return scored.withColumn("kept", ~F.col("base_failed") & within)
+    return within(scored, bands(scored, width)).select(*scored.columns, "kept")
 
 
 def filter_documents(docs: DataFrame, languages: tuple[str, ...] | None = None, width: float = WIDTH,
                      text_column: str = "text", lang_column: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns and no shuffle of texts."""
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.  Texts are scored once and stored
+    with their scores, so that the bands, which need all scores, are a filter over stored rows; no
+    text is shuffled."""
     models = models_of(docs, languages, text_column, lang_column)
-    scored = stage(score(docs.withColumn("_row", F.lit(0)), models, "_row", text_column, lang_column), "quality")
-    limits = bands(scored, width)
+    added = {name: free(docs.columns, name) for name in ("base_failed", "language", *VIEWS)}
+    lang = free(docs.columns, "_lang")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, text_column, 2 << 20):
                 texts = text_bytes(part.column(text_column))
-                language = language_numbers(part.column(lang_column), models.languages)
-                found = []
-                for text, code, *values in zip(texts, language.tolist(), *models.log_ppl(texts, language), strict=True):
-                    words = text.split()
-                    found.append(not base_fails(len(words), repeated_words(words)) and inside(limits, code, values))
-                yield part.filter(pa.array(found, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+                language = language_numbers(part.column(lang), models.languages)
+                split = [t.split() for t in texts]
+                failed = [base_fails(len(words), repeated_words(words)) for words in split]
+                scores = models.log_ppl(texts, language)
+                rest = part.drop_columns([lang])
+                yield pa.record_batch([*rest.columns, pa.array(failed, pa.bool_()), pa.array(language, pa.int32()), *[pa.array(v, pa.int64()) for v in scores]],
+                                      [*rest.schema.names, *added.values()])
+
+    kinds = [T.BooleanType(), T.IntegerType(), *[T.LongType() for _ in VIEWS]]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(added.values(), kinds, strict=True)]])
+    scored = stage(docs.withColumn(lang, F.col(lang_column).cast("string")).mapInArrow(measure, schema), "quality")
+    named = scored.select(*[F.col(new).alias(name) for name, new in added.items()], F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    return within(named, bands(named, width)).filter("kept").select(*[F.col(f"_doc.`{c}`") for c in docs.columns])

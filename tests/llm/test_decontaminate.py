@@ -103,3 +103,12 @@ def test_items_beyond_the_limit_are_refused(spark):
         assert "in parts" in str(error)
     else:
         raise AssertionError
+
+
+def test_items_of_equal_words_take_linear_time():
+    import time
+    text = b"same " * 40_000
+    start = time.time()
+    made = D.build([("a", text), ("b", b"same " * 30_000 + b"other " * 12)])
+    hit, items = made.scan([made.vocabulary[w] for w in D.words_of(text)])
+    assert hit.all() and items == {"a", "b"} and time.time() - start < 20
