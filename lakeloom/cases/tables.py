@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeloom.cases.registry import case, plain
@@ -250,6 +252,27 @@ def l13(spark, d):
     return listed
 
 
+@case("l13_what_is_left", """
+SELECT 'read' AS how, c_custkey, c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS c_acctbal FROM customer WHERE c_custkey % 10 <> 0
+UNION ALL SELECT 'version 1', count(*) FILTER (WHERE false), NULL FROM customer""")
+def l13_left(spark, d):
+    """After expiry the newest rows can be read; an expired version cannot, and a shallow clone of it,
+    which held no rows of its own, breaks."""
+    root = _four_versions(spark, d)
+    clone = scratch_path(spark, "clone").rsplit("/", 1)[1].replace("-", "_")
+    sn.read(spark, root, 1).createOrReplaceTempView(clone)
+    whole = spark.table(clone).count()
+    sn.expire(spark, root, "2024-01-21 00:00:00")
+    found = 0
+    for reader in (lambda: sn.read(spark, root, 1), lambda: spark.table(clone).withColumn("again", F.lit(whole))):
+        try:
+            found += len(reader().collect())
+        except (sn.NoSnapshot, PySparkException, Py4JJavaError):
+            pass
+    left = sn.read(spark, root).select(F.lit("read").alias("how"), "c_custkey", "c_acctbal")
+    return left.unionByName(spark.range(1).select(F.lit("version 1").alias("how"), F.lit(found).cast("bigint").alias("c_custkey"), F.lit(None).cast("double").alias("c_acctbal")))
+
+
 @case("l14_history_and_detail", """
 SELECT 4 AS versions, 'DELETE' AS newest, (SELECT count(*) FROM customer WHERE c_custkey % 10 <> 0) AS num_rows, true AS sized""")
 def l14(spark, d):

@@ -33,17 +33,45 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Up to so many plain files, first lines are read by the driver, a line each; beyond, by a job.
+FEW_FILES = 64
+
+
+def _first_lines(spark: SparkSession, files: list[str]) -> dict[str, str | None]:
+    """The first line of each file; nothing else of it is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first(name: str) -> str | None:
+        where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = where.getFileSystem(conf).open(where)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    return {name: first(name) for name in files}
+
+
 def files_by_header(spark: SparkSession, path, **options) -> list[list[str]]:
-    """Paths grouped by their first line.  Where all files have the same header (the first block
-    of each is looked at) the given path is the one group."""
-    lines = spark.read.options(**options).text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    first = (lines.filter("start = 0").withColumn("n", F.monotonically_increasing_id())
-             .groupBy("file").agg(F.min_by("value", "n").alias("header")))
-    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()  # file names, not data
+    """Paths grouped by their first line.  Where all files have the same header the given path is the
+    one group.  Empty files have none and are left out."""
+    lines = spark.read.options(**options).text(path)
+    files = lines.inputFiles()
+    plain = not set(options) & {"encoding", "lineSep"} and not any(f.rsplit(".", 1)[-1] in ("gz", "bz2", "zst", "lz4", "snappy", "deflate", "xz") for f in files)
+    if len(files) <= FEW_FILES and plain:
+        headers: dict[str, list[str]] = {}
+        for name, header in _first_lines(spark, files).items():
+            if header is not None:
+                headers.setdefault(header, []).append(name)
+        groups = list(headers.values())
+    else:
+        first = (lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+                 .filter("start = 0").withColumn("n", F.monotonically_increasing_id())
+                 .groupBy("file").agg(F.min_by("value", "n").alias("header")))
+        groups = [r["files"] for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]  # file names, not data
     if len(groups) <= 1:
         return [path]
-    return [sorted(r["files"]) for r in sorted(groups, key=lambda r: min(r["files"]))]
+    return [sorted(g) for g in sorted(groups, key=min)]
 
 
 def as_schema(schema: T.StructType | str) -> T.StructType:
