@@ -2,7 +2,12 @@
 
 A rollup is a folder: ``state/<batch>`` holds what a batch says about each document it touches,
 ``deltas/<batch>`` its signed sums.  A batch counts once both are complete (their success
-marker is there), so a batch that is sent again, or again after a crash, changes nothing."""
+marker is there), so a batch that is sent again, or again after a crash, changes nothing.
+
+States lie in folders by bucket of the doc_id: a batch reads the buckets its documents fall into and of
+those the documents it names.  Once the states since the last merge have as many rows as the merge,
+``merged/<batch>`` takes the last word on every document, so that what a document's bucket holds is
+at most twice its documents, however many batches there were."""
 
 from __future__ import annotations
 
@@ -23,6 +28,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 KEY = ["source", "lang", "version"]
 MEASURES = ["docs", "tokens", "chars"]
 STATE = "doc_id long, source string, lang string, version string, tokens long, chars long, present boolean"
+BUCKETS = 64
+BUCKET = "bucket"
 
 
 @lru_cache(maxsize=4)
@@ -80,23 +87,71 @@ def committed(spark: SparkSession, root: str) -> list[str]:
     return _complete(spark, root, "deltas")
 
 
-def _states(spark: SparkSession, root: str, batches: list[str]) -> DataFrame:
-    empty = spark.createDataFrame([], f"{STATE}, batch string")
-    if not batches:
-        return empty
-    read = spark.read.schema(STATE).parquet(*[_path(root, "state", b) for b in batches])
-    return read.withColumn("batch", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+def bucketed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int"))
+
+
+def _write_state(rows: DataFrame, path: str) -> None:
+    """Rows by bucket; the rebalance hint gives a bucket few files and splits a large one."""
+    bucketed(rows).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
-def current(spark: SparkSession, root: str, before: str | None = None) -> DataFrame:
-    """The state of every (doc_id, version) by the last batch (before batch ``before``)."""
+def _read_state(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{STATE}, {BUCKET} int").parquet(path)
+
+
+def _parts(spark: SparkSession, root: str, before: str | None) -> tuple[str | None, list[str]]:
+    """The newest merge of committed batches before ``before``, and the committed batches after it."""
     batches = [b for b in committed(spark, root) if before is None or b < before]
+    merges = [m for m in _complete(spark, root, "merged") if m in batches]
+    return (merges[-1], [b for b in batches if b > merges[-1]]) if merges else (None, batches)
+
+
+def _states(spark: SparkSession, root: str, before: str | None, buckets: list[int] | None = None) -> DataFrame:
+    """Everything that is said about documents, with the batch that says it."""
+    merge, batches = _parts(spark, root, before)
+    paths = [(b, _path(root, "state", b)) for b in batches]
+    if merge is not None:
+        paths.insert(0, (merge, _path(root, "merged", merge)))
+    out = spark.createDataFrame([], f"{STATE}, {BUCKET} int, batch string")
+    for batch, path in paths:
+        rows = _read_state(spark, path)
+        rows = rows if buckets is None else rows.filter(F.col(BUCKET).isin(buckets))
+        out = out.unionByName(rows.withColumn("batch", F.lit(batch)))
+    return out
+
+
+def _last_word(states: DataFrame) -> DataFrame:
     fields = ["source", "lang", "tokens", "chars", "present"]
-    last = (_states(spark, root, batches).groupBy("doc_id", "version")
-            .agg(F.max(F.struct("batch", *fields)).alias("s")))
+    last = states.groupBy("doc_id", "version").agg(F.max(F.struct("batch", *fields)).alias("s"))
     return last.select("doc_id", "version", *[F.col(f"s.{f}").alias(f) for f in fields]).filter("present")
 
 
+def current(spark: SparkSession, root: str, before: str | None = None, touched: DataFrame | None = None) -> DataFrame:
+    """The state of every (doc_id, version) by the last batch (before batch ``before``), or of the
+    documents that the stored state ``touched`` names: then other buckets are not read, and other
+    documents leave before anything is grouped."""
+    if touched is None:
+        return _last_word(_states(spark, root, before))
+    buckets = sorted(r[0] for r in touched.select(BUCKET).distinct().collect())  # BUCKETS numbers at most
+    states = _states(spark, root, before, buckets)
+    ids = touched.select(F.col("doc_id").alias("_id")).distinct()
+    return _last_word(states.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"))
+
+
+def merge_states(spark: SparkSession, root: str) -> str | None:
+    """Merges the states of committed batches if those since the last merge have as many rows as it; the
+    batch it goes up to, or None.  A merge counts once it is complete; what it replaces may stay."""
+    merge, batches = _parts(spark, root, None)
+    if len(batches) < (1 if merge else 2):
+        return None
+    old = _read_state(spark, _path(root, "merged", merge)).count() if merge else 0
+    if sum(_read_state(spark, _path(root, "state", b)).count() for b in batches) < old:
+        return None
+    _write_state(_last_word(_states(spark, root, None)).select(*[c.split()[0] for c in STATE.split(", ")]), _path(root, "merged", batches[-1]))
+    return batches[-1]
+
+
 def signed(now: DataFrame, changes: DataFrame) -> DataFrame:
     """The signed rows (source, lang, version, docs, tokens, chars) that turn ``now`` into what
     ``changes`` say: an insert adds, a delete takes off what stood there, a revised count does
@@ -134,10 +189,11 @@ def commit(spark: SparkSession, root: str, batch: str, changes: DataFrame) -> bo
                      F.coalesce(F.col("chars").cast("long"), F.lit(0)).alias("chars"), "source", "lang").alias("s"))
         kept = rows.groupBy("doc_id", "version").agg(F.max("s").alias("s")).select(
             "doc_id", "s.source", "s.lang", "version", "s.tokens", "s.chars", (~F.col("s.gone")).alias("present"))
-        kept.write.mode("overwrite").parquet(_path(root, "state", batch))
-    stated = spark.read.schema(STATE).parquet(_path(root, "state", batch))
-    delta = signed(current(spark, root, batch), stated).groupBy(*KEY).agg(*[F.sum(m).alias(m) for m in MEASURES])
+        _write_state(kept, _path(root, "state", batch))
+    stated = _read_state(spark, _path(root, "state", batch))
+    delta = signed(current(spark, root, batch, stated), stated).groupBy(*KEY).agg(*[F.sum(m).alias(m) for m in MEASURES])
     delta.write.mode("overwrite").parquet(_path(root, "deltas", batch))
+    merge_states(spark, root)
     return True
 
 

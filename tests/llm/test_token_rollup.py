@@ -118,3 +118,29 @@ def test_query_by_brute_force(spark, data):
                 want[source, lang, version] = (old[0] + 1, old[1] + len(made.encode_ordinary(short)), old[2] + len(short))
     got = {(r["source"], r["lang"], r["version"]): (r["docs"], r["tokens"], r["chars"]) for r in op6(spark, data).collect()}
     assert got == want
+
+
+def test_a_small_commit_reads_little(spark):
+    """Ten batches over the same documents: what a batch of a few documents meets does not grow."""
+    root, schema = scratch_path(spark, "rollup"), "doc_id long, op string, source string, lang string, version string, tokens long, chars long"
+    rows = [(i, "insert", f"s{i % 3}", "en", "v", i, 2 * i) for i in range(2_000)]
+    R.commit(spark, root, "b00", spark.createDataFrame(rows, schema))
+    met = []
+    for n in range(1, 8):
+        few = spark.createDataFrame([(i, "revise", "s0", "en", "v", n, n) for i in (3, 5, 8)], schema)
+        R.commit(spark, root, f"b{n:02d}", few)
+        stated = R._read_state(spark, R._path(root, "state", f"b{n:02d}"))
+        buckets = [r[0] for r in stated.select(R.BUCKET).distinct().collect()]
+        met.append(R._states(spark, root, f"b{n:02d}", buckets).count())
+        assert R._parts(spark, root, None)[1] == [] or len(R._parts(spark, root, None)[1]) >= 1
+    assert max(met) < 2_000 / 64 * 3 * 3 and met[-1] <= met[0] + 3 * 7
+    want = {}
+    for i, _, source, *_rest, tokens, chars in rows:
+        source, tokens, chars = ("s0", 7, 7) if i in (3, 5, 8) else (source, tokens, chars)
+        old = want.get(source, (0, 0, 0))
+        want[source] = (old[0] + 1, old[1] + tokens, old[2] + chars)
+    assert {r["source"]: (r["docs"], r["tokens"], r["chars"]) for r in R.totals(spark, root).collect()} == want
+    # a larger batch brings the next merge; the last word stays
+    R.commit(spark, root, "c", spark.createDataFrame([(i, "revise", "s1", "en", "v", 1, 1) for i in range(2_000)], schema))
+    assert R._parts(spark, root, None) == ("c", [])
+    assert [tuple(r) for r in R.totals(spark, root).select("source", "docs", "tokens").collect()] == [("s1", 2_000, 2_000)]
