@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.bwt import least_owner
@@ -387,9 +387,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, id_column:
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, int(total // max(chunk_bytes, int((1_000 * total) ** 0.5))))
     buckets = chunks
-    chunk_of = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk")
     mark = F.xxhash64("text").alias("mark")  # tells rows with one doc_id apart
-    texts = narrow.select(chunk_of, "doc_id", mark, "text")
+
+    def chunk_of(mark: Column) -> Column:
+        """Rows are dealt by doc_id and text, so that rows without a doc_id, or with the same, spread."""
+        return F.pmod(F.xxhash64(F.col("doc_id"), mark), F.lit(chunks)).cast("int").alias("chunk")
+
+    texts = narrow.select(chunk_of(F.xxhash64("text")), "doc_id", mark, "text")
 
     def number(table: pa.Table) -> int:
         return table.column("chunk")[0].as_py()
@@ -403,7 +407,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, id_column:
         return _noted([(number(table), "copies", 0, ids, marks, None)])
 
     copies = (named.filter(F.col("n") >= length).join(least, "sha").filter("doc_id > least")
-              .select(chunk_of, "doc_id", "mark").groupBy("chunk").applyInArrow(list_copies, NOTES))
+              .select(chunk_of(F.col("mark")), "doc_id", "mark").groupBy("chunk").applyInArrow(list_copies, NOTES))
 
     def send_anchors(table: pa.Table, notes: pa.Table) -> pa.Table:
         if not table.num_rows:

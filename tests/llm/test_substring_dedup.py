@@ -58,6 +58,14 @@ def test_shared_passages(spark, seed, options):
     assert fast(frame(spark, rows), **options) == slow([(r[0], r[1]) for r in rows], options.get("length", 50))
 
 
+def test_a_third_without_ids(spark):
+    """Rows that have no doc_id, or share one, lie in many chunks and are still no copies of each other."""
+    rng = random.Random(11)
+    passages = [prose(70 + i, 15, 3) for i in range(4)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"{rng.choice(passages)} {prose(500 + i, rng.randint(0, 9), 3)} {rng.choice(passages)}", "en", "a", 1) for i in range(75)]
+    assert fast(frame(spark, rows), chunk_bytes=400) == slow([(r[0], r[1]) for r in rows], 50)
+
+
 def test_kept_bytes(spark):
     rows = [(1, "é" * 30, "en", "a", 1), (2, "x" + "é" * 29 + "y", "en", "a", 1), (3, "e" + "é" * 30, "en", "a", 1)]
     got = {r["doc_id"]: bytes(r["kept"]) for r in S.dedup(frame(spark, rows), with_kept=True).collect()}
