@@ -56,10 +56,16 @@ def _symbol(byte: int) -> int:
 
 
 def _letter_symbol(byte: int) -> int:
-    """0 white space and controls, 1 first and 2 following bytes of a non-ASCII character,
-    3 digits, 4 line ends, 5 marks, then the letters, whatever their case."""
+    """0 white space and controls, 1 first byte of a two-byte character, 2 of a longer one, 3 digits,
+    4 line ends, 5 marks, then the letters, whatever their case.
+
+    The following bytes of a character share the letters' symbols, in the order of their low bits.
+    They stand behind a first byte, so what they mean is told apart; a four-gram then holds
+    two letters of Cyrillic, Greek, Arabic or Hebrew, or a character of longer scripts and more."""
+    if byte >= 0xC0:
+        return 1 if byte < 0xE0 else 2
     if byte >= 0x80:
-        return 1 if byte >= 0xC0 else 2
+        return 6 + (byte & 0x3F) % 26
     char = chr(byte)
     if char.isalpha():
         return 6 + ord(char.lower()) - ord("a")

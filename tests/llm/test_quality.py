@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from lakeloom.llm import ngram_model as M
 from lakeloom.llm import quality as Q
@@ -171,3 +173,16 @@ def test_empty_tables(spark):
     assert Q.judge(none(spark)).count() == 0
     assert Q.filter_documents(none(spark)).count() == 0
     assert Q.judge(odd(spark)).count() == len(odd_rows())
+
+
+@pytest.mark.parametrize(("lang", "letters", "join"), [("ru", [chr(c) for c in range(0x430, 0x450)], " "), ("el", [chr(c) for c in range(0x3B1, 0x3CA)], " "), ("zh", [chr(c) for c in range(0x4E00, 0x4E00 + 900)], " ")])
+def test_random_letters_of_other_scripts(spark, lang, letters, join):
+    """Words of a language's letters in random order leave its band, words of the language stay."""
+    rng = random.Random(5)
+    weights = [1 / (i + 1) for i in range(len(letters))]
+    vocabulary = ["".join(rng.choices(letters, weights, k=rng.randint(2, 7))) for _ in range(60)]
+    rows = [(i, join.join(rng.choice(vocabulary) for _ in range(60)), lang, "a", 1) for i in range(400)]
+    rows += [(1_000 + i, join.join("".join(rng.choice(letters) for _ in w) for w in rng.choices(vocabulary, k=60)), lang, "a", 1) for i in range(6)]
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge(frame(spark, rows)).filter("NOT base_failed").collect()}
+    clean, debris = ([k for d, k in kept.items() if (d >= 1_000) == side] for side in (False, True))
+    assert sum(clean) > 0.97 * len(clean) and debris and not any(debris)
