@@ -218,10 +218,11 @@ def mix(docs: DataFrame, member_of: Column | None = None, size: Column | None =
     size 0 and are not taken; rows may repeat and are judged one by one; no rows give no rows."""
     member_of = F.array(F.col("source").cast("string")) if member_of is None else F.array_sort(F.array_distinct(F.coalesce(member_of, F.array(F.lit(None).cast("string")))))
     size = word_count(F.col("text").cast("string")) if size is None else size
-    # rows of one doc_id (or none) are told apart by their text, so that they do not share one place
+    # rows without a doc_id are told apart by their text, so that they do not share one place
     text = F.xxhash64(F.col("text").cast("string")) if "text" in docs.columns else F.lit(0).cast("long")
+    name = F.coalesce(F.col(id_column).cast("long"), text)
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), member_of.alias("sources"), size.cast("long").alias("size"),
-                         F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_column).cast("long"), text), 12).alias("draw"), *keep)
+                         F.shiftrightunsigned(F.xxhash64(F.lit(seed), name), 12).alias("draw"), *keep)
     draw = F.col("draw").cast("double") / F.lit(float(1 << 52))
     narrow = stage(narrow.withColumn("draw", draw).withColumn("row", F.monotonically_increasing_id()), "mix")
 

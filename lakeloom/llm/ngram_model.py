@@ -5,6 +5,7 @@ most, however large the corpus is: that bounds what is fetched and broadcast."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,16 +57,17 @@ def _symbol(byte: int) -> int:
 
 
 def _letter_symbol(byte: int) -> int:
-    """0 white space and controls, 1 first byte of a two-byte character, 2 of a longer one, 3 digits,
-    4 line ends, 5 marks, then the letters, whatever their case.
+    """0 white space and controls, 1 first and 2 following bytes of a non-ASCII character,
+    3 digits, 4 line ends, 5 marks, then the letters, whatever their case.
 
-    The following bytes of a character share the letters' symbols, in the order of their low bits.
-    They stand behind a first byte, so what they mean is told apart; a four-gram then holds
-    two letters of Cyrillic, Greek, Arabic or Hebrew, or a character of longer scripts and more."""
+    The following bytes of other scripts' letters share the letters' symbols, by their low bits (see
+    ``_folded``).  They stand behind a first byte, so what they mean is told apart; a four-gram
+    then holds two letters of Cyrillic, Greek, Arabic or Hebrew, or a character of longer scripts
+    and more."""
     if byte >= 0xC0:
-        return 1 if byte < 0xE0 else 2
+        return 1
     if byte >= 0x80:
-        return 6 + (byte & 0x3F) % 26
+        return 2 if byte == 0x80 else 6 + (byte & 0x3F) % 26
     char = chr(byte)
     if char.isalpha():
         return 6 + ord(char.lower()) - ord("a")
@@ -76,12 +78,21 @@ FOLD = bytes(_symbol(b) for b in range(256))
 #: The other view of a text: letters apart, marks folded.
 LETTERS = bytes(_letter_symbol(b) for b in range(256))
 _PAD = bytes(ORDER - 1)
+#: Accented Latin letters, punctuation and pictures: their following bytes are all read as 0x80.
+_ALIKE = re.compile(rb"[\xc2-\xcb][\x80-\xbf]|\xe2[\x80-\xbf]{2}|\xf0[\x80-\xbf]{3}")
+
+
+def _folded(text: bytes, fold: bytes) -> bytes:
+    """A text's symbols, one for each byte."""
+    if not text.isascii():
+        text = _ALIKE.sub(lambda m: m[0][:1] + b"\x80" * (len(m[0]) - 1), text)
+    return text.translate(fold)
 
 
 def grams(texts: list[bytes], fold: bytes = FOLD) -> tuple[np.ndarray, np.ndarray]:
     """The four-gram that ends at each byte of each text (white space before its start), and
     where each text's four-grams begin."""
-    joined = np.frombuffer(b"".join(_PAD + t.translate(fold) for t in texts) + _PAD, np.uint8).astype(np.uint32)
+    joined = np.frombuffer(b"".join(_PAD + _folded(t, fold) for t in texts) + _PAD, np.uint8).astype(np.uint32)
     ids = joined[:-ORDER]
     for k in range(1, ORDER):
         ids = (ids << np.uint32(BITS)) | joined[k:len(joined) - ORDER + k]
