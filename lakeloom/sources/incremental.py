@@ -75,10 +75,10 @@ def read_loaded(spark: SparkSession, target: str) -> DataFrame:
     """Rows of the finished loads.  Columns added by later loads are null in earlier ones; where
     a column changed its type, all loads are read with the wider one.  Loads with one schema are
     one scan."""
-    done = [r["load_id"] for r in read_ledger(spark, target).select("load_id").distinct().collect()]
-    stored = spark.read.schema(SCHEMAS).parquet(f"{target}/_schemas").filter(F.col("load_id").isin(done))
-    groups = stored.groupBy("load_id").agg(F.max("schema").alias("schema")).groupBy("schema").agg(
-        F.collect_list("load_id").alias("ids")).orderBy(F.array_min("ids")).collect()  # loads, not data
+    done = read_ledger(spark, target).select("load_id").distinct()
+    stored = (spark.read.schema(SCHEMAS).parquet(f"{target}/_schemas").groupBy("load_id").agg(F.max("schema").alias("schema"))
+              .join(done, "load_id", "left_semi"))
+    groups = stored.groupBy("schema").agg(F.min("load_id").alias("first")).orderBy("first").collect()  # schemas, not loads
     schemas = [T.StructType.fromJson(json.loads(r["schema"])) for r in groups]
     kinds: dict[str, T.DataType] = {}
     for schema in schemas:
@@ -87,7 +87,12 @@ def read_loaded(spark: SparkSession, target: str) -> DataFrame:
     parts = []
     for row, schema in zip(groups, schemas, strict=True):
         full = T.StructType([*schema.fields, T.StructField("load_id", T.LongType())])
-        rows = spark.read.schema(full).parquet(f"{target}/rows").filter(F.col("load_id").isin(row["ids"]))
+        loads = stored.filter(F.col("schema") == row["schema"]).select("load_id")
+        rows = spark.read.schema(full).parquet(f"{target}/rows")
+        if len(groups) == 1:
+            rows = rows.join(F.broadcast(loads), "load_id", "left_semi")
+        else:  # files of another schema must not even be opened
+            rows = rows.filter(F.col("load_id").isin([r[0] for r in loads.collect()]))
         parts.append(rows.select("load_id", *[
             (F.col(f"`{n}`").cast(kind) if n in schema.names else F.lit(None).cast(kind)).alias(n) for n, kind in kinds.items()]))
     return reduce(DataFrame.unionByName, parts)

@@ -28,8 +28,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeloom.operators import cdc
 from lakeloom.operators.changes import BUCKET, replace_partitions
 from lakeloom.operators.joins import join_null_safe
-from lakeloom.operators.windows import latest_per_key
-from lakeloom.session import delete_path, stage
+from lakeloom.operators.windows import HOT_ROWS, Hot, hot_keys, latest_per_key
+from lakeloom.session import delete_path, setting, stage
 from lakeloom.sources.incremental import path_exists
 from lakeloom.streaming.flows import each_batch
 
@@ -139,7 +139,8 @@ class KeyedHistory:
         late = known.filter(F.col("_least") <= F.col(SEEN)).select(*keys)
         events = arrived.select(*self.names).withColumn(GONE, self._gone())
         read = {"open": ends.count(), "log": 0}
-        if late.head(1):
+        has_late = bool(late.head(1))
+        if has_late:
             where = ancestors(touched, self.first)
             old = stage(join_null_safe(self.log().filter(F.col(BUCKET).isin(where)), late, keys, "left_semi"), "log")
             read["log"] = old.count()
@@ -149,11 +150,14 @@ class KeyedHistory:
             events = usual.unionByName(again)
         else:
             going = ends
-        late.withColumn(BATCH, F.lit(batch).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{self.root}/rebuilt")
+        if has_late:
+            late.withColumn(BATCH, F.lit(batch).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{self.root}/rebuilt")
         # a chain's end goes on as the event that began it; keys without events stay as they are
         active = join_null_safe(going, first.select(*keys), keys, "left_semi")
         line = stage(events.unionByName(active.select(*self.names, GONE)), "line")
-        chains = stage(cdc.scd2(line, keys, self.seq, delete_when=GONE, untracked=(*self.untracked, GONE)), "chains")
+        limit = setting(spark, "hotRows", HOT_ROWS)
+        hot = hot_keys(line, keys) if line.count() > limit else Hot([], limit)  # a small line has no hot keys
+        chains = stage(cdc.scd2(line, keys, self.seq, delete_when=GONE, untracked=(*self.untracked, GONE), hot=hot), "chains")
         closed = chains.filter(F.col(cdc.END).isNotNull()).drop(GONE).select(*self.names, cdc.START, cdc.END)
         closed.withColumn(BATCH, F.lit(batch).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{self.root}/closed")
         newest = latest_per_key(line, keys, self.seq).withColumn(SEEN, order)
