@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom import session
 from lakeloom.operators import aggregates as ag
 from lakeloom.operators import cdc, digests, hierarchy, materialised
 from lakeloom.operators import changes as ch
@@ -129,6 +131,28 @@ def test_closure_of_a_long_chain_and_cycles(spark):
     assert hierarchy.closure(spark.createDataFrame([], "id long, parent long")).count() == 0
 
 
+def test_closure_builds_no_paths_around_cycles(spark):
+    """Nodes of a cycle and a long tail below it: what a run stages stays in proportion to the nodes (before,
+    names were joined around the cycle: 2 ** 12 of them for each node)."""
+    nodes = spark.range(4_000).select(F.col("id"), F.when(F.col("id") == 0, 2).otherwise(F.col("id") - 1).alias("parent"))
+    before = len(session._staged)
+    out = hierarchy.closure(nodes, "id", "/")
+    assert {r["state"]: r["n"] for r in out.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()} == {"on a cycle": 3, "below a cycle": 3_997}
+    assert {r["id"] for r in out.filter("state = 'on a cycle'").collect()} == {0, 1, 2}
+    assert out.filter("root IS NOT NULL OR depth IS NOT NULL OR path IS NOT NULL").count() == 0
+    for path in session._staged[before:]:
+        staged = spark.read.parquet(path)
+        assert "path" not in staged.columns or staged.agg(F.coalesce(F.max(F.length("path")), F.lit(0))).first()[0] <= 4
+
+
+def test_closure_of_repeated_and_null_ids(spark):
+    """Each copy of a row meets each copy of its parent, as a recursive join has it; copies on a cycle stay as they are."""
+    data = [(1, None), (2, 1), (2, 1), (3, 2), (5, 6), (5, 6), (6, 5), (7, 6), (None, None), (None, 1)]
+    got = Counter((r["id"], r["path"], r["state"]) for r in hierarchy.closure(spark.createDataFrame(data, "id long, parent long"), "id", "/").collect())
+    assert got == Counter({(1, "1", "tree"): 1, (2, "1/2", "tree"): 2, (3, "1/2/3", "tree"): 4, (5, None, "on a cycle"): 2, (6, None, "on a cycle"): 1,
+                           (7, None, "below a cycle"): 1, (None, None, "tree"): 2})
+
+
 def test_order_statistics(spark):
     rng = random.Random(3)
     data = [(rng.choice([1.5, 2.0, None, -7.25]), rng.randrange(10 ** 9), rng.gauss(0, 1) * 10 ** rng.randrange(-9, 9), None) for _ in range(3_000)]
