@@ -2,10 +2,10 @@
 
 A plain ``Window.partitionBy(key)`` puts a whole key into one task.  Here a summary of the key
 columns in bounded memory (``joins.frequent_keys``) finds the *hot* keys first.  Rows of
-ordinary keys use the plain window.  Rows of a hot key are cut into ordered slices by bounds
-sampled from the order columns; the window runs per (key, slice) and each slice receives
-the running state of the slices before it.  Bounds only balance the work, so the result
-is exact whatever the sample was.  Without partition keys the whole table is one key,
+ordinary keys use the plain window.  Rows of a hot key are dealt out by ranges of the order
+columns and cut into slices there; the window runs per (key, slice) and each slice receives
+the running state of the slices before it.  Ranges only balance the work, so the result
+is exact whatever they are.  Without partition keys the whole table is one key,
 which gives a distributed global ``row_number`` or ``rank``.
 
 Order columns are written ``"col"`` or ``"col desc"``; nulls sort first / last as Spark does.
@@ -13,13 +13,10 @@ Order columns are written ``"col"`` or ``"col desc"``; nulls sort first / last a
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeloom.operators.joins import frequent_keys, join_null_safe
 from lakeloom.session import setting, stage
@@ -116,55 +113,16 @@ def split_hot(df: DataFrame, keys: list[str], hot: Hot) -> tuple[DataFrame, Data
     return join_null_safe(df, wanted, keys, "left_anti"), stage(join_null_safe(df, wanted, keys, "left_semi"), "hot")
 
 
-def _follows(order: list[str], bound: Column) -> Column:
-    """Row sorts strictly after ``bound`` (a struct of the order columns)."""
-    tests, equal = [], F.lit(True)
-    for name, desc in map(_split, order):
-        row, other = F.col(name), bound[name]
-        if desc:
-            later = (row.isNull() & other.isNotNull()) | F.coalesce(row < other, F.lit(False))
-        else:
-            later = (row.isNotNull() & other.isNull()) | F.coalesce(row > other, F.lit(False))
-        tests.append(equal & later)
-        equal = equal & row.eqNullSafe(other)
-    return reduce(Column.__or__, tests)
-
-
 def _with_slices(hot_df: DataFrame, keys: list[str], order: list[str], hot: Hot) -> DataFrame:
-    """Adds ``_slice``: ordered pieces of about ``hot.limit`` rows inside each hot key.
+    """Adds ``_slice``: ordered pieces of ``hot.limit`` rows at most inside each hot key.
 
-    Without keys the pieces are range partitions of the order columns, stored because a second
-    run of the plan would draw other ranges."""
-    spark = hot_df.sparkSession
-    if not keys:
-        pieces = math.ceil(hot.rows[0]["_n"] / hot.limit)
-        return stage(hot_df.repartitionByRange(pieces, *sort_columns(order)).withColumn("_slice", F.spark_partition_id()), "slices")
-    names = [n for n, _ in map(_split, order)]
-    parts = {tuple(r[k] for k in keys): math.ceil(r["_n"] / hot.limit) for r in hot.rows}
-    rows = sum(r["_n"] for r in hot.rows)
-    fraction = min(1.0, 60 * sum(parts.values()) / rows)
-    sample = hot_df.select(*dict.fromkeys([*keys, *names]), F.struct(*names).alias("_o")).sample(fraction, seed=17)
-    sized = spark.createDataFrame(
-        [(*key, n) for key, n in parts.items()], hot_df.select(*keys).schema.add("_parts", T.IntegerType()))
-    # the sample holds about 60 rows a slice, so these windows and lists stay small
-    share = F.count(F.lit(1)).over(Window.partitionBy(*keys)) / F.col("_parts")
-    marks = (join_null_safe(sample, F.broadcast(sized), keys)
-             .withColumn("_r", F.row_number().over(_window(keys, order)))
-             .withColumn("_step", F.greatest(F.lit(1), share.cast("int")))
-             .filter((F.col("_r") % F.col("_step") == 0) & (F.col("_r") / F.col("_step") < F.col("_parts"))))
-    bounds = marks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_r", "_o"))).alias("_b")).select(
-        *keys, F.col("_b._o").alias("_b"))
-    # bounds are looked up in two steps, so that a row meets about 2 * sqrt(n) of them
-    width = max(1, math.isqrt(max(parts.values())))
-    nested = [(*r[:-1], [r["_b"][i:i + width] for i in range(0, len(r["_b"]), width)]) for r in bounds.collect()]
-    schema = T.StructType([*bounds.schema.fields[:-1], T.StructField("_b", T.ArrayType(bounds.schema["_b"].dataType))])
-    fixed = spark.createDataFrame(nested, schema)  # a bound for each slice
-    placed = join_null_safe(hot_df, F.broadcast(fixed), keys, "left")
-    groups = F.size(F.filter("_b", lambda group: _follows(order, group[0])))
-    within = F.size(F.filter(F.get("_b", F.col("_g") - 1), lambda b: _follows(order, b)))
-    return (placed.withColumn("_g", F.coalesce(groups, F.lit(0)))
-            .withColumn("_slice", F.when(F.col("_g") > 0, (F.col("_g") - 1) * width + within).otherwise(0))
-            .drop("_b", "_g"))
+    Rows are dealt out by ranges of keys and order and sorted in their task (on disk, if need be); a row's
+    place there gives its slice, so it meets no list of bounds, whatever the number of slices.
+    Stored, because a second run of the plan would draw other ranges."""
+    placed = (hot_df.repartitionByRange(*[F.asc(k) for k in keys], *sort_columns(order))
+              .sortWithinPartitions(*[F.asc(k) for k in keys], *sort_columns(order))
+              .withColumn("_slice", F.monotonically_increasing_id()))
+    return stage(placed.withColumn("_slice", F.col("_slice") - F.col("_slice") % hot.limit), "slices")
 
 
 def _merge(fn: str, local: Column, carry: Column) -> Column:
@@ -237,6 +195,12 @@ def with_windows(df: DataFrame, keys: list[str], order: list[str], specs: dict[s
         return df.select("*", *[_plain(s, window).alias(n) for n, s in specs.items()])
     usual, large = split_hot(df, keys, hot) if keys else (df.limit(0), df)
     done = usual.select("*", *[_plain(s, window).alias(n) for n, s in specs.items()])
+    out = _hot_windows(large, keys, order, specs, hot)
+    return out if not keys else done.select(*out.columns).unionByName(out)
+
+
+def _hot_windows(large: DataFrame, keys: list[str], order: list[str], specs: dict[str, Spec], hot: Hot) -> DataFrame:
+    """``with_windows`` over rows of hot keys alone."""
     near = {n: s for n, s in specs.items() if s.kind != "running"}
     out = _running_hot(_with_slices(large, keys, order, hot), keys, order,
                        {n: s for n, s in specs.items() if s.kind == "running" and s.fn != "row_number"})
@@ -245,8 +209,7 @@ def with_windows(df: DataFrame, keys: list[str], order: list[str], specs: dict[s
     for name, spec in specs.items():
         if spec.fn == "row_number":
             out = out.withColumn(name, F.col("_rn"))
-    wanted = [*df.columns, *specs]
-    return out.select(*wanted) if not keys else done.select(*wanted).unionByName(out.select(*wanted))
+    return out.select(*large.columns, *specs)
 
 
 def with_ranks(df: DataFrame, keys: list[str], order: list[str], rank: str = "rank",
@@ -341,7 +304,7 @@ def _wide_frames(steps: DataFrame, keys: list[str], by: str, width: float, frame
     ends = {n: fn for n, (fn, _) in frames.items() if fn is not F.sum}
     null_step = steps.filter(F.col(by).isNull()).select("*", *[F.col(n).alias(f"_f{n}") for n in frames])
     known = steps.filter(F.col(by).isNotNull())
-    placed = stage(with_windows(known, keys, [by], {**{f"_t{n}": running("sum", n) for n in sums}, "_place": row_number()}, hot=hot), "totals")
+    placed = stage(_hot_windows(known, keys, [by], {**{f"_t{n}": running("sum", n) for n in sums}, "_place": row_number()}, hot), "totals")
 
     # inside a block: from its start, to its end, and the frame as far as it lies inside
     block = F.floor((F.col("_place") - 1) / hot.limit)
@@ -354,14 +317,13 @@ def _wide_frames(steps: DataFrame, keys: list[str], by: str, width: float, frame
         *[fn(n).over(near).alias(f"_c{n}") for n, fn in ends.items()]), "blocks")
 
     # the last step before the frame, and what the step behind that one knows of its block
-    nexts = with_windows(blocked, keys, ["_place"], {f"_y{n}": lead(f"_z{n}") for n in ends}, hot=hot) if ends else blocked
+    nexts = _shifted_hot(blocked.withColumn("_rn", F.col("_place")), keys, {f"_y{n}": lead(f"_z{n}") for n in ends}, hot.limit).drop("_rn") if ends else blocked
     state = F.struct("_place", *[f"_t{n}" for n in sums], *[f"_y{n}" for n in ends]).alias("_state")
     own = F.struct(by, *frames, "_place", "_block", *[f"_t{n}" for n in sums], *[f"_{p}{n}" for n in ends for p in "ac"])
     marks = nexts.select(*keys, F.col(by).alias("_t"), F.lit(1).alias("_side"), state, F.lit(None).cast(nexts.select(own.alias("o")).schema["o"].dataType).alias("_own"))
     asks = nexts.select(*keys, (F.col(by) - F.lit(width)).alias("_t"), F.lit(0).alias("_side"),
                         F.lit(None).cast(marks.schema["_state"].dataType).alias("_state"), own.alias("_own"))
-    line = with_windows(marks.unionByName(asks), keys, ["_t", "_side"], {"_before": running("last", "_state")},
-                        hot=Hot(hot.rows, max(1, hot.limit)))
+    line = _hot_windows(marks.unionByName(asks), keys, ["_t", "_side"], {"_before": running("last", "_state")}, hot)
     found = line.filter("_side = 0").select(*keys, "_own.*", "_before").withColumn(
         "_first", F.floor(F.coalesce("_before._place", F.lit(0).cast("bigint")) / hot.limit))
     totals = {}
@@ -379,12 +341,16 @@ def _wide_frames(steps: DataFrame, keys: list[str], by: str, width: float, frame
     between = found.select(*keys, (F.col("_first") + F.when(F.col("_before").isNull(), 0).otherwise(1)).alias("_low"), F.col("_block").alias("_high"))
     spans = between.filter("_low < _high").distinct()
     whole = blocked.groupBy(*keys, "_block").agg(*[fn(n).alias(f"_w{n}") for n, fn in ends.items()])
-    most = max(math.ceil(r["_n"] / hot.limit) for r in hot.rows)
+    # runs of 2 ** p blocks, each two of the power before; no longer ones than a frame spans
+    most = spans.agg(F.max(F.col("_high") - F.col("_low"))).first()[0] or 1
     along = Window.partitionBy(*keys).orderBy("_block")
-    powers = range(max(1, most.bit_length()))
-    extended = whole.select(*keys, F.col("_block").alias("_start"), *[
-        F.struct(F.lit(p).alias("_power"), *[fn(f"_w{n}").over(along.rowsBetween(0, (1 << p) - 1)).alias(f"_w{n}") for n, fn in ends.items()]).alias(f"_p{p}")
-        for p in powers])
+    powers = range(most.bit_length())
+    merged = {n: (F.least if fn is F.min else F.greatest) for n, fn in ends.items()}
+    extended = whole.withColumnsRenamed({f"_w{n}": f"_w{n}_0" for n in ends})
+    for p in powers[1:]:
+        extended = extended.withColumns({f"_w{n}_{p}": merged[n](f"_w{n}_{p - 1}", F.lead(f"_w{n}_{p - 1}", 1 << p - 1).over(along)) for n in ends})
+    extended = extended.select(*keys, F.col("_block").alias("_start"), *[
+        F.struct(F.lit(p).alias("_power"), *[F.col(f"_w{n}_{p}").alias(f"_w{n}") for n in ends]).alias(f"_p{p}") for p in powers])
     runs = extended.select(*keys, "_start", F.explode(F.array(*[f"_p{p}" for p in powers])).alias("_r")).select(*keys, "_start", "_r.*")
     runs = stage(runs, "runs")
     power = F.floor(F.log2(F.col("_high") - F.col("_low"))).cast("int")
@@ -392,7 +358,6 @@ def _wide_frames(steps: DataFrame, keys: list[str], by: str, width: float, frame
     left = join_null_safe(covered.withColumn("_start", F.col("_low")), runs, [*keys, "_power", "_start"])
     right = runs.select(*keys, "_power", "_start", *[F.col(f"_w{n}").alias(f"_x{n}") for n in ends])
     both = join_null_safe(left.withColumn("_start", F.col("_high") - F.expr("shiftleft(1L, _power)")), right, [*keys, "_power", "_start"])
-    merged = {n: (F.least if fn is F.min else F.greatest) for n, fn in ends.items()}
     middle = both.select(*keys, "_low", "_high", *[merged[n](f"_w{n}", f"_x{n}").alias(f"_m{n}") for n in ends])
     joined = join_null_safe(
         found.withColumns({"_low": F.col("_first") + F.when(F.col("_before").isNull(), 0).otherwise(1), "_high": F.col("_block")}),

@@ -145,6 +145,26 @@ def test_wide_frames_hold_no_key_in_one_task(spark):
     assert "rangebetween" not in plan.lower() and "RangeFrame" not in plan
 
 
+def test_slices_meet_no_list_of_bounds(spark):
+    """Slices hold ``limit`` rows at most and follow the order; no row is joined to the bounds of all slices
+    (before, each row met a list as long as the number of its key's slices)."""
+    df = spark.range(6_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 6_007).alias("v"))
+    hot = w.hot_keys(df, ["k"], 10)
+    out = w._with_slices(df, ["k"], ["v desc"], hot)
+    assert sorted(out.columns) == ["_slice", "k", "v"] and out.count() == 6_000
+    slices = out.groupBy("k", "_slice").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("k", "_slice").collect()
+    assert all(r["n"] <= 10 for r in slices) and 600 <= len(slices) <= 640
+    assert all(a["low"] > b["high"] for a, b in zip(slices, slices[1:]) if a["k"] == b["k"])
+
+
+def test_wide_frames_double_their_runs(spark):
+    """Extremes over whole blocks come from two runs of half the length, never from a sliding frame over blocks."""
+    steps = spark.range(3_000).select(F.lit(1).alias("k"), F.col("id").alias("v"), F.pmod(F.hash("id"), F.lit(1_000)).alias("_v_low"))
+    framed = Window.partitionBy("k").orderBy("v").rangeBetween(-700, 0)
+    out = w._wide_frames(steps, ["k"], "v", 700, {"_v_low": (F.min, "_v_low")}, w.hot_keys(steps, ["k"], 20))
+    assert rows(out) == rows(steps.select("*", F.min("_v_low").over(framed).alias("_f_v_low")))
+
+
 def test_frequent_keys(skewed):
     """No key above the limit is missed, whatever the number of counters, and none below is named."""
     for keys, limit, bins in ((["k"], 100, 1), (["k"], 700, 7), (["k", "v"], 1, 7), (["k", "v"], 9, 4096), (["name"], 0, None), (["k"], 10_000, None)):
