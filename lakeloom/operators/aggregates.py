@@ -57,19 +57,32 @@ BINS = 512
 LAST_VALUES = 1_000
 
 
-def order_statistics(df: DataFrame, ranks: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+def _stacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A row (c, v) for each value of the columns: the column's number, the value as a double."""
+    cells = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
+    return df.select(F.inline(F.array(*cells))).filter("v IS NOT NULL")
+
+
+def _spans(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, int]]:
+    """Smallest and largest value and number of values of each column that has any."""
+    found = _stacked(df, columns).groupBy("c").agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count("v").alias("n"))
+    return {columns[r["c"]]: (r["a"], r["b"], r["n"]) for r in found.collect()} if columns else {}
+
+
+def order_statistics(df: DataFrame, ranks: dict[str, list[int]],
+                     spans: dict[str, tuple[float, float, int]] | None = None) -> dict[tuple[str, int], float]:
     """The values at the given ranks (from 0, nulls aside, NaN above all numbers) of numeric columns, as
     doubles: exact, without sorting the table or gathering a column in a task.
 
-    All ranks narrow their range of values side by side.  A pass counts the values of each range by
+    All ranks narrow their range of values side by side, and ranks in the same range share it: ranges of
+    a column are apart, so a value is counted once a pass.  A pass counts the values of each range by
     ``BINS`` equal parts (combined before the shuffle, so each map task sends some rows a range) and
     keeps the part that holds the rank with its smallest and largest value, until few values or one
-    are left, which are fetched.  Equal values make one part whatever their number."""
+    are left, which are fetched.  Equal values make one part whatever their number.  ``spans``: what
+    ``_spans`` found, if known."""
     columns = list(ranks)
-    if not columns:
-        return {}
-    spans = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("a", F.min), ("b", F.max), ("n", F.count))]).first()
-    open_ranges = {(c, k): (spans[f"a{i}"], spans[f"b{i}"], k, spans[f"n{i}"]) for i, c in enumerate(columns) for k in ranks[c] if k < spans[f"n{i}"]}
+    spans = _spans(df, columns) if spans is None else spans
+    open_ranges = {(c, k): (spans[c][0], spans[c][1], k, spans[c][2]) for c in columns if c in spans for k in ranks[c] if k < spans[c][2]}
     found = {}
     while open_ranges:
         for key, (low, high, _, _) in list(open_ranges.items()):
@@ -79,39 +92,44 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[int]]) -> dict[tuple[s
         if not open_ranges:
             break
         last = {key for key, r in open_ranges.items() if r[3] <= LAST_VALUES}
-        targets = last or set(open_ranges)
-        numbered = dict(enumerate(sorted(targets)))
-        cells = []
-        for i, (c, k) in numbered.items():
+        shared: dict[tuple, list] = {}
+        for c, k in last or open_ranges:
             low, high, _, _ = open_ranges[c, k]
-            value = F.col(c).cast("double")
-            part = F.lit(0.0) if last else F.when(F.isnan(value), F.lit(float(BINS))).otherwise(F.least(F.lit(BINS - 1.0), F.floor((value - low) / F.lit((high if high == high else 1e308) - low) * BINS).cast("double")))
-            cells.append(F.when((value >= low) & (value <= high), F.struct(F.lit(i).alias("i"), part.alias("part"), value.alias("v"))))
-        rows = df.select(F.explode(F.array(*cells)).alias("c")).filter("c IS NOT NULL").select("c.*")
+            shared.setdefault((c, low, high if high == high else None), []).append((c, k))
+        used = sorted({c for c, _, _ in shared})
+        ranges = [(i, used.index(c), low, high if high is not None else float("nan"), (high if high is not None else 1e308) - low)
+                  for i, (c, low, high) in enumerate(shared)]
+        wanted = F.broadcast(df.sparkSession.createDataFrame(ranges, "i int, r int, low double, high double, width double"))
+        rows = _stacked(df, used).join(wanted, (F.col("c") == F.col("r")) & (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+        keys = dict(enumerate(shared.values()))
         if last:
             for r in rows.groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v")).collect():
-                key = numbered[r["i"]]
-                found[key] = r["v"][open_ranges.pop(key)[2]]
+                for key in keys[r["i"]]:
+                    found[key] = r["v"][open_ranges.pop(key)[2]]
             continue
+        part = F.when(F.isnan("v"), F.lit(float(BINS))).otherwise(
+            F.least(F.lit(BINS - 1.0), F.floor((F.col("v") - F.col("low")) / F.col("width") * BINS).cast("double")))
         parts: dict[int, list] = {}
-        for r in rows.groupBy("i", "part").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect():
+        for r in rows.groupBy("i", part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect():
             parts.setdefault(r["i"], []).append(r)
-        for i, key in numbered.items():
-            left = open_ranges[key][2]
-            for r in sorted(parts[i], key=lambda r: r["part"]):
-                if left < r["n"]:
-                    open_ranges[key] = (r["a"], r["b"], left, r["n"])
-                    break
-                left -= r["n"]
+        for i, held in keys.items():
+            ordered = sorted(parts[i], key=lambda r: r["part"])
+            for key in held:
+                left = open_ranges[key][2]
+                for r in ordered:
+                    if left < r["n"]:
+                        open_ranges[key] = (r["a"], r["b"], left, r["n"])
+                        break
+                    left -= r["n"]
     return found
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """A row (column, q1, q2, ...) for each column: the exact quantiles, between two values by their
     distance; null for a column without values."""
-    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    places = {c: [(s * (counts[i] - 1)) for s in shares] if counts[i] else [] for i, c in enumerate(columns)}
-    stats = order_statistics(df, {c: sorted({k for p in ps for k in (math.floor(p), math.ceil(p))}) for c, ps in places.items() if ps})
+    spans = _spans(df, columns)
+    places = {c: [(s * (spans[c][2] - 1)) for s in shares] if c in spans else [] for c in columns}
+    stats = order_statistics(df, {c: sorted({k for p in ps for k in (math.floor(p), math.ceil(p))}) for c, ps in places.items() if ps}, spans)
 
     def between(c: str, p: float) -> float:
         low, high = stats[c, math.floor(p)], stats[c, math.ceil(p)]

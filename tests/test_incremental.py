@@ -168,6 +168,21 @@ def test_order_statistics(spark):
     assert ag.exact_quantiles(df.limit(0), ["many"]).first()["q1"] is None
 
 
+def test_order_statistics_count_a_value_once_a_pass(spark, monkeypatch):
+    """Ranks in the same range share it (before, each rank had the rows of its range to itself)."""
+    df = spark.range(2_000).select((F.col("id") * 7919 % 2_003).alias("v"), F.when(F.col("id") % 3 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("w"))
+    sent, plain = [], ag.F.broadcast
+    monkeypatch.setattr(ag.F, "broadcast", lambda ranges: sent.append(ranges.count()) or plain(ranges))
+    monkeypatch.setattr(ag, "LAST_VALUES", 2)
+    ranks = [0, 500, 501, 1_000, 1_001, 1_999]
+    found = ag.order_statistics(df, {"v": ranks, "w": ranks})
+    assert sent[0] == 2
+    values = sorted(i * 7919 % 2_003 for i in range(2_000))
+    assert [found["v", k] for k in ranks] == [float(values[k]) for k in ranks]
+    numbers = [float(i) for i in range(2_000) if i % 3]
+    assert [found["w", k] for k in ranks[:-1]] == [numbers[k] for k in ranks[:-1]] and found["w", 1_999] != found["w", 1_999]
+
+
 # ---- streamed histories ---------------------------------------------------------------------------------
 
 
