@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.joins import join_null_safe
 from lakeloom.session import stage
 
 TREE, CYCLE, BELOW = "tree", "on a cycle", "below a cycle"
@@ -24,7 +23,8 @@ def _climb(start: DataFrame, separator: str) -> tuple[DataFrame, DataFrame]:
     found = start.filter("up IS NULL").select("id", F.col("id").alias("root"), zero.alias("depth"), "path")
     # of the others: the node ``up`` is ``steps`` steps above, the path begins below it
     frontier = start.filter("up IS NOT NULL").select("id", "up", (zero + 1).alias("steps"), "path")
-    while frontier.head(1):
+    reach, total = 1, start.count()
+    while reach <= total and frontier.head(1):
         settled = found.select(F.col("id").alias("up"), F.col("root"), F.col("depth").alias("more"), F.col("path").alias("above"), none.alias("next"))
         moving = frontier.select(F.col("id").alias("up"), none.alias("root"), F.col("steps").alias("more"), F.col("path").alias("above"), F.col("up").alias("next"))
         joined = stage(frontier.join(settled.unionByName(moving), "up").select(
@@ -35,6 +35,7 @@ def _climb(start: DataFrame, separator: str) -> tuple[DataFrame, DataFrame]:
         if not met.head(1):
             break
         found = found.unionByName(met)
+        reach *= 2
     return found, frontier.select("id", "up")
 
 
@@ -57,7 +58,7 @@ def closure(nodes: DataFrame, name: str | None = None, separator: str = " > ") -
 
     A null parent, or one that is no id, makes a root.  Nodes that meet no root are on a cycle or
     below one; their root, depth and path are null.  Who meets a root is found by ids alone, and
-    names are joined for those only: a walk around a cycle would double its path every round, and
+    names are joined for those only (rows that are copies meet each copy of their parent): a walk around a cycle would double its path every round, and
     the path of a node in a tree is never longer than the one returned."""
     kind = nodes.schema["id"].dataType
     label = F.col(name).cast("string") if name else F.lit(None).cast("string")
@@ -67,10 +68,14 @@ def closure(nodes: DataFrame, name: str | None = None, separator: str = " > ") -
     found, rootless = _climb(start.select("id", "up").distinct().withColumn("path", F.lit(None).cast("string")), separator)
     rootless = stage(rootless.distinct(), "closure")
     if name:
-        found, _ = _climb(join_null_safe(start, rootless.select("id").distinct(), ["id"], "left_anti"), separator)
-    on = _cycles(rootless)
-    lost = join_null_safe(given.select("id"), rootless.select("id").distinct(), ["id"], "left_semi").join(on, F.col("id") == F.col("c"), "left").select(
-        "id", F.lit(None).cast(kind).alias("root"), F.lit(None).cast("long").alias("depth"),
-        F.lit(None).cast("string").alias("path"), F.when(F.col("c").isNotNull(), CYCLE).otherwise(BELOW).alias("state"))
+        below = start.join(found.select(F.col("id").alias("up")).distinct(), "up", "left_semi")
+        found, _ = _climb(start.filter("up IS NULL").unionByName(below), separator)
+    # a cycle's own nodes are the roots of what hangs below it
+    lost = (start.join(rootless.select(F.col("id").alias("up")).distinct(), "up", "left_semi")
+            .join(_cycles(rootless), F.col("id") == F.col("c"), "left")
+            .select("id", F.when(F.col("c").isNull(), F.col("up")).alias("up"), F.lit(None).cast("string").alias("path")))
+    lost, _ = _climb(stage(lost, "closure"), separator)
+    lost = lost.select("id", F.lit(None).cast(kind).alias("root"), F.lit(None).cast("long").alias("depth"), "path",
+                       F.when(F.col("depth") == 0, CYCLE).otherwise(BELOW).alias("state"))
     out = found.withColumn("state", F.lit(TREE)).unionByName(lost)
     return out if name else out.drop("path")

@@ -146,11 +146,13 @@ def test_closure_builds_no_paths_around_cycles(spark):
 
 
 def test_closure_of_repeated_and_null_ids(spark):
-    """Each copy of a row meets each copy of its parent, as a recursive join has it; copies on a cycle stay as they are."""
-    data = [(1, None), (2, 1), (2, 1), (3, 2), (5, 6), (5, 6), (6, 5), (7, 6), (None, None), (None, 1)]
+    """Each copy of a row meets each copy of its parent, as a recursive join has it, below a root or a cycle;
+    copies on a cycle do not multiply around it."""
+    data = [(1, None), (2, 1), (2, 1), (3, 2), (5, 6), (6, 5), (7, 6), (7, 6), (8, 7), (None, None), (None, 1), (15, 16), (15, 16), (16, 15)]
     got = Counter((r["id"], r["path"], r["state"]) for r in hierarchy.closure(spark.createDataFrame(data, "id long, parent long"), "id", "/").collect())
-    assert got == Counter({(1, "1", "tree"): 1, (2, "1/2", "tree"): 2, (3, "1/2/3", "tree"): 4, (5, None, "on a cycle"): 2, (6, None, "on a cycle"): 1,
-                           (7, None, "below a cycle"): 1, (None, None, "tree"): 2})
+    assert got == Counter({(1, "1", "tree"): 1, (2, "1/2", "tree"): 2, (3, "1/2/3", "tree"): 4, (None, None, "tree"): 2,
+                           (5, None, "on a cycle"): 1, (6, None, "on a cycle"): 1, (7, None, "below a cycle"): 2, (8, None, "below a cycle"): 4,
+                           (15, None, "on a cycle"): 2, (16, None, "on a cycle"): 2})
 
 
 def test_order_statistics(spark):
