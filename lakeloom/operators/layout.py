@@ -263,6 +263,11 @@ def with_hilbert(df: DataFrame, ranks: list[Column], name: str, bits: int) -> Da
 
 #: Bits a column of a curve unless asked for more; a table of many files wants 16 cells for each.
 CURVE_BITS = 5
+#: Bits a column that a stored curve is refined to at most: 4,096 cut points and 82,000 sampled rows.
+MOST_BITS = 12
+#: Bits of a place: a cell's on top, whatever their number, and below them those of a hash, by which the files
+#: of a single cell lie one behind the other.
+PLACE_BITS = 62
 STEP = "_stats/step="
 
 
@@ -285,36 +290,67 @@ def read_growing(spark: SparkSession, root: str, files: DataFrame | None = None)
     return spark.read.parquet(*names) if names else spark.read.parquet(newest).limit(0)
 
 
-def _curve(spark: SparkSession, root: str, df: DataFrame, columns: list[str], files: int) -> tuple[str, int, dict]:
-    """The name, bits and cut points of the curve of ``columns``: the stored one, so that all files are on
-    one curve, else one drawn from ``df``, fine enough for a hundred times its files."""
-    name, folder = "-".join(columns), f"{root}/_curves"
-    schema = "name string, bits int, bounds string"
-    if _exists(spark, folder):
-        found = spark.read.json(folder, schema=schema).filter(F.col("name") == name).first()
-        if found:
-            return name, found["bits"], json.loads(found["bounds"])
-    bits = max(CURVE_BITS, math.ceil(math.log2(100 * files) / len(columns)))
-    bounds = json.dumps(_bounds(df, columns, 1 << bits), default=str)
-    spark.createDataFrame([(name, bits, bounds)], schema).coalesce(1).write.mode("append").json(folder)
-    return name, bits, json.loads(bounds)
+def _refined(df: DataFrame, cuts: dict[str, list], bits: int, finer: int) -> dict[str, list]:
+    """Cut points and their ranks with ``finer`` bits: what lies between two cut points is cut again by what
+    ``df`` holds of it, so a cell of the curve becomes a range of cells and files on it stay where they are."""
+    pieces = 1 << finer - bits
+    fraction = min(1.0, max(20_000, 20 << finer) / max(df.count(), 1))
+    between = [_rank_in(F.col(c), [v for v, _ in found], df.schema[c].dataType).alias(f"_in_{c}") for c, found in cuts.items()]
+    sample = df.select(*cuts).sample(fraction, seed=11).select(*cuts, *between).collect()
+    out = {}
+    for c, found in cuts.items():
+        inside: dict[int, list] = {}
+        for r in sample:
+            if r[c] is not None:
+                inside.setdefault(r[f"_in_{c}"], []).append(r[c])
+        out[c] = []
+        for i in range(len(found) + 1):
+            rank = found[i - 1][1] * pieces if i else 0
+            values = sorted(inside.get(i, ()))
+            new = sorted({values[len(values) * k // pieces] for k in range(1, pieces)} - {values[0]}) if values else []
+            out[c] += [[found[i - 1][0], rank]] * (i > 0) + [[v, rank + k] for k, v in enumerate(new, 1)]
+    return out
+
+
+def _curve(spark: SparkSession, root: str, df: DataFrame, columns: list[str], files: int) -> tuple[str, int, dict[str, list]]:
+    """The name, bits and cut points (each with the rank that begins there) of the curve of ``columns``: the
+    stored one, so that all files are on one curve, else one drawn from ``df``, fine enough for a hundred
+    times its files.  A stored one with fewer than 16 cells for each of ``files`` is refined."""
+    name, folder = f"{'-'.join(columns)}@{PLACE_BITS}", f"{root}/_curves"
+    schema = "name string, bits int, cuts string"
+    wanted = max(CURVE_BITS, math.ceil(math.log2(100 * files) / len(columns)))
+    found = spark.read.json(folder, schema=schema).filter(F.col("name") == name).orderBy(F.desc("bits")).first() if _exists(spark, folder) else None
+    if found:
+        bits, cuts = found["bits"], json.loads(found["cuts"])
+        finer = min(wanted, MOST_BITS)
+        if 16 * files <= 1 << bits * len(columns) or finer <= bits:
+            return name, bits, cuts
+        bits, cuts = finer, _refined(df, cuts, bits, finer)
+    else:
+        bits = min(wanted, PLACE_BITS // len(columns))
+        cuts = {c: [[v, rank] for rank, v in enumerate(found, 1)] for c, found in _bounds(df, columns, 1 << bits).items()}
+    text = json.dumps(cuts, default=str)
+    spark.createDataFrame([(name, bits, text)], schema).coalesce(1).write.mode("append").json(folder)
+    return name, bits, json.loads(text)
 
 
 def _write_step(df: DataFrame, root: str, columns: list[str], files: int, kept: DataFrame | None) -> None:
-    """Rows as clustered files of a new step, then the list of all files: the step counts from then on."""
+    """Rows as clustered files of a new step, then the list of all files: the step counts from then on.  No
+    place lies in two of the files: rows of one cell, as of a hot key, are parted by their hash."""
     spark = df.sparkSession
     done = _steps(spark, root)
     step = done[-1] + 1 if done else 0
-    name, bits, bounds = _curve(spark, root, df, columns, files)
-    kinds = {c: df.schema[c].dataType for c in columns}
-    ranks = [_rank_in(F.col(c), bounds[c], kinds[c]) for c in columns]
-    placed = with_hilbert(df, ranks, "_place", bits).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    sorted_rows = placed.repartitionByRange(files, "_place", "_tie").sortWithinPartitions("_place")
-    sorted_rows.drop("_tie").write.mode("overwrite").parquet(f"{root}/step={step}")
+    name, bits, cuts = _curve(spark, root, df, columns, files + (kept.count() if kept is not None else 0))
+    ranks = [F.get(F.lit([0, *[rank for _, rank in cuts[c]]]), _rank_in(F.col(c), [v for v, _ in cuts[c]], df.schema[c].dataType)) for c in columns]
+    spare = PLACE_BITS - bits * len(columns)
+    place = F.shiftleft("_place", spare).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), 64 - spare))
+    placed = with_hilbert(df, ranks, "_place", bits).withColumn("_at", place)
+    sorted_rows = placed.repartitionByRange(files, "_at").sortWithinPartitions("_at")
+    sorted_rows.drop("_at").write.mode("overwrite").parquet(f"{root}/step={step}")
     written = spark.read.parquet(f"{root}/step={step}")
     extremes = [f(c).alias(f"{n}_{c}") for c in df.columns if c not in ("_place",) for n, f in (("min", F.min), ("max", F.max))]
     stats = written.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
-        F.lit(name).alias("curve"), F.min("_place").alias("low"), F.max("_place").alias("high"), F.count(F.lit(1)).alias("rows"), *extremes)
+        F.lit(name).alias("curve"), F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).alias("rows"), *extremes)
     listed = stats if kept is None else kept.unionByName(stats, allowMissingColumns=True)
     stage(listed, "files").coalesce(1).write.mode("overwrite").parquet(f"{root}/{STEP}{step}")
 

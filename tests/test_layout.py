@@ -7,6 +7,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from lakeloom.operators import layout
 from lakeloom.session import scratch_path
 from tests.conftest import rows
@@ -100,3 +101,62 @@ def test_unfinished_step_is_not_read(spark, monkeypatch):
     assert layout.read_growing(spark, root).count() == 200
     layout.arrive(df.filter("id >= 200"), root, ["a"])
     assert rows(layout.read_growing(spark, root).drop("_place")) == rows(df)
+
+
+def test_files_of_one_cell_settle(spark):
+    """All rows have the same keys: no curve tells them apart, still no file lies over another once rewritten."""
+    root, df = scratch_path(spark, "growing"), spark.range(3000).select("id", F.lit(7).alias("a"), F.lit(None).cast("string").alias("b"))
+    for n in range(5):
+        layout.arrive(df.filter(F.col("id") % 5 == n), root, ["a", "b"], 2)
+    assert layout.recluster(spark, root, ["a", "b"], 1, 100) == (10, 30)
+    assert layout.recluster(spark, root, ["a", "b"], 1, 100) == (0, 0)
+    assert rows(layout.read_growing(spark, root).drop("_place")) == rows(df)
+
+
+def test_curve_is_refined_for_many_files(spark):
+    """A curve drawn for four files is refined for 300: a point meets few of them, and files that stay keep their names."""
+    root, df = scratch_path(spark, "growing"), spark.range(30_000).select("id", (F.col("id") * 7919 % 30_011).alias("a"), (F.col("id") * 104_729 % 30_013).alias("b"))
+    few, high = df.filter("id % 10 = 0"), df.filter("id % 10 > 0 AND a >= 17000")
+    layout.arrive(few, root, ["a", "b"], 4)
+    for n in range(3):
+        layout.arrive(high.filter(F.col("id") % 3 == n), root, ["a", "b"])
+    before = {r["file_path"] for r in layout.cluster_files(spark, root).collect()}
+    read, written = layout.recluster(spark, root, ["a", "b"], 3, 50)
+    assert 3 < read < 7 and written > 250
+    assert layout.recluster(spark, root, ["a", "b"], 3, 50) == (0, 0)
+    files = layout.cluster_files(spark, root)
+    assert len(before & {r["file_path"] for r in files.collect()}) == 7 - read
+    assert files.filter(layout.meets("a", 20_000)).count() < 60
+    assert [r["bits"] for r in spark.read.json(f"{root}/_curves").orderBy("bits").collect()] == [5, 8]
+    assert rows(layout.read_growing(spark, root).drop("_place")) == rows(few.unionByName(high))
+
+
+def test_refined_cells_lie_in_their_old_cell(spark):
+    """Of numbers, dates, texts and nulls, with values that come often and ones beyond those the curve was drawn from."""
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") * F.col("id") % 977 / 8).alias("a"), F.expr("DATE'2020-01-01' + CAST(id % 700 AS INT)").alias("b"),
+        F.when(F.col("id") % 11 > 0, F.md5(F.col("id").cast("string"))).alias("c"))
+    bits, finer, columns = 2, 4, df.columns
+    bounds = layout._bounds(df.filter("b < '2020-09-01'"), columns, 1 << bits)
+    cuts = {c: [[str(v), n] for n, v in enumerate(bounds[c], 1)] for c in columns}
+    fine = {c: [[str(v), n] for v, n in found] for c, found in layout._refined(df, cuts, bits, finer).items()}
+    assert all(len(fine[c]) > 2 * len(cuts[c]) and fine[c][-1][1] < 1 << finer for c in columns)
+
+    def placed(of, k):
+        ranks = [F.get(F.lit([0, *[n for _, n in of[c]]]), layout._rank_in(F.col(c), [v for v, _ in of[c]], df.schema[c].dataType)) for c in columns]
+        return [r["place"] for r in layout.with_hilbert(df, ranks, "place", k).collect()]
+
+    coarse, small = placed(cuts, bits), placed(fine, finer)
+    assert coarse == [p >> (finer - bits) * len(columns) for p in small]
+    assert len(set(small)) > 4 * len(set(coarse))
+
+
+def test_recluster_query_with_a_hot_pair(spark, tmp_path):
+    """A quarter of the lines are of one part and supplier: more rows than three files hold."""
+    n = F.col("id")
+    part = F.when(n % 4 < 2, 1 + F.floor(n / 4) % 50).when(n % 4 == 2, 75).otherwise(51 + F.floor(n / 4) % 50)
+    spark.range(480_000).select(
+        n.alias("l_orderkey"), F.lit(1).alias("l_linenumber"), part.alias("l_partkey"), F.when(n % 4 == 2, 9).otherwise(n * 31 % 40).alias("l_suppkey"),
+        (n % 50).cast("double").alias("l_quantity"), (n * 3).cast("double").alias("l_extendedprice")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries()["o04_recluster_overlap"](spark, str(tmp_path))
+    assert got.agg(F.count(F.lit(1)), F.count_distinct("l_orderkey"), F.min("kept_names"), F.min("bounded")).first() == (480_000, 480_000, True, True)
